@@ -7,7 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 from trolley.llm._common import table
 from trolley.llm.attribution import attribute_tokens
 from trolley.llm.decontamination import contamination_report
+from trolley.llm.langid import identify_languages
 from trolley.llm.packing import pack_documents
+from trolley.llm.pii import find_personal_data
+from trolley.llm.topk import exact_top_k
 from trolley.llm.warc import archive_round_trip
 
 
@@ -15,6 +18,10 @@ def op1_token_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return attribute_tokens(table(spark, sf_dir, "documents"))
 
 
+def op4_code_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_languages(table(spark, sf_dir, "documents"))
+
+
 def op5_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_round_trip(table(spark, sf_dir, "pages"))
 
@@ -23,17 +30,29 @@ def op6_certified_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op8_segment_field_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_personal_data(table(spark, sf_dir, "documents"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_norm_sorted_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return exact_top_k(vectors, vectors.filter("vec_id % 100 = 0"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_token_attribution,
+        op4_code_languages,
         op5_warc_bundles,
         op6_certified_packing,
+        op8_segment_field_pii,
         op9_decontamination,
+        op10_norm_sorted_top_k,
     )
 }
 
@@ -78,4 +97,17 @@ ORACLES: dict[str, str] = {
             coalesce(n_hit, 0) > 0 AS contaminated
         FROM t LEFT JOIN h USING (doc_id) LEFT JOIN k USING (doc_id)
     """,
+    "op10_norm_sorted_top_k": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (
+            SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v))
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+        FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+        WHERE rank <= 10
+    """,
 }
