@@ -8,6 +8,7 @@ from trolley.llm._common import table
 from trolley.llm.attribution import attribute_tokens
 from trolley.llm.decontamination import contamination_report
 from trolley.llm.langid import identify_languages
+from trolley.llm.near_dup import duplicate_classes
 from trolley.llm.packing import pack_documents
 from trolley.llm.pii import find_personal_data
 from trolley.llm.topk import exact_top_k
@@ -18,6 +19,10 @@ def op1_token_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return attribute_tokens(table(spark, sf_dir, "documents"))
 
 
+def op2_prob_min_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return duplicate_classes(table(spark, sf_dir, "documents"))
+
+
 def op4_code_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(table(spark, sf_dir, "documents"))
 
@@ -47,6 +52,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_token_attribution,
+        op2_prob_min_hash,
         op4_code_languages,
         op5_warc_bundles,
         op6_certified_packing,
