@@ -12,6 +12,7 @@ from trolley.llm.near_dup import duplicate_classes
 from trolley.llm.packing import pack_documents
 from trolley.llm.pii import find_personal_data
 from trolley.llm.topk import exact_top_k
+from trolley.llm.toxicity import score_toxicity
 from trolley.llm.warc import archive_round_trip
 
 
@@ -23,6 +24,10 @@ def op2_prob_min_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_classes(table(spark, sf_dir, "documents"))
 
 
+def op3_recurrent_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_code_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(table(spark, sf_dir, "documents"))
 
@@ -53,6 +58,7 @@ QUERIES = {
     for f in (
         op1_token_attribution,
         op2_prob_min_hash,
+        op3_recurrent_toxicity,
         op4_code_languages,
         op5_warc_bundles,
         op6_certified_packing,
