@@ -8,6 +8,7 @@ from trolley.llm._common import table
 from trolley.llm.attribution import attribute_tokens
 from trolley.llm.decontamination import contamination_report
 from trolley.llm.langid import identify_languages
+from trolley.llm.licenses import scan_licenses
 from trolley.llm.near_dup import duplicate_classes
 from trolley.llm.packing import pack_documents
 from trolley.llm.pii import find_personal_data
@@ -40,6 +41,10 @@ def op6_certified_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op7_license_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op8_segment_field_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_personal_data(table(spark, sf_dir, "documents"))
 
@@ -62,6 +67,7 @@ QUERIES = {
         op4_code_languages,
         op5_warc_bundles,
         op6_certified_packing,
+        op7_license_windows,
         op8_segment_field_pii,
         op9_decontamination,
         op10_norm_sorted_top_k,
