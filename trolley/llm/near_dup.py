@@ -28,7 +28,8 @@ WORDS = 5
 LEAST = 0.8
 BANDS, ROWS = 25, 5
 REGISTERS = BANDS * ROWS
-LEADERS = 8
+#: Leaders of a bucket in each round; the last number serves all later ones.
+LEADERS = (1, 8, 64, 512)
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 2**64))
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
@@ -204,12 +205,12 @@ def duplicate_classes(docs: DataFrame) -> DataFrame:
     )
     edges = None
     components = None
-    salts = 1
+    tested = None
     texts = plain.filter("doc_id is not null")
     for k in range(10_000):
         if members.isEmpty():
             break
-        leaders = _leaders(members, salts)
+        leaders = _leaders(members, LEADERS[min(k, len(LEADERS) - 1)])
         sizes = members.select(F.col("node").alias("leader"), F.col("size").alias("leader_size")).distinct()
         met = members.join(leaders, "key").filter("node <> leader and component <> own")
         pairs = (
@@ -219,7 +220,10 @@ def duplicate_classes(docs: DataFrame) -> DataFrame:
             .select("a", "b")
             .distinct()
         )
+        if tested is not None:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = written(pairs, f"pairs{k}")
+        tested = pairs if tested is None else tested.unionByName(pairs)
         links = _verify(texts, pairs)
         edges = links if components is None else links.unionByName(
             components.select(F.col("node").alias("a"), F.col("component").alias("b"))
@@ -233,7 +237,6 @@ def duplicate_classes(docs: DataFrame) -> DataFrame:
         )
         mixed = rest.groupBy("key").agg((F.min("component") < F.max("component")).alias("mixed")).filter("mixed")
         members = written(rest.join(mixed.select("key"), "key").select(*members.columns), f"members{k}")
-        salts = LEADERS
     if components is not None:
         alike = alike.unionByName(components.select(F.col("node").alias("a"), F.col("component").alias("b")))
     classes = connected_components(alike, written)
