@@ -202,12 +202,20 @@ def exact_top_k(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFram
         base.repartitionByRange(max(1, -(-n // BLOCK)), *falling).sortWithinPartitions(*falling).mapInArrow(_blocks, shape)
     )
     groups = max(1, -(-m // QUERIES))
+    slots = max(1, n // (2 * BLOCK))
     numbered = asked.withColumn("qb", F.pmod(F.xxhash64("vec_id"), F.lit(groups)))
 
     def meet(candidates: DataFrame, asked: DataFrame) -> DataFrame:
-        packs = asked.groupBy("qb", "dim").agg(F.collect_list(F.struct("vec_id", "vec", "floor")).alias("queries"))
-        every = candidates.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)).cast("array<long>")))
-        joined = every.join(packs, ["qb", "dim"]).select("dim", "ids", "vecs", "queries")
+        # A query block goes to every slot, a candidate block to one slot of every query block: no task gets them all.
+        packs = (
+            asked.groupBy("qb", "dim")
+            .agg(F.collect_list(F.struct("vec_id", "vec", "floor")).alias("queries"))
+            .withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1)).cast("array<long>")))
+        )
+        every = candidates.withColumn("slot", F.pmod(F.xxhash64("ids"), F.lit(slots))).withColumn(
+            "qb", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)).cast("array<long>"))
+        )
+        joined = every.join(packs, ["qb", "dim", "slot"]).select("dim", "ids", "vecs", "queries")
         return joined.mapInArrow(_search(k, rotations), "query_id long, vec_id long, score long")
 
     longest = base.orderBy(*falling).limit(2048).mapInArrow(_blocks, shape)
