@@ -1,33 +1,6 @@
-"""Shared helpers: the cluster's shared folder, written tables and table loading."""
+"""Table loading and the cluster's shared folder, under the names that the operators use."""
 
-from __future__ import annotations
+from trolley.sources.catalogue import table
+from trolley.sources.shared import shared_dir, written
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """A new folder name under ``spark.checkpoint.dir``; set to a local one only where unset (tests)."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/trolley-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Cut the lineage: write ``df`` to the shared folder and read it back.
-
-    The rows survive lost executors and are computed once, however often the
-    result is used.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+__all__ = ["shared_dir", "table", "written"]

@@ -5,7 +5,8 @@ Poisson process fall on random registers; a register keeps the element whose poi
 comes first, and an element stops as soon as its next point is later than the latest
 register (early termination). Two signatures agree in a register with the probability
 Jaccard similarity of the texts. Texts that agree in a whole band of registers are
-candidates, and a link needs an exact shingle Jaccard of 0.8 or more.
+candidates if two bits of each register agree as often as the least similarity makes
+likely, and a link needs an exact shingle Jaccard of 0.8 or more.
 
 Within a bucket no pairs are listed. Members are compared with a few leaders, those
 whose buckets are fullest, and links unite components; a bucket is done when its
@@ -29,7 +30,10 @@ LEAST = 0.8
 BANDS, ROWS = 25, 5
 REGISTERS = BANDS * ROWS
 #: Leaders of a bucket in each round; the last number serves all later ones.
-LEADERS = (1, 8, 64, 512)
+LEADERS = (1, 32, 512)
+#: Most registers in which two texts' two-bit sketches may differ: 0.8 alike differ in 19 of 125, and 40 is five deviations away.
+MOST_APART = 40
+SKETCH = ("s0", "s1", "s2", "s3")
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 2**64))
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
@@ -119,16 +123,36 @@ def band_keys(signature: np.ndarray, bands: int = BANDS) -> np.ndarray:
     return key.astype(np.int64)
 
 
+def sketch(signature: np.ndarray) -> np.ndarray:
+    """Two bits of every register: four longs, two of each bit."""
+    bits = mix(signature)
+    planes = [np.packbits(((bits >> np.uint64(i)) & np.uint64(1)).astype(np.uint8)) for i in (0, 1)]
+    return np.concatenate([np.pad(x, (0, 16 - len(x))) for x in planes]).view(np.int64)
+
+
 def _sign(batches):
     for batch in batches:
-        sizes, keys = [], []
+        sizes, keys, sketches = [], [], []
         for text in batch.column(2):
             elements, counts = shingles(text.as_py())
             sizes.append(len(elements))
-            keys.append(band_keys(prob_min_hash(elements, 1 + np.log(counts))).tolist() if len(elements) else [])
+            if len(elements):
+                signature = prob_min_hash(elements, 1 + np.log(counts))
+                keys.append(band_keys(signature).tolist())
+                sketches.append(sketch(signature))
+            else:
+                keys.append([])
+                sketches.append(np.zeros(4, np.int64))
+        planes = np.array(sketches, dtype=np.int64).reshape(-1, 4)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(sizes, pa.int32()), pa.array(keys, pa.list_(pa.int64()))],
-            ["doc_id", "digest", "size", "keys"],
+            [
+                batch.column(0),
+                batch.column(1),
+                pa.array(sizes, pa.int32()),
+                pa.array(keys, pa.list_(pa.int64())),
+                *(pa.array(np.ascontiguousarray(planes[:, i])) for i in range(4)),
+            ],
+            ["doc_id", "digest", "size", "keys", *SKETCH],
         )
 
 
@@ -150,11 +174,8 @@ def _compare(batches):
         yield batch.filter(pa.array(keep, pa.bool_())).select([0, 1])
 
 
-def _verify(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose shingle sets reach the least similarity; only their texts are read again."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    texts = docs.join(nodes, docs["doc_id"] == nodes["node"]).select("node", "text")
-    sets = written(texts.mapInArrow(_shingle_sets, "node long, set binary"), "sets")
+def _verify(sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose shingle sets reach the least similarity."""
     own = lambda c: sets.select(F.col("node").alias(c), F.col("set").alias(f"set_{c}"))
     return (
         pairs.join(own("a"), "a")
@@ -165,12 +186,35 @@ def _verify(docs: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def _leaders(members: DataFrame, salts: int) -> DataFrame:
-    """(key, node, popularity) -> (key, leader, component): the fullest-bucketed member of each salt."""
+    """The fullest-bucketed member of each key and salt, with what a pair's filter needs."""
     salted = members.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(salts)))
     best = salted.groupBy("key", "salt").agg(
-        F.max(F.struct("popularity", (-F.col("node")).alias("order"), "component")).alias("best")
+        F.max(F.struct("popularity", (-F.col("node")).alias("order"), "component", "size", *SKETCH)).alias("best")
+    )
+    return best.select(
+        "key",
+        (-F.col("best.order")).alias("leader"),
+        F.col("best.component").alias("own"),
+        F.col("best.size").alias("l_size"),
+        *[F.col(f"best.{c}").alias(f"l_{c}") for c in SKETCH],
+    )
+
+
+def _candidates(members: DataFrame, leaders: DataFrame) -> DataFrame:
+    """(a, b), a above b: members and leaders of one bucket that are not of one class and may be alike."""
+    apart = [F.col(c).bitwiseXOR(F.col(f"l_{c}")) for c in SKETCH]
+    far = F.bit_count(apart[0].bitwiseOR(apart[2])) + F.bit_count(apart[1].bitwiseOR(apart[3]))
+    near = F.least("size", "l_size") >= LEAST * F.greatest("size", "l_size") - 1e-9
+    m = members.withColumnRenamed("key", "m_key")
+    on = (
+        (F.col("m_key") == F.col("key"))
+        & (F.col("node") != F.col("leader"))
+        & (F.col("component") != F.col("own"))
+        & near
+        & (far <= MOST_APART)
     )
-    return best.select("key", (-F.col("best.order")).alias("leader"), F.col("best.component").alias("own"))
+    met = m.join(leaders, on)
+    return met.select(F.greatest("node", "leader").alias("a"), F.least("node", "leader").alias("b")).distinct()
 
 
 def duplicate_classes(docs: DataFrame) -> DataFrame:
@@ -184,7 +228,7 @@ def duplicate_classes(docs: DataFrame) -> DataFrame:
     digest = F.when(F.length("text") > 0, F.unhex(F.sha2("text", 256)))
     base = written(
         plain.select("doc_id", digest.alias("digest"), "text").mapInArrow(
-            _sign, "doc_id long, digest binary, size int, keys array<long>"
+            _sign, "doc_id long, digest binary, size int, keys array<long>, s0 long, s1 long, s2 long, s3 long"
         ),
         "signatures",
     )
@@ -193,38 +237,35 @@ def duplicate_classes(docs: DataFrame) -> DataFrame:
     own = known.join(same, "digest").select("doc_id", "node")
     alike = own.filter("doc_id <> node").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
     nodes = known.join(same, (known["digest"] == same["digest"]) & (known["doc_id"] == same["node"])).select(
-        "node", "size", F.explode("keys").alias("key")
+        "node", "size", *SKETCH, F.explode("keys").alias("key")
     )
     counts = nodes.groupBy("key").count().filter("count > 1")
     crowded = nodes.join(counts, "key")
-    members = written(crowded.select("key", "node", "size", "count"), "buckets")
+    members = written(crowded.select("key", "node", "size", *SKETCH, "count"), "buckets")
     popular = members.groupBy("node").agg(F.sum("count").alias("popularity"))
     members = written(
-        members.join(popular, "node").select("key", "node", "size", "popularity", F.col("node").alias("component")),
+        members.join(popular, "node").select(
+            "key", "node", "size", *SKETCH, "popularity", F.col("node").alias("component")
+        ),
         "members",
     )
     edges = None
     components = None
     tested = None
-    texts = plain.filter("doc_id is not null")
+    # The texts are read once more, for the documents that share a bucket.
+    crowd = members.select("node").distinct()
+    texts = plain.join(crowd, F.col("doc_id") == F.col("node")).select("node", "text")
+    sets = written(texts.mapInArrow(_shingle_sets, "node long, set binary"), "sets")
     for k in range(10_000):
         if members.isEmpty():
             break
         leaders = _leaders(members, LEADERS[min(k, len(LEADERS) - 1)])
-        sizes = members.select(F.col("node").alias("leader"), F.col("size").alias("leader_size")).distinct()
-        met = members.join(leaders, "key").filter("node <> leader and component <> own")
-        pairs = (
-            met.select(F.greatest("node", "leader").alias("a"), F.least("node", "leader").alias("b"), "leader", "size")
-            .join(sizes, "leader")
-            .filter(F.least("size", "leader_size") >= LEAST * F.greatest("size", "leader_size") - 1e-9)
-            .select("a", "b")
-            .distinct()
-        )
+        pairs = _candidates(members, leaders)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = written(pairs, f"pairs{k}")
         tested = pairs if tested is None else tested.unionByName(pairs)
-        links = _verify(texts, pairs)
+        links = _verify(sets, pairs)
         edges = links if components is None else links.unionByName(
             components.select(F.col("node").alias("a"), F.col("component").alias("b"))
         )
