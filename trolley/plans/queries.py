@@ -340,11 +340,11 @@ def dimension_lookup(spark, sf_dir):
 
 
 @query(
-    """SELECT DISTINCT p_brand, p_type FROM (
-        SELECT p_brand, min(p_type) AS p_type FROM part GROUP BY p_brand HAVING count(DISTINCT p_type) = 1)"""
+    """SELECT o_custkey, min(o_orderpriority) AS o_orderpriority FROM orders GROUP BY o_custkey
+    HAVING count(DISTINCT o_orderpriority) = 1"""
 )
-def unambiguous_brands(spark, sf_dir):
-    return relational.unambiguous(table(spark, sf_dir, "part"), "p_brand", "p_type")
+def unambiguous_priorities(spark, sf_dir):
+    return relational.unambiguous(table(spark, sf_dir, "orders"), "o_custkey", "o_orderpriority")
 
 
 @query(
@@ -383,24 +383,24 @@ def image_fallback(spark, sf_dir):
 
 
 @query(
-    """SELECT product_id, store, day, price FROM (
+    """SELECT product_id, store, CAST(day AS VARCHAR) AS day, price FROM (
         SELECT *, lag(price) OVER (PARTITION BY product_id, store ORDER BY day, order_id, line) AS prev FROM prices)
     WHERE prev IS NULL OR prev <> price""",
     PRICES,
 )
 def price_history(spark, sf_dir):
     rows = history.change_only_history(price_observations(spark, sf_dir), ["product_id", "store"], ["day", "order_id", "line"])
-    return rows.select("product_id", "store", "day", "price")
+    return rows.select("product_id", "store", F.col("day").cast("string").alias("day"), "price")
 
 
 @query(
-    """SELECT product_id, store, day, price FROM (SELECT *, row_number() OVER (PARTITION BY product_id, store
+    """SELECT product_id, store, CAST(day AS VARCHAR) AS day, price FROM (SELECT *, row_number() OVER (PARTITION BY product_id, store
         ORDER BY day DESC, order_id DESC, line DESC) AS r FROM prices) WHERE r = 1""",
     PRICES,
 )
 def latest_prices(spark, sf_dir):
     rows = relational.latest(price_observations(spark, sf_dir), ["product_id", "store"], ["day", "order_id", "line"])
-    return rows.select("product_id", "store", "day", "price")
+    return rows.select("product_id", "store", F.col("day").cast("string").alias("day"), "price")
 
 
 @query(
@@ -451,13 +451,14 @@ def stale_price_report(spark, sf_dir):
 
 
 @query(
-    """SELECT product_id, store, day, order_id, line, price FROM prices p WHERE EXISTS (
+    """SELECT product_id, store, CAST(day AS VARCHAR) AS day, order_id, line, price FROM prices p WHERE EXISTS (
         SELECT 1 FROM src WHERE src.product_id = p.product_id AND src.store = p.store)""",
     STALE_SQL,
 )
 def purged_prices(spark, sf_dir):
     prices = price_observations(spark, sf_dir)
-    return history.purge(prices, history.stale_prices(prices, _sources(spark, sf_dir)))
+    kept = history.purge(prices, history.stale_prices(prices, _sources(spark, sf_dir)))
+    return kept.withColumn("day", F.col("day").cast("string"))
 
 
 @query(
@@ -558,7 +559,7 @@ def _alert_tables(spark, sf_dir):
     rows = orders.crossJoin(F.broadcast(parts)).select(
         F.col("o_custkey").alias("user_id"), (F.col("o_orderkey") % F.col("n")).alias("product_id"),
         F.col("o_orderdate").cast("date").alias("created_at"),
-        F.round(F.col("o_totalprice") / 100, 2).cast("decimal(12,2)").alias("target_price"),
+        (F.floor(F.col("o_totalprice")) / 100).cast("decimal(12,2)").alias("target_price"),
         (F.col("o_orderstatus") != "F").alias("active"), "o_orderkey",
     )
     return rows
@@ -568,7 +569,7 @@ ALERT_SQL = (
     PRICES
     + """,
     w AS (SELECT o_custkey AS user_id, o_orderkey % (SELECT count(*) FROM part) AS product_id,
-            CAST(o_orderdate AS DATE) AS created_at, CAST(round(o_totalprice / 100, 2) AS DECIMAL(12, 2)) AS target_price,
+            CAST(o_orderdate AS DATE) AS created_at, CAST(floor(o_totalprice) / 100 AS DECIMAL(12, 2)) AS target_price,
             o_orderstatus <> 'F' AS active FROM orders),
     cur AS (SELECT product_id, min(price) AS current FROM prices GROUP BY ALL)"""
 )

@@ -33,7 +33,7 @@ PRICES = f"""
     prices AS (
         SELECT l_partkey AS product_id, {STORE.format('l_suppkey % 5')} AS store, CAST(l_shipdate AS DATE) AS day,
             l_orderkey AS order_id, l_linenumber AS line,
-            CAST(round(l_extendedprice / l_quantity, 2) AS DECIMAL(12, 2)) AS price
+            CAST(floor(l_extendedprice / l_quantity * 100 + 0.5) / 100 AS DECIMAL(12, 2)) AS price
         FROM lineitem)"""
 MATCHES = (
     CATALOGUE

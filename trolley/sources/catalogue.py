@@ -76,7 +76,7 @@ def price_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_shipdate").cast("date").alias("day"),
         F.col("l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("line"),
-        F.round(F.col("l_extendedprice") / F.col("l_quantity"), 2).cast("decimal(12,2)").alias("price"),
+        (F.floor(F.col("l_extendedprice") / F.col("l_quantity") * 100 + 0.5) / 100).cast("decimal(12,2)").alias("price"),
     )
 
 
