@@ -46,11 +46,14 @@ def in_stock(availability: Column) -> Column:
 
 def listing_offers(pages: DataFrame) -> DataFrame:
     """Tiles of a listing page: JSON attribute, link, image, unit price; tiles with broken JSON are left out."""
-    tiles = pages.select(
-        "page_id", F.posexplode(F.split("html", '(?=<div[^>]*class="product[ "])')).alias("tile_no", "tile")
-    ).filter("tile_no > 0")
+    tile_start = '<div[^>]*class="product[ "]'
+    tiles = pages.select("page_id", F.explode(F.split("html", f"(?={tile_start})")).alias("tile")).filter(
+        F.col("tile").rlike(f"^{tile_start}")
+    )
+    attribute = "data-product-tile-impression="
+    quoted = [F.regexp_extract("tile", f"{attribute}{q}([^{q}]*){q}", 1) for q in ("'", '"')]
     data = F.from_json(
-        html_unescape(F.regexp_extract("tile", r"data-product-tile-impression='([^']*)'|data-product-tile-impression=\"([^\"]*)\"", 2)),
+        html_unescape(F.coalesce(F.nullif(quoted[0], F.lit("")), quoted[1])),
         "id string, name string, brand string, price double, category string",
     )
     return (
