@@ -140,9 +140,12 @@ class Library:
                     for w in np.flatnonzero((values == self.hashes[i]).any(axis=1)):
                         inside = np.unique(cells[w])
                         held = inside[np.isin(own[inside], self.sets[i])]
-                        share = len(np.unique(own[held])) / len(self.sets[i])
+                        # Only first occurrences count for the span: a second copy may begin in the window.
+                        _, once = np.unique(own[held], return_index=True)
+                        share = len(once) / len(self.sets[i])
                         if share >= LEAST - 1e-9:
-                            out.append((self.names[i], int(held[0]), int(held[-1]) + WORDS, share))
+                            held = held[once]
+                            out.append((self.names[i], int(held.min()), int(held.max()) + WORDS, share))
         best: list[tuple[str, int, int, float]] = []
         for m in sorted(set(out), key=lambda m: (m[0], m[1], -m[3], m[2])):
             if best and best[-1][0] == m[0] and m[1] < best[-1][2]:

@@ -8,17 +8,21 @@ Jaccard similarity of the texts. Texts that agree in a whole band of registers a
 candidates if two bits of each register agree as often as the least similarity makes
 likely, and a link needs an exact shingle Jaccard of 0.8 or more.
 
-Within a bucket no pairs are listed. Members are compared with a few leaders, those
-whose buckets are fullest, and links unite components; a bucket is done when its
-members are in one component or all were leaders. Every pair of one bucket is thus
-compared or known to be in one class, so the classes are those of all candidate pairs.
+Within a bucket no pairs are listed. Its members are first compared with one leader, the
+one whose buckets are fullest, and links unite components. Of a bucket that is still
+mixed, all members outside its largest component become leaders, so many at a time;
+finer sketches then leave few pairs to verify. A bucket is done when what is left is in
+one component. Every pair of one bucket is thus compared or known to be in one class,
+so the classes are those of all candidate pairs.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trolley.llm._common import written
@@ -30,10 +34,14 @@ LEAST = 0.8
 BANDS, ROWS = 25, 5
 REGISTERS = BANDS * ROWS
 #: Leaders of a bucket in each round; the last number serves all later ones.
-LEADERS = (1, 32, 512)
+LEADERS = (1, 4096)
 #: Most registers in which two texts' two-bit sketches may differ: 0.8 alike differ in 19 of 125, and 40 is five deviations away.
 MOST_APART = 40
 SKETCH = ("s0", "s1", "s2", "s3")
+#: The finer sketch of documents in buckets that the first leader leaves mixed: of 512 registers of unweighted shingles, 0.8
+#: alike differ in 77, and 109 is four deviations away.
+FINE_REGISTERS, FINE_APART = 512, 109
+FINE = tuple(f"f{i}" for i in range(2 * FINE_REGISTERS // 64))
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 2**64))
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
@@ -124,10 +132,10 @@ def band_keys(signature: np.ndarray, bands: int = BANDS) -> np.ndarray:
 
 
 def sketch(signature: np.ndarray) -> np.ndarray:
-    """Two bits of every register: four longs, two of each bit."""
+    """Two bits of every register as longs, first all of one bit, then all of the other."""
     bits = mix(signature)
     planes = [np.packbits(((bits >> np.uint64(i)) & np.uint64(1)).astype(np.uint8)) for i in (0, 1)]
-    return np.concatenate([np.pad(x, (0, 16 - len(x))) for x in planes]).view(np.int64)
+    return np.concatenate([np.pad(x, (0, -len(x) % 16)) for x in planes]).view(np.int64)
 
 
 def _sign(batches):
@@ -162,6 +170,20 @@ def _shingle_sets(batches):
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["node", "set"])
 
 
+_FINE_ROWS = "node long, " + ", ".join(f"{c} long" for c in FINE)
+
+
+def _fine_sketches(batches):
+    for batch in batches:
+        rows = []
+        for data in batch.column(1):
+            elements = np.frombuffer(data.as_py(), np.uint64)
+            rows.append(sketch(prob_min_hash(elements, np.ones(len(elements)), FINE_REGISTERS)))
+        planes = np.array(rows, dtype=np.int64).reshape(-1, len(FINE))
+        columns = [pa.array(np.ascontiguousarray(planes[:, i])) for i in range(len(FINE))]
+        yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["node", *FINE])
+
+
 def _compare(batches):
     for batch in batches:
         keep = []
@@ -185,25 +207,26 @@ def _verify(sets: DataFrame, pairs: DataFrame) -> DataFrame:
     )
 
 
-def _leaders(members: DataFrame, salts: int) -> DataFrame:
+def _leaders(members: DataFrame, salts: int, planes: tuple[str, ...]) -> DataFrame:
     """The fullest-bucketed member of each key and salt, with what a pair's filter needs."""
     salted = members.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(salts)))
     best = salted.groupBy("key", "salt").agg(
-        F.max(F.struct("popularity", (-F.col("node")).alias("order"), "component", "size", *SKETCH)).alias("best")
+        F.max(F.struct("popularity", (-F.col("node")).alias("order"), "component", "size", *planes)).alias("best")
     )
     return best.select(
         "key",
         (-F.col("best.order")).alias("leader"),
         F.col("best.component").alias("own"),
         F.col("best.size").alias("l_size"),
-        *[F.col(f"best.{c}").alias(f"l_{c}") for c in SKETCH],
+        *[F.col(f"best.{c}").alias(f"l_{c}") for c in planes],
     )
 
 
-def _candidates(members: DataFrame, leaders: DataFrame) -> DataFrame:
+def _candidates(members: DataFrame, leaders: DataFrame, planes: tuple[str, ...], most: int) -> DataFrame:
     """(a, b), a above b: members and leaders of one bucket that are not of one class and may be alike."""
-    apart = [F.col(c).bitwiseXOR(F.col(f"l_{c}")) for c in SKETCH]
-    far = F.bit_count(apart[0].bitwiseOR(apart[2])) + F.bit_count(apart[1].bitwiseOR(apart[3]))
+    apart = [F.col(c).bitwiseXOR(F.col(f"l_{c}")) for c in planes]
+    half = len(planes) // 2
+    far = reduce(Column.__add__, [F.bit_count(x.bitwiseOR(y)) for x, y in zip(apart[:half], apart[half:], strict=True)])
     near = F.least("size", "l_size") >= LEAST * F.greatest("size", "l_size") - 1e-9
     m = members.withColumnRenamed("key", "m_key")
     on = (
@@ -211,12 +234,19 @@ def _candidates(members: DataFrame, leaders: DataFrame) -> DataFrame:
         & (F.col("node") != F.col("leader"))
         & (F.col("component") != F.col("own"))
         & near
-        & (far <= MOST_APART)
+        & (far <= most)
     )
     met = m.join(leaders, on)
     return met.select(F.greatest("node", "leader").alias("a"), F.least("node", "leader").alias("b")).distinct()
 
 
+def _outsiders(members: DataFrame) -> DataFrame:
+    """Members outside the largest component of their bucket."""
+    groups = members.groupBy("key", "component").agg(F.count("*").alias("n"))
+    main = groups.groupBy("key").agg(F.max(F.struct("n", "component")).alias("main"))
+    return members.join(main, "key").filter(F.col("component") != F.col("main.component")).select(*members.columns)
+
+
 def duplicate_classes(docs: DataFrame) -> DataFrame:
     """doc_id, class_id: one row per row of ``docs``; a class is named by its smallest doc_id.
 
@@ -249,7 +279,6 @@ def duplicate_classes(docs: DataFrame) -> DataFrame:
         ),
         "members",
     )
-    edges = None
     components = None
     tested = None
     # The texts are read once more, for the documents that share a bucket.
@@ -259,17 +288,26 @@ def duplicate_classes(docs: DataFrame) -> DataFrame:
     for k in range(10_000):
         if members.isEmpty():
             break
-        leaders = _leaders(members, LEADERS[min(k, len(LEADERS) - 1)])
-        pairs = _candidates(members, leaders)
+        if k == 1:
+            rough = members.select("node").distinct()
+            fine = written(
+                sets.join(rough, "node").select("node", "set").mapInArrow(_fine_sketches, _FINE_ROWS).dropDuplicates(["node"]),
+                "fine",
+            )
+            members = written(members.drop(*SKETCH).join(fine, "node"), "fine_members")
+        planes, most = (FINE, FINE_APART) if k else (SKETCH, MOST_APART)
+        leaders = _leaders(_outsiders(members) if k else members, LEADERS[min(k, 1)], planes)
+        pairs = _candidates(members, leaders, planes, most)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = written(pairs, f"pairs{k}")
         tested = pairs if tested is None else tested.unionByName(pairs)
-        links = _verify(sets, pairs)
-        edges = links if components is None else links.unionByName(
-            components.select(F.col("node").alias("a"), F.col("component").alias("b"))
-        )
-        components = connected_components(edges, written)
+        links = written(_verify(sets, pairs), f"links{k}")
+        if components is None:
+            components = connected_components(links, written)
+        elif not links.isEmpty():
+            known = components.select(F.col("node").alias("a"), F.col("component").alias("b"))
+            components = connected_components(links.unionByName(known), written)
         rest = (
             members.join(leaders.select("key", F.col("leader").alias("node")), ["key", "node"], "left_anti")
             .drop("component")
