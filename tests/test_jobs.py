@@ -202,3 +202,31 @@ def test_streamed_alerts_use_the_log(spark):
         batch(spark.createDataFrame([(1, "s", dt.date(2024, 1, 1), price)], shape), n)
     rows = spark.read.parquet(f"{base}/out")
     assert sorted(r["batch"] for r in rows.select("batch").collect()) == [0, 2]
+
+
+def test_reclassify_details_and_unit_price_audit(spark):
+    from trolley.functions.classify import classify_breadcrumb
+
+    p = spark.createDataFrame(
+        [(1, "Chocolate Negro", "Fruta / Chocolates", "frutas_legumes", "fruta"), (2, "Maçã", "Fruta", "frutas_legumes", "fruta"), (3, "Chocolate", "?", "frutas_legumes", "fruta")],
+        "id int, name string, breadcrumb string, category string, subcategory string",
+    )
+    rows = history.reclassify_suspects(p, "chocolate", lambda c: classify_breadcrumb(c, 2)).orderBy("id").collect()
+    assert [(r["subcategory"], r["changed"]) for r in rows] == [("chocolates_doces", True), ("fruta", False), ("fruta", False)]
+    key = "store_a string, store_b string, name_a string, name_b string, price_per_unit_a double, price_per_unit_b double"
+    review = spark.createDataFrame([("a", "b", "x", "y", None, None), ("a", "b", "z", "y", 1.0, 2.0)], key)
+    details = spark.createDataFrame([("a", "b", "x", "y", 3.0, 4.0, 1), ("a", "b", "x", "y", 5.0, 6.0, 2), ("a", "b", "z", "y", 9.0, 9.0, 1)], key + ", ordinal int")
+    got = {r["name_a"]: (r["price_per_unit_a"], r["price_per_unit_b"]) for r in history.fill_review_details(review, details).collect()}
+    assert got == {"x": (5.0, 6.0), "z": (1.0, 2.0)}
+    approved = spark.createDataFrame([(1, "n", "", "high"), (2, "m", "", "manual"), (3, "q", "", "high")], "product_id int, name string, brand string, confidence string")
+    side = "named_struct('id', '1', 'name', '{0}', 'brand', '', 'price_per_unit', {1}D)"
+    matches = spark.sql(f"select {side.format('n', 1.0)} a, {side.format('n', 1.1)} b, 1.0D score union all select {side.format('m', 1.0)}, {side.format('m', 2.0)}, 1.0D")
+    got = {r["product_id"]: r["outcome"] for r in history.reaudit_by_unit_price(approved, matches).collect()}
+    assert got == {1: "ok", 2: "failed_manual", 3: "not_found"}
+
+
+def test_every_query_is_registered_and_stable():
+    import __spark_entry__ as entry
+
+    queries, sql = entry.queries(), entry.oracle_sql()
+    assert set(sql) <= set(queries) and len(queries) >= 55

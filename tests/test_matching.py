@@ -138,3 +138,22 @@ def test_greedy_keeps_the_stronger_edge():
     got = greedy_clusters(pd.DataFrame(rows, columns=columns))
     assert dict(zip(got["node"], got["cluster"], strict=True))["a::2"] == "a::2"
     assert len(set(got["cluster"])) == 2
+
+
+def test_identities_survive_runs(spark):
+    from trolley.operators import clustering as K
+
+    clusters = spark.createDataFrame([("k1", "continente::u1", 1.0), ("k1", "auchan::u2", 1.0), ("k2", "lidl::u3", 1.0)], "cluster string, node string, score double")
+    records = spark.createDataFrame([("k1", "Leite", "M"), ("k2", "Arroz ", None)], "cluster string, name string, brand string")
+    sources = spark.createDataFrame([("p1", "continente", "u1"), ("p2", "auchan", "u2"), ("p3", "aldi", "u9")], "product_id string, store string, url string")
+    products = spark.createDataFrame([("p1", "a", "", 2), ("p2", "b", "", 1), ("p3", "c", "", 1), ("p4", "arroz", "", 1)], "product_id string, name string, brand string, created_at int")
+    claims = K.claim_identities(clusters, records, sources, products)
+    assert sorted(map(tuple, claims.collect())) == [("k1", "p1"), ("k1", "p2"), ("k2", "p4")]
+    fused = K.fuse_identities(claims, products)
+    assert dict(map(tuple, fused.collect())) == {"p1": "p2", "p2": "p2", "p4": "p4"}
+    facts = spark.createDataFrame([("p1", 1.0), ("p3", 2.0)], "product_id string, price double")
+    assert sorted(map(tuple, K.repoint(facts, fused).collect())) == [("p2", 1.0), ("p3", 2.0)]
+    current = spark.createDataFrame([("p2", "continente", "u1")], "product_id string, store string, url string")
+    assert sorted(map(tuple, K.rebuild_sources(sources, current).collect())) == [("p2", "continente", "u1"), ("p3", "aldi", "u9")]
+    images = spark.sql("select '/storage/x' a, 'n' b union all select 'o', 'n' union all select 'o', null")
+    assert sorted(r[0] for r in images.select(K.kept_image(F.col("a"), F.col("b"))).collect()) == ["/storage/x", "n", "o"]

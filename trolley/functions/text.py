@@ -199,6 +199,15 @@ def url_host(c: Column) -> Column:
     return F.lower(F.regexp_extract(c, r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#:]+)", 1))
 
 
+def store_of_url(c: Column, stores=("continente", "pingodoce", "auchan", "lidl", "aldi")) -> Column:
+    """The store whose name is a label of the URL's host, else 'outro'."""
+    host = F.concat(F.lit("."), url_host(c), F.lit("."))
+    out = F.lit("outro")
+    for store in stores:
+        out = F.when(F.contains(host, F.lit(f".{store}.")), store).otherwise(out)
+    return out
+
+
 def image_extension(c: Column) -> Column:
     found = F.lower(F.regexp_extract(c, r"(?i)\.(jpg|jpeg|png|webp)(?:$|[?#])", 1))
     return F.when(found == "", "jpg").otherwise(found)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trolley.functions.quantity import extract_quantity, price_changed, unit_price_ratio
-from trolley.functions.text import business_key, normalize_brand
+from trolley.functions.text import business_key, normalize_brand, strip_accents
 
 
 def upsert_snapshot(current: DataFrame, incoming: DataFrame, key=("store", "external_id")) -> DataFrame:
@@ -188,3 +188,35 @@ def image_work_list(matches: DataFrame, stored: DataFrame, priority: tuple[str,
     place = F.array_position(F.array(*[F.lit(p) for p in priority]), F.col("i.store"))
     best = rows.groupBy("key").agg(F.min_by("i", F.struct(place.alias("p"), (-F.col("score")).alias("s"), F.col("i.image_url").alias("u"))).alias("i"))
     return best.select("key", "i.*").join(stored.select("key").distinct(), "key", "left_anti")
+
+
+def reclassify_suspects(products: DataFrame, suspect: str, classify) -> DataFrame:
+    """Rows whose folded name matches ``suspect`` get the class of their breadcrumb, if there is one.
+
+    Adds ``changed``; all rows stay.
+    """
+    odd = F.coalesce(strip_accents(F.lower("name")).rlike(suspect), F.lit(False))
+    new = classify(F.col("breadcrumb"))
+    use = odd & new["subcategory"].isNotNull()
+    return products.select(
+        *[c for c in products.columns if c not in ("category", "subcategory")],
+        F.when(use, new["category"]).otherwise(F.col("category")).alias("category"),
+        F.when(use, new["subcategory"]).otherwise(F.col("subcategory")).alias("subcategory"),
+        (use & ~new["subcategory"].eqNullSafe(F.col("subcategory"))).alias("changed"),
+    )
+
+
+def fill_review_details(review: DataFrame, details: DataFrame) -> DataFrame:
+    """Both unit prices from ``details`` by the review key, only where the first is null.
+
+    Of repeated details the one with the highest ``ordinal`` wins.
+    """
+    key = ["store_a", "store_b", "name_a", "name_b"]
+    last = details.groupBy(*key).agg(
+        F.max_by(F.struct("price_per_unit_a", "price_per_unit_b"), F.struct("ordinal", "price_per_unit_a", "price_per_unit_b")).alias("_d")
+    )
+    joined = review.join(last, key, "left")
+    empty = F.col("price_per_unit_a").isNull()
+    for c in ("price_per_unit_b", "price_per_unit_a"):
+        joined = joined.withColumn(c, F.when(empty, F.coalesce(f"_d.{c}", c)).otherwise(F.col(c)))
+    return joined.select(*review.columns)

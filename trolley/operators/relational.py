@@ -153,3 +153,8 @@ def best_scored(df: DataFrame, key: list[str], score: str, order: list) -> DataF
     """The highest-scored row of each key, ties by ``order``."""
     w = Window.partitionBy(*key).orderBy(F.desc(score), *order)
     return df.withColumn("_r", F.row_number().over(w)).filter("_r = 1").drop("_r")
+
+
+def missing_by(df: DataFrame, column: str, by: str) -> DataFrame:
+    """Rows without ``column``, counted by another one."""
+    return df.filter(F.col(column).isNull()).groupBy(by).agg(F.count("*").alias("n"))

@@ -379,6 +379,21 @@ def image_fallback(spark, sf_dir):
     return relational.fill_from(rows, [by_brand], "key", "image_url").select("id", "image_url")
 
 
+@query("SELECT category, count(*) AS n FROM cat WHERE image_url IS NULL GROUP BY category", CATALOGUE)
+def missing_images(spark, sf_dir):
+    return relational.missing_by(part_catalogue(spark, sf_dir), "image_url", "category")
+
+
+@query(
+    r"""SELECT CASE WHEN regexp_matches(lower(url), '^[a-z]+://([^/?#:]*\.)?ththth\.') THEN 'ththth' ELSE 'outro' END AS store,
+        count(*) AS n FROM pages GROUP BY ALL"""
+)
+def pages_by_store(spark, sf_dir):
+    """Pages by the store in their host; the given hosts hold invented names, one of which is asked for."""
+    rows = table(spark, sf_dir, "pages").select(T.store_of_url(F.col("url"), ("ththth",)).alias("store"))
+    return rows.groupBy("store").agg(F.count("*").alias("n"))
+
+
 # --- history and maintenance ------------------------------------------------------------
 
 
@@ -761,3 +776,36 @@ def orphan_lines(spark, sf_dir):
 def beverage_classifier(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").filter("lang <> 'de'")
     return docs.select("doc_id", classify_beverage(F.col("text")).alias("subcategory"))
+
+
+# --- streams ----------------------------------------------------------------------------
+
+
+def _event_prices(events: DataFrame) -> DataFrame:
+    return events.select(
+        F.col("event_type").alias("store"), F.col("user_id").cast("string").alias("id"), "ts", F.col("value").alias("price")
+    )
+
+
+@query(
+    """SELECT event_type AS store, CAST(user_id AS VARCHAR) AS id, ts, value AS price FROM (
+        SELECT *, lag(value) OVER (PARTITION BY event_type, user_id ORDER BY ts, value) AS prev FROM events)
+    WHERE prev IS NULL OR round(prev * 100) <> round(value * 100)"""
+)
+def streamed_price_history(spark, sf_dir):
+    """The events table as a stream through the stateful change-only history, run to its end."""
+    from trolley.sources.shared import shared_dir
+    from trolley.streaming.jobs import HISTORY, price_history as stateful
+
+    events = table(spark, sf_dir, "events")
+    base = shared_dir(spark)
+    stream = spark.readStream.schema(events.schema).parquet(f"{sf_dir}/events.parque[t]")
+    run = (
+        stateful(_event_prices(stream))
+        .writeStream.format("parquet")
+        .option("checkpointLocation", f"{base}/state")
+        .trigger(availableNow=True)
+        .start(f"{base}/rows")
+    )
+    run.awaitTermination()
+    return spark.read.schema(HISTORY).parquet(f"{base}/rows")
