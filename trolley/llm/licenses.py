@@ -3,8 +3,9 @@
 Templates of similar length share a window size, so that a window covering an
 occurrence is at most half as long again as the template. Each template and window has
 ``BANDS`` MinHash values, each a band of its own: with one row a band, a window that
-holds the template is retrieved with probability 1 - (1 - J)^BANDS, above 1 - 1e-6 for
-the least J that a covering window can have. A window and a template can agree in a
+holds the template is retrieved with probability 1 - (1 - J)^BANDS. A covering window
+that holds four fifths of the template's shingles has a J of 0.4 or more, so that is
+above 1 - 1e-7. A window and a template can agree in a
 band only on a shingle that both hold, so windows without any template shingle are
 passed over without hashing them; this loses no retrieval. Retrieved templates are
 verified by the exact share of their shingles in the window.
@@ -110,8 +111,8 @@ class Library:
         self.filter[(self.all & np.uint64(0xFFFF)).astype(np.int64)] = True
         self.groups: dict[int, list[int]] = {}
         for i, size in enumerate(self.sizes):
-            # The least of 8, 12, 16, 24, 32, 48, ... that holds the template.
-            width = next(w for k in range(64) for w in (8 << k, 12 << k) if w >= size)
+            # The size itself below 8, else the least of 8, 12, 16, 24, 32, 48, ... that holds the template.
+            width = size if size < 8 else next(w for k in range(64) for w in (8 << k, 12 << k) if w >= size)
             self.groups.setdefault(width, []).append(i)
         self.hashes = [min_hashes(s[None, :])[0] for s in self.sets]
 
