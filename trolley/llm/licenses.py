@@ -5,7 +5,7 @@ occurrence is at most half as long again as the template. Each template and wind
 ``BANDS`` MinHash values, each a band of its own: with one row a band, a window that
 holds the template is retrieved with probability 1 - (1 - J)^BANDS. A covering window
 that holds four fifths of the template's shingles has a J of 0.39 or more, so that is
-above 1 - 1e-7. A window and a template can agree in a
+above 1 - 2e-7. A window and a template can agree in a
 band only on a shingle that both hold, so windows without any template shingle are
 passed over without hashing them; this loses no retrieval. Retrieved templates are
 verified by the exact share of their shingles in the window.
