@@ -173,6 +173,17 @@ def test_large_group_of_near_copies_is_one_class(spark):
     assert got == {i: 0 for i in range(150)} | {900: 900}
 
 
+def test_near_copies_that_repeat_a_line_are_found(spark):
+    rows = []
+    for i in range(100):
+        body, line = " ".join(f"b{i}x{k}" for k in range(40)), " ".join(f"l{i}x{k}" for k in range(16))
+        rows += [(2 * i, f"{body} {line}"), (2 * i + 1, f"{body} {' '.join([line] * 40)}")]
+    sets = [set(near_dup.shingles(t)[0].tolist()) for _, t in rows]
+    assert all(len(a & b) >= 0.9 * len(a | b) for a, b in zip(sets[::2], sets[1::2], strict=True))
+    got = near_dup.duplicate_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["class_id"] for r in got} == {i: i - i % 2 for i in range(200)}
+
+
 def test_prob_min_hash_estimates_probability_jaccard():
     rng = np.random.default_rng(4)
     elements = near_dup.mix(np.arange(300, dtype=np.uint64))

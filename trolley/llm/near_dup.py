@@ -4,9 +4,11 @@ Elements are five-word shingles weighted by 1 + ln(count). Each element's points
 Poisson process fall on random registers; a register keeps the element whose point
 comes first, and an element stops as soon as its next point is later than the latest
 register (early termination). Two signatures agree in a register with the probability
-Jaccard similarity of the texts. Texts that agree in a whole band of registers are
-candidates if two bits of each register agree as often as the least similarity makes
-likely, and a link needs an exact shingle Jaccard of 0.8 or more.
+Jaccard similarity of the texts. A link needs an exact Jaccard of the shingle sets of 0.8
+or more, and counts can make the probability Jaccard of such texts as low as one likes;
+so a text that repeats a shingle has the bands of unit weights besides those of its
+counts. Texts that agree in a whole band of registers are candidates if two bits of each
+register of unit weights agree as often as the least similarity makes likely.
 
 Within a bucket no pairs are listed. Its members are first compared with one leader, the
 one whose buckets are fullest, and links unite components. Of a bucket that is still
@@ -35,7 +37,7 @@ BANDS, ROWS = 25, 5
 REGISTERS = BANDS * ROWS
 #: Leaders of a bucket in each round; the last number serves all later ones.
 LEADERS = (1, 4096)
-#: Most registers in which two texts' two-bit sketches may differ: 0.8 alike differ in 19 of 125, and 40 is five deviations away.
+#: Most registers in which two texts' two-bit sketches of unit weights may differ: 0.8 alike differ in 19 of 125, and 40 is five deviations away.
 MOST_APART = 40
 SKETCH = ("s0", "s1", "s2", "s3")
 #: The finer sketch of documents in buckets that the first leader leaves mixed: of 1,024 registers of unweighted shingles,
@@ -147,8 +149,11 @@ def _sign(batches):
             elements, counts = shingles(text.as_py())
             sizes.append(len(elements))
             if len(elements):
-                signature = prob_min_hash(elements, 1 + np.log(counts))
-                keys.append(band_keys(signature).tolist())
+                signature = prob_min_hash(elements, np.ones(len(elements)))
+                own = band_keys(signature)
+                if counts.max() > 1:
+                    own = np.union1d(own, band_keys(prob_min_hash(elements, 1 + np.log(counts))))
+                keys.append(own.tolist())
                 sketches.append(sketch(signature))
             else:
                 keys.append([])
