@@ -184,6 +184,23 @@ def test_near_copies_that_repeat_a_line_are_found(spark):
     assert {r["doc_id"]: r["class_id"] for r in got} == {i: i - i % 2 for i in range(200)}
 
 
+def test_cuts_keep_short_texts_that_are_alike(spark):
+    rng, rows, leaders = np.random.default_rng(6), [], []
+    for i in range(3000):
+        elements = np.sort(rng.integers(0, 2**63, 5, dtype=np.uint64))
+        for into, x in ((rows, elements), (leaders, elements[:4])):
+            fine = near_dup.sketch(near_dup.prob_min_hash(x, np.ones(len(x)), near_dup.FINE_REGISTERS))
+            into.append((i, 2 * i + (into is leaders), i if into is rows else -i - 1, len(x), *fine.tolist()))
+    planes = near_dup.FINE
+    shape = "key long, node long, component long, size int, "
+    members = spark.createDataFrame(rows, shape + ", ".join(f"{c} long" for c in planes))
+    led = spark.createDataFrame(
+        leaders, "key long, leader long, own long, l_size int, " + ", ".join(f"l_{c} long" for c in planes)
+    )
+    met = near_dup._candidates(members, led, planes, near_dup.FINE_APART, near_dup.FEW_FINE_APART)
+    assert met.count() == 3000
+
+
 def test_prob_min_hash_estimates_probability_jaccard():
     rng = np.random.default_rng(4)
     elements = near_dup.mix(np.arange(300, dtype=np.uint64))

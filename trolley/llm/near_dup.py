@@ -43,6 +43,9 @@ SKETCH = ("s0", "s1", "s2", "s3")
 #: The finer sketch of documents in buckets that the first leader leaves mixed: of 1,024 registers of unweighted shingles,
 #: 0.8 alike differ in 154, and 199 is four deviations away.
 FINE_REGISTERS, FINE_APART = 1024, 199
+#: Texts of few shingles have few owners of registers, whose two bits differ together. Where one has fewer shingles than this,
+#: the cuts are those of whole registers, of which 0.8 alike differ in 25 and 205, independently: five deviations away too.
+FEW_SHINGLES, FEW_MOST_APART, FEW_FINE_APART = 256, 48, 269
 #: Size of the bitmap of ids whose texts are read again: 2 MB however many there are; what it lets through besides does no harm.
 BITMAP_BITS = 1 << 24
 FINE = tuple(f"f{i}" for i in range(2 * FINE_REGISTERS // 64))
@@ -253,7 +256,7 @@ def _leaders(members: DataFrame, salts: int, planes: tuple[str, ...]) -> DataFra
     )
 
 
-def _candidates(members: DataFrame, leaders: DataFrame, planes: tuple[str, ...], most: int) -> DataFrame:
+def _candidates(members: DataFrame, leaders: DataFrame, planes: tuple[str, ...], most: int, few_most: int) -> DataFrame:
     """(a, b), a above b: members and leaders of one bucket that are not of one class and may be alike."""
     apart = [F.col(c).bitwiseXOR(F.col(f"l_{c}")) for c in planes]
     half = len(planes) // 2
@@ -265,7 +268,7 @@ def _candidates(members: DataFrame, leaders: DataFrame, planes: tuple[str, ...],
         & (F.col("node") != F.col("leader"))
         & (F.col("component") != F.col("own"))
         & near
-        & (far <= most)
+        & (far <= F.when(F.least("size", "l_size") < FEW_SHINGLES, few_most).otherwise(most))
     )
     met = m.join(leaders, on)
     return met.select(F.greatest("node", "leader").alias("a"), F.least("node", "leader").alias("b")).distinct()
@@ -329,9 +332,9 @@ def duplicate_classes(docs: DataFrame) -> DataFrame:
                 "fine",
             )
             members = written(members.drop(*SKETCH).join(fine, "node"), "fine_members")
-        planes, most = (FINE, FINE_APART) if k else (SKETCH, MOST_APART)
+        planes, *most = (FINE, FINE_APART, FEW_FINE_APART) if k else (SKETCH, MOST_APART, FEW_MOST_APART)
         leaders = _leaders(_outsiders(members) if k else members, LEADERS[min(k, 1)], planes)
-        pairs = _candidates(members, leaders, planes, most)
+        pairs = _candidates(members, leaders, planes, *most)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = written(pairs, f"pairs{k}")
