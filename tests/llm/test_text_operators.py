@@ -330,6 +330,21 @@ def test_languages_on_the_held_out_fold(spark, docs, odd):
         assert len({tuple(r) for r in code}) == k and (abs(code.sum(axis=0)) < k).all()
 
 
+def test_every_language_is_learnt_wherever_its_rows_lie(spark):
+    langs = F.when(F.col("id") < 4700, "pt").when(F.col("id") < 4990, "en").when(F.col("id") < 4997, "fi")
+    rows = spark.range(0, 5000, 1, 8).select(
+        F.col("id").alias("doc_id"), F.concat(F.lit("texto numero "), F.col("id")).alias("text"), langs.alias("lang")
+    )
+    got = langid.training_rows(rows, most=200)
+    count = Counter(r["lang"] for r in got)
+    kept = [i for i in range(4990, 4997) if zlib.crc32(str(i).encode()) % 4 != 2]
+    assert count == {"pt": 66, "en": 66, "fi": len(kept)} and kept
+    moved = rows.orderBy(F.desc("doc_id")).repartition(3)
+    assert langid.training_rows(moved.unionByName(rows.filter("doc_id % 3 = 0")), most=200) == got
+    long_ = rows.withColumn("text", F.when(F.col("lang") == "fi", F.repeat("text", 2000)).otherwise(F.col("text")))
+    assert "fi" in {r["lang"] for r in langid.training_rows(long_, most=200)}
+
+
 def test_toxicity_gradients_are_right():
     rng = np.random.default_rng(0)
     net = toxicity.Network.fresh({b"a": 0}, rng)

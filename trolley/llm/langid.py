@@ -12,10 +12,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKETS = 1 << 13
+#: Learning rows of each language at least, however many languages there are.
+LEAST_EACH = 20
 PREDICTED = "doc_id long, held_out boolean, lang_pred string, score double, ambiguous boolean"
 #: Every byte of a non-letter ASCII character becomes a blank.
 LETTERS = bytes(b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -106,22 +108,37 @@ def train(texts: list[str], langs: list[str], epochs: int = 60, seed: int = 3) -
 
 
 def training_rows(docs: DataFrame, most: int = 2000, longest: int = 20_000) -> list:
-    """At most ``most`` labelled learning rows of at most ``longest`` characters, spread over the table by a hash."""
+    """Labelled learning rows of every language outside the fold, the first by a hash of their ids.
+
+    The sample has ``most`` / languages rows of each language, 20 at least, whatever the
+    layout of the files; rows of one id count once. A text over ``longest`` characters is
+    learnt from by its start.
+    """
     own = docs.filter(
-        "doc_id is not null and lang is not null and text is not null"
-        f" and crc32(cast(doc_id as string)) % 4 <> 2 and length(text) between 1 and {longest}"
-    ).select(F.col("doc_id").cast("long"), "text", "lang")
-    rows = own.count()
-    share = min(1.0, 1.3 * most / max(rows, 1))
-    drawn = own.filter(F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1_000_000)) < int(share * 1_000_000) + 1)
-    return drawn.limit(most).collect()
+        "doc_id is not null and lang is not null and length(text) > 0 and crc32(cast(doc_id as string)) % 4 <> 2"
+    ).select(F.col("doc_id").cast("long"), F.substring("text", 1, longest).alias("text"), "lang")
+    sizes = own.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("n")).collect()
+    if not sizes:
+        return []
+    each = max(LEAST_EACH, most // len(sizes))
+    # Far more ids fall below the bound than are wanted, so the ones wanted are always among them.
+    bounds = [(r["lang"], int(1_000_000 * min(1.0, (1.5 * each + 50) / max(r["n"], 1))) + 1) for r in sizes]
+    spark = docs.sparkSession
+    drawn = own.join(F.broadcast(spark.createDataFrame(bounds, "lang string, bound int")), "lang").withColumn(
+        "place", F.xxhash64("doc_id", F.lit(17))
+    )
+    drawn = drawn.filter(F.pmod("place", F.lit(1_000_000)) < F.col("bound"))
+    once = drawn.groupBy("lang", "doc_id").agg(F.min("text").alias("text"), F.first("place").alias("place"))
+    order = Window.partitionBy("lang").orderBy(F.pmod("place", F.lit(1_000_000)), "place", "doc_id")
+    first = once.withColumn("number", F.row_number().over(order)).filter(F.col("number") <= each)
+    return sorted(first.select("doc_id", "text", "lang", "place").collect(), key=lambda r: (r["place"], r["doc_id"], r["lang"]))
 
 
 def identify_languages(docs: DataFrame, model: CodeModel | None = None, most: int = 2000) -> DataFrame:
     """Predict the language of every whole text.
 
-    The model learns from text and lang of rows outside the held-out fold, a bounded
-    sample of ``most`` rows; a fitted one can be given. Text that is null or has no
+    The model learns from text and lang of rows outside the held-out fold, a sample of
+    every language there (see ``training_rows``); a fitted one can be given. Text that is null or has no
     letter is ``und`` with score 1; with no learnt language every text is ``und`` with
     score 0. A null id is never held out. Repeated rows are predicted alike.
     """
