@@ -11,6 +11,9 @@ from trolley.sources import pages as P
 from trolley.streaming import jobs
 
 
+SF = "/root/testdata/sf0.001"
+
+
 def page(body):
     crumbs = '<div class="breadcrumb"><a href="/">Home</a><a>Frescos</a><a>Iogurtes</a></div>'
     return f"<html>{crumbs}{body}</html>"
@@ -148,6 +151,16 @@ def test_search_tiers_equal_brute_force(spark):
     assert [r["label"] for r in s] == ["Leite Bom", "Leita", "Leite", "Leite Gordo"]
 
 
+def test_search_asks_for_every_twentieth_row(spark):
+    from trolley.plans import queries
+
+    ids = [int(r["id"]) for r in queries.part_catalogue(spark, SF).select("id").collect()]
+    got = {(r["query_id"], r["id"]): r["tier"] for r in queries.tiered_search(spark, SF).collect()}
+    wanted = {i for i in ids if i % 20 == 0}
+    assert wanted and {q for q, _ in got} == wanted
+    assert all(got[i, str(i)] == 1 for i in wanted)
+
+
 def test_quality(spark):
     df = spark.createDataFrame([(1, True), (2, False)], "id int, bad boolean")
     assert quality.run_guard(df, F.col("bad")).first()["verdict"] == "too_many_errors"
