@@ -184,21 +184,44 @@ def test_near_copies_that_repeat_a_line_are_found(spark):
     assert {r["doc_id"]: r["class_id"] for r in got} == {i: i - i % 2 for i in range(200)}
 
 
+@pytest.mark.parametrize(("shared", "other", "least"), [(172, 14, 0.83), (168, 18, 0.8)])
+def test_recall_where_a_passage_is_repeated_sixty_times(spark, shared, other, least):
+    """One text holds the passage once, the other sixty times; each has words of its own as well."""
+    rows = []
+    for i in range(60):
+        body, line = [f"b{i}x{k}" for k in range(shared - 40)], [f"l{i}x{k}" for k in range(40)]
+        own = [[f"{c}{i}x{k}" for k in range(other)] for c in "yz"]
+        rows += [(2 * i, " ".join(body + line + own[0])), (2 * i + 1, " ".join(body + line * 60 + own[1]))]
+    sets = [set(near_dup.shingles(t)[0].tolist()) for _, t in rows]
+    alike = [least <= len(a & b) / len(a | b) < least + 0.03 for a, b in zip(sets[::2], sets[1::2], strict=True)]
+    assert np.mean(alike) == 1
+    got = near_dup.duplicate_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    found = {r["doc_id"]: r["class_id"] for r in got}
+    assert np.mean([found[2 * i + 1] == 2 * i for i in range(60)]) >= 0.98
+
+
 def test_cuts_keep_short_texts_that_are_alike(spark):
-    rng, rows, leaders = np.random.default_rng(6), [], []
+    rng, rows = np.random.default_rng(6), []
     for i in range(3000):
         elements = np.sort(rng.integers(0, 2**63, 5, dtype=np.uint64))
-        for into, x in ((rows, elements), (leaders, elements[:4])):
+        for node, x in ((2 * i, elements), (2 * i + 1, elements[:4])):
             fine = near_dup.sketch(near_dup.prob_min_hash(x, np.ones(len(x)), near_dup.FINE_REGISTERS))
-            into.append((i, 2 * i + (into is leaders), i if into is rows else -i - 1, len(x), *fine.tolist()))
+            rows.append((node, len(x), *fine.tolist()))
     planes = near_dup.FINE
-    shape = "key long, node long, component long, size int, "
-    members = spark.createDataFrame(rows, shape + ", ".join(f"{c} long" for c in planes))
-    led = spark.createDataFrame(
-        leaders, "key long, leader long, own long, l_size int, " + ", ".join(f"l_{c} long" for c in planes)
-    )
-    met = near_dup._candidates(members, led, planes, near_dup.FINE_APART, near_dup.FEW_FINE_APART)
-    assert met.count() == 3000
+    sketches = spark.createDataFrame(rows, "node long, size int, " + ", ".join(f"{c} long" for c in planes))
+    members = sketches.selectExpr("node div 2 as key", "node", "node as component", "2L as n").filter("node % 2 = 0")
+    led = sketches.selectExpr("node div 2 as key", "node as leader", "-node as own", "2L as n").filter("leader % 2 = 1")
+    met = near_dup._candidates(members, led, sketches, near_dup.FINE_APART)
+    assert met.count() >= 2998
+
+
+def test_unlike_texts_of_one_bucket_are_all_compared(spark):
+    """A passage that many unlike texts share: the few near copies among them are found, the others left alone."""
+    passage = " ".join(f"p{k}" for k in range(120))
+    rows = [(i, passage + " " + " ".join(f"o{i}x{k}" for k in range(60))) for i in range(300)]
+    rows += [(1000 + i, rows[i][1] + f" tail{i}") for i in range(0, 300, 10)]
+    got = near_dup.duplicate_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["class_id"] for r in got} == {i: i % 1000 for i, _ in rows}
 
 
 def test_prob_min_hash_estimates_probability_jaccard():

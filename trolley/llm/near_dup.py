@@ -11,16 +11,19 @@ counts. Texts that agree in a whole band of registers are candidates if two bits
 register of unit weights agree as often as the least similarity makes likely.
 
 Within a bucket no pairs are listed. Its members are first compared with one leader, the
-one whose buckets are fullest, and links unite components. Of a bucket that is still
-mixed, all members outside its largest component become leaders, so many at a time;
-finer sketches then leave few pairs to verify. A bucket is done when what is left is in
-one component. Every pair of one bucket is thus compared or known to be in one class,
-so the classes are those of all candidate pairs.
+one whose buckets are fullest, and links unite components. The members of buckets that
+are still mixed are dealt into buckets of longer bands of a finer signature. There, the
+members outside a bucket's largest component become leaders, so many at a time, until what
+is left of the bucket is in one component. Every pair that shares a short and a long band
+is thus compared or known to be in one class. What is compared grows as leaders times
+members of a long band's bucket; only pairs that pass the sketches become rows. A bucket of
+many members is dealt over several tasks, each with all its leaders.
 """
 
 from __future__ import annotations
 
 from functools import reduce
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -35,20 +38,21 @@ WORDS = 5
 LEAST = 0.8
 BANDS, ROWS = 25, 5
 REGISTERS = BANDS * ROWS
-#: Leaders of a bucket in each round; the last number serves all later ones.
-LEADERS = (1, 4096)
 #: Most registers in which two texts' two-bit sketches of unit weights may differ: 0.8 alike differ in 19 of 125, and 40 is five deviations away.
 MOST_APART = 40
 SKETCH = ("s0", "s1", "s2", "s3")
-#: The finer sketch of documents in buckets that the first leader leaves mixed: of 1,024 registers of unweighted shingles,
-#: 0.8 alike differ in 154, and 199 is four deviations away.
-FINE_REGISTERS, FINE_APART = 1024, 199
-#: Texts of few shingles have few owners of registers, whose two bits differ together. Where one has fewer shingles than this,
-#: the cuts are those of whole registers, of which 0.8 alike differ in 25 and 205, independently: five deviations away too.
-FEW_SHINGLES, FEW_MOST_APART, FEW_FINE_APART = 256, 48, 269
-#: Size of the bitmap of ids whose texts are read again: 2 MB however many there are; what it lets through besides does no harm.
-BITMAP_BITS = 1 << 24
+#: Buckets that one leader leaves mixed are dealt anew by longer bands of a finer signature: a pair at 0.8 shares none of 102 bands
+#: of ten registers with probability 9e-6, one at 0.4 shares some with probability 0.01.
+FINE_REGISTERS, FINE_BANDS, FINE_ROWS = 1024, 102, 10
+#: Of the finer sketch's registers 0.8 alike differ in 154, and 199 is four deviations away.
+FINE_APART = 199
 FINE = tuple(f"f{i}" for i in range(2 * FINE_REGISTERS // 64))
+#: Leaders of a bucket in the rounds of the longer bands; the last number serves all later rounds.
+LEADERS = (16, 4096)
+#: A bucket is dealt over one task more for each so many members.
+SPLIT = 4096
+#: Bits of the bitmap of ids whose texts are read again: 2 to 32 MB, 16 bits for each of up to 16 million; of more, ids are joined.
+BITMAP_BITS = (1 << 24, 1 << 28)
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 2**64))
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
@@ -139,8 +143,12 @@ def band_keys(signature: np.ndarray, bands: int = BANDS) -> np.ndarray:
 
 
 def sketch(signature: np.ndarray) -> np.ndarray:
-    """Two bits of every register as longs, first all of one bit, then all of the other."""
-    bits = mix(signature)
+    """Two bits of every register as longs, first all of one bit, then all of the other.
+
+    The bits are hashed from the element and the register, so two elements that share the
+    bits of one register need not share those of another, however few elements a text has.
+    """
+    bits = mix(signature ^ mix(np.arange(1, len(signature) + 1, dtype=np.uint64)))
     planes = [np.packbits(((bits >> np.uint64(i)) & np.uint64(1)).astype(np.uint8)) for i in (0, 1)]
     return np.concatenate([np.pad(x, (0, -len(x) % 16)) for x in planes]).view(np.int64)
 
@@ -174,48 +182,73 @@ def _sign(batches):
         )
 
 
-def _id_bitmap(nodes: DataFrame) -> np.ndarray:
+def _id_bitmap(nodes: DataFrame, bits: int) -> np.ndarray:
     """Bits of the hashed ids, or-ed together by Spark in rows of 4 KB."""
-    spot = F.pmod(F.xxhash64("node"), F.lit(BITMAP_BITS))
+    spot = F.pmod(F.xxhash64("node"), F.lit(bits))
     rows = (
         nodes.select(spot.alias("spot"))
         .groupBy(F.bitmap_bucket_number("spot").alias("bucket"))
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position("spot")).alias("bits"))
-        .collect()
+        .toLocalIterator()
     )
     size = 4096
-    out = np.zeros((BITMAP_BITS // (8 * size) + 2) * size, np.uint8)
+    out = np.zeros((bits // (8 * size) + 2) * size, np.uint8)
     for row in rows:
         out[row["bucket"] * size : (row["bucket"] + 1) * size] = np.frombuffer(bytes(row["bits"]), np.uint8)
     return out
 
 
-def _shingle_sets(bitmap):
+def _shingle_sets(bitmap=None):
     def sets(batches):
-        held = bitmap.value
         for batch in batches:
-            bucket, bit = batch.column(2).to_numpy(), batch.column(3).to_numpy()
-            byte = held[bucket * 4096 + bit // 8]
-            wanted = (byte >> (bit % 8).astype(np.uint8)) & 1 == 1
-            batch = batch.filter(pa.array(wanted, pa.bool_()))
+            if bitmap is not None:
+                bucket, bit = batch.column(2).to_numpy(), batch.column(3).to_numpy()
+                byte = bitmap.value[bucket * 4096 + bit // 8]
+                batch = batch.filter(pa.array((byte >> (bit % 8).astype(np.uint8)) & 1 == 1, pa.bool_()))
             own = [shingles(text.as_py())[0].tobytes() for text in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.binary())], ["node", "set"])
 
     return sets
 
 
-_FINE_ROWS = "node long, " + ", ".join(f"{c} long" for c in FINE)
+def _crowded_sets(plain: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, set) of the documents that share a bucket, at least.
+
+    The texts are read once more. A bitmap of the ids spares shuffling them; what it lets
+    through besides does no harm. Of more ids than it has room for, ids and texts are joined.
+    """
+    number = nodes.count()
+    bits = max(BITMAP_BITS[0], 1 << (16 * number).bit_length())
+    texts = plain.filter("doc_id is not null")
+    if bits > BITMAP_BITS[1]:
+        own = texts.join(nodes.select(F.col("node").alias("doc_id")), "doc_id", "left_semi").select("doc_id", "text")
+        return written(own.mapInArrow(_shingle_sets(), "node long, set binary"), "sets")
+    bitmap = plain.sparkSession.sparkContext.broadcast(_id_bitmap(nodes, bits))
+    spot = F.pmod(F.xxhash64("doc_id"), F.lit(bits))
+    texts = texts.select("doc_id", "text", F.bitmap_bucket_number(spot).alias("bucket"), F.bitmap_bit_position(spot).alias("bit"))
+    out = written(texts.mapInArrow(_shingle_sets(bitmap), "node long, set binary"), "sets")
+    bitmap.destroy()
+    return out
+
+
+_FINE_COLUMNS = "node long, size int, keys array<long>, " + ", ".join(f"{c} long" for c in FINE)
 
 
 def _fine_sketches(batches):
     for batch in batches:
-        rows = []
+        rows, keys, sizes = [], [], []
         for data in batch.column(1):
             elements = np.frombuffer(data.as_py(), np.uint64)
-            rows.append(sketch(prob_min_hash(elements, np.ones(len(elements)), FINE_REGISTERS)))
+            signature = prob_min_hash(elements, np.ones(len(elements)), FINE_REGISTERS)
+            rows.append(sketch(signature))
+            keys.append(band_keys(signature[: FINE_BANDS * FINE_ROWS], FINE_BANDS).tolist())
+            sizes.append(len(elements))
         planes = np.array(rows, dtype=np.int64).reshape(-1, len(FINE))
         columns = [pa.array(np.ascontiguousarray(planes[:, i])) for i in range(len(FINE))]
-        yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["node", *FINE])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(sizes, pa.int32()), pa.array(keys, pa.list_(pa.int64())), *columns],
+            ["node", "size", "keys", *FINE],
+        )
 
 
 def _compare(batches):
@@ -241,46 +274,68 @@ def _verify(sets: DataFrame, pairs: DataFrame) -> DataFrame:
     )
 
 
-def _leaders(members: DataFrame, salts: int, planes: tuple[str, ...]) -> DataFrame:
-    """The fullest-bucketed member of each key and salt, with what a pair's filter needs."""
-    salted = members.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(salts)))
-    best = salted.groupBy("key", "salt").agg(
-        F.max(F.struct("popularity", (-F.col("node")).alias("order"), "component", "size", *planes)).alias("best")
+def _all_parts(rows: DataFrame) -> DataFrame:
+    """A row of each bucket for each part that the bucket's members are dealt over."""
+    return rows.withColumn("salt", F.explode(F.expr(f"sequence(0, n div {SPLIT})")))
+
+
+def _own_part(members: DataFrame) -> DataFrame:
+    return members.withColumn("salt", F.expr(f"pmod(xxhash64(node, 1), 1 + n div {SPLIT})"))
+
+
+def _buckets(nodes: DataFrame) -> DataFrame:
+    """(key, node, n, popularity, component) of the keys that several of ``nodes`` (node, keys) hold."""
+    held = nodes.select("node", F.explode("keys").alias("key"))
+    counts = held.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    crowded = written(held.join(counts, "key").select("key", "node", "n"), "buckets")
+    popular = crowded.groupBy("node").agg(F.sum("n").alias("popularity"))
+    return crowded.join(popular, "node").withColumn("component", F.col("node"))
+
+
+def _mixed(members: DataFrame) -> DataFrame:
+    """Members of the buckets that hold more than one component, each with its bucket's largest one as ``main``."""
+    groups = members.groupBy("key", "component").agg(F.count("*").alias("held"), F.max("n").alias("n"))
+    main = groups.groupBy("key").agg(
+        F.count("*").alias("parts"), F.max("n").alias("n"), F.max(F.struct("held", "component")).alias("main")
+    )
+    main = _all_parts(main.filter("parts > 1").select("key", "n", F.col("main.component").alias("main"))).drop("n")
+    return _own_part(members).join(main, ["key", "salt"]).select("key", "node", "n", "popularity", "component", "main")
+
+
+def _leaders(members: DataFrame, most: int) -> DataFrame:
+    """Up to ``most`` members of each bucket from outside its largest component (one: from all), the fullest-bucketed first."""
+    outside = members.filter("component <> main") if most > 1 else members
+    salted = outside.withColumn("own", F.pmod(F.xxhash64("node"), F.lit(most)))
+    best = salted.groupBy("key", "own").agg(
+        F.max(F.struct("popularity", (-F.col("node")).alias("order"), "component", "n")).alias("best")
     )
     return best.select(
-        "key",
-        (-F.col("best.order")).alias("leader"),
-        F.col("best.component").alias("own"),
-        F.col("best.size").alias("l_size"),
-        *[F.col(f"best.{c}").alias(f"l_{c}") for c in planes],
+        "key", (-F.col("best.order")).alias("leader"), F.col("best.component").alias("own"), F.col("best.n").alias("n")
     )
 
 
-def _candidates(members: DataFrame, leaders: DataFrame, planes: tuple[str, ...], most: int, few_most: int) -> DataFrame:
+def _candidates(members: DataFrame, leaders: DataFrame, sketches: DataFrame, most_apart: int) -> DataFrame:
     """(a, b), a above b: members and leaders of one bucket that are not of one class and may be alike."""
+    planes = [c for c in sketches.columns if c not in ("node", "size")]
+    told = [F.col("node").alias("leader"), F.col("size").alias("l_size"), *[F.col(c).alias(f"l_{c}") for c in planes]]
     apart = [F.col(c).bitwiseXOR(F.col(f"l_{c}")) for c in planes]
     half = len(planes) // 2
     far = reduce(Column.__add__, [F.bit_count(x.bitwiseOR(y)) for x, y in zip(apart[:half], apart[half:], strict=True)])
     near = F.least("size", "l_size") >= LEAST * F.greatest("size", "l_size") - 1e-9
-    m = members.withColumnRenamed("key", "m_key")
+    m = _own_part(members).select(F.col("key").alias("m_key"), F.col("salt").alias("m_salt"), "node", "component")
+    m = m.join(sketches, "node")
     on = (
         (F.col("m_key") == F.col("key"))
+        & (F.col("m_salt") == F.col("salt"))
         & (F.col("node") != F.col("leader"))
         & (F.col("component") != F.col("own"))
         & near
-        & (far <= F.when(F.least("size", "l_size") < FEW_SHINGLES, few_most).otherwise(most))
+        & (far <= most_apart)
     )
-    met = m.join(leaders, on)
+    met = m.join(_all_parts(leaders.join(sketches.select(*told), "leader")), on)
     return met.select(F.greatest("node", "leader").alias("a"), F.least("node", "leader").alias("b")).distinct()
 
 
-def _outsiders(members: DataFrame) -> DataFrame:
-    """Members outside the largest component of their bucket."""
-    groups = members.groupBy("key", "component").agg(F.count("*").alias("n"))
-    main = groups.groupBy("key").agg(F.max(F.struct("n", "component")).alias("main"))
-    return members.join(main, "key").filter(F.col("component") != F.col("main.component")).select(*members.columns)
-
-
 def duplicate_classes(docs: DataFrame) -> DataFrame:
     """doc_id, class_id: one row per row of ``docs``; a class is named by its smallest doc_id.
 
@@ -301,58 +356,34 @@ def duplicate_classes(docs: DataFrame) -> DataFrame:
     own = known.join(same, "digest").select("doc_id", "node")
     alike = own.filter("doc_id <> node").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
     nodes = known.join(same, (known["digest"] == same["digest"]) & (known["doc_id"] == same["node"])).select(
-        "node", "size", *SKETCH, F.explode("keys").alias("key")
-    )
-    counts = nodes.groupBy("key").count().filter("count > 1")
-    crowded = nodes.join(counts, "key")
-    members = written(crowded.select("key", "node", "size", *SKETCH, "count"), "buckets")
-    popular = members.groupBy("node").agg(F.sum("count").alias("popularity"))
-    members = written(
-        members.join(popular, "node").select(
-            "key", "node", "size", *SKETCH, "popularity", F.col("node").alias("component")
-        ),
-        "members",
-    )
-    components = None
-    tested = None
-    # The texts are read once more, for the documents that share a bucket; a bitmap of their ids spares shuffling them.
-    bitmap = docs.sparkSession.sparkContext.broadcast(_id_bitmap(members.select("node").distinct()))
-    spot = F.pmod(F.xxhash64("doc_id"), F.lit(BITMAP_BITS))
-    texts = plain.filter("doc_id is not null").select(
-        "doc_id", "text", F.bitmap_bucket_number(spot).alias("bucket"), F.bitmap_bit_position(spot).alias("bit")
+        "node", "size", "keys", *SKETCH
     )
-    sets = written(texts.mapInArrow(_shingle_sets(bitmap), "node long, set binary"), "sets")
-    for k in range(10_000):
+    members = written(_mixed(_buckets(nodes)), "members")
+    crowded = written(members.select("node").distinct(), "crowded")
+    sketches = written(nodes.join(crowded, "node").select("node", "size", *SKETCH).dropDuplicates(["node"]), "sketches")
+    sets = _crowded_sets(plain, crowded)
+    components, most_apart, most = None, MOST_APART, 1
+    for k in count():
         if members.isEmpty():
             break
-        if k == 1:
-            rough = members.select("node").distinct()
-            fine = written(
-                sets.join(rough, "node").select("node", "set").mapInArrow(_fine_sketches, _FINE_ROWS).dropDuplicates(["node"]),
-                "fine",
-            )
-            members = written(members.drop(*SKETCH).join(fine, "node"), "fine_members")
-        planes, *most = (FINE, FINE_APART, FEW_FINE_APART) if k else (SKETCH, MOST_APART, FEW_MOST_APART)
-        leaders = _leaders(_outsiders(members) if k else members, LEADERS[min(k, 1)], planes)
-        pairs = _candidates(members, leaders, planes, *most)
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = written(pairs, f"pairs{k}")
-        tested = pairs if tested is None else tested.unionByName(pairs)
+        leaders = written(_leaders(members, most), f"leaders{k}")
+        pairs = written(_candidates(members, leaders, sketches, most_apart), f"pairs{k}")
         links = written(_verify(sets, pairs), f"links{k}")
         if components is None:
             components = connected_components(links, written)
         elif not links.isEmpty():
             known = components.select(F.col("node").alias("a"), F.col("component").alias("b"))
             components = connected_components(links.unionByName(known), written)
-        rest = (
-            members.join(leaders.select("key", F.col("leader").alias("node")), ["key", "node"], "left_anti")
-            .drop("component")
-            .join(components, "node", "left")
-            .withColumn("component", F.coalesce("component", "node"))
-        )
-        mixed = rest.groupBy("key").agg((F.min("component") < F.max("component")).alias("mixed")).filter("mixed")
-        members = written(rest.join(mixed.select("key"), "key").select(*members.columns), f"members{k}")
+        rest = members.join(leaders.select("key", F.col("leader").alias("node")), ["key", "node"], "left_anti")
+        if k == 0:
+            left = _mixed(_with_components(rest, components)).select("node").distinct()
+            tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+            fine = sets.join(left, "node").select("node", "set").repartition(tasks, "node")
+            fine = fine.mapInArrow(_fine_sketches, _FINE_COLUMNS)
+            fine = written(fine.dropDuplicates(["node"]), "fine")
+            sketches, most_apart, rest = fine.drop("keys"), FINE_APART, _buckets(fine)
+        members = written(_mixed(written(_with_components(rest, components), f"rest{k}")), f"members{k}")
+        most = LEADERS[min(k, len(LEADERS) - 1)]
     if components is not None:
         alike = alike.unionByName(components.select(F.col("node").alias("a"), F.col("component").alias("b")))
     classes = connected_components(alike, written)
@@ -363,6 +394,15 @@ def duplicate_classes(docs: DataFrame) -> DataFrame:
     )
 
 
+def _with_components(members: DataFrame, components: DataFrame) -> DataFrame:
+    """``members`` with the components found so far."""
+    return (
+        members.drop("component", "main")
+        .join(components, "node", "left")
+        .withColumn("component", F.coalesce("component", "node"))
+    )
+
+
 def deduplicate(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each class: the one whose id names it. Rows without an id stay.
 
