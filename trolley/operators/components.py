@@ -16,18 +16,20 @@ def connected_components(edges: DataFrame, cut: Callable[[DataFrame, str], DataF
     """(node, component): the smallest id that a node of ``edges`` (a, b) is connected to.
 
     ``cut`` writes a DataFrame and reads it back, so each step's plan is short and its
-    rows are computed once. Nodes only in self edges are left out. A step aggregates
-    before it shuffles, so a node with very many edges is one row per task.
+    rows are computed once. Nodes only in self edges are left out. Minima are aggregated
+    before they are shuffled. They are then joined with the edges from a written table, so
+    both sides of the join are plain shuffles: adaptive execution can split the edges of a
+    node that has very many.
     """
     e = edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     e = cut(e, "edges")
     state = _state(e)
     for k in range(most_rounds):
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.least("a", F.min("b")).alias("low"))
+        low = cut(both.groupBy("a").agg(F.least("a", F.min("b")).alias("low")), f"low{k}")
         large = both.filter("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("low").alias("b"))
-        large = large.distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("low"))
+        large = cut(large.distinct(), f"large{k}")
+        low = cut(large.groupBy("a").agg(F.min("b").alias("low")), f"lower{k}")
         small = (
             large.join(low, "a")
             .select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("low").alias("b")), F.struct("a", F.col("low").alias("b")))).alias("x"))
