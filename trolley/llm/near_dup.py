@@ -10,8 +10,8 @@ so a text that repeats a shingle has the bands of unit weights besides those of
 counts. Texts that agree in a whole band of registers are candidates if two bits of each
 register of unit weights agree as often as the least similarity makes likely.
 
-Within a bucket no pairs are listed. Its members are first compared with one leader, the
-one whose buckets are fullest, and links unite components. The members of buckets that
+Within a bucket no pairs are listed. Its members are first compared with two leaders, the
+ones whose buckets are fullest, and links unite components. The members of buckets that
 are still mixed are dealt into buckets of longer bands of a finer signature. There, the
 members outside a bucket's largest component become leaders, so many at a time, until what
 is left of the bucket is in one component. Every pair that shares a short and a long band
@@ -47,8 +47,8 @@ FINE_REGISTERS, FINE_BANDS, FINE_ROWS = 1024, 102, 10
 #: Of the finer sketch's registers 0.8 alike differ in 154, and 199 is four deviations away.
 FINE_APART = 199
 FINE = tuple(f"f{i}" for i in range(2 * FINE_REGISTERS // 64))
-#: Leaders of a bucket in the rounds of the longer bands; the last number serves all later rounds.
-LEADERS = (16, 4096)
+#: Leaders of a bucket in each round: of the short bands, then of the longer ones; the last number serves all later rounds.
+LEADERS = (2, 16, 4096)
 #: A bucket is dealt over one task more for each so many members.
 SPLIT = 4096
 #: Bits of the bitmap of ids whose texts are read again: 2 to 32 MB, 16 bits for each of up to 16 million; of more, ids are joined.
@@ -283,13 +283,21 @@ def _own_part(members: DataFrame) -> DataFrame:
     return members.withColumn("salt", F.expr(f"pmod(xxhash64(node, 1), 1 + n div {SPLIT})"))
 
 
-def _buckets(nodes: DataFrame) -> DataFrame:
-    """(key, node, n, popularity, component) of the keys that several of ``nodes`` (node, keys) hold."""
+def _crowded(nodes: DataFrame) -> DataFrame:
+    """(node, popularity, held): the keys that several of ``nodes`` (node, keys) hold, with the number of their holders."""
     held = nodes.select("node", F.explode("keys").alias("key"))
     counts = held.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    crowded = written(held.join(counts, "key").select("key", "node", "n"), "buckets")
-    popular = crowded.groupBy("node").agg(F.sum("n").alias("popularity"))
-    return crowded.join(popular, "node").withColumn("component", F.col("node"))
+    return (
+        held.join(counts, "key")
+        .groupBy("node")
+        .agg(F.sum("n").alias("popularity"), F.collect_list(F.struct("key", "n")).alias("held"))
+    )
+
+
+def _buckets(crowded: DataFrame) -> DataFrame:
+    return crowded.select("node", "popularity", F.explode("held").alias("x")).select(
+        "x.key", "node", "x.n", "popularity", F.col("node").alias("component"), F.lit(None).cast("long").alias("main")
+    )
 
 
 def _mixed(members: DataFrame) -> DataFrame:
@@ -303,9 +311,9 @@ def _mixed(members: DataFrame) -> DataFrame:
 
 
 def _leaders(members: DataFrame, most: int) -> DataFrame:
-    """Up to ``most`` members of each bucket from outside its largest component (one: from all), the fullest-bucketed first."""
-    outside = members.filter("component <> main") if most > 1 else members
-    salted = outside.withColumn("own", F.pmod(F.xxhash64("node"), F.lit(most)))
+    """Members of each bucket from outside its largest component: all of a bucket of up to ``most``, else so many, the fullest-bucketed first."""
+    slot = F.when(F.col("n") <= most, F.col("node")).otherwise(F.pmod(F.xxhash64("node"), F.lit(most)))
+    salted = members.filter("main is null or component <> main").withColumn("own", slot)
     best = salted.groupBy("key", "own").agg(
         F.max(F.struct("popularity", (-F.col("node")).alias("order"), "component", "n")).alias("best")
     )
@@ -358,15 +366,15 @@ def duplicate_classes(docs: DataFrame) -> DataFrame:
     nodes = known.join(same, (known["digest"] == same["digest"]) & (known["doc_id"] == same["node"])).select(
         "node", "size", "keys", *SKETCH
     )
-    members = written(_mixed(_buckets(nodes)), "members")
-    crowded = written(members.select("node").distinct(), "crowded")
-    sketches = written(nodes.join(crowded, "node").select("node", "size", *SKETCH).dropDuplicates(["node"]), "sketches")
-    sets = _crowded_sets(plain, crowded)
-    components, most_apart, most = None, MOST_APART, 1
+    crowded = written(_crowded(nodes), "crowded")
+    members = _buckets(crowded)
+    sketches = written(nodes.drop("keys").join(crowded, "node", "left_semi").dropDuplicates(["node"]), "sketches")
+    sets = _crowded_sets(plain, crowded.select("node"))
+    components, most_apart = None, MOST_APART
     for k in count():
         if members.isEmpty():
             break
-        leaders = written(_leaders(members, most), f"leaders{k}")
+        leaders = written(_leaders(members, LEADERS[min(k, len(LEADERS) - 1)]), f"leaders{k}")
         pairs = written(_candidates(members, leaders, sketches, most_apart), f"pairs{k}")
         links = written(_verify(sets, pairs), f"links{k}")
         if components is None:
@@ -378,12 +386,12 @@ def duplicate_classes(docs: DataFrame) -> DataFrame:
         if k == 0:
             left = _mixed(_with_components(rest, components)).select("node").distinct()
             tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+            left = written(left, "left")
             fine = sets.join(left, "node").select("node", "set").repartition(tasks, "node")
             fine = fine.mapInArrow(_fine_sketches, _FINE_COLUMNS)
             fine = written(fine.dropDuplicates(["node"]), "fine")
-            sketches, most_apart, rest = fine.drop("keys"), FINE_APART, _buckets(fine)
+            sketches, most_apart, rest = fine.drop("keys"), FINE_APART, _buckets(_crowded(fine))
         members = written(_mixed(written(_with_components(rest, components), f"rest{k}")), f"members{k}")
-        most = LEADERS[min(k, len(LEADERS) - 1)]
     if components is not None:
         alike = alike.unionByName(components.select(F.col("node").alias("a"), F.col("component").alias("b")))
     classes = connected_components(alike, written)
