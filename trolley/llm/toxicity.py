@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trolley.llm.decontamination import FOLD
+from trolley.llm.fitting import fit_in_task
 
 WINDOW, STRIDE = 48, 24
 NGRAMS = 1 << 15
@@ -248,24 +249,29 @@ class Scorer:
 def train(texts: list[str], toxic: list[int], steps: int = 400, batch: int = 128, seed: int = 11) -> Network:
     """Fit the network in a fixed number of steps, whatever the sample's size; a constant without both labels."""
     rng = np.random.default_rng(seed)
-    docs = [split_words(t) for t in texts]
+    table = Table()
+    row = table.__getitem__
+    raw = [np.fromiter(map(row, split_words(t)), dtype=np.int32) for t in texts]
     y = np.array(toxic, dtype=np.int64)
-    full = np.array([len(d) > 0 for d in docs], dtype=bool)
+    # Words are numbered in their own order, so the numbers do not depend on the order of the texts.
+    words = sorted(table)
+    rank = np.empty(len(words), np.int32)
+    rank[[table[w] for w in words]] = np.arange(len(words), dtype=np.int32)
+    ids = [rank[own] for own in raw]
+    del raw, table
+    full = np.array([len(d) > 0 for d in ids], dtype=bool)
     bad, good = np.flatnonzero((y == 1) & full), np.flatnonzero((y == 0) & full)
-    seen: dict[bytes, list[int]] = {}
-    for label, words in zip(y, docs, strict=True):
-        for w in set(words):
-            seen.setdefault(w, [0, 0])[label] += 1
-    vocabulary = {w: i for i, w in enumerate(sorted(w for w, n in seen.items() if sum(n) >= 3))}
-    net = Network.fresh(vocabulary, rng)
+    seen = np.zeros((len(words), 2), np.int64)
+    for label, own in zip(y, ids, strict=True):
+        seen[np.unique(own), label] += 1
+    common = np.flatnonzero(seen.sum(axis=1) >= 3)
+    net = Network.fresh({words[i]: n for n, i in enumerate(common)}, rng)
     if not len(bad) or not len(good):
         net.p["out"][:] = 0
         net.p["base"][0] = 4.0 if len(bad) else -4.0
         return net
-    words = sorted(seen)
-    number = {w: i for i, w in enumerate(words)}
-    ids = [np.array([number[w] for w in d], dtype=np.int64) for d in docs]
-    vocab_row = np.array([vocabulary.get(w, len(vocabulary)) for w in words])
+    vocab_row = np.full(len(words), len(common))
+    vocab_row[common] = np.arange(len(common))
     grams, sizes = ngram_lists(words)
     first = np.concatenate(([0], np.cumsum(sizes)))
     moments = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in net.p.items()}
@@ -277,17 +283,19 @@ def train(texts: list[str], toxic: list[int], steps: int = 400, batch: int = 128
         v[at] = 0.99 * v[at] + 0.01 * g * g
         net.p[name][at] -= rate * m[at] / (np.sqrt(v[at]) + 1e-6)
 
+    def spelt(i):
+        return [words[w] for w in ids[i]]
+
     def best_windows(which):
-        """The start of the highest-scoring window of each document."""
-        doc, start, logit = Scorer(net).logits([docs[i] for i in which])
+        """The start and the logit of the highest-scoring window of each document."""
+        doc, start, logit = Scorer(net).logits([spelt(i) for i in which])
         order = np.lexsort((logit, doc))
         last = np.flatnonzero(np.append(np.diff(doc[order]) > 0, True))
-        return start[order[last]]
+        return start[order[last]], logit[order[last]]
 
     # One coordinate of words and n-grams starts as their log odds; they also give the first examples.
-    table = np.array([seen[w] for w in words])
-    lead = lower_odds(table[:, 1], table[:, 0], len(bad), len(good))
-    net.p["words"][[vocabulary[w] for w in vocabulary], 0] = lead[[number[w] for w in vocabulary]]
+    lead = lower_odds(seen[:, 1], seen[:, 0], len(bad), len(good))
+    net.p["words"][: len(common), 0] = lead[common]
     counts = np.zeros((2, NGRAMS))
     for label, own in zip(y, ids, strict=True):
         unique = np.unique(own)
@@ -297,21 +305,23 @@ def train(texts: list[str], toxic: list[int], steps: int = 400, batch: int = 128
     lead = np.maximum(lead, np.maximum.reduceat(gram_odds[grams], first[:-1]))
     # Toxic documents without any telling word or n-gram are left out: their labels say nothing that can be learnt.
     told = np.array([lead[ids[i]].max() >= 1 for i in bad])
-    if told.sum() >= 10:
+    if told.any():
         bad = bad[told]
     bad_at = np.array([max(0, int(np.argmax(lead[ids[i]])) - WINDOW // 2) for i in bad])
     hard, hard_at = good[:0], good[:0]
     for step in range(steps):
         if step and step % 100 == 0:
-            bad_at = best_windows(bad)
-            hard = rng.choice(good, min(len(good), 400), replace=False)
-            hard_at = best_windows(hard)
+            bad_at, _ = best_windows(bad)
+            hard = rng.choice(good, min(len(good), 1000), replace=False)
+            hard_at, logit = best_windows(hard)
+            worst = np.argsort(-logit, kind="stable")[: len(hard) // 4]
+            hard, hard_at = hard[worst], hard_at[worst]
         k = rng.integers(0, len(bad), batch // 2)
         rows = [(bad[i], bad_at[i]) for i in k]
         if len(hard):
             rows += [(hard[i], hard_at[i]) for i in rng.integers(0, len(hard), batch // 4)]
         for i in rng.choice(good, batch - len(rows)):
-            rows.append((i, int(rng.integers(0, max(1, len(docs[i]) - WINDOW // 2)))))
+            rows.append((i, int(rng.integers(0, max(1, len(ids[i]) - WINDOW // 2)))))
         own = np.full((WINDOW, batch), -1, dtype=np.int64)
         for b, (i, s) in enumerate(rows):
             part = ids[i][s : s + WINDOW]
@@ -321,7 +331,7 @@ def train(texts: list[str], toxic: list[int], steps: int = 400, batch: int = 128
         unique, inverse = np.unique(np.where(mask, own, own[mask][0]), return_inverse=True)
         inverse = inverse.reshape(own.shape)
         hidden = rng.random(len(unique)) < 0.1
-        row = np.where(hidden, len(vocabulary), vocab_row[unique])
+        row = np.where(hidden, len(common), vocab_row[unique])
         repeat = sizes[unique]
         gram = grams[np.concatenate([np.arange(first[u], first[u + 1]) for u in unique])]
         begin = np.concatenate(([0], np.cumsum(repeat)[:-1]))
@@ -346,7 +356,7 @@ def train(texts: list[str], toxic: list[int], steps: int = 400, batch: int = 128
         total = np.zeros((len(touched), CHAR_DIM), np.float32)
         np.add.at(total, back, np.repeat(d_vector[:, WORD_DIM:], repeat, axis=0) * winner)
         adam("chars", total + 1e-5 * net.p["chars"][touched], step, rate, touched)
-    calibrate(net, [docs[i] for i in np.concatenate((bad, good))], np.r_[np.ones(len(bad)), np.zeros(len(good))])
+    calibrate(net, [spelt(i) for i in np.concatenate((bad, good))], np.r_[np.ones(len(bad)), np.zeros(len(good))])
     return net
 
 
@@ -364,11 +374,12 @@ def calibrate(net: Network, docs: list[list[bytes]], y: np.ndarray, rounds: int
     net.scale, net.shift = max(a, 0.1), c
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, most: int = 1500, longest: int = 20_000) -> list:
-    """At most ``most`` documents of each label outside the held-out fold, of at most ``longest`` characters.
+def training_rows(docs: DataFrame, labels: DataFrame, most: int = 1500, longest: int = 20_000) -> DataFrame:
+    """doc_id, text, toxic: at most ``most`` documents of each label outside the held-out fold, of at most ``longest`` characters.
 
     The labels are drawn first, by a hash; only those ids (their number is bounded)
-    are sent to the scan of the documents, which is not shuffled.
+    are sent to the scan of the documents, which is not shuffled. Of documents that
+    share an id one counts.
     """
     own = (
         labels.filter("doc_id is not null and toxic in (0, 1) and crc32(cast(doc_id as string)) % 5 <> 0")
@@ -380,8 +391,17 @@ def training_rows(docs: DataFrame, labels: DataFrame, most: int = 1500, longest:
         part = own.filter(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
         drawn = part if drawn is None else drawn.unionByName(part)
     texts = docs.select(F.col("doc_id").cast("long"), "text").filter(F.length("text") <= longest)
-    rows = texts.join(F.broadcast(drawn), "doc_id").select("doc_id", "text", "toxic").limit(4 * most).collect()
-    return sorted(rows, key=lambda r: (r["doc_id"], r["text"]))
+    return texts.join(F.broadcast(drawn), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+
+
+def fitted(docs: DataFrame, labels: DataFrame) -> Network:
+    """The network trained on the sample of ``training_rows``, inside a task."""
+
+    def fit(rows):
+        rows.sort(key=lambda r: r["doc_id"])
+        return train([r["text"] for r in rows], [r["toxic"] for r in rows])
+
+    return fit_in_task(training_rows(docs, labels), fit)
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame | None = None, net: Network | None = None) -> DataFrame:
@@ -392,8 +412,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame | None = None, net: Networ
     and nothing is learnt from it. Without labels of both kinds the score is constant.
     """
     if net is None:
-        rows = training_rows(docs, labels)
-        net = train([r["text"] for r in rows], [r["toxic"] for r in rows])
+        net = fitted(docs, labels)
     shared = docs.sparkSession.sparkContext.broadcast(net)
 
     def score(batches):
@@ -417,9 +436,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame | None = None, net: Networ
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, least: float = 0.5) -> DataFrame:
     """``docs`` without the rows that score ``least`` or more; scored inside the scan."""
-    rows = training_rows(docs, labels)
-    net = train([r["text"] for r in rows], [r["toxic"] for r in rows])
-    shared = docs.sparkSession.sparkContext.broadcast(net)
+    shared = docs.sparkSession.sparkContext.broadcast(fitted(docs, labels))
     at = docs.columns.index("text")
 
     def clean(batches):
