@@ -3,7 +3,7 @@
 The benchmark's windows of ten words are the automaton's patterns. A text is
 lower-cased (A-Z) and reduced to words in one pass over its bytes; that keeps byte
 offsets, so hit words map back to the original text. The text is scanned once.
-The automaton is bounded: a benchmark above ``max_chars`` is scanned in shards of
+The automaton is bounded: a benchmark above ``max_chars`` is scanned for in shards of
 that size and the hits of a document are united afterwards.
 """
 
@@ -16,7 +16,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trolley.sources.shared import written
+
 WINDOW = 10
+#: Characters of one automaton, which takes some 110 bytes of a worker's memory for each: 440 MB.
+MAX_CHARS = 4_000_000
 #: Lower-cases A-Z, keeps digits, letters and all bytes of non-ASCII characters, blanks the rest.
 FOLD = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
@@ -28,32 +32,51 @@ def fold_words(text: str | None) -> list[bytes]:
     return (text or "").encode().translate(FOLD).split()
 
 
-def _patterns(items) -> dict[str, list[str]]:
-    """Each window as ' w1 ... w10 ', with the items that hold it (a null id names none)."""
-    out: dict[str, list[str]] = {}
-    for item_id, text in items:
-        words = fold_words(text)
-        for i in range(max(1, len(words) - WINDOW + 1) if words else 0):
-            held = out.setdefault(f" {b' '.join(words[i : i + WINDOW]).decode()} ", [])
-            if item_id is not None and item_id not in held:
-                held.append(item_id)
-    return out
-
-
-def _automaton(items):
-    import ahocorasick
-
-    machine = ahocorasick.Automaton()
-    for pattern, held in _patterns(items).items():
-        machine.add_word(pattern, (pattern.count(" ") - 1, held))
-    if len(machine):
-        machine.make_automaton()
-    return machine
+class Shard:
+    """Items of a benchmark, whose automaton each Python worker builds once.
 
+    Patterns are sequences of word numbers: of ten words a window has ten nodes, whatever
+    the words' lengths.
+    """
 
-def _scan(items):
+    def __init__(self, items: list[tuple[str | None, str]]):
+        self.items = items
+        self.machine = None
+
+    def __getstate__(self):
+        return {"items": self.items, "machine": None}
+
+    def built(self) -> Shard:
+        if self.machine is not None:
+            return self
+        import ahocorasick
+
+        self.number: dict[bytes, int] = {}
+        self.machine = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+        for item_id, text in self.items:
+            own = tuple(self.number.setdefault(w, len(self.number) + 1) for w in fold_words(text))
+            for i in range(max(1, len(own) - WINDOW + 1) if own else 0):
+                window = own[i : i + WINDOW]
+                held = self.machine.get(window, None)
+                if held is None:
+                    held = (len(window), [])
+                    self.machine.add_word(window, held)
+                if item_id is not None and item_id not in held[1]:
+                    held[1].append(item_id)
+        if len(self.machine):
+            self.machine.make_automaton()
+        return self
+
+    def hits(self, words: list[bytes]):
+        """(number of the last word, (words, items)) of each window in a text; words of no item are 0."""
+        if not len(self.machine) or not words:
+            return iter(())
+        return self.machine.iter(tuple(self.number.get(w, 0) for w in words))
+
+
+def _scan(shard):
     def scan(batches):
-        machine = _automaton(items.value)
+        machine = shard.value.built()
         for batch in batches:
             rows, ids = batch.column(0), batch.column(1)
             n_words, hits, spans, found = [], [], [], []
@@ -61,24 +84,16 @@ def _scan(items):
                 data = (text.as_py() or "").encode().translate(FOLD)
                 words = data.split()
                 n_words.append(len(words))
-                ends: dict[int, int] = {}
+                hit = None
                 held: set[str] = set()
-                if len(machine) and words:
-                    for end, (n, own) in machine.iter(f" {b' '.join(words).decode()} "):
-                        ends[end] = max(n, ends.get(end, 0))
-                        held.update(own)
-                if ends:
-                    # A match ends on the blank behind its last word.
-                    blanks = np.cumsum([len(w.decode()) + 1 for w in words])
-                    hit = np.zeros(len(words), dtype=bool)
-                    for last, n in zip(np.searchsorted(blanks, list(ends)).tolist(), ends.values(), strict=True):
-                        hit[max(0, last - n + 1) : last + 1] = True
-                    at = np.flatnonzero(hit)
-                    hits.append(at.tolist())
-                    spans.append(_original(data, at))
-                else:
-                    hits.append([])
-                    spans.append([])
+                for last, (n, own) in machine.hits(words):
+                    if hit is None:
+                        hit = np.zeros(len(words), dtype=bool)
+                    hit[last - n + 1 : last + 1] = True
+                    held.update(own)
+                at = np.zeros(0, np.int64) if hit is None else np.flatnonzero(hit)
+                hits.append(at.tolist())
+                spans.append(_original(data, at) if len(at) else [])
                 found.append(sorted(held))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -107,27 +122,35 @@ def _original(data: bytes, words: np.ndarray) -> list[int]:
 
 
 def _shards(benchmark: DataFrame, max_chars: int):
-    """Broadcasts of (item_id, text), each of about ``max_chars`` characters at most."""
+    """Broadcasts of shards, each of about ``max_chars`` characters at most; one at a time passes the driver."""
     context = benchmark.sparkSession.sparkContext
     items = benchmark.filter("text is not null").select(F.col("item_id").cast("string"), "text")
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     shards = -(-chars // max_chars) or 1
     for k in range(shards):
-        shard = items.filter(F.pmod(F.xxhash64("text"), F.lit(shards)) == k) if shards > 1 else items
-        yield context.broadcast([tuple(r) for r in shard.toLocalIterator()])
+        own = items.filter(F.pmod(F.xxhash64("text"), F.lit(shards)) == k) if shards > 1 else items
+        yield context.broadcast(Shard([tuple(r) for r in own.toLocalIterator()])), k == shards - 1
 
 
-def find_contamination(docs: DataFrame, benchmark: DataFrame, max_chars: int = 64_000_000) -> DataFrame:
+def find_contamination(docs: DataFrame, benchmark: DataFrame, max_chars: int = MAX_CHARS) -> DataFrame:
     """One row per document row: _row, doc_id, n_words, hit word numbers, spans, items.
 
     ``spans`` holds start and end of each run of hit words in the original text.
     Null text has no words; null benchmark texts no windows; item ids are compared
-    as strings. Repeated documents and items are each counted on their own.
+    as strings. Repeated documents and items are each counted on their own. Of a
+    benchmark above ``max_chars`` characters the shards are scanned for one after the
+    other, each one's hits written before the next is sent out.
     """
     rows = docs.select(
         F.monotonically_increasing_id().alias("_row"), F.col("doc_id").cast("long"), "text"
     )
-    parts = [rows.mapInArrow(_scan(items), HITS) for items in _shards(benchmark, max_chars)]
+    parts = []
+    for shard, last in _shards(benchmark, max_chars):
+        own = rows.mapInArrow(_scan(shard), HITS)
+        if not last:
+            own = written(own, "hits")
+            shard.destroy()
+        parts.append(own)
     found = reduce(DataFrame.unionByName, parts)
     if len(parts) > 1:
         merged = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c)
@@ -148,27 +171,27 @@ def contamination_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, max_chars: int = 64_000_000) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, max_chars: int = MAX_CHARS) -> DataFrame:
     """``docs`` without the rows that hold a benchmark window; all columns as they are.
 
     The automaton runs inside the scan of the documents: nothing is shuffled, and
-    rows without an id are judged like others.
+    rows without an id are judged like others. Shards follow one another as in
+    ``find_contamination``.
     """
     at = docs.columns.index("text")
 
-    def keep(items):
+    def keep(shard):
         def clean(batches):
-            machine = _automaton(items.value)
+            machine = shard.value.built()
             for batch in batches:
-                mask = []
-                for text in batch.column(at):
-                    words = fold_words(text.as_py())
-                    hits = machine.iter(f" {b' '.join(words).decode()} ") if len(machine) and words else iter(())
-                    mask.append(next(hits, None) is None)
+                mask = [next(machine.hits(fold_words(text.as_py())), None) is None for text in batch.column(at)]
                 yield batch.filter(pa.array(mask, pa.bool_()))
 
         return clean
 
-    for items in _shards(benchmark, max_chars):
-        docs = docs.mapInArrow(keep(items), docs.schema)
+    for shard, last in _shards(benchmark, max_chars):
+        docs = docs.mapInArrow(keep(shard), docs.schema)
+        if not last:
+            docs = written(docs, "clean")
+            shard.destroy()
     return docs
