@@ -91,7 +91,7 @@ def test_attribution_of_odd_rows_and_given_sections(spark, odd):
     assert rows[rows.doc_id == 1].n_tokens.tolist() == [0]
     assert len(rows[rows.doc_id == 4]) == 2
     sections = spark.createDataFrame([(5, 7), (5, 10**9), (5, -1)], "doc_id long, end long")
-    own = attribution.attribute_tokens(attribution.section_intervals(odd, sections)).filter("doc_id = 5").toPandas()
+    own = attribution.attribute_tokens(attribution.section_intervals(odd, sections), cuts="cuts").filter("doc_id = 5").toPandas()
     assert sorted(zip(own.start, own.end, strict=True)) == [(0, 7), (7, len(LONG))]
     assert attribution.attribute_tokens(odd.limit(0)).count() == 0
 

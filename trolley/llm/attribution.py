@@ -9,9 +9,11 @@ that holds most of its bytes, the earlier one if they tie.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trolley.llm.tokens import default_vocabulary, encoder
@@ -19,21 +21,6 @@ from trolley.llm.tokens import default_vocabulary, encoder
 COUNTS = "doc_id long, section int, start long, end long, n_tokens long, n_crossing long"
 
 
-def line_sections(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``cuts``: the code-point offsets at which its lines begin, and the end.
-
-    A line keeps its newline, so the lines tile the text.
-    """
-    text = F.coalesce("text", F.lit(""))
-    sizes = F.transform(F.split(text, "\n"), lambda x: F.length(x) + 1)
-    ends = F.aggregate(
-        sizes,
-        F.array(F.lit(0)),
-        lambda a, n: F.concat(a, F.array(F.element_at(a, -1) + n)),
-    )
-    return docs.select("doc_id", "text", ends.alias("cuts"))
-
-
 def _byte_offsets(data: np.ndarray, cuts: np.ndarray) -> np.ndarray:
     """Byte offsets of code-point offsets in UTF-8 ``data``."""
     starts = np.flatnonzero((data & 0xC0) != 0x80)
@@ -57,35 +44,45 @@ def count_spans(sizes: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.nda
     return np.bincount(first, minlength=n), crossing
 
 
-def attribute_tokens(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
+def line_cuts(data: np.ndarray) -> np.ndarray:
+    """Byte offsets at which the lines of UTF-8 ``data`` begin, and its end; a line keeps its newline."""
+    return np.concatenate(([0], np.flatnonzero(data == 10) + 1, [len(data)]))
+
+
+def attribute_tokens(docs: DataFrame, vocabulary: str | None = None, cuts: str | None = None) -> DataFrame:
     """A row for each section of each document.
 
-    ``docs`` has doc_id, text and ``cuts``: an increasing array of code-point
-    offsets from 0; section i lies between cuts i and i + 1. Without ``cuts``, lines
-    are the sections. Null text counts as empty: one section, no tokens. Token counts
-    of a document's sections add up to its tokens. Repeated rows are counted each.
+    ``docs`` has doc_id and text. ``cuts`` names a column with an increasing array of
+    code-point offsets from 0; section i lies between cuts i and i + 1. Nulls in it are
+    passed over, offsets beyond the text moved to its end; where it is null the text is one
+    section. Without ``cuts``, lines are the sections. Null text counts as empty: one
+    section, no tokens. Token counts of a document's sections add up to its tokens.
+    Repeated rows are counted each.
     """
     path = vocabulary or default_vocabulary()
-    if "cuts" not in docs.columns:
-        docs = line_sections(docs)
 
     def count(batches):
         encode, sizes = encoder(path)
         for batch in batches:
             out = [[], [], [], [], [], []]
-            for doc_id, text, cuts in zip(
-                batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True
-            ):
-                text = text.as_py() or ""
+            for k, doc_id in enumerate(batch.column(0).to_pylist()):
+                text = batch.column(1)[k].as_py() or ""
                 data = np.frombuffer(text.encode(), dtype=np.uint8)
-                cuts = np.minimum(np.asarray(cuts.as_py() or [0, len(text)], dtype=np.int64), len(text))
-                cuts[-1] = len(text)
-                n = len(cuts) - 1
+                if cuts is None:
+                    at = line_cuts(data)
+                    places = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))[at]
+                else:
+                    given = [x for x in batch.column(2)[k].as_py() or (0, len(text)) if x is not None]
+                    places = np.clip(np.asarray(given or [0], dtype=np.int64), 0, len(text))
+                    places = np.append(places, len(text)) if len(places) < 2 else places
+                    places[-1] = len(text)
+                    at = _byte_offsets(data, places)
+                n = len(at) - 1
                 tokens = sizes[np.array(encode(text), dtype=np.int64)] if text else np.zeros(0, np.int64)
-                got, crossing = count_spans(tokens, _byte_offsets(data, cuts)) if n and text else ([0] * n, [0] * n)
+                got, crossing = count_spans(tokens, at) if text else ([0] * n, [0] * n)
                 for column, values in zip(
                     out,
-                    ([doc_id] * n, range(n), cuts[:-1].tolist(), cuts[1:].tolist(), got, crossing),
+                    ([doc_id] * n, range(n), places[:-1].tolist(), places[1:].tolist(), got, crossing),
                     strict=True,
                 ):
                     column.extend(values)
@@ -95,13 +92,24 @@ def attribute_tokens(docs: DataFrame, vocabulary: str | None = None) -> DataFram
                 ["doc_id", "section", "start", "end", "n_tokens", "n_crossing"],
             )
 
-    return docs.select(F.col("doc_id").cast("long"), "text", F.col("cuts").cast("array<long>")).mapInArrow(
-        count, COUNTS
-    )
+    given = [] if cuts is None else [F.col(cuts).cast("array<long>")]
+    return docs.select(F.col("doc_id").cast("long"), "text", *given).mapInArrow(count, COUNTS)
+
+
+def joined_fields(docs: DataFrame, fields: list[str], separator: str = "\n") -> DataFrame:
+    """doc_id, text, cuts: the fields of a row as one document, each but the last with the separator behind it.
+
+    Fields are cast to strings; null counts as empty. Section i of the attribution is field i.
+    """
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in fields]
+    parts = [F.concat(p, F.lit(separator)) for p in parts[:-1]] + parts[-1:]
+    ends = [reduce(Column.__add__, [F.length(p) for p in parts[: i + 1]]) for i in range(len(parts))]
+    cuts = F.array(F.lit(0), *ends).cast("array<long>")
+    return docs.select("doc_id", F.concat(*parts).alias("text"), cuts.alias("cuts"))
 
 
 def section_intervals(docs: DataFrame, sections: DataFrame) -> DataFrame:
-    """``docs`` with ``cuts`` from a table (doc_id, end) of section ends.
+    """doc_id, text, cuts: offsets from a table (doc_id, end) of section ends.
 
     Ends outside the text are moved to its end; a last section closes the text.
     """
