@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from trolley.llm._common import shared_dir, written
 
 LEAST_BYTES = 100
+#: Tasks over which the pages of one payload are dealt.
+SALTS = 16
 FRAME_BYTES = 1 << 18
 #: Fixed values of the public seekable format: skippable frame, its table and the footer.
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
@@ -83,8 +85,9 @@ def read_seek_table(file, size: int) -> list[tuple[int, int, int]]:
 def page_records(pages: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
     """``pages`` with payload digest and, for a repeated payload, the page it refers to.
 
-    Only (digest, smallest id) is aggregated, so a payload shared by a third of the
-    pages costs one row per task before the join.
+    Only (digest, smallest id) is aggregated. The pages meet it by digest and salt, so a
+    payload shared by a third of the pages lies in ``SALTS`` tasks, and both sides of the
+    join are plain shuffles, whose hot parts adaptive execution can split further.
     """
     keyed = pages.select(F.col("page_id").cast("long"), "url", F.coalesce("html", F.lit("")).alias("html")).withColumn(
         "digest", F.sha2(F.encode("html", "UTF-8"), 256)
@@ -94,9 +97,10 @@ def page_records(pages: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
         .groupBy("digest")
         .agg(F.min("page_id").alias("first_id"), F.count("*").alias("copies"))
         .filter("copies > 1")
-        .drop("copies")
+        .select("digest", "first_id", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     )
-    return keyed.join(first, "digest", "left").select(
+    salted = keyed.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int"))
+    return salted.join(first, ["digest", "salt"], "left").select(
         "page_id",
         "url",
         "html",
