@@ -1,7 +1,7 @@
 """Personal data: exact base patterns, and a semi-Markov conditional random field for the rest.
 
-The base kinds are found by fixed patterns. Around characters that personal data
-cannot do without (digits and @) the text is cut into tokens; every run of up to six
+The base kinds are found by fixed patterns. Around digits, @ and a bracketed "at" the
+text is cut into tokens; every run of up to six
 tokens is a candidate segment, scored as a whole by its features, and a dynamic
 program over bounded segments picks boundaries and kinds together. The field learns
 from generated sentences and from the base spans of a bounded sample of documents;
@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trolley.llm.fitting import fit_in_task
+
 #: The kinds in the order in which spans are listed; the first four are base kinds.
 KINDS = ("email", "ip", "card", "phone", "secret")
 BASE = KINDS[:4]
@@ -29,7 +31,9 @@ LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz012345678
 IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-TRIGGER = re.compile(r"[0-9@]")
+TRIGGER = re.compile(r"[0-9@]|[(\[]at[)\]]", re.I)
+#: Longest segment of several tokens, and longest span that is tried as an address, in characters.
+WIDEST = 80
 TOKEN = re.compile(r"\S+")
 FOUND = (
     "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"
@@ -148,7 +152,11 @@ def features(text: str, start: int, end: int, before: str, tokens: int) -> list[
         f"length{min(len(span), 48) // 6}",
         f"first{'d' if span[:1].isdigit() else 'a' if span[:1].isalpha() else span[:1]}",
     ]
-    out += [f"is_{name}" for name, pattern in RELAXED.items() if pattern.fullmatch(span)]
+    out += [
+        f"is_{name}"
+        for name, pattern in RELAXED.items()
+        if (name != "address" or len(span) <= WIDEST) and pattern.fullmatch(span)
+    ]
     if "@" in span:
         out.append(f"at{min(span.count('@'), 2)}")
     if plain.isdigit() and 16 <= len(plain) <= 19:
@@ -170,57 +178,58 @@ class SegmentField:
         self.number: dict[str, int] = {}
         self.weights = np.zeros((0, len(LABELS)))
 
-    def lattice(self, text: str, tokens, grow: bool = False):
-        """Feature numbers of segment (i, n) and its trimmed span."""
-        cells = {}
-        for i in range(len(tokens)):
-            before = text[max(0, tokens[i][0] - 24) : tokens[i][0]]
-            for n in range(1, min(LONGEST, len(tokens) - i) + 1):
-                start, end = trimmed(text, tokens[i][0], tokens[i + n - 1][1])
-                if n > 1 and (start > tokens[i][1] or end <= tokens[i + n - 1][0] or end - start > 80):
-                    continue
-                names = features(text, start, end, before, n)
-                if grow:
-                    found = [self.number.setdefault(x, len(self.number)) for x in names]
-                else:
-                    found = [self.number[x] for x in names if x in self.number]
-                cells[i, n] = (found, (start, end))
-        return cells
-
-    def scores(self, cells):
-        out = {}
-        for (i, n), (found, _) in cells.items():
-            own = self.weights[found].sum(axis=0)
-            out[i, n] = own if n == 1 else np.concatenate(([-np.inf], own[1:]))
-        return out
+    def segments(self, text: str, tokens, i: int, grow: bool = False):
+        """(n, feature numbers, trimmed span) of the candidate segments of n tokens from token i."""
+        before = text[max(0, tokens[i][0] - 24) : tokens[i][0]]
+        for n in range(1, min(LONGEST, len(tokens) - i) + 1):
+            start, end = trimmed(text, tokens[i][0], tokens[i + n - 1][1])
+            if n > 1 and (start > tokens[i][1] or end <= tokens[i + n - 1][0] or end - start > WIDEST):
+                continue
+            names = features(text, start, end, before, n)
+            if grow:
+                found = [self.number.setdefault(x, len(self.number)) for x in names]
+            else:
+                found = [self.number[x] for x in names if x in self.number]
+            yield n, found, (start, end)
+
+    def label_scores(self, n: int, found) -> np.ndarray:
+        """The scores of the labels; a segment of several tokens is of some kind."""
+        own = self.weights[found].sum(axis=0)
+        return own if n == 1 else np.concatenate(([-np.inf], own[1:]))
 
     def decode(self, text: str, tokens) -> list[tuple[str, int, int]]:
-        cells = self.lattice(text, tokens)
-        scores = self.scores(cells)
+        """The best segmentation; of equal ones that with the shorter last segment.
+
+        Segments are scored as the text is passed; what is kept of a token is the score of
+        the best way to it and that way's last segment.
+        """
         size = len(tokens)
-        best, back = np.full(size + 1, -np.inf), [None] * (size + 1)
+        best = np.full(size + 1, -np.inf)
+        length, kind = np.zeros(size + 1, np.int8), np.zeros(size + 1, np.int8)
         best[0] = 0
-        for j in range(1, size + 1):
-            for n in range(1, min(LONGEST, j) + 1):
-                own = scores.get((j - n, n))
-                if own is None:
-                    continue
+        for i in range(size):
+            for n, found, _ in self.segments(text, tokens, i):
+                own = self.label_scores(n, found)
                 label = int(np.argmax(own))
-                if best[j - n] + own[label] > best[j]:
-                    best[j], back[j] = best[j - n] + own[label], (n, label)
+                if best[i] + own[label] >= best[i + n]:
+                    best[i + n], length[i + n], kind[i + n] = best[i] + own[label], n, label
         out, j = [], size
         while j:
-            n, label = back[j]
-            if label:
-                out.append((LABELS[label], *cells[j - n, n][1]))
-            j -= n
+            i = j - int(length[j])
+            if kind[j]:
+                out.append((LABELS[kind[j]], *trimmed(text, tokens[i][0], tokens[j - 1][1])))
+            j = i
         return out[::-1]
 
     def fit(self, examples, epochs: int = 8, rate: float = 0.3, seed: int = 1) -> SegmentField:
         """Maximise the likelihood of the given segmentations by stochastic gradient steps."""
         prepared = []
         for text, tokens, spans in examples:
-            cells = self.lattice(text, tokens, grow=True)
+            cells = {
+                (i, n): (found, span)
+                for i in range(len(tokens))
+                for n, found, span in self.segments(text, tokens, i, grow=True)
+            }
             gold, at = [], 0
             by_span = {}
             for (i, n), (_, span) in cells.items():
@@ -237,7 +246,7 @@ class SegmentField:
             rng.shuffle(prepared)
             step = rate / (1 + epoch / 2)
             for cells, gold, size in prepared:
-                scores = self.scores(cells)
+                scores = {(i, n): self.label_scores(n, found) for (i, n), (found, _) in cells.items()}
                 ahead, behind = np.full(size + 1, -np.inf), np.full(size + 1, -np.inf)
                 ahead[0] = behind[size] = 0
                 total = {k: float(np.logaddexp.reduce(v)) for k, v in scores.items()}
@@ -275,7 +284,7 @@ def generated(number: int = 500, seed: int = 7):
 
     make = [
         ("email", lambda: f"{word()}.{word()}{rng.randint(1, 99)}@{word()}.{rng.choice(['com', 'org', 'net'])}"),
-        ("email", lambda: f"{word()}{rng.randint(1, 9)} (at) {word()} (dot) com"),
+        ("email", lambda: f"{word()}{rng.choice(['', '.' + word(), str(rng.randint(1, 9))])} (at) {word()} (dot) com"),
         ("ip", lambda: ".".join(str(rng.randint(0, 255)) for _ in range(4))),
         ("card", card),
         ("phone", lambda: f"+{rng.randint(1, 99)} {digits(3)} {digits(3)} {digits(4)}"),
@@ -302,8 +311,7 @@ def generated(number: int = 500, seed: int = 7):
 def train(texts: list[str]) -> SegmentField:
     """Fit on generated sentences and on windows of ``texts`` with their base spans as labels.
 
-    Windows of texts that hold long hexadecimal runs but no base span are left out:
-    their kind is not known from the patterns.
+    Windows without base spans and those of more than 40 tokens are not learnt from.
     """
     examples = []
     for text, spans in generated():
@@ -318,10 +326,20 @@ def train(texts: list[str]) -> SegmentField:
     return SegmentField().fit(examples)
 
 
-def sample_texts(docs: DataFrame, most: int = 100, longest: int = 5000) -> list[str]:
-    """At most ``most`` texts with an @ or a longer number, of at most ``longest`` characters."""
-    own = docs.filter(F.length("text") <= longest).filter(F.col("text").rlike("@[a-z]|[0-9][0-9.]{6}"))
-    return [r[0] for r in own.select("text").limit(most).collect()]
+def sample_texts(docs: DataFrame, most: int = 100, longest: int = 5000) -> DataFrame:
+    """``most`` distinct texts with an @ or a longer number, of at most ``longest`` characters, the first by a hash of the text."""
+    own = docs.select("text").filter(F.length("text") <= longest).filter(F.col("text").rlike("@[a-z]|[0-9][0-9.]{6}"))
+    own = own.withColumn("place", F.xxhash64("text"))
+    # Hashes below the bound are far more than are wanted where texts are many, and all where they are few.
+    number = own.agg(F.approx_count_distinct("place").alias("n")).first()["n"]
+    bound = int(2**31 * min(1.0, (2 * most + 100) / max(number, 1)))
+    drawn = own.filter(F.shiftrightunsigned("place", 33) <= bound).dropDuplicates(["place"])
+    return drawn.orderBy("place").limit(most).select("text")
+
+
+def fitted(docs: DataFrame) -> SegmentField:
+    """The field trained on the texts of ``sample_texts``, inside a task."""
+    return fit_in_task(sample_texts(docs), lambda rows: train(sorted(r["text"] for r in rows)))
 
 
 # --- operator ---------------------------------------------------------------------------
@@ -346,12 +364,12 @@ def all_spans(text: str, field: SegmentField) -> tuple[list, list]:
 def find_personal_data(docs: DataFrame, field: SegmentField | None = None) -> DataFrame:
     """Counts, digest and spans of personal data in every whole text.
 
-    Null text counts as empty; a text without digits and @ has no spans. Spans of
+    Null text counts as empty; a text without digits, @ and a bracketed "at" has no spans. Spans of
     different base kinds may overlap; added spans overlap no base span. Repeated rows
-    give the same spans.
+    give the same spans, and the field depends on the rows only, not on their layout.
     """
     if field is None:
-        field = train(sample_texts(docs))
+        field = fitted(docs)
     shared = docs.sparkSession.sparkContext.broadcast(field)
 
     def find(batches):
@@ -384,7 +402,7 @@ def masked(text: str, spans) -> str:
 def mask_personal_data(docs: DataFrame, field: SegmentField | None = None) -> DataFrame:
     """``docs`` with all spans masked in ``text`` and n_chars, if there, set to the new length."""
     if field is None:
-        field = train(sample_texts(docs))
+        field = fitted(docs)
     shared = docs.sparkSession.sparkContext.broadcast(field)
     at = docs.columns.index("text")
 
