@@ -1,10 +1,10 @@
 """Exact inner-product search: vectors by descending length, pruned by residual bounds.
 
 Components become the integers floor(1024 x). Candidates are dealt into blocks of
-falling norm; queries into blocks of bounded size, and every query block meets every
-candidate block once. A rotation (the eigenvectors of the Gram matrix, which are the
-right singular vectors of the data) puts most of a vector's length into its first
-coordinates: the partial product of those plus the product of the residual lengths
+falling norm; queries into blocks of bounded size and like needs. A query block meets
+the candidate blocks whose longest vector can still reach its lowest floor, each once.
+A rotation (the eigenvectors of the Gram matrix, which are the right singular vectors of
+the data) puts most of a vector's length into its first coordinates: the partial product of those plus the product of the residual lengths
 bounds the score (Cauchy-Schwarz), and only pairs whose bound reaches the query's
 k-th best so far get their exact integer product.
 """
@@ -22,6 +22,12 @@ SCALE = 1024
 BLOCK = 8192
 QUERIES = 1024
 STEP = 512
+#: Query blocks whose needs are broadcast, 24 bytes each.
+MOST_NEEDS = 1_000_000
+#: The longest candidates, which every query meets first.
+SEEDS = 2048
+#: Vectors that the rotation is fitted to, at most about, and the tasks that add up their products.
+SAMPLE, GRAM_TASKS = 200_000, 8
 #: Products of integers stay exact in doubles below this.
 EXACT = 2.0**52
 LONG = 2**63 - 1
@@ -59,45 +65,46 @@ def _gram(dim: int):
                 own = np.stack(rows)
                 own = own / np.maximum(np.linalg.norm(own, axis=1, keepdims=True), 1e-300)
                 total += own.T @ own
-        i, j = np.indices((dim, dim))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(i.ravel(), pa.int32()), pa.array(j.ravel(), pa.int32()), pa.array(total.ravel())], ["i", "j", "v"]
-        )
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["gram"])
 
     return gram
 
 
 def _rotation(base: DataFrame) -> dict[int, np.ndarray]:
-    """Eigenvectors for the commonest dimension; any orthogonal matrix keeps the bounds valid."""
+    """Eigenvectors for the commonest dimension; any orthogonal matrix keeps the bounds valid.
+
+    They are fitted to about ``SAMPLE`` vectors, drawn by a hash of their ids, in
+    ``GRAM_TASKS`` tasks, each of which sends one packed matrix.
+    """
     common = base.groupBy("dim").count().orderBy(F.desc("count"), "dim").first()
     if common is None or not 1 < common["dim"] <= 2048:
         return {}
-    dim = common["dim"]
-    sums = base.filter(F.col("dim") == dim).select("vec").mapInArrow(_gram(dim), "i int, j int, v double")
+    dim, parts = common["dim"], 1_000_000
+    share = min(parts, -(-SAMPLE * parts // common["count"]))
+    drawn = base.filter((F.col("dim") == dim) & (F.pmod(F.xxhash64("vec_id"), F.lit(parts)) < share))
     gram = np.zeros((dim, dim))
-    for i, j, v in sums.groupBy("i", "j").agg(F.sum("v")).collect():
-        gram[i, j] = v
+    for row in drawn.select("vec").repartition(GRAM_TASKS).mapInArrow(_gram(dim), "gram binary").toLocalIterator():
+        gram += np.frombuffer(row["gram"]).reshape(dim, dim)
     _, vectors = np.linalg.eigh((gram + gram.T) / 2)
     return {dim: np.ascontiguousarray(vectors[:, ::-1])}
 
 
 def _blocks(batches):
-    """Consecutive vectors of one dimension, ``BLOCK`` at most, as one row."""
+    """Consecutive vectors of one dimension, ``BLOCK`` at most, as one row with the largest norm."""
     for batch in batches:
-        ids, dims = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        ids, dims, norms = (batch.column(i).to_numpy() for i in range(3))
         vecs = batch.column(3).to_pylist()
-        out = [[], [], []]
+        out = [[], [], [], []]
         for dim in np.unique(dims):
             at = np.flatnonzero(dims == dim)
             for k in range(0, len(at), BLOCK):
                 own = at[k : k + BLOCK]
-                for column, value in zip(
-                    out, (int(dim), ids[own].astype("<i8").tobytes(), b"".join(vecs[i] for i in own)), strict=True
-                ):
+                row = int(dim), float(norms[own].max()), ids[own].astype("<i8").tobytes(), b"".join(vecs[i] for i in own)
+                for column, value in zip(out, row, strict=True):
                     column.append(value)
+        kinds = pa.int32(), pa.float64(), pa.binary(), pa.binary()
         yield pa.RecordBatch.from_arrays(
-            [pa.array(out[0], pa.int32()), pa.array(out[1], pa.binary()), pa.array(out[2], pa.binary())],
-            ["dim", "ids", "vecs"],
+            [pa.array(x, kind) for x, kind in zip(out, kinds, strict=True)], ["dim", "longest", "ids", "vecs"]
         )
 
 
@@ -193,37 +200,49 @@ def exact_top_k(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFram
         .mapInArrow(_integers, columns)
         .dropDuplicates(["vec_id", "vec"])
     )
-    asked = written(asked.drop("norm"), "queries")
+    asked = written(asked, "queries")
     rotations = _rotation(base)
     n, m = base.count(), asked.count()
-    shape = "dim int, ids binary, vecs binary"
+    shape = "dim int, longest double, ids binary, vecs binary"
     falling = [F.desc("norm"), F.asc("vec_id")]
-    blocks = (
-        base.repartitionByRange(max(1, -(-n // BLOCK)), *falling).sortWithinPartitions(*falling).mapInArrow(_blocks, shape)
+    blocks = written(
+        base.repartitionByRange(max(1, -(-n // BLOCK)), *falling)
+        .sortWithinPartitions(*falling)
+        .mapInArrow(_blocks, shape)
+        .withColumn("block", F.monotonically_increasing_id()),
+        "blocks",
     )
     groups = max(1, -(-m // QUERIES))
-    slots = max(1, n // (2 * BLOCK))
-    numbered = asked.withColumn("qb", F.pmod(F.xxhash64("vec_id"), F.lit(groups)))
-
-    def meet(candidates: DataFrame, asked: DataFrame) -> DataFrame:
-        # A query block goes to every slot, a candidate block to one slot of every query block: no task gets them all.
-        packs = (
-            asked.groupBy("qb", "dim")
-            .agg(F.collect_list(F.struct("vec_id", "vec", "floor")).alias("queries"))
-            .withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1)).cast("array<long>")))
-        )
-        every = candidates.withColumn("slot", F.pmod(F.xxhash64("ids"), F.lit(slots))).withColumn(
-            "qb", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)).cast("array<long>"))
+    found_rows = "query_id long, vec_id long, score long"
+
+    def packed(asked: DataFrame) -> DataFrame:
+        """Query blocks of up to about ``QUERIES``, with the norm below which no candidate serves any of their queries."""
+        return asked.groupBy("qb", "dim").agg(
+            F.collect_list(F.struct("vec_id", "vec", "floor")).alias("queries"),
+            F.min(F.coalesce("need", F.lit(0.0))).alias("need"),
         )
-        joined = every.join(packs, ["qb", "dim", "slot"]).select("dim", "ids", "vecs", "queries")
-        return joined.mapInArrow(_search(k, rotations), "query_id long, vec_id long, score long")
 
-    longest = base.orderBy(*falling).limit(2048).mapInArrow(_blocks, shape)
-    seeds = meet(longest, numbered.withColumn("floor", F.lit(None).cast("double")))
+    # The longest candidates give every query a floor: a score that k of them reach.
+    longest = F.broadcast(base.orderBy(*falling).limit(SEEDS).mapInArrow(_blocks, shape))
+    unknown = F.lit(None).cast("double")
+    spread = asked.withColumn("qb", F.pmod(F.xxhash64("vec_id"), F.lit(groups))).withColumns({"floor": unknown, "need": unknown})
+    seeds = packed(spread).join(longest, "dim").select("dim", "ids", "vecs", "queries").mapInArrow(_search(k, rotations), found_rows)
     floors = seeds.groupBy(F.col("query_id").alias("vec_id")).agg(
         F.when(F.count("*") >= k, F.min("score").cast("double")).alias("floor")
     )
-    found = meet(blocks, numbered.join(floors, "vec_id", "left"))
+    # By Cauchy-Schwarz a candidate needs a norm of floor / |query|, less what rounding may take.
+    need = F.when((F.col("floor") > 0) & (F.col("norm") > 0), F.col("floor") / F.col("norm") * (1 - 1e-9) - 1e-6)
+    told = asked.join(floors, "vec_id", "left").withColumn("need", F.coalesce(need, F.lit(0.0)))
+    # Queries of like needs share a block, so blocks of short candidates are passed over by whole query blocks.
+    told = told.repartitionByRange(groups, "need", "vec_id").withColumn("qb", F.spark_partition_id())
+    packs = written(packed(told), "packs")
+    # One row of three numbers for each query block: few enough to send out, unless there are a thousand million queries.
+    needs = packs.select("qb", "need", F.col("dim").alias("q_dim"))
+    needs = F.broadcast(needs) if groups <= MOST_NEEDS else needs
+    reached = (F.col("dim") == F.col("q_dim")) & (F.col("longest") >= F.col("need"))
+    pairs = blocks.select("block", "dim", "longest").join(needs, reached).select("block", "dim", "qb")
+    met = pairs.join(blocks.drop("dim", "longest"), "block").join(packs.drop("need"), ["qb", "dim"])
+    found = met.select("dim", "ids", "vecs", "queries").mapInArrow(_search(k, rotations), found_rows)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("vec_id"))
     return (
         found.withColumn("rank", F.row_number().over(order))
