@@ -10,6 +10,7 @@ that size and the hits of a document are united afterwards.
 from __future__ import annotations
 
 from functools import reduce
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -52,9 +53,11 @@ class Shard:
         import ahocorasick
 
         self.number: dict[bytes, int] = {}
+        self.shortest = WINDOW
         self.machine = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
         for item_id, text in self.items:
             own = tuple(self.number.setdefault(w, len(self.number) + 1) for w in fold_words(text))
+            self.shortest = min(self.shortest, len(own) or WINDOW)
             for i in range(max(1, len(own) - WINDOW + 1) if own else 0):
                 window = own[i : i + WINDOW]
                 held = self.machine.get(window, None)
@@ -68,10 +71,20 @@ class Shard:
         return self
 
     def hits(self, words: list[bytes]):
-        """(number of the last word, (words, items)) of each window in a text; words of no item are 0."""
-        if not len(self.machine) or not words:
-            return iter(())
-        return self.machine.iter(tuple(self.number.get(w, 0) for w in words))
+        """(number of the last word, (words, items)) of each window in a text.
+
+        Only runs of words of the benchmark that are as long as its shortest window are
+        passed to the automaton: no window lies outside them.
+        """
+        if not len(self.machine):
+            return
+        own = np.fromiter(map(self.number.get, words, repeat(0)), dtype=np.int64, count=len(words))
+        gaps = np.flatnonzero(own == 0)
+        starts, ends = np.append(0, gaps + 1), np.append(gaps, len(own))
+        for k in np.flatnonzero(ends - starts >= self.shortest):
+            start = int(starts[k])
+            for last, found in self.machine.iter(tuple(own[start : ends[k]].tolist())):
+                yield start + last, found
 
 
 def _scan(shard):
