@@ -27,6 +27,8 @@ WINDOW, STRIDE = 48, 24
 NGRAMS = 1 << 15
 CHAR_DIM = WORD_DIM = 8
 HIDDEN = 12
+#: Windows that run through the network at once.
+BATCH = 1024
 SCORED = "doc_id long, held_out boolean, score double, predicted int, n_windows long"
 
 
@@ -46,8 +48,13 @@ def windows_of(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return doc, (np.arange(len(doc)) - np.repeat(first, number)) * STRIDE
 
 
-def ngram_lists(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(hashed byte 3- to 5-grams, word by word, with their edges; n-grams of each word)."""
+def ngram_lists(words: list[bytes], part: int = 8192) -> tuple[np.ndarray, np.ndarray]:
+    """(hashed byte 3- to 5-grams, word by word, with their edges; n-grams of each word), some words at a time."""
+    parts = [_ngrams(words[i : i + part]) for i in range(0, max(1, len(words)), part)]
+    return np.concatenate([g for g, _ in parts]), np.concatenate([n for _, n in parts])
+
+
+def _ngrams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     padded = np.array([len(w) + 2 for w in words], dtype=np.int64)
     data = np.frombuffer(b"".join(b" " + w + b" " for w in words), dtype=np.uint8).astype(np.int64)
     owner = np.repeat(np.arange(len(words)), padded)
@@ -57,7 +64,7 @@ def ngram_lists(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         own = own[:-1] * 419 + data[n - 1 :]
         if n > 2:
             inside = left[: len(own)] >= n
-            grams.append((own[inside] * 2654435761 >> 9) % NGRAMS)
+            grams.append(((own[inside] * 2654435761 >> 9) % NGRAMS).astype(np.int32))
             owners.append(owner[: len(own)][inside])
     owner = np.concatenate(owners)
     return np.concatenate(grams)[np.argsort(owner, kind="stable")], np.bincount(owner, minlength=len(words))
@@ -195,7 +202,7 @@ class Table(dict):
 class Scorer:
     """Scores texts in groups; gate inputs of distinct words are kept up to ``most`` words."""
 
-    def __init__(self, net: Network, most: int = 120_000, group: int = 400_000):
+    def __init__(self, net: Network, most: int = 60_000, group: int = 150_000):
         self.net, self.most, self.group = net, most, group
         self.table, self.rows = Table(), np.zeros((0, 6 * HIDDEN), np.float32)
 
@@ -214,11 +221,11 @@ class Scorer:
         offset = np.concatenate(([0], np.cumsum(lengths)))[:-1] if len(lengths) else lengths
         out = np.empty(len(doc), np.float32)
         span = np.arange(WINDOW)[:, None]
-        for at in range(0, len(doc), 2048):
-            d, s = doc[at : at + 2048], start[at : at + 2048]
+        for at in range(0, len(doc), BATCH):
+            d, s = doc[at : at + BATCH], start[at : at + BATCH]
             mask = s + span < lengths[d]
             place = np.where(mask, offset[d] + s + span, 0)
-            out[at : at + 2048] = self.net.forward(self.rows[ids[place]], mask)
+            out[at : at + BATCH] = self.net.forward(self.rows[ids[place]], mask)
         return doc, start, out
 
     def scores(self, texts) -> tuple[list[float], list[int]]:
@@ -288,10 +295,14 @@ def train(texts: list[str], toxic: list[int], steps: int = 400, batch: int = 128
 
     def best_windows(which):
         """The start and the logit of the highest-scoring window of each document."""
-        doc, start, logit = Scorer(net).logits([spelt(i) for i in which])
-        order = np.lexsort((logit, doc))
-        last = np.flatnonzero(np.append(np.diff(doc[order]) > 0, True))
-        return start[order[last]], logit[order[last]]
+        scorer, starts, logits = Scorer(net), [], []
+        for at in range(0, len(which), 100):
+            doc, start, logit = scorer.logits([spelt(i) for i in which[at : at + 100]])
+            order = np.lexsort((logit, doc))
+            last = np.flatnonzero(np.append(np.diff(doc[order]) > 0, True))
+            starts.append(start[order[last]])
+            logits.append(logit[order[last]])
+        return np.concatenate(starts), np.concatenate(logits)
 
     # One coordinate of words and n-grams starts as their log odds; they also give the first examples.
     lead = lower_odds(seen[:, 1], seen[:, 0], len(bad), len(good))
@@ -356,15 +367,13 @@ def train(texts: list[str], toxic: list[int], steps: int = 400, batch: int = 128
         total = np.zeros((len(touched), CHAR_DIM), np.float32)
         np.add.at(total, back, np.repeat(d_vector[:, WORD_DIM:], repeat, axis=0) * winner)
         adam("chars", total + 1e-5 * net.p["chars"][touched], step, rate, touched)
-    calibrate(net, [spelt(i) for i in np.concatenate((bad, good))], np.r_[np.ones(len(bad)), np.zeros(len(good))])
+    _, best = best_windows(np.concatenate((bad, good)))
+    calibrate(net, best, np.r_[np.ones(len(bad)), np.zeros(len(good))])
     return net
 
 
-def calibrate(net: Network, docs: list[list[bytes]], y: np.ndarray, rounds: int = 200) -> None:
-    """Fit scale and shift of the highest window logit to the labels."""
-    doc, _, logit = Scorer(net).logits(docs)
-    best = np.full(len(docs), -np.inf)
-    np.maximum.at(best, doc, logit)
+def calibrate(net: Network, best: np.ndarray, y: np.ndarray, rounds: int = 200) -> None:
+    """Fit scale and shift of the highest window logits ``best`` to the labels."""
     weight = 1 / len(y)
     a, c = 1.0, 0.0
     for _ in range(rounds):
