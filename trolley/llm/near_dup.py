@@ -41,9 +41,9 @@ REGISTERS = BANDS * ROWS
 #: Most registers in which two texts' two-bit sketches of unit weights may differ: 0.8 alike differ in 19 of 125, and 40 is five deviations away.
 MOST_APART = 40
 SKETCH = ("s0", "s1", "s2", "s3")
-#: Buckets that one leader leaves mixed are dealt anew by longer bands of a finer signature: a pair at 0.8 shares none of 102 bands
-#: of ten registers with probability 9e-6, one at 0.4 shares some with probability 0.01.
-FINE_REGISTERS, FINE_BANDS, FINE_ROWS = 1024, 102, 10
+#: Buckets that the first leaders leave mixed are dealt anew by longer bands of a finer signature: a pair at 0.8 shares none of 64
+#: bands of eight registers with probability 8e-6, one at 0.4 shares some with probability 0.04.
+FINE_REGISTERS, FINE_BANDS, FINE_ROWS = 1024, 64, 8
 #: Of the finer sketch's registers 0.8 alike differ in 154, and 199 is four deviations away.
 FINE_APART = 199
 FINE = tuple(f"f{i}" for i in range(2 * FINE_REGISTERS // 64))
@@ -295,8 +295,9 @@ def _crowded(nodes: DataFrame) -> DataFrame:
 
 
 def _buckets(crowded: DataFrame) -> DataFrame:
-    return crowded.select("node", "popularity", F.explode("held").alias("x")).select(
-        "x.key", "node", "x.n", "popularity", F.col("node").alias("component"), F.lit(None).cast("long").alias("main")
+    """A row for each of the keys of ``crowded`` (node, popularity, held, component)."""
+    return crowded.select("node", "popularity", "component", F.explode("held").alias("x")).select(
+        "x.key", "node", "x.n", "popularity", "component", F.lit(None).cast("long").alias("main")
     )
 
 
@@ -307,7 +308,7 @@ def _mixed(members: DataFrame) -> DataFrame:
         F.count("*").alias("parts"), F.max("n").alias("n"), F.max(F.struct("held", "component")).alias("main")
     )
     main = _all_parts(main.filter("parts > 1").select("key", "n", F.col("main.component").alias("main"))).drop("n")
-    return _own_part(members).join(main, ["key", "salt"]).select("key", "node", "n", "popularity", "component", "main")
+    return _own_part(members.drop("main")).join(main, ["key", "salt"]).select("key", "node", "n", "popularity", "component", "main")
 
 
 def _leaders(members: DataFrame, most: int) -> DataFrame:
@@ -367,7 +368,7 @@ def duplicate_classes(docs: DataFrame) -> DataFrame:
         "node", "size", "keys", *SKETCH
     )
     crowded = written(_crowded(nodes), "crowded")
-    members = _buckets(crowded)
+    members = _buckets(crowded.withColumn("component", F.col("node")))
     sketches = written(nodes.drop("keys").join(crowded, "node", "left_semi").dropDuplicates(["node"]), "sketches")
     sets = _crowded_sets(plain, crowded.select("node"))
     components, most_apart = None, MOST_APART
@@ -383,15 +384,17 @@ def duplicate_classes(docs: DataFrame) -> DataFrame:
             known = components.select(F.col("node").alias("a"), F.col("component").alias("b"))
             components = connected_components(links.unionByName(known), written)
         rest = members.join(leaders.select("key", F.col("leader").alias("node")), ["key", "node"], "left_anti")
-        if k == 0:
+        if k:
+            rest = _with_components(rest, components)
+        else:
             left = _mixed(_with_components(rest, components)).select("node").distinct()
             tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
             left = written(left, "left")
             fine = sets.join(left, "node").select("node", "set").repartition(tasks, "node")
             fine = fine.mapInArrow(_fine_sketches, _FINE_COLUMNS)
             fine = written(fine.dropDuplicates(["node"]), "fine")
-            sketches, most_apart, rest = fine.drop("keys"), FINE_APART, _buckets(_crowded(fine))
-        members = written(_mixed(written(_with_components(rest, components), f"rest{k}")), f"members{k}")
+            sketches, most_apart, rest = fine.drop("keys"), FINE_APART, _buckets(_with_components(_crowded(fine), components))
+        members = written(_mixed(written(rest, f"rest{k}")), f"members{k}")
     if components is not None:
         alike = alike.unionByName(components.select(F.col("node").alias("a"), F.col("component").alias("b")))
     classes = connected_components(alike, written)
@@ -405,7 +408,7 @@ def duplicate_classes(docs: DataFrame) -> DataFrame:
 def _with_components(members: DataFrame, components: DataFrame) -> DataFrame:
     """``members`` with the components found so far."""
     return (
-        members.drop("component", "main")
+        members.drop("component")
         .join(components, "node", "left")
         .withColumn("component", F.coalesce("component", "node"))
     )
