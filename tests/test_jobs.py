@@ -168,6 +168,9 @@ def test_quality(spark):
     s = spark.createDataFrame([(str(i),) for i in range(103)], "id string")
     assert relational.systematic_sample(s, [F.col("id").cast("int")], 10).count() == 10
     assert relational.systematic_sample(s.limit(0), ["id"], 10).count() == 0
+    many = spark.range(0, 300_000, 1, 12).select(((F.col("id") * 7_919) % 300_000).alias("id"))
+    drawn = sorted(r["id"] for r in relational.systematic_sample(many, ["id"], 1000).collect())
+    assert drawn == list(range(0, 300_000, 300))
     urls = spark.createDataFrame([("https://a/x/1",), ("https://b/x",)], "url string")
     prefixes = spark.createDataFrame([("https://a/x",), ("https://a/x/1/2",)], "prefix string")
     assert relational.within_scope(urls, prefixes).count() == 1
@@ -185,17 +188,19 @@ def run(stream, name, mode="append"):
 def test_streamed_history_equals_batch(spark):
     t = lambda s: dt.datetime(2024, 1, 1, 0, 0, s)
     rows = [("s", "1", t(1), 1.0), ("s", "1", t(2), 1.0), ("s", "1", t(3), 1.5), ("s", "2", t(1), 2.0), ("s", "1", t(4), 1.0)]
+    rows += [("s", "3", t(1), None), ("s", "3", t(2), 0.12), ("s", "3", t(3), None), ("s", "3", t(4), 0.12), ("s", "3", t(5), 0.125)]
     path = tempfile.mkdtemp(prefix="spark-") + "/in"
     df = spark.createDataFrame(rows, jobs.HISTORY)
     df.coalesce(1).write.parquet(path)
     stream = spark.readStream.schema(jobs.HISTORY).parquet(path)
     got = run(jobs.price_history(stream), "history_rows")
     want = history.change_only_history(df, ["store", "id"], ["ts"])
-    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert got.filter("id = '3'").count() == 4
     fresh = run(jobs.freshness(stream), "fresh_rows", "complete")
-    assert fresh.first()["newest"] == t(4)
+    assert fresh.first()["newest"] == t(5)
     first = run(jobs.first_in_run(stream), "first_rows")
-    assert first.count() == 2
+    assert first.count() == 3
     spend = run(jobs.weekly_spend(df_stream(spark, path)), "spend_rows", "complete")
     assert spend.filter("user_id = 1").count() == 7
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trolley.functions.text import token_hash
+from trolley.sources.shared import written
 
 
 def valid_price(df: DataFrame, floors: dict[str, float] | None = None, cap: float = 100.0) -> DataFrame:
@@ -94,12 +95,16 @@ def systematic_sample(df: DataFrame, order: list, k: int) -> DataFrame:
     """Every floor(n / k)-th row (at least every one) in ``order``, k at most.
 
     Rows are numbered from per-partition counts of a range partitioning, so no task
-    sees all rows.
+    sees all rows. The sorted rows are written once: sizes and rows come from the same
+    partitioning, whose bounds Spark would draw anew for each job.
     """
     n = df.count()
     step = max(1, n // k) if k else n + 1
     spark = df.sparkSession
-    sorted_ = df.orderBy(*order).withColumn("_part", F.spark_partition_id()).withColumn("_mono", F.monotonically_increasing_id())
+    sorted_ = written(
+        df.orderBy(*order).withColumn("_part", F.spark_partition_id()).withColumn("_mono", F.monotonically_increasing_id()),
+        "numbered",
+    )
     sizes = sorted_.groupBy("_part").agg(F.count("*").alias("_n"), F.min("_mono").alias("_first"))
     before, offsets = 0, []
     for row in sorted(sizes.collect(), key=lambda r: r["_part"]):

@@ -30,11 +30,11 @@ def _changes(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) ->
     rows = pd.concat(list(batches), ignore_index=True).sort_values(["ts", "price"], kind="stable")
     out = []
     for row in rows.itertuples(index=False):
-        cents = round(row.price * 100)
+        cents = None if pd.isna(row.cents) else int(row.cents)
         stamp = row.ts.value
         if last_ts is not None and stamp < last_ts:
             continue
-        if last_cents is None or cents != last_cents:
+        if last_cents is None or cents is not None and cents != last_cents:
             out.append((key[0], key[1], row.ts, row.price))
         last_ts, last_cents = stamp, cents
     if last_ts is not None:
@@ -43,8 +43,14 @@ def _changes(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) ->
 
 
 def price_history(stream: DataFrame) -> DataFrame:
-    """Change-only history with the last price of each (store, id) as state."""
-    return stream.groupBy("store", "id").applyInPandasWithState(
+    """Change-only history with the last price of each (store, id) as state.
+
+    Prices are compared in cents, rounded half up, and nulls as in the batch twin: a row
+    without a price is kept only as a first one or behind another, and the row behind one
+    is kept.
+    """
+    cents = (F.col("price").try_cast("decimal(12,2)") * 100).cast("long")
+    return stream.withColumn("cents", cents).groupBy("store", "id").applyInPandasWithState(
         _changes, HISTORY, "last_ts long, last_cents long", "append", GroupStateTimeout.NoTimeout
     )
 
