@@ -99,67 +99,139 @@ BREADCRUMB_2 = (
     ("areia_gatos", "areia.*gato"),
     ("acessorios_petiscos", "animais|animal"),
 )
-#: Words that the first store's rules have besides, by the rule's pattern above.
-EXTRA_1 = {
-    "manteiga|natas": "bechamel",
-    "vaca|bovino|novilho|vitela": "cabrito|borrego",
-    "charcutaria|fiambre|salame|chourico|presunto|salsicha|linguica": "pronto a cozinhar",
-    "massa|arroz|leguminosa|farinha": "couscous|quinoa|bulgur|noodles|pure",
-    "azeite|oleo aliment": "vinagre",
-    r"molho|tempero|especiaria|sal\b|maionese|ketchup|mostarda": "sopa",
-    "snack|aperitivo|batata frita": "pipoca",
-    "chocolate|rebucado|goma": "bombom",
-    r"compota|doce|mel\b|marmelada": "acucar|adocante",
-    "torrada|tosta": "gressino",
-    "bolo|pastelaria|pasteis": "napolitana|queque",
-    rf"\b({_PAO})\b|padaria": "wrap|tortilha",
-    "congelad.*legum|legum.*congelad|congelad.*vegetal": "congelad.*fruta|fruta.*congelad",
-    "congelad.*peixe|congelad.*marisco|peixe.*congelad": "douradinho",
-    "congelad.*carne|carne.*congelad": "hamburguer|almondega|nugget|crocante",
-    "congelad.*massa|congelad.*pizza|pizza.*congelad": "gnocchi",
-    "prato.*pronto|refeicao.*pronta": "salteado",
-    "sumo|refrigerante|nectar": "isotonica|energetica",
-    "corpo|rosto|pele|creme|solar|banho|duche": "sabonete|homem",
-    r"leite.*bebe|leite.*infantil|papa\b|boiao": "alimentacao infantil",
-    "papel higienico|absorvente|toalhas.*papel": "guardanapo",
-    "limpeza|cuidados do lar": "cozinha|casa de banho|chao|superficie|ambientador|inseticida",
-}
-#: The same for the name rules of the fifth store.
-EXTRA_NAME = {
-    "sobremesa.*lacte|lacte.*sobremesa": "pudim|mousse",
-    "porco|suino": "cachaco|leitao",
-    "peixaria|peixe|bacalhau|salmao": "atum",
-    "massa|arroz|leguminosa|farinha": "esparguete",
-    "conserva": "pickles",
-    "snack|aperitivo|batata frita": "tortilhas",
-    "chocolate|rebucado|goma": "bombons?",
-    "sumo|refrigerante|nectar": "energetic",
-    "corpo|rosto|pele|creme|solar|banho|duche": "sabonete",
-}
-
-
-def _with_extra(rules, extra, replaced=()):
-    out = []
-    for sub, pattern in rules:
-        pattern = dict(replaced).get(pattern, pattern)
-        out.append((sub, f"{pattern}|{extra[pattern]}" if pattern in extra else pattern))
-    return tuple(out)
-
-
-BREADCRUMB_1 = _with_extra(
-    BREADCRUMB_2, EXTRA_1, [("sobremesa.*lacte|lacte.*sobremesa", "gelatina|mousse|pudim")]
+#: Breadcrumb rules of the first store, in order.
+BREADCRUMB_1 = (
+    ("leite", word_form("leite")),
+    ("iogurtes", "iogurte"),
+    ("queijos", "queijo"),
+    ("manteiga_natas", "manteiga|natas|bechamel"),
+    ("ovos", r"\bovos?\b"),
+    ("sobremesas_lacteas", "gelatina|mousse|pudim"),
+    ("bebidas_iogurtes_vegetais", f"bebida.*({_VEGETAL})|vegegurte"),
+    ("molhos_temperos", r"\bcaldo\b"),
+    ("carne_vaca", "vaca|bovino|novilho|vitela|cabrito|borrego"),
+    ("carne_porco", "porco|suino"),
+    ("aves", "frango|aves|peru|pato|coelho"),
+    ("marisco", r"marisco|camarao|lulas|polvo|\bchocos?\b"),
+    ("charcutaria_enchidos", "charcutaria|fiambre|salame|chourico|presunto|salsicha|linguica|pronto a cozinhar"),
+    ("peixe_fresco", "peixaria|peixe|bacalhau|salmao"),
+    ("chocolates_doces", "chocolate"),
+    ("refrigerantes_sumos", r"\bsumo\b|nectar"),
+    ("frutos_secos", "frutos secos|desidratad"),
+    ("ervas_aromaticas", "ervas aromaticas|especiarias"),
+    ("saladas_prontas", "salada.*pronta|4a gama"),
+    ("fruta", word_form("fruta")),
+    ("legumes", "legum|hortalic"),
+    ("bolachas_cereais", "bolacha|biscoito|cereal|barra"),
+    ("massas_arroz", "massa|arroz|leguminosa|farinha|couscous|quinoa|bulgur|noodles|pure"),
+    ("conservas", "conserva"),
+    ("azeite_oleos", "azeite|oleo aliment|vinagre"),
+    ("molhos_temperos", r"molho|tempero|especiaria|sal\b|maionese|ketchup|mostarda|sopa"),
+    ("snacks_aperitivos", "snack|aperitivo|batata frita|pipoca"),
+    ("chocolates_doces", "chocolate|rebucado|goma|bombom"),
+    ("compotas_mel", r"compota|doce|mel\b|marmelada|acucar|adocante"),
+    ("croissants_folhados", "croissant|folhado"),
+    ("torradas_tostas", "torrada|tosta|gressino"),
+    ("bolos_pastelaria", "bolo|pastelaria|pasteis|napolitana|queque"),
+    ("pao", rf"\b({_PAO})\b|padaria|wrap|tortilha"),
+    ("gelados", "gelado"),
+    ("vegetais_congelados", "congelad.*legum|legum.*congelad|congelad.*vegetal|congelad.*fruta|fruta.*congelad"),
+    ("peixe_marisco_congelado", "congelad.*peixe|congelad.*marisco|peixe.*congelad|douradinho"),
+    ("carne_congelada", "congelad.*carne|carne.*congelad|hamburguer|almondega|nugget|crocante"),
+    ("massa_pizza_congelada", "congelad.*massa|congelad.*pizza|pizza.*congelad|gnocchi"),
+    ("pratos_prontos_congelados", "prato.*pronto|refeicao.*pronta|salteado"),
+    ("cerveja", "cerveja|sidra"),
+    ("vinho", "vinho|champanhe|espumante"),
+    ("bebidas_espirituosas", r"espirituos|licor|whisky|vodka|gin\b|rum\b"),
+    ("agua", word_form("agua")),
+    ("refrigerantes_sumos", "sumo|refrigerante|nectar|isotonica|energetica"),
+    ("cafe_cha", r"cafe|cha\b|infus"),
+    ("cuidado_cabelo", "cabelo|champo|shampoo"),
+    ("higiene_oral", "higiene oral|dentifrico|escova.*dente"),
+    ("higiene_intima", "higiene intima"),
+    ("desodorizantes", "desodorizante"),
+    ("depilacao", "depila"),
+    ("cuidado_pele", "corpo|rosto|pele|creme|solar|banho|duche|sabonete|homem"),
+    ("fraldas", "fralda"),
+    ("leite_po_boioes", r"leite.*bebe|leite.*infantil|papa\b|boiao|alimentacao infantil"),
+    ("toalhitas", "toalhita"),
+    ("cuidado_bebe", "bebe|infantil"),
+    ("detergente_roupa", "detergente.*roupa|roupa.*detergente|lavandaria"),
+    ("loica", "loica"),
+    ("papel_higienico_absorventes", "papel higienico|absorvente|toalhas.*papel|guardanapo"),
+    ("sacos_lixo", "sacos.*lixo"),
+    ("limpeza_casa", "limpeza|cuidados do lar|cozinha|casa de banho|chao|superficie|ambientador|inseticida"),
+    ("racao_cao", rf"racao.*({_CAO})|comida.*({_CAO})|\b({_CAO})\b"),
+    ("racao_gato", rf"racao.*({_GATO})|comida.*({_GATO})|\b({_GATO})\b"),
+    ("areia_gatos", "areia.*gato"),
+    ("acessorios_petiscos", "animais|animal"),
+)
+#: Name rules of the fifth store, in order.
+NAME_5 = (
+    ("leite", word_form("leite")),
+    ("iogurtes", "iogurte"),
+    ("queijos", "queijo"),
+    ("manteiga_natas", "manteiga|natas"),
+    ("ovos", r"\bovos?\b"),
+    ("sobremesas_lacteas", "sobremesa.*lacte|lacte.*sobremesa|pudim|mousse"),
+    ("bebidas_iogurtes_vegetais", f"bebida.*({_VEGETAL})|vegegurte"),
+    ("molhos_temperos", r"\bcaldo\b"),
+    ("carne_vaca", "vaca|bovino|novilho|vitela"),
+    ("carne_porco", "porco|suino|cachaco|leitao"),
+    ("aves", "frango|aves|peru|pato|coelho"),
+    ("marisco", r"marisco|camarao|lulas|polvo|\bchocos?\b"),
+    ("charcutaria_enchidos", "charcutaria|fiambre|salame|chourico|presunto|salsicha|linguica"),
+    ("peixe_fresco", "peixaria|peixe|bacalhau|salmao|atum"),
+    ("frutos_secos", "frutos secos|desidratad"),
+    ("ervas_aromaticas", "ervas aromaticas|especiarias"),
+    ("saladas_prontas", "salada.*pronta|4a gama"),
+    ("fruta", word_form("fruta")),
+    ("legumes", "legum|hortalic"),
+    ("bolachas_cereais", "bolacha|biscoito|cereal|barra"),
+    ("pratos_prontos_congelados", r"lasanha|nhoque|gnocchi|\bpara\s+(airfryer|forno|micro-?ondas)\b"),
+    ("massas_arroz", "massa|esparguete|arroz|leguminosa|farinha"),
+    ("conservas", "conserva|pickles"),
+    ("azeite_oleos", "azeite|oleo aliment"),
+    ("molhos_temperos", r"molho|tempero|especiaria|sal\b|maionese|ketchup|mostarda"),
+    ("snacks_aperitivos", "snack|aperitivo|batata frita|tortilhas"),
+    ("chocolates_doces", "chocolate|rebucado|goma|bombons?"),
+    ("compotas_mel", r"compota|doce extra|mel\b|marmelada"),
+    ("croissants_folhados", "croissant|folhado"),
+    ("torradas_tostas", "torrada|tosta"),
+    ("bolos_pastelaria", "bolo|pastelaria|pasteis"),
+    ("pao", rf"\b({_PAO})\b|padaria"),
+    ("gelados", "gelado"),
+    ("vegetais_congelados", "congelad.*legum|legum.*congelad|congelad.*vegetal"),
+    ("peixe_marisco_congelado", "congelad.*peixe|congelad.*marisco|peixe.*congelad"),
+    ("carne_congelada", "congelad.*carne|carne.*congelad"),
+    ("massa_pizza_congelada", "congelad.*massa|congelad.*pizza|pizza.*congelad"),
+    ("pratos_prontos_congelados", "prato.*pronto|refeicao.*pronta"),
+    ("cerveja", "cerveja|sidra"),
+    ("vinho", "vinho|champanhe|espumante"),
+    ("bebidas_espirituosas", r"espirituos|licor|whisky|vodka|gin\b|rum\b"),
+    ("agua", word_form("agua")),
+    ("refrigerantes_sumos", "sumo|refrigerante|nectar|energetic"),
+    ("cafe_cha", r"cafe|cha\b|infus"),
+    ("cuidado_cabelo", "cabelo|champo|shampoo"),
+    ("higiene_oral", "higiene oral|dentifrico|escova.*dente"),
+    ("higiene_intima", "higiene intima"),
+    ("desodorizantes", "desodorizante"),
+    ("depilacao", "depila"),
+    ("cuidado_pele", "corpo|rosto|pele|creme|solar|banho|duche|sabonete"),
+    ("fraldas", "fralda"),
+    ("leite_po_boioes", r"leite.*bebe|leite.*infantil|papa\b|boiao"),
+    ("toalhitas", "toalhita"),
+    ("cuidado_bebe", "bebe|infantil"),
+    ("detergente_roupa", "detergente.*roupa|roupa.*detergente|lavandaria"),
+    ("loica", "loica"),
+    ("papel_higienico_absorventes", "papel higienico|absorvente|toalhas.*papel"),
+    ("sacos_lixo", "sacos.*lixo"),
+    ("limpeza_casa", "limpeza|cuidados do lar"),
+    ("racao_cao", rf"racao.*({_CAO})|comida.*({_CAO})|\b({_CAO})\b"),
+    ("racao_gato", rf"racao.*({_GATO})|comida.*({_GATO})|\b({_GATO})\b"),
+    ("areia_gatos", "areia.*gato"),
+    ("acessorios_petiscos", "animais|animal"),
 )
-
-
-def _name_rules():
-    own = [r for r in _with_extra(BREADCRUMB_2, EXTRA_NAME) if r[1] not in ("chocolate", r"\bsumo\b|nectar")]
-    own = [(s, p.replace("doce|", "doce extra|") if s == "compotas_mel" else p) for s, p in own]
-    at = 1 + next(i for i, r in enumerate(own) if r[0] == "bolachas_cereais")
-    ready = ("pratos_prontos_congelados", r"lasanha|nhoque|gnocchi|\bpara\s+(airfryer|forno|micro-?ondas)\b")
-    return (*own[:at], ready, *own[at:])
-
-
-NAME_5 = _name_rules()
 #: Breadcrumb rules of the third store, in order.
 BREADCRUMB_3 = (
     ("agua", "bebidas/agua"),
