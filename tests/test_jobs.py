@@ -1,6 +1,7 @@
 """Pages, history, alerts, search, quality and streams on small fixtures."""
 
 import datetime as dt
+import random
 import tempfile
 
 from pyspark.sql import functions as F
@@ -193,7 +194,10 @@ def test_streamed_history_equals_batch(spark):
     df = spark.createDataFrame(rows, jobs.HISTORY)
     df.coalesce(1).write.parquet(path)
     stream = spark.readStream.schema(jobs.HISTORY).parquet(path)
-    got = run(jobs.price_history(stream), "history_rows")
+    base = tempfile.mkdtemp(prefix="spark-")
+    whole = stream.writeStream.foreachBatch(jobs.history_batches(base)).option("checkpointLocation", f"{base}/checkpoint")
+    whole.trigger(availableNow=True).start().awaitTermination()
+    got = jobs.history_rows(spark, base)
     want = history.change_only_history(df, ["store", "id"], ["ts"])
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
     assert got.filter("id = '3'").count() == 4
@@ -205,6 +209,48 @@ def test_streamed_history_equals_batch(spark):
     assert spend.filter("user_id = 1").count() == 7
 
 
+def test_history_of_batches_equals_the_whole(spark):
+    rng = random.Random(5)
+    at = dt.datetime(2024, 1, 1)
+    rows = []
+    for n in range(300):
+        price = rng.choice([None, 1.0, 1.004, 1.01, 2.0])
+        rows.append((rng.choice(["s", "t"]), rng.choice(["1", "2", None]), at + dt.timedelta(hours=5 * n), price))
+    base = tempfile.mkdtemp(prefix="spark-")
+    step = jobs.history_batches(base)
+    for k in range(3):
+        step(spark.createDataFrame(rows[100 * k : 100 * k + 100], jobs.HISTORY), k)
+    late = [("s", "1", at, 9.0), ("s", "1", None, 9.0)]
+    step(spark.createDataFrame(late, jobs.HISTORY), 3)
+    step(spark.createDataFrame(late, jobs.HISTORY), 3)
+    want = history.change_only_history(spark.createDataFrame(rows, jobs.HISTORY), ["store", "id"], ["ts"])
+    got = jobs.history_rows(spark, base)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert [r["n"] for r in spark.read.parquet(f"{base}/late").orderBy("batch").collect()] == [0, 0, 0, 2]
+
+
+def test_merged_and_failed_rows_move(spark):
+    products = spark.createDataFrame(
+        [(1, "/storage/a.png"), (2, "http://x/b.png"), (3, "/storage/c.png"), (4, "/storage/d.png"), (5, None)], "product_id long, image_url string"
+    )
+    outcomes = spark.createDataFrame(
+        [(1, 2, "merged"), (3, 4, "merged"), (5, None, "no_target")], "product_id long, target long, outcome string"
+    )
+    day = dt.date(2024, 1, 1)
+    prices = spark.createDataFrame(
+        [(1, "s", day, 1.0), (1, "t", day, 2.0), (2, "s", day, 3.0), (5, "s", day, 4.0)], "product_id long, store string, day date, price double"
+    )
+    kept, moved = history.apply_legacy_merge(products, prices, outcomes)
+    assert {tuple(r) for r in kept.collect()} == {(2, "/storage/a.png"), (4, "/storage/d.png"), (5, None)}
+    assert {(r["product_id"], r["store"], r["price"]) for r in moved.collect()} == {(2, "t", 2.0), (2, "s", 3.0), (5, "s", 4.0)}
+    approved = spark.createDataFrame(
+        [(1, "n", "", "c", 0.8), (2, "m", "", "c", 0.9)], "product_id long, name string, brand string, category string, match_score double"
+    )
+    judged = spark.createDataFrame([(1, "failed_auto"), (2, "failed_manual")], "product_id long, outcome string")
+    review, gone = history.failed_moves(approved, judged)
+    assert review.first()["status"] == "reaudit_pending" and [r[0] for r in gone.collect()] == [1]
+
+
 def df_stream(spark, path):
     return spark.readStream.schema(jobs.HISTORY).parquet(path).select(
         F.col("id").cast("long").alias("user_id"), "ts", F.col("price").alias("amount")

@@ -9,6 +9,10 @@ from trolley.functions.quantity import extract_quantity, price_changed, unit_pri
 from trolley.functions.text import business_key, normalize_brand, strip_accents
 
 
+#: Fixed value: what the address of a stored image holds.
+STORED = "/storage/"
+
+
 def upsert_snapshot(current: DataFrame, incoming: DataFrame, key=("store", "external_id")) -> DataFrame:
     """Insert or update: the name of a known row stays, the image changes only to a non-null one.
 
@@ -103,6 +107,28 @@ def legacy_outcomes(products: DataFrame, sources: DataFrame, prices: DataFrame)
     )
 
 
+def apply_legacy_merge(products: DataFrame, prices: DataFrame, outcomes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(products, prices) after the merged outcomes: prices move to the target, and so does a stored image.
+
+    A stored image moves unless the target has one; of several that of the smallest id does. A price that the
+    target has already, with the same store and day, stays as it is and the moved one goes.
+    """
+    merged = outcomes.filter("outcome = 'merged'").select("product_id", "target")
+    stored = F.coalesce(F.col("image_url").contains(STORED), F.lit(False))
+    images = products.filter(stored).join(merged, "product_id")
+    images = images.groupBy("target").agg(F.min_by("image_url", "product_id").alias("_image"))
+    kept = products.join(merged, "product_id", "left_anti").join(
+        images.withColumnRenamed("target", "product_id"), "product_id", "left"
+    )
+    kept = kept.withColumn("image_url", F.when(stored, F.col("image_url")).otherwise(F.coalesce("_image", "image_url"))).select(*products.columns)
+    moved = prices.join(merged, "product_id").withColumn("_from", F.col("product_id")).withColumn("product_id", F.col("target"))
+    own = prices.join(merged, "product_id", "left_anti")
+    moved = moved.join(own.select("product_id", "store", "day"), ["product_id", "store", "day"], "left_anti")
+    row = F.struct(*[F.col(c) for c in prices.columns])
+    one = moved.groupBy("product_id", "store", "day").agg(F.min_by(row, "_from").alias("_row")).select("_row.*")
+    return kept, own.unionByName(one)
+
+
 def reaudit_by_survivors(approved: DataFrame, survivors: DataFrame, name_filter: Column) -> tuple[DataFrame, DataFrame]:
     """(review rows to re-audit, products to remove): high rows of the filter whose key no longer survives."""
     key = business_key(F.col("name"), F.col("brand")).alias("_key")
@@ -143,6 +169,11 @@ def reaudit_by_unit_price(approved: DataFrame, matches: DataFrame, most: float =
     return approved.withColumn("_key", key).join(best, "_key", "left").select("product_id", outcome.alias("outcome"))
 
 
+def failed_moves(approved: DataFrame, outcomes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(review rows, products to remove) of the outcomes failed_auto; approved by hand stays."""
+    return reaudit_by_ids(approved, outcomes.filter("outcome = 'failed_auto'"))
+
+
 def backfill_units(products: DataFrame) -> DataFrame:
     q = extract_quantity(F.col("name"))
     missing = F.col("quantity").isNull()
@@ -165,6 +196,15 @@ def backfill_subcategory(products: DataFrame, classify, store: str, category: st
     return products.withColumn("subcategory", F.when(own, classify(F.col("name"))).otherwise(F.col("subcategory")))
 
 
+def backfill_provenance(products: DataFrame, listings: DataFrame, key: str, named_store: str) -> DataFrame:
+    """``subcategory_source`` where a subcategory has none: nome if ``named_store`` lists the product, else breadcrumb."""
+    named = listings.filter(F.col("store") == named_store).select(key, F.lit(True).alias("_named")).distinct()
+    new = F.when(F.col("_named"), "nome").otherwise("breadcrumb")
+    old = F.col("subcategory_source")
+    filled = F.when(F.col("subcategory").isNotNull() & old.isNull(), new).otherwise(old)
+    return products.join(named, key, "left").withColumn("subcategory_source", filled).select(*products.columns)
+
+
 def retire_category(products: DataFrame, old: str, new: str) -> DataFrame:
     return products.withColumn("category", F.when(F.col("category") == old, new).otherwise(F.col("category")))
 

@@ -18,6 +18,16 @@ def run_guard(results: DataFrame, failed: Column, most: float = 0.05) -> DataFra
     return rows.withColumn("verdict", verdict.otherwise("ok"))
 
 
+def run_summary(rows: DataFrame, reason: str, ignored: list[str], failed: list[str], by: list[str]) -> DataFrame:
+    """found, saved (no reason), ignored by cause, and errors (reasons of ``failed``), in one pass."""
+    return rows.groupBy(*by).agg(
+        F.count("*").alias("found"),
+        F.count_if(F.col(reason).isNull()).alias("saved"),
+        *[F.count_if(F.col(reason) == cause).alias(f"ignored_{cause}") for cause in ignored],
+        F.count_if(F.col(reason).isin(*failed)).alias("errors"),
+    )
+
+
 def category_pairs(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(c, s) for s, c in CATEGORY.items()], "category string, subcategory string")
 

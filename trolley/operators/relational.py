@@ -163,3 +163,8 @@ def best_scored(df: DataFrame, key: list[str], score: str, order: list) -> DataF
 def missing_by(df: DataFrame, column: str, by: str) -> DataFrame:
     """Rows without ``column``, counted by another one."""
     return df.filter(F.col(column).isNull()).groupBy(by).agg(F.count("*").alias("n"))
+
+
+def report_counts(reports: DataFrame, listing: str) -> DataFrame:
+    """Reports by listing and status; a report without a status is pending."""
+    return reports.groupBy(listing, F.coalesce("status", F.lit("pending")).alias("status")).agg(F.count("*").alias("n"))

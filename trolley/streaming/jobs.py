@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from trolley.functions.quantity import price_changed
 from trolley.operators.alerts import current_prices, not_logged, target_alerts, updated_log, with_message
+from trolley.sources.shared import written
 
 HISTORY = "store string, id string, ts timestamp, price double"
 
@@ -24,35 +24,52 @@ def first_in_run(stream: DataFrame, delay: str = "90 minutes") -> DataFrame:
     return stream.withWatermark("ts", delay).dropDuplicatesWithinWatermark(["store", "id"])
 
 
-def _changes(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Rows that change the price in cents, in event order; rows older than the state are dropped."""
-    last_ts, last_cents = state.get if state.exists else (None, None)
-    rows = pd.concat(list(batches), ignore_index=True).sort_values(["ts", "price"], kind="stable")
-    out = []
-    for row in rows.itertuples(index=False):
-        cents = None if pd.isna(row.cents) else int(row.cents)
-        stamp = row.ts.value
-        if last_ts is not None and stamp < last_ts:
-            continue
-        if last_cents is None or cents is not None and cents != last_cents:
-            out.append((key[0], key[1], row.ts, row.price))
-        last_ts, last_cents = stamp, cents
-    if last_ts is not None:
-        state.update((last_ts, last_cents))
-    yield pd.DataFrame(out, columns=["store", "id", "ts", "price"])
-
-
-def price_history(stream: DataFrame) -> DataFrame:
-    """Change-only history with the last price of each (store, id) as state.
-
-    Prices are compared in cents, rounded half up, and nulls as in the batch twin: a row
-    without a price is kept only as a first one or behind another, and the row behind one
-    is kept.
+def history_batches(base: str) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch function: rows that change the price of their (store, id) in cents, as in the batch twin.
+
+    Within a key rows are ordered by time, then price. Rows without a time and rows older
+    than the last one of their key in the batches before are dropped and counted. A key's
+    rows are compared day by day, each day with the last row of the day before, so a key
+    that holds much of the batch is dealt over many tasks. The last row of each key is the
+    state. Rows, state and counts are written below ``base`` under the batch's number, so
+    a repeated batch replaces its own output.
     """
-    cents = (F.col("price").try_cast("decimal(12,2)") * 100).cast("long")
-    return stream.withColumn("cents", cents).groupBy("store", "id").applyInPandasWithState(
-        _changes, HISTORY, "last_ts long, last_cents long", "append", GroupStateTimeout.NoTimeout
-    )
+
+    def run(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        shape = "k_store string, k_id string, last struct<ts:timestamp,price:double>"
+        last = spark.createDataFrame([], shape) if number == 0 else spark.read.schema(shape).parquet(f"{base}/state/{number - 1}")
+        rows = written(batch.select("store", "id", "ts", "price", F.date_trunc("day", "ts").alias("day")), "batch")
+        own = F.col("store").eqNullSafe(F.col("k_store")) & F.col("id").eqNullSafe(F.col("k_id"))
+        told = rows.join(last, own, "left")
+        fresh = F.col("ts").isNotNull() & F.coalesce(F.col("ts") >= F.col("last.ts"), F.lit(True))
+        kept = told.filter(fresh)
+        key = ["store", "id"]
+        ends = kept.groupBy(*key, "day").agg(F.max(F.struct("ts", "price")).alias("end"), F.first("last.price").alias("known"))
+        before = F.lag("end").over(Window.partitionBy(*key).orderBy("day"))
+        ends = ends.select(
+            F.col("store").alias("e_store"), F.col("id").alias("e_id"), F.col("day").alias("e_day"),
+            F.when(before.isNotNull(), before["price"]).otherwise(F.col("known")).alias("before"),
+        )
+        w = Window.partitionBy(*key, "day").orderBy("ts", "price")
+        first = F.row_number().over(w) == 1
+        inside = kept.select(*key, "ts", "price", "day", F.lag("price").over(w).alias("prev"), first.alias("first"))
+        on = F.col("store").eqNullSafe(F.col("e_store")) & F.col("id").eqNullSafe(F.col("e_id")) & (F.col("day") == F.col("e_day"))
+        prev = F.when(F.col("first"), F.col("before")).otherwise(F.col("prev"))
+        changes = inside.join(ends, on).filter(price_changed(prev, F.col("price"))).select(*key, "ts", "price")
+        changes.write.mode("overwrite").parquet(f"{base}/rows/batch={number}")
+        newest = kept.groupBy(F.col("store").alias("k_store"), F.col("id").alias("k_id")).agg(F.max(F.struct("ts", "price")).alias("last"))
+        both = last.withColumn("no", F.lit(0)).unionByName(newest.withColumn("no", F.lit(1)))
+        state = both.groupBy("k_store", "k_id").agg(F.max_by("last", "no").alias("last"))
+        state.write.mode("overwrite").parquet(f"{base}/state/{number}")
+        told.filter(~fresh).agg(F.count("*").alias("n")).write.mode("overwrite").parquet(f"{base}/late/batch={number}")
+
+    return run
+
+
+def history_rows(spark: SparkSession, base: str) -> DataFrame:
+    """The rows that ``history_batches`` has written."""
+    return spark.read.schema(f"{HISTORY}, batch long").parquet(f"{base}/rows").drop("batch")
 
 
 def alert_batches(alerts: DataFrame, log_path: str, out_path: str) -> Callable[[DataFrame, int], None]:
