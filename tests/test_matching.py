@@ -79,8 +79,19 @@ def test_review_rows_skip_known_keys_and_missing_prices(spark, found):
     assert rows.count() == 1
     assert matching.review_rows(low, rows.withColumn("name_a", F.upper("name_a"))).count() == 0
     decided = rows.select("store_a", "store_b", "name_a", "name_b", F.lit("approved").alias("status"))
-    after, canonical, prices = matching.apply_decisions(rows, decided, "2024-05-01")
+    products = spark.createDataFrame([], "product_id string, name string, brand string")
+    last = spark.createDataFrame([], "product_id string, store string, price double")
+    after, canonical, prices = matching.apply_decisions(rows, decided, "2024-05-01", products, last)
     assert after.first()["status"] == "approved" and canonical.first()["confidence"] == "manual" and prices.count() == 2
+    known = rows.select(F.lit("p1").alias("product_id"), F.col("name_a").alias("name"), "brand")
+    last = rows.select(F.lit("p1").alias("product_id"), F.col("store_a").alias("store"), F.col("price_a").alias("price"))
+    _, canonical, prices = matching.apply_decisions(rows, decided, "2024-05-01", known, last)
+    row = rows.first()
+    assert canonical.count() == 0
+    assert [(r["product_id"], r["store"], r["price"]) for r in prices.collect()] == [("p1", row["store_b"], row["price_b"])]
+    labelled = rows.withColumn("label", F.lit("suspect_quantity"))
+    counts = [matching.review_filter(labelled, s, g).count() for s, g in ((row["store_b"], None), ("x", None), (None, "suspect"), (None, "probable"))]
+    assert counts == [1, 0, 1, 0]
 
 
 def test_empty_catalogue(spark, catalogue):
@@ -104,10 +115,12 @@ def test_clusters_equal_one_global_pass(spark):
         rows.append((f"{a}::{rng.randrange(40)}", f"{b}::{rng.randrange(40)}", a, b, rng.randrange(75, 100) / 100, pair_no))
     edges = spark.createDataFrame(rows, "node_a string, node_b string, store_a string, store_b string, score double, pair_no int")
     got = constrained_clusters(edges, written).toPandas()
+    rounds = constrained_clusters(edges, written, most_edges=0).toPandas()
     whole = greedy_clusters(edges.toPandas().assign(component=0))
     whole = whole[whole.groupby("cluster")["node"].transform("size") >= 2]
     shape = lambda d: sorted((tuple(sorted(g["node"])), g["score"].iloc[0]) for _, g in d.groupby("cluster"))
-    assert shape(got) == shape(whole)
+    assert shape(got) == shape(whole) == shape(rounds)
+    assert sorted(rounds["cluster"]) == sorted(got["cluster"])
     assert all(g["store"].is_unique for _, g in got.groupby("cluster"))
     assert stores
 

@@ -1,13 +1,14 @@
 """Constrained clustering of matches: one listing per store, strongest edges first.
 
 Constrained clusters never cross a connected component of the edges, so components are
-found first and the greedy pass runs in each of them alone. A component beyond the
-given bound stops the job with its size instead of being cut.
+found first and the greedy pass runs in each of them alone. Components beyond a given
+number of edges are worked off by rounds of joins that accept the same edges.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import count
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -65,18 +66,62 @@ def greedy_clusters(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=[x.split()[0] for x in CLUSTERED.split(", ")])
 
 
+def clusters_by_rounds(edges: DataFrame, cut: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """What ``greedy_clusters`` gives, by joins, for components of any size.
+
+    Clusters only grow, so an edge between clusters with a common store will be rejected
+    whenever its turn comes. An open edge that comes first among those of both its clusters
+    meets them at its turn as they are now, so it is accepted; each round accepts all of
+    these. In the end every edge within a cluster has been accepted.
+    """
+    ends = F.explode(F.array(F.struct(F.col("node_a").alias("node"), F.col("store_a").alias("store")), F.struct(F.col("node_b").alias("node"), F.col("store_b").alias("store"))))
+    nodes = edges.select("component", ends.alias("x")).groupBy("component", "x.node").agg(F.min("x.store").alias("store"))
+    nodes = cut(nodes.select("*", F.col("node").alias("cluster"), F.array("store").alias("held")), "nodes")
+    order = F.struct((-F.col("score")).alias("falling"), "pair_no", "node_a", "node_b", "cluster_a", "cluster_b")
+    rest = edges.select("node_a", "node_b", "score", "pair_no")
+    for k in count():
+        own = lambda side: nodes.select(F.col("node").alias(f"node_{side}"), F.col("cluster").alias(f"cluster_{side}"), F.col("held").alias(f"held_{side}"))  # noqa: E731, B023
+        known = rest.join(own("a"), "node_a").join(own("b"), "node_b")
+        known = known.filter((F.col("cluster_a") != F.col("cluster_b")) & ~F.arrays_overlap("held_a", "held_b"))
+        known = cut(known, f"open{k}")
+        if known.isEmpty():
+            break
+        sides = F.explode(F.array("cluster_a", "cluster_b")).alias("cluster")
+        firsts = known.select(order.alias("edge"), F.array_union("held_a", "held_b").alias("held"), sides).groupBy("cluster").agg(
+            F.min(F.struct("edge", "held")).alias("first")
+        )
+        united = firsts.groupBy("first").agg(F.count("*").alias("n")).filter("n = 2").select(
+            F.explode(F.array("first.edge.cluster_a", "first.edge.cluster_b")).alias("cluster"),
+            F.least("first.edge.cluster_a", "first.edge.cluster_b").alias("into"),
+            F.col("first.held").alias("new_held"),
+        )
+        nodes = nodes.join(united, "cluster", "left").select(
+            "component", "node", "store", F.coalesce("into", "cluster").alias("cluster"), F.coalesce("new_held", "held").alias("held")
+        )
+        nodes = cut(nodes, f"nodes{k}")
+        rest = known.select(*rest.columns)
+    own = lambda side: nodes.select(F.col("node").alias(f"node_{side}"), F.col("cluster").alias(f"cluster_{side}"))
+    inside = edges.select("node_a", "node_b", "score").join(own("a"), "node_a").join(own("b"), "node_b").filter("cluster_a = cluster_b")
+    least = inside.groupBy(F.col("cluster_a").alias("cluster")).agg(F.least(F.lit(1.0), F.min("score")).alias("score"))
+    return nodes.join(least, "cluster", "left").select("component", "node", "store", "cluster", "score")
+
+
 def constrained_clusters(
-    edges: DataFrame, cut: Callable[[DataFrame, str], DataFrame], most_edges: int = 1_000_000
+    edges: DataFrame, cut: Callable[[DataFrame, str], DataFrame], most_edges: int = 100_000
 ) -> DataFrame:
-    """(component, node, store, cluster, score) of all clusters of two nodes or more."""
+    """(component, node, store, cluster, score) of all clusters of two nodes or more.
+
+    A component of up to ``most_edges`` edges is one group; the others go by rounds.
+    """
     edges = cut(edges, "match_edges")
     hashed = edges.select(F.xxhash64("node_a").alias("a"), F.xxhash64("node_b").alias("b"))
     parts = connected_components(hashed, cut)
     edges = edges.join(parts, F.xxhash64("node_a") == F.col("node")).select(*[x.split()[0] for x in EDGES.split(", ")])
-    largest = edges.groupBy("component").count().agg(F.max("count")).first()[0] or 0
-    if largest > most_edges:
-        raise RuntimeError(f"a component has {largest} edges; the bound is {most_edges}")
-    found = edges.groupBy("component").applyInPandas(greedy_clusters, CLUSTERED)
+    edges = cut(edges, "component_edges")
+    large = cut(edges.groupBy("component").count().filter(F.col("count") > most_edges).select("component"), "large")
+    found = edges.join(large, "component", "left_anti").groupBy("component").applyInPandas(greedy_clusters, CLUSTERED)
+    if not large.isEmpty():
+        found = found.unionByName(clusters_by_rounds(edges.join(large, "component", "left_semi"), cut))
     size = found.groupBy("cluster").count().filter("count >= 2").select("cluster")
     return found.join(size, "cluster", "left_semi").select(*found.columns)
 

@@ -20,6 +20,7 @@ from trolley.functions.quantity import (
     unit_price_ratio,
 )
 from trolley.functions.text import brand_norm, is_own_brand, name_tokens, normalized_text, plural_forms
+from trolley.operators.history import history_increment
 from trolley.sources.shared import written
 
 THRESHOLD = 0.45
@@ -170,6 +171,10 @@ def with_confidence(matches: DataFrame) -> DataFrame:
     return matches.filter(~F.col("own_brand") | fruit).withColumn("confidence", F.when(high, "high").otherwise("low"))
 
 
+#: The labels that a review filter asks for together.
+LABEL_GROUPS = {"suspect": ("suspect_price", "suspect_quantity"), "probable": ("probable",)}
+
+
 def review_rows(low: DataFrame, existing: DataFrame) -> DataFrame:
     """Low matches that are not in review yet (in any status) and have both prices."""
     key = lambda c: F.lower(F.trim(c))
@@ -205,26 +210,47 @@ def triage_label() -> Column:
     )
 
 
-def apply_decisions(review: DataFrame, decisions: DataFrame, day: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(review with new status, canonical rows of approved pairs, their prices, two each).
+def review_filter(review: DataFrame, store: str | None = None, group: str | None = None) -> DataFrame:
+    """Labelled review rows with ``store`` on either side and a label of ``group`` (suspect or probable)."""
+    if store is not None:
+        review = review.filter((F.col("store_a") == store) | (F.col("store_b") == store))
+    if group is not None:
+        review = review.filter(F.col("label").isin(*LABEL_GROUPS[group]))
+    return review
+
+
+def apply_decisions(
+    review: DataFrame, decisions: DataFrame, day: str, existing: DataFrame, latest: DataFrame
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(review with new status, new canonical rows of approved pairs, their changed prices).
 
     ``decisions`` has the review key and status approved or rejected; the last one given
-    is not known, so keys must be unique.
+    is not known, so keys must be unique. ``existing`` (product_id, name, brand) are the
+    canonical rows there are: an approved pair with the name and brand of one takes its id
+    and gives no row, so nothing is downgraded. Of several pairs of one new product the
+    best scored gives the row. ``latest`` (product_id, store, price) are the last prices;
+    only prices that differ in cents are returned, of a store given twice the lowest.
     """
     key = ["store_a", "store_b", "name_a", "name_b"]
     new = decisions.select(*key, F.col("status").alias("_new"))
     after = review.join(new, key, "left").withColumn("status", F.coalesce("_new", "status")).drop("_new")
+    known = existing.select(F.col("name").alias("_name"), F.col("brand").alias("_brand"), F.col("product_id").alias("_id"))
     approved = review.join(new.filter("_new = 'approved'"), key, "left_semi")
-    product = F.sha2(F.concat_ws("|", F.lower(F.trim("name_a")), F.lower(F.trim(F.coalesce("brand", F.lit(""))))), 256)
-    canonical = approved.select(
-        product.alias("product_id"), F.col("name_a").alias("name"), "brand", "category", "quantity", "quantity_unit",
+    approved = approved.join(
+        known, (F.col("name_a") == F.col("_name")) & F.col("brand").eqNullSafe(F.col("_brand")), "left"
+    )
+    fresh = F.sha2(F.concat_ws("|", F.lower(F.trim("name_a")), F.lower(F.trim(F.coalesce("brand", F.lit(""))))), 256)
+    approved = approved.withColumn("product_id", F.coalesce(F.col("_id").cast("string"), fresh))
+    row = F.struct(
+        F.col("name_a").alias("name"), "brand", "category", "quantity", "quantity_unit",
         F.coalesce("image_url_a", "image_url_b").alias("image_url"), F.lit("manual").alias("confidence"), "match_score",
     )
-    prices = approved.select(
-        product.alias("product_id"),
-        F.explode(F.array(
-            F.struct(F.col("store_a").alias("store"), F.col("price_a").alias("price")),
-            F.struct(F.col("store_b").alias("store"), F.col("price_b").alias("price")),
-        )).alias("p"),
-    ).select("product_id", "p.*", F.lit(day).cast("date").alias("day"))
-    return after, canonical, prices
+    canonical = approved.filter("_id is null").groupBy("product_id").agg(F.max_by(row, F.struct("match_score", *key)).alias("r"))
+    sides = F.array(
+        F.struct(F.col("store_a").alias("store"), F.col("price_a").alias("price")),
+        F.struct(F.col("store_b").alias("store"), F.col("price_b").alias("price")),
+    )
+    prices = approved.select("product_id", F.explode(sides).alias("p")).groupBy("product_id", "p.store").agg(F.min("p.price").alias("price"))
+    last = latest.select(F.col("product_id").cast("string"), "store", "price")
+    changed = history_increment(last, prices, ["product_id", "store"])
+    return after, canonical.select("product_id", "r.*"), changed.withColumn("day", F.lit(day).cast("date"))
