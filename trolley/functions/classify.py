@@ -7,6 +7,10 @@ rule matches is null. Long chains cost one regular expression per rule, so
 
 from __future__ import annotations
 
+import re
+
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -476,10 +480,16 @@ def category_of(subcategory: Column) -> Column:
     return pairs[subcategory]
 
 
+def ascii_boundaries(pattern: str) -> str:
+    """Word boundaries that know ASCII words only; the JVM's count other letters too."""
+    return re.sub(r"\\b(?=[a-z(])", "(?<![A-Za-z0-9_])", pattern).replace(r"\b", "(?![A-Za-z0-9_])")
+
+
 def first_rule(c: Column, rules, ignore_case: bool = True) -> Column:
     """Subcategory of the first rule whose pattern ``c`` contains."""
     out = None
     for subcategory, pattern in rules:
+        pattern = ascii_boundaries(pattern)
         test = c.rlike(f"(?i){pattern}" if ignore_case else pattern)
         out = F.when(test, subcategory) if out is None else out.when(test, subcategory)
     return out

@@ -102,6 +102,17 @@ def review_triage_counts(spark, sf_dir):
     return relational.with_percent(relational.counts_by(_review(spark, sf_dir), "label"))
 
 
+@query(
+    """SELECT store_a, store_b, name_a, name_b, label FROM rows
+    WHERE 'lidl' IN (store_a, store_b) AND label IN ('suspect_price', 'suspect_quantity')""",
+    REVIEW_SQL,
+)
+def review_of_store(spark, sf_dir):
+    """The suspect review rows with one store on either side."""
+    found = matching.review_filter(_review(spark, sf_dir), store="lidl", group="suspect")
+    return found.select("store_a", "store_b", "name_a", "name_b", "label")
+
+
 @query("SELECT floor(score * 20) / 20 AS band, count(*) AS n FROM m GROUP BY ALL", MATCHES)
 def score_band_histogram(spark, sf_dir):
     return quality.score_bands(matches(spark, sf_dir))
@@ -180,14 +191,10 @@ def prepared_names(spark, sf_dir):
     )
 
 
-@query(
-    r"""SELECT doc_id, regexp_replace(strip_accents(lower(substr(text, 1, 300))), '[^a-z0-9]+', '-', 'g') AS folded
-    FROM documents WHERE lang IN ('fr', 'es')"""
-)
+@query(r"SELECT doc_id, regexp_replace(strip_accents(lower(text)), '[^a-z0-9]+', '-', 'g') AS folded FROM documents")
 def folded_text(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").filter(F.col("lang").isin("fr", "es"))
-    folded = F.regexp_replace(T.strip_accents(F.lower(F.substring("text", 1, 300))), "[^a-z0-9]+", "-")
-    return docs.select("doc_id", folded.alias("folded"))
+    folded = F.regexp_replace(T.strip_accents(F.lower("text")), "[^a-z0-9]+", "-")
+    return table(spark, sf_dir, "documents").select("doc_id", folded.alias("folded"))
 
 
 @query(
@@ -219,14 +226,18 @@ def page_addresses(spark, sf_dir):
 
 
 @query(
-    r"""SELECT page_id, CAST(len(regexp_extract_all(html, '(?s)<li><a[^>]*>(.*?)</a>', 1)) AS INTEGER) AS crumbs,
-        coalesce(regexp_extract_all(html, '(?s)<li><a[^>]*>(.*?)</a>', 1)[1], '') AS first_crumb FROM pages
-    WHERE NOT regexp_matches(html, '<nav>.*&[a-z]+;.*</nav>')"""
+    r"""SELECT page_id, coalesce(CAST(len(names) AS INTEGER), 0) AS crumbs, coalesce(array_to_string(names, ' / '), '') AS path
+    FROM (SELECT page_id, list_filter(list_transform(regexp_extract_all(part, '(?s)<a[^>]*>(.*?)</a>', 1),
+            lambda x: trim(regexp_replace(regexp_replace(replace(replace(replace(replace(replace(replace(replace(replace(x,
+                '&quot;', '"'), '&euro;', '€'), '&#39;', chr(39)), '&apos;', chr(39)), '&nbsp;', chr(160)), '&lt;', '<'), '&gt;', '>'),
+                '&amp;', '&'), '<[^>]+>', ' ', 'g'), '[\s\x{00A0}]+', ' ', 'g'))),
+            lambda n: n <> '' AND lower(n) NOT IN ('home', 'página inicial', 'pagina inicial')) AS names
+        FROM (SELECT page_id, CASE WHEN instr(html, '<nav>') > 0 THEN substr(html, instr(html, '<nav>'), 6000) END AS part FROM pages))"""
 )
 def page_breadcrumbs(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages").filter(~F.col("html").rlike("<nav>.*&[a-z]+;.*</nav>"))
-    names = F.regexp_extract_all("html", F.lit(r"(?s)<li><a[^>]*>(.*?)</a>"), 1)
-    return pages.select("page_id", F.size(names).alias("crumbs"), F.coalesce(F.get(names, 0), F.lit("")).alias("first_crumb"))
+    pages = table(spark, sf_dir, "pages")
+    names = F.coalesce(pages_source.breadcrumb(F.col("html"), "<nav>"), F.array().cast("array<string>"))
+    return pages.select("page_id", F.size(names).alias("crumbs"), F.array_join(names, " / ").alias("path"))
 
 
 @query("SELECT reason AS value, count(*) AS n FROM (SELECT 'sem_ld_json' AS reason FROM pages) GROUP BY ALL")
@@ -769,16 +780,52 @@ def orphan_lines(spark, sf_dir):
 
 @query(
     r"""SELECT doc_id, CASE WHEN regexp_matches(t, 'cerveja|sidra') THEN 'cerveja'
-        WHEN regexp_matches(t, 'vinho|champanhe|espumante|moscatel|lambrusco|frisante|colheita tardia|\btinto\b|\bbranco\b|\brose\b|chardonnay|alentejo|douro|bairrada|vinha da madeira') THEN 'vinho'
+        WHEN regexp_matches(t, 'vinho|champanhe|espumante|moscatel|lambrusco|frisante|colheita tardia|\btinto\b|\bbranco\b|\brose\b|chardonnay|alentejo|douro|bairrada|vinha da madeira|caixa madeira [0-9]+ garraf') THEN 'vinho'
         WHEN regexp_matches(t, 'licor|whisky|vodka|\bgin\b|\brum\b|tequila|aguardente|brandy|conhaque|cachaca|absinto|cocktail|bebida espirituosa|jeropiga|bagaceira|grappa|calvados|mezcal|pisco|ginja') THEN 'bebidas_espirituosas'
         WHEN regexp_matches(t, '\b(agua|aguas)\b') THEN 'agua'
         WHEN regexp_matches(t, 'sumo|refrigerante|nectar|isotonica|energetica|ice tea|smoothie|dose fruta|kombucha|gasosa|limonada|\bsoda\b|mocktail') THEN 'refrigerantes_sumos'
         WHEN regexp_matches(t, '\bcafe\b|\bcha\b|infus|tisana') THEN 'cafe_cha' END AS subcategory
-    FROM (SELECT doc_id, strip_accents(lower(text)) AS t FROM documents WHERE lang <> 'de')"""
+    FROM (SELECT doc_id, strip_accents(lower(text)) AS t FROM documents)"""
 )
 def beverage_classifier(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").filter("lang <> 'de'")
-    return docs.select("doc_id", classify_beverage(F.col("text")).alias("subcategory"))
+    return table(spark, sf_dir, "documents").select("doc_id", classify_beverage(F.col("text")).alias("subcategory"))
+
+
+@query(
+    """SELECT id, CASE WHEN subcategory IS NULL THEN NULL WHEN p_partkey % 4 = 0 THEN 'breadcrumb'
+        WHEN store = 'aldi' THEN 'nome' ELSE 'breadcrumb' END AS subcategory_source FROM cat""",
+    CATALOGUE,
+)
+def provenance_backfill(spark, sf_dir):
+    """Every fourth product has its provenance; the others get it by the store that lists them."""
+    own = F.when((F.col("id").cast("long") % 4 == 0) & F.col("subcategory").isNotNull(), "breadcrumb")
+    products = part_catalogue(spark, sf_dir).select("id", "store", "subcategory", own.alias("subcategory_source"))
+    return history.backfill_provenance(products.drop("store"), products.select("id", "store"), "id", "aldi").select(
+        "id", "subcategory_source"
+    )
+
+
+@query(
+    """SELECT store, count(*) AS found, count(*) FILTER (reason IS NULL) AS saved,
+        count(*) FILTER (reason = 'too_high') AS ignored_too_high, count(*) FILTER (reason = 'too_low') AS ignored_too_low,
+        count(*) FILTER (reason = 'not_a_number') AS errors
+    FROM (SELECT store, CASE WHEN price IS NULL THEN 'not_a_number' WHEN price >= 100 THEN 'too_high'
+        WHEN store = 'pingo-doce' AND price < 0.05 THEN 'too_low' END AS reason FROM cat) GROUP BY store""",
+    CATALOGUE,
+)
+def run_summaries(spark, sf_dir):
+    rows = relational.valid_price(part_catalogue(spark, sf_dir))
+    return quality.run_summary(rows, "reason", ["too_high", "too_low"], ["not_a_number"], ["store"])
+
+
+@query(
+    """SELECT l_partkey AS product_id, CASE l_returnflag WHEN 'A' THEN 'reviewed' WHEN 'R' THEN 'dismissed' ELSE 'pending' END
+        AS status, count(*) AS n FROM lineitem GROUP BY ALL"""
+)
+def report_counts(spark, sf_dir):
+    status = F.when(F.col("l_returnflag") == "A", "reviewed").when(F.col("l_returnflag") == "R", "dismissed")
+    reports = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("product_id"), status.alias("status"))
+    return relational.report_counts(reports, "product_id")
 
 
 # --- streams ----------------------------------------------------------------------------
@@ -796,19 +843,19 @@ def _event_prices(events: DataFrame) -> DataFrame:
     WHERE prev IS NULL OR round(prev * 100) <> round(value * 100)"""
 )
 def streamed_price_history(spark, sf_dir):
-    """The events table as a stream through the stateful change-only history, run to its end."""
+    """The events table as a stream through the change-only history, run to its end."""
     from trolley.sources.shared import shared_dir
-    from trolley.streaming.jobs import HISTORY, price_history as stateful
+    from trolley.streaming.jobs import history_batches, history_rows
 
     events = table(spark, sf_dir, "events")
     base = shared_dir(spark)
     stream = spark.readStream.schema(events.schema).parquet(f"{sf_dir}/events.parque[t]")
     run = (
-        stateful(_event_prices(stream))
-        .writeStream.format("parquet")
-        .option("checkpointLocation", f"{base}/state")
+        _event_prices(stream)
+        .writeStream.foreachBatch(history_batches(base))
+        .option("checkpointLocation", f"{base}/checkpoint")
         .trigger(availableNow=True)
-        .start(f"{base}/rows")
+        .start()
     )
     run.awaitTermination()
-    return spark.read.schema(HISTORY).parquet(f"{base}/rows")
+    return history_rows(spark, base)
