@@ -183,13 +183,13 @@ def _sign(batches):
 
 
 def _id_bitmap(nodes: DataFrame, bits: int) -> np.ndarray:
-    """Bits of the hashed ids, or-ed together by Spark in rows of 4 KB."""
+    """Bits of the hashed ids, or-ed together by Spark in rows of 4 KB; at most 32 MB come back, in one job."""
     spot = F.pmod(F.xxhash64("node"), F.lit(bits))
     rows = (
         nodes.select(spot.alias("spot"))
         .groupBy(F.bitmap_bucket_number("spot").alias("bucket"))
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position("spot")).alias("bits"))
-        .toLocalIterator()
+        .collect()
     )
     size = 4096
     out = np.zeros((bits // (8 * size) + 2) * size, np.uint8)
