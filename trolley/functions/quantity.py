@@ -9,6 +9,7 @@ S = r"[\s\u00a0]*"
 END = r"(?![A-Za-z0-9_])"
 NUMBER = r"[0-9]+(?:[.,][0-9]+)?"
 UNIT = "kg|g|l|ml|cl"
+#: Patterns of a quantity, of a range that gives none, and of a pack (below).
 QUANTITY = rf"(?i)([0-9]+){S}x{S}({NUMBER}){S}({UNIT}){END}|({NUMBER}){S}({UNIT}){END}"
 RANGE = rf"(?i)(?:{NUMBER}{S}-{S}{NUMBER}|[<>+]{S}{NUMBER}){S}(?:{UNIT}){END}"
 START = r"(?<![A-Za-z0-9_])"
