@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,13 +38,17 @@ def _sql_list(words) -> str:
     return "[" + ", ".join(f"'{w}'" for w in words) + "]"
 
 
-def _pick(words, step: int = 1, shift: int = 1) -> tuple[Column, str]:
-    """A word of each part by its number, in Spark and in SQL."""
+def _pick(words, step: int = 1, shift: int = 1) -> tuple[Callable[[], Column], str]:
+    """A word of each part by its number, as a function for Spark (columns need a session) and in SQL."""
     n = len(words)
     at = f"CAST((p_partkey * {step} + p_partkey // {shift * n}) % {n} AS INTEGER) + 1"
-    key = F.col("p_partkey")
-    place = ((key * step + F.floor(key / (shift * n))) % n).cast("int") + 1
-    return F.element_at(F.array(*[F.lit(w) for w in words]), place), f"{_sql_list(words)}[{at}]"
+
+    def column() -> Column:
+        key = F.col("p_partkey")
+        place = ((key * step + F.floor(key / (shift * n))) % n).cast("int") + 1
+        return F.element_at(F.array(*[F.lit(w) for w in words]), place)
+
+    return column, f"{_sql_list(words)}[{at}]"
 
 
 def _sql_rules(text: str, rules, flags: str = "i") -> str:
@@ -75,24 +80,27 @@ def _classified(spark, sf_dir: str, text: Column, name: str, classify) -> DataFr
     return C.classify_distinct(rows, name, classify).select("p_partkey", name, "category", "subcategory")
 
 
-(A, SQL_A), (B, SQL_B) = _pick(WORDS), _pick(WORDS, 7, 3)
-CRUMBS, SQL_CRUMBS = F.concat(A, F.lit(" / "), B), f"{SQL_A} || ' / ' || {SQL_B}"
-(PARENT, SQL_PARENT), (LEAF, SQL_LEAF) = _pick(PARENTS), _pick(LEAVES, 3, 2)
-PATH, SQL_PATH = F.concat(F.lit("Loja/"), PARENT, F.lit("/"), LEAF), f"'Loja/' || {SQL_PARENT} || '/' || {SQL_LEAF}"
-(ONE, SQL_ONE), (TWO, SQL_TWO) = _pick(FIRST), _pick(SECOND, 5)
-URL = F.concat(F.lit("https://loja.example/home/produtos/"), ONE, F.lit("/"), TWO, F.lit("/a-1.html"))
+(first_word, SQL_A), (second_word, SQL_B) = _pick(WORDS), _pick(WORDS, 7, 3)
+SQL_CRUMBS = f"{SQL_A} || ' / ' || {SQL_B}"
+(parent, SQL_PARENT), (leaf, SQL_LEAF) = _pick(PARENTS), _pick(LEAVES, 3, 2)
+SQL_PATH = f"'Loja/' || {SQL_PARENT} || '/' || {SQL_LEAF}"
+(first_segment, SQL_ONE), (second_segment, SQL_TWO) = _pick(FIRST), _pick(SECOND, 5)
 SQL_URL = f"'https://loja.example/home/produtos/' || {SQL_ONE} || '/' || {SQL_TWO} || '/a-1.html'"
-SEED, SQL_SEED = _pick(SEEDS)
+seed, SQL_SEED = _pick(SEEDS)
+
+
+def _crumbs() -> Column:
+    return F.concat(first_word(), F.lit(" / "), second_word())
 
 
 @query(_sql(SQL_CRUMBS, _sql_rules("strip_accents(crumbs)", C.BREADCRUMB_1), "crumbs"))
 def breadcrumb_classes_first(spark, sf_dir):
-    return _classified(spark, sf_dir, CRUMBS, "crumbs", lambda c: C.classify_breadcrumb(c, 1))
+    return _classified(spark, sf_dir, _crumbs(), "crumbs", lambda c: C.classify_breadcrumb(c, 1))
 
 
 @query(_sql(SQL_CRUMBS, _sql_rules("strip_accents(crumbs)", C.BREADCRUMB_2), "crumbs"))
 def breadcrumb_classes_second(spark, sf_dir):
-    return _classified(spark, sf_dir, CRUMBS, "crumbs", lambda c: C.classify_breadcrumb(c, 2))
+    return _classified(spark, sf_dir, _crumbs(), "crumbs", lambda c: C.classify_breadcrumb(c, 2))
 
 
 @query(
@@ -105,12 +113,13 @@ def breadcrumb_classes_second(spark, sf_dir):
     )
 )
 def breadcrumb_classes_third(spark, sf_dir):
-    return _classified(spark, sf_dir, PATH, "crumbs", lambda c: C.classify_breadcrumb(c, 3))
+    path = F.concat(F.lit("Loja/"), parent(), F.lit("/"), leaf())
+    return _classified(spark, sf_dir, path, "crumbs", lambda c: C.classify_breadcrumb(c, 3))
 
 
 @query(_sql(f"{SQL_A} || ' ' || p_name || ' ' || {SQL_B}", _sql_rules("strip_accents(lower(name))", C.NAME_5), "name"))
 def name_classes(spark, sf_dir):
-    name = F.concat(A, F.lit(" "), F.col("p_name"), F.lit(" "), B)
+    name = F.concat(first_word(), F.lit(" "), F.col("p_name"), F.lit(" "), second_word())
     return _classified(spark, sf_dir, name, "name", C.classify_name)
 
 
@@ -126,7 +135,8 @@ def _sql_url() -> str:
 
 @query(_sql(SQL_URL, _sql_url(), "url"))
 def url_classes(spark, sf_dir):
-    return _classified(spark, sf_dir, URL, "url", C.classify_url_path)
+    url = F.concat(F.lit("https://loja.example/home/produtos/"), first_segment(), F.lit("/"), second_segment(), F.lit("/a-1.html"))
+    return _classified(spark, sf_dir, url, "url", C.classify_url_path)
 
 
 @query(
@@ -136,5 +146,5 @@ def url_classes(spark, sf_dir):
         FROM (SELECT p_partkey, 'https://loja.example' || {SQL_SEED} || '/a-' || p_partkey % 3 || '.html' AS url FROM part))"""
 )
 def seed_url_classes(spark, sf_dir):
-    url = F.concat(F.lit("https://loja.example"), SEED, F.lit("/a-"), (F.col("p_partkey") % 3).cast("string"), F.lit(".html"))
+    url = F.concat(F.lit("https://loja.example"), seed(), F.lit("/a-"), (F.col("p_partkey") % 3).cast("string"), F.lit(".html"))
     return _classified(spark, sf_dir, url, "url", lambda c: C.classify_seed_url(c, F.lit("mercearia_doce_salgada")))
