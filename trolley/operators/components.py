@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 #: The edges of one node are dealt over so many tasks, and more where adaptive execution splits a skewed join.
 SALTS = 8
+#: Up to so many edges, 16 bytes each, the minima are sent to every task instead (a count of the written edges decides).
+BROADCAST_EDGES = 250_000
 
 
 def _is_settled(edges: DataFrame) -> bool:
@@ -19,8 +21,10 @@ def _is_settled(edges: DataFrame) -> bool:
     return nodes.filter("up > 1 or (up = 1 and least = 0)").isEmpty()
 
 
-def _with_low(edges: DataFrame, low: DataFrame) -> DataFrame:
-    """``edges`` with the minimum of their a; both sides of the join are dealt out by node and salt."""
+def _with_low(edges: DataFrame, low: DataFrame, few: bool) -> DataFrame:
+    """``edges`` with the minimum of their a; both sides of the join are dealt out by node and salt, or few minima broadcast."""
+    if few:
+        return edges.join(F.broadcast(low), "a")
     salted = low.select("a", "low", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     own = edges.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(SALTS)).cast("int"))
     return own.join(salted, ["a", "salt"]).drop("salt")
@@ -32,17 +36,19 @@ def connected_components(edges: DataFrame, cut: Callable[[DataFrame, str], DataF
     ``cut`` writes a DataFrame and reads it back, so each step's plan is short and its
     rows are computed once. Nodes only in self edges are left out. Minima are aggregated
     before they are shuffled, and the edges of one node are joined with its minimum in
-    several tasks, however many edges it has.
+    several tasks, however many edges it has; the minima of few edges are broadcast.
     """
     e = edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     e = cut(e, "edges")
     for k in range(most_rounds):
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        few = e.count() <= BROADCAST_EDGES
         low = both.groupBy("a").agg(F.least("a", F.min("b")).alias("low"))
-        large = _with_low(both.filter("b > a"), low).select(F.col("b").alias("a"), F.col("low").alias("b")).distinct()
+        large = _with_low(both.filter("b > a"), low, few).select(F.col("b").alias("a"), F.col("low").alias("b"))
+        large = large if few else large.distinct()
         low = large.groupBy("a").agg(F.min("b").alias("low"))
         small = (
-            _with_low(large, low)
+            _with_low(large, low, few)
             .select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("low").alias("b")), F.struct("a", F.col("low").alias("b")))).alias("x"))
             .select("x.*")
             .filter("a <> b")
