@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from trolley.llm._common import written
 from trolley.llm.decontamination import FOLD
-from trolley.operators.components import connected_components
+from trolley.operators.components import SALTS, connected_components
 
 WORDS = 5
 LEAST = 0.8
@@ -264,12 +264,12 @@ def _compare(batches):
 
 
 def _verify(sets: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose shingle sets reach the least similarity."""
+    """Of the pairs (a, b) whose shingle sets reach the least similarity, the components (a, b) that they unite."""
     own = lambda c: sets.select(F.col("node").alias(c), F.col("set").alias(f"set_{c}"))
     return (
         pairs.join(own("a"), "a")
         .join(own("b"), "b")
-        .select("a", "b", "set_a", "set_b")
+        .select(F.col("of_a").alias("a"), F.col("of_b").alias("b"), "set_a", "set_b")
         .mapInArrow(_compare, "a long, b long")
     )
 
@@ -324,7 +324,7 @@ def _leaders(members: DataFrame, most: int) -> DataFrame:
 
 
 def _candidates(members: DataFrame, leaders: DataFrame, sketches: DataFrame, most_apart: int) -> DataFrame:
-    """(a, b), a above b: members and leaders of one bucket that are not of one class and may be alike."""
+    """(a, b, of_a, of_b), a above b, with their components: members and leaders of one bucket not of one class that may be alike."""
     planes = [c for c in sketches.columns if c not in ("node", "size")]
     told = [F.col("node").alias("leader"), F.col("size").alias("l_size"), *[F.col(c).alias(f"l_{c}") for c in planes]]
     apart = [F.col(c).bitwiseXOR(F.col(f"l_{c}")) for c in planes]
@@ -342,7 +342,10 @@ def _candidates(members: DataFrame, leaders: DataFrame, sketches: DataFrame, mos
         & (far <= most_apart)
     )
     met = m.join(_all_parts(leaders.join(sketches.select(*told), "leader")), on)
-    return met.select(F.greatest("node", "leader").alias("a"), F.least("node", "leader").alias("b")).distinct()
+    pair = [(F.col("node"), F.col("component")), (F.col("leader"), F.col("own"))]
+    ends = [F.struct(node.alias("node"), part.alias("of")) for node, part in pair]
+    met = met.select(F.greatest(*ends).alias("a"), F.least(*ends).alias("b"))
+    return met.select(F.col("a.node").alias("a"), F.col("b.node").alias("b"), F.col("a.of").alias("of_a"), F.col("b.of").alias("of_b")).distinct()
 
 
 def duplicate_classes(docs: DataFrame) -> DataFrame:
@@ -371,32 +374,27 @@ def duplicate_classes(docs: DataFrame) -> DataFrame:
     members = _buckets(crowded.withColumn("component", F.col("node")))
     sketches = written(nodes.drop("keys").join(crowded, "node", "left_semi").dropDuplicates(["node"]), "sketches")
     sets = _crowded_sets(plain, crowded.select("node"))
-    components, most_apart = None, MOST_APART
+    most_apart = MOST_APART
     for k in count():
         if members.isEmpty():
             break
         leaders = written(_leaders(members, LEADERS[min(k, len(LEADERS) - 1)]), f"leaders{k}")
         pairs = written(_candidates(members, leaders, sketches, most_apart), f"pairs{k}")
-        links = written(_verify(sets, pairs), f"links{k}")
-        if components is None:
-            components = connected_components(links, written)
-        elif not links.isEmpty():
-            known = components.select(F.col("node").alias("a"), F.col("component").alias("b"))
-            components = connected_components(links.unionByName(known), written)
-        rest = members.join(leaders.select("key", F.col("leader").alias("node")), ["key", "node"], "left_anti")
+        united = connected_components(_verify(sets, pairs), written)
+        some = not united.isEmpty()
+        if some:
+            alike = alike.unionByName(united.select(F.col("node").alias("a"), F.col("component").alias("b")))
         if k:
-            rest = _with_components(rest, components)
+            rest = members.join(leaders.select("key", F.col("leader").alias("node")), ["key", "node"], "left_anti")
         else:
-            left = _mixed(_with_components(rest, components)).select("node").distinct()
+            left = written(_mixed(_united(members, united)).select("node").distinct(), "left")
             tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-            left = written(left, "left")
             fine = sets.join(left, "node").select("node", "set").repartition(tasks, "node")
             fine = fine.mapInArrow(_fine_sketches, _FINE_COLUMNS)
             fine = written(fine.dropDuplicates(["node"]), "fine")
-            sketches, most_apart, rest = fine.drop("keys"), FINE_APART, _buckets(_with_components(_crowded(fine), components))
-        members = written(_mixed(written(rest, f"rest{k}")), f"members{k}")
-    if components is not None:
-        alike = alike.unionByName(components.select(F.col("node").alias("a"), F.col("component").alias("b")))
+            sketches, most_apart = fine.drop("keys"), FINE_APART
+            rest = _buckets(_crowded(fine).withColumn("component", F.col("node")))
+        members = written(_mixed(written(_united(rest, united) if some else rest, f"rest{k}")), f"members{k}")
     classes = connected_components(alike, written)
     return (
         base.select("doc_id")
@@ -405,13 +403,15 @@ def duplicate_classes(docs: DataFrame) -> DataFrame:
     )
 
 
-def _with_components(members: DataFrame, components: DataFrame) -> DataFrame:
-    """``members`` with the components found so far."""
-    return (
-        members.drop("component")
-        .join(components, "node", "left")
-        .withColumn("component", F.coalesce("component", "node"))
-    )
+def _united(members: DataFrame, united: DataFrame) -> DataFrame:
+    """``members`` with their components replaced by those of ``united`` (node, component), which names components as nodes.
+
+    The members of one component are dealt over several tasks.
+    """
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    now = united.select(F.col("node").alias("component"), F.col("component").alias("now"), salts)
+    own = members.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
+    return own.join(now, ["component", "salt"], "left").withColumn("component", F.coalesce("now", "component")).drop("salt", "now")
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
