@@ -118,7 +118,8 @@ def search(documents: DataFrame, queries: DataFrame, k: int = 60, fuzzy: float =
 def suggestions(products: DataFrame, queries: DataFrame, each: int = 20, k: int = 6) -> DataFrame:
     """query_id, label, kind, place: brands, then names, that start with the query; short ones first.
 
-    Labels and queries meet by equality on the prefix of each query's length.
+    Labels and queries meet by equality on the prefix of each query's length. Each distinct
+    text is answered once, however many queries ask for it.
     """
     q = queries.select("query_id", F.trim(folded(F.col("q"))).alias("q")).filter(F.length("q") > 0)
     lengths = F.broadcast(q.select(F.length("q").alias("n")).distinct())
@@ -127,11 +128,12 @@ def suggestions(products: DataFrame, queries: DataFrame, each: int = 20, k: int
     )
     labels = label("brand", "marca", 1).unionByName(label("name", "produto", 2)).filter("label <> ''").distinct()
     tried = labels.withColumn("_l", F.trim(folded(F.col("label")))).join(lengths, F.length("_l") >= F.col("n"))
-    hits = tried.withColumn("q", F.expr("substring(_l, 1, n)")).join(q, "q")
-    w = Window.partitionBy("query_id", "kind").orderBy(F.length("label"), "label")
+    hits = tried.withColumn("q", F.expr("substring(_l, 1, n)")).join(q.select("q").distinct(), "q")
+    w = Window.partitionBy("q", "kind").orderBy(F.length("label"), "label")
     top = hits.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= each)
-    w = Window.partitionBy("query_id").orderBy("priority", F.length("label"), "label")
-    return top.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= k).select("query_id", "label", "kind", "place")
+    w = Window.partitionBy("q").orderBy("priority", F.length("label"), "label")
+    top = top.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= k)
+    return q.join(top, "q").select("query_id", "label", "kind", "place")
 
 
 def expand_terms(terms: DataFrame) -> DataFrame:

@@ -685,11 +685,16 @@ def tiered_search(spark, sf_dir):
                 UNION ALL
                 SELECT DISTINCT query_id, trim(name), 'produto', 2 FROM cat JOIN q ON starts_with(lower(name), q.q)))
         WHERE r <= 20) WHERE place <= 6""",
-    CATALOGUE + ", q(query_id, q) AS (VALUES (1, 'brand#1'), (2, 'red'), (3, 'smal'), (4, 'a'))",
+    CATALOGUE
+    + """, q AS (SELECT CAST(id AS BIGINT) AS query_id, trim(lower(substr(CASE WHEN CAST(id AS BIGINT) % 40 = 0
+        THEN brand ELSE name END, 1, 7))) AS q FROM cat WHERE CAST(id AS BIGINT) % 20 = 0)""",
 )
 def search_suggestions(spark, sf_dir):
-    q = spark.createDataFrame([(1, "brand#1"), (2, "red"), (3, "smal"), (4, "a")], "query_id int, q string")
-    return search.suggestions(part_catalogue(spark, sf_dir), q)
+    """The first seven characters of the brand or name of each row whose id is divisible by 20, completed from all rows."""
+    products = part_catalogue(spark, sf_dir)
+    number = F.col("id").cast("long")
+    typed = F.substring(F.when(number % 40 == 0, F.col("brand")).otherwise(F.col("name")), 1, 7)
+    return search.suggestions(products, products.filter(number % 20 == 0).select(number.alias("query_id"), typed.alias("q")))
 
 
 # --- quality ----------------------------------------------------------------------------
