@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from trolley.operators import matching
+from trolley.operators import components, matching
 from trolley.operators.clustering import canonical_records, constrained_clusters, greedy_clusters, match_edges
 from trolley.operators.components import connected_components
 from trolley.sources.catalogue import CATALOGUE, PAIRS, store_pairs
@@ -125,7 +125,10 @@ def test_clusters_equal_one_global_pass(spark):
     assert stores
 
 
-def test_components_equal_union_find(spark):
+@pytest.mark.parametrize("most", [components.BROADCAST_EDGES, -1])
+def test_components_equal_union_find(spark, monkeypatch, most):
+    """Minima broadcast, and joined by salt."""
+    monkeypatch.setattr(components, "BROADCAST_EDGES", most)
     rng = random.Random(5)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(1000, i) for i in range(1001, 1200)]
     parent = {x: x for x in itertools.chain(*edges)}
