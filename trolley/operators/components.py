@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 #: The edges of one node are dealt over so many tasks, and more where adaptive execution splits a skewed join.
 SALTS = 8
-#: Up to so many edges, 16 bytes each, the minima are sent to every task instead (a count of the written edges decides).
+#: Up to so many edges, two minima of 16 bytes each (8 MB), the minima are sent to every task instead (a count of the written edges decides).
 BROADCAST_EDGES = 250_000
 
 
