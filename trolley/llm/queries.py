@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from trolley.llm._common import table
 from trolley.llm.attribution import attribute_tokens
+from trolley.llm.byte_pairs import round_trip_digests
 from trolley.llm.decontamination import contamination_report
 from trolley.llm.langid import identify_languages
 from trolley.llm.licenses import scan_licenses
@@ -58,6 +59,10 @@ def op10_norm_sorted_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(vectors, vectors.filter("vec_id % 100 = 0"))
 
 
+def op12_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip_digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -71,6 +76,7 @@ QUERIES = {
         op8_segment_field_pii,
         op9_decontamination,
         op10_norm_sorted_top_k,
+        op12_byte_pairs,
     )
 }
 
