@@ -15,6 +15,7 @@ from trolley.llm.packing import pack_documents
 from trolley.llm.pii import find_personal_data
 from trolley.llm.topk import exact_top_k
 from trolley.llm.toxicity import score_toxicity
+from trolley.llm.vector_codes import compress_vectors, with_label_errors
 from trolley.llm.warc import archive_round_trip
 
 
@@ -63,6 +64,11 @@ def op12_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip_digests(table(spark, sf_dir, "documents"))
 
 
+def op13_cover_tree_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = with_label_errors(compress_vectors(table(spark, sf_dir, "embeddings")))
+    return coded.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -77,10 +83,46 @@ QUERIES = {
         op9_decontamination,
         op10_norm_sorted_top_k,
         op12_byte_pairs,
+        op13_cover_tree_codes,
     )
 }
 
+def _codes_sql(rounds: int = 6) -> str:
+    """Lloyd's rounds by brute force: every part against every entry, one common table expression a round."""
+    nearest = """
+        SELECT v.row, v.p, min(list_sum(list_transform(list_zip(v.x, b.x), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) * 16 + b.e) AS best
+        FROM v JOIN b{0} b USING (p) GROUP BY ALL"""
+    steps = [
+        f"""a{k} AS ({nearest.format(k)}),
+        b{k + 1} AS (
+            SELECT b.p, b.e, coalesce(n.x, b.x) AS x FROM b{k} b LEFT JOIN (
+                SELECT p, e, list(CAST(((s - ((s % n) + n) % n) // n) AS BIGINT) ORDER BY i) AS x FROM (
+                    SELECT p, best % 16 AS e, i, sum(x[i]) AS s, count(*) AS n
+                    FROM a{k} JOIN v USING (row, p), (SELECT unnest(range(1, 9)) AS i) GROUP BY ALL)
+                GROUP BY ALL) n ON n.p = b.p AND n.e = b.e)"""
+        for k in range(rounds)
+    ]
+    return f"""
+        WITH k AS (
+            SELECT row_number() OVER (ORDER BY vec_id, embedding) AS row, vec_id, label,
+                list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        v AS MATERIALIZED (SELECT row, p, x[8 * p + 1 : 8 * p + 8] AS x FROM k, (SELECT unnest(range(8)) AS p)),
+        b0 AS (SELECT p, row - 1 AS e, x FROM v WHERE row <= 16), {', '.join(steps)},
+        final AS MATERIALIZED ({nearest.format(rounds)}),
+        c AS (
+            SELECT row, string_agg(printf('%02x', best % 16), '' ORDER BY p) AS code,
+                CAST(sum((best - best % 16) // 16) AS BIGINT) AS error
+            FROM final GROUP BY row)
+        SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+            (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, e)) FROM b{rounds}) AS codebooks_sha256
+        FROM k JOIN c USING (row)
+    """
+
+
 ORACLES: dict[str, str] = {
+    "op13_cover_tree_codes": _codes_sql(),
     "op5_warc_bundles": """
         WITH p AS (SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS h FROM pages),
         d AS (SELECT *, sha256(h) AS payload_digest, octet_length(encode(h)) AS payload_bytes FROM p),
