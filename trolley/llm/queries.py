@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from trolley.llm._common import table
 from trolley.llm.attribution import attribute_tokens
 from trolley.llm.byte_pairs import round_trip_digests
+from trolley.llm.collocations import collocations
 from trolley.llm.decontamination import contamination_report
 from trolley.llm.langid import identify_languages
 from trolley.llm.licenses import scan_licenses
@@ -60,6 +61,10 @@ def op10_norm_sorted_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(vectors, vectors.filter("vec_id % 100 = 0"))
 
 
+def op11_graph_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip_digests(table(spark, sf_dir, "documents"))
 
@@ -82,6 +87,7 @@ QUERIES = {
         op8_segment_field_pii,
         op9_decontamination,
         op10_norm_sorted_top_k,
+        op11_graph_collocations,
         op12_byte_pairs,
         op13_cover_tree_codes,
     )
@@ -122,6 +128,40 @@ def _codes_sql(rounds: int = 6) -> str:
 
 
 ORACLES: dict[str, str] = {
+    "op11_graph_collocations": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS doc, coalesce(lang, 'und') AS lang, string_split_regex(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[.,;:!?\x0A-\x0D]') AS pieces
+            FROM documents),
+        p AS (
+            SELECT lang, list_filter(string_split_regex(unnest(pieces), '[\x20\x09]+'), lambda w: w <> '') AS w FROM d),
+        g AS (
+            SELECT lang, size, array_to_string(list_slice(w, i, i + size - 1), ' ') AS phrase
+            FROM (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM p, range(1, 5) t(size)
+                WHERE len(w) >= size)),
+        f AS MATERIALIZED (SELECT lang, size, phrase, count(*) AS f FROM g GROUP BY ALL),
+        n AS (SELECT lang, sum(f) AS n FROM f WHERE size = 1 GROUP BY lang),
+        c AS MATERIALIZED (SELECT lang, size, phrase, string_split(phrase, ' ') AS w, f AS a FROM f WHERE size > 1 AND f >= 30),
+        hidden AS (
+            SELECT DISTINCT c.lang, c.phrase FROM c JOIN (
+                SELECT lang, a, array_to_string(list_slice(w, i, i + m - 1), ' ') AS part
+                FROM (SELECT lang, a, w, m, unnest(range(1, size - m + 2)) AS i FROM c, range(2, 4) t(m) WHERE m < size)
+            ) b ON b.lang = c.lang AND b.part = c.phrase AND 100 * b.a::HUGEINT >= 80 * c.a::HUGEINT),
+        cuts AS (
+            SELECT c.lang, c.phrase, a, k, array_to_string(list_slice(w, 1, k), ' ') AS x,
+                array_to_string(list_slice(w, k + 1, size), ' ') AS y
+            FROM c, range(1, 4) t(k) WHERE k < size AND (c.lang, c.phrase) NOT IN (SELECT (lang, phrase) FROM hidden)),
+        s AS (
+            SELECT cuts.lang, cuts.phrase, a, fx.f AS l, fy.f AS r, k, (2000000 * a::HUGEINT) // (fx.f + fy.f) AS score
+            FROM cuts JOIN f fx ON fx.lang = cuts.lang AND fx.phrase = x JOIN f fy ON fy.lang = cuts.lang AND fy.phrase = y),
+        b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS i FROM s) WHERE i = 1)
+        SELECT * FROM (
+            SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r,
+                CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+            FROM b JOIN n USING (lang))
+        WHERE rank <= 2000
+    """,
     "op13_cover_tree_codes": _codes_sql(),
     "op5_warc_bundles": """
         WITH p AS (SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS h FROM pages),
