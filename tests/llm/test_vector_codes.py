@@ -41,9 +41,9 @@ def plain(rows, parts=8, entries=16, rounds=6):
     return out, digest
 
 
-def compared(spark, rows):
+def compared(spark, rows, **more):
     table = spark.createDataFrame([(*r, "x", 1) for r in rows], SHAPE)
-    got = V.with_label_errors(V.compress_vectors(table)).collect()
+    got = V.with_label_errors(V.compress_vectors(table, **more)).collect()
     expected, digest = plain(rows)
     key = lambda r: tuple((x is None, x or 0) for x in r)
     assert sorted([(r["vec_id"], r["code"], r["error"], r["label"]) for r in got], key=key) == sorted(expected, key=key)
@@ -53,14 +53,12 @@ def compared(spark, rows):
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-def test_codes_equal_plain_rounds(spark, seed, monkeypatch):
-    monkeypatch.setattr(V, "CHUNK", 50)
-    monkeypatch.setattr(V, "LEAF", 3)
+def test_codes_equal_plain_rounds(spark, seed):
     random.seed(seed)
     hot = [random.gauss(0, 0.2) for _ in range(16)]
     rows = [(i, hot if i % 3 == 0 else [random.choice([0.1, -0.2, random.gauss(0, 0.2)]) for _ in range(16)], random.choice([None, 1, 2])) for i in range(240)]
     rows += [(5, rows[5][1], None), (None, rows[7][1], 3), (900, None, 1), (901, [None] * 16, 1), (902, [float("nan")] * 16, 1), (903, [float("inf")] * 16, 2), (904, [1.0], 1)]
-    compared(spark, rows)
+    compared(spark, rows, chunk=50, leaf=3)
 
 
 def test_large_components_few_rows_and_odd_dimensions(spark):

@@ -15,6 +15,7 @@ full bucket costs work, never rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -26,10 +27,6 @@ from trolley.llm._common import written
 
 #: Words of the longest phrase.
 LONGEST = 4
-#: Words counted together in a task, and bytes of text cut into words at once.
-GROUP, SLICE = 1 << 21, 1 << 22
-#: Buckets of pairs (as a power of two; their bits are broadcast: 32 MB) and the ranges they are added up in.
-BUCKET_BITS, RANGE_BITS = 28, 8
 #: Parts of a group that are ranked before the group is.
 RANKED_PARTS = 64
 #: Where pieces end.
@@ -37,18 +34,29 @@ PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
 _BYTES = bytes(46 if b in PIECE_ENDS else 32 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
+@dataclass(frozen=True)
+class Sizes:
+    """Words counted together in a task; bytes of text cut into words at once; buckets of pairs (as a power of
+    two: their bits, 32 MB, are broadcast) and ranges they are added up in. None of them changes a result."""
+
+    group: int = 1 << 21
+    slice: int = 1 << 22
+    bucket_bits: int = 28
+    range_bits: int = 8
+
+
 class _Numbers(dict):
     def __missing__(self, key):
         self[key] = n = len(self)
         return n
 
 
-def _word_numbers(text: str, numbers: _Numbers) -> list[np.ndarray]:
+def _word_numbers(text: str, numbers: _Numbers, size: int) -> list[np.ndarray]:
     """Numbers of the words in order, 0 where a piece ends and at the end."""
     data = text.encode().translate(_BYTES)
     out, at = [], 0
     while at < len(data):
-        stop = at + SLICE
+        stop = at + size
         if stop < len(data):
             ends = [x for x in (data.find(b" ", stop), data.find(b".", stop)) if x >= 0]
             stop = min(ends, default=len(data))
@@ -61,14 +69,15 @@ def _word_numbers(text: str, numbers: _Numbers) -> list[np.ndarray]:
 class _Group:
     """Words of consecutive documents: numbers, the language's number of each, and what they stand for."""
 
-    def __init__(self):
+    def __init__(self, sizes: Sizes):
+        self.sizes = sizes
         self.numbers, self.langs = _Numbers({b".": 0}), _Numbers()
         self.parts: list[np.ndarray] = []
         self.of: list[tuple[int, int]] = []
         self.size = 0
 
     def add(self, lang: str, text: str) -> None:
-        got = _word_numbers(text, self.numbers)
+        got = _word_numbers(text, self.numbers, self.sizes.slice)
         self.parts += got
         n = sum(map(len, got))
         self.of.append((self.langs[lang], n))
@@ -89,7 +98,7 @@ class _Group:
         mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + own[1:]
         mixed *= np.uint64(0x94D049BB133111EB)
         both = (self.word[:-1] > 0) & (self.word[1:] > 0)
-        return np.append(np.where(both, (mixed >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), -1), -1)
+        return np.append(np.where(both, (mixed >> np.uint64(64 - self.sizes.bucket_bits)).astype(np.int64), -1), -1)
 
     def phrases(self, at: np.ndarray, n: int | np.ndarray) -> list[str]:
         """The ``n`` words from each place on, joined by blanks."""
@@ -98,28 +107,29 @@ class _Group:
         return [b" ".join([words[x] for x in ids[a : a + k].tolist()]).decode() for a, k in zip(at.tolist(), n.tolist(), strict=True)]
 
 
-def _groups(batches) -> Iterator[_Group]:
+def _groups(batches, sizes: Sizes) -> Iterator[_Group]:
     """A text longer than a group has a group of its own."""
-    group = _Group()
+    group = _Group(sizes)
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
             text = text.as_py() or ""
-            if group.size and (group.size >= GROUP or len(text) > GROUP):
+            if group.size and (group.size >= sizes.group or len(text) > sizes.group):
                 group.close()
                 yield group
-                group = _Group()
+                group = _Group(sizes)
             group.add(lang, text)
     if group.size:
         group.close()
         yield group
 
 
-def _count_pairs(least: int):
+def _count_pairs(least: int, sizes: Sizes):
+    within = sizes.bucket_bits - sizes.range_bits
+
     def count(batches):
-        for group in _groups(batches):
+        for group in _groups(batches, sizes):
             bucket, n = np.unique((b := group.buckets())[b >= 0], return_counts=True)
-            within = BUCKET_BITS - RANGE_BITS
-            cuts = np.searchsorted(bucket, np.arange((1 << RANGE_BITS) + 1) << within)
+            cuts = np.searchsorted(bucket, np.arange((1 << sizes.range_bits) + 1) << within)
             low, n = (bucket & ((1 << within) - 1)).astype("<u4"), np.minimum(n, least).astype("<u2")
             rows = [(r, low[a:b].tobytes(), n[a:b].tobytes()) for r, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if a < b]
             if rows:
@@ -128,29 +138,35 @@ def _count_pairs(least: int):
     return count
 
 
-def _add_pairs(least: int):
-    """Bits of the buckets of each range that reach ``least``; counts stop there."""
+def _add_pairs(least: int, sizes: Sizes):
+    """Bits of the buckets of each range that reach ``least``; counts stop there. Rows come range by range."""
+    size = 1 << (sizes.bucket_bits - sizes.range_bits)
+
+    def packed(of: int, counts: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([of], pa.int32()), pa.array([np.packbits(counts >= least).tobytes()])], ["range", "bits"])
 
     def add(batches):
-        held: dict[int, np.ndarray] = {}
+        of, counts = -1, np.zeros(0, dtype=np.uint16)
         for batch in batches:
             for r, low, n in zip(*(batch.column(i) for i in range(3)), strict=True):
-                counts = held.setdefault(r.as_py(), np.zeros(1 << (BUCKET_BITS - RANGE_BITS), dtype=np.uint16))
+                if r.as_py() != of:
+                    if of >= 0:
+                        yield packed(of, counts)
+                    of, counts = r.as_py(), np.zeros(size, dtype=np.uint16)
                 at = np.frombuffer(low.as_buffer(), dtype="<u4")
                 counts[at] = np.minimum(counts[at].astype(np.uint32) + np.frombuffer(n.as_buffer(), dtype="<u2"), least)
-        if held:
-            bits = [np.packbits(c >= least).tobytes() for c in held.values()]
-            yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), pa.array(bits, pa.binary())], ["range", "bits"])
+        if of >= 0:
+            yield packed(of, counts)
 
     return add
 
 
-def _frequent_buckets(texts: DataFrame, least: int) -> np.ndarray:
+def _frequent_buckets(texts: DataFrame, least: int, sizes: Sizes) -> np.ndarray:
     """A bit for each bucket that may hold a pair of ``least`` occurrences; 32 MB whatever the input."""
-    counted = texts.mapInArrow(_count_pairs(least), "range int, low binary, n binary")
-    rows = counted.repartition(1 << RANGE_BITS, "range").mapInArrow(_add_pairs(least), "range int, bits binary")
-    size = 1 << (BUCKET_BITS - RANGE_BITS - 3)
-    bits = np.zeros((1 << RANGE_BITS, size), dtype=np.uint8)
+    counted = texts.mapInArrow(_count_pairs(least, sizes), "range int, low binary, n binary")
+    rows = counted.repartition("range").sortWithinPartitions("range").mapInArrow(_add_pairs(least, sizes), "range int, bits binary")
+    size = 1 << (sizes.bucket_bits - sizes.range_bits - 3)
+    bits = np.zeros((1 << sizes.range_bits, size), dtype=np.uint8)
     for row in rows.toLocalIterator():
         bits[row["range"]] = np.frombuffer(row["bits"], dtype=np.uint8)
     return bits.reshape(-1)
@@ -205,12 +221,12 @@ def _ends(group: _Group, joined: np.ndarray) -> Iterator[tuple[np.ndarray, int,
         yield at[first], n, weight
 
 
-def _flows(bits):
+def _flows(bits, sizes: Sizes):
     """Rows (lang, words, edge, weight): paths of the graph, and the ends of runs."""
 
     def flows(batches):
         frequent = bits.value
-        for group in _groups(batches):
+        for group in _groups(batches, sizes):
             bucket = group.buckets()
             joined = bucket >= 0
             own = bucket[joined]
@@ -225,7 +241,7 @@ def _flows(bits):
     return flows
 
 
-def phrase_counts(docs: DataFrame, least: int = 30) -> tuple[DataFrame, DataFrame]:
+def phrase_counts(docs: DataFrame, least: int = 30, sizes: Sizes = Sizes()) -> tuple[DataFrame, DataFrame]:
     """((lang, phrase, size, f) of all phrases of one to four words with f >= least, (lang, n) of all words).
 
     ``docs`` has text and lang; texts are lower-cased in A to Z, null text counts as empty and
@@ -234,8 +250,8 @@ def phrase_counts(docs: DataFrame, least: int = 30) -> tuple[DataFrame, DataFram
     """
     spark = docs.sparkSession
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), "text")
-    bits = spark.sparkContext.broadcast(_frequent_buckets(texts, least))
-    flows = written(texts.mapInArrow(_flows(bits), "lang string, words string, edge boolean, weight long"), "flows")
+    bits = spark.sparkContext.broadcast(_frequent_buckets(texts, least, sizes))
+    flows = written(texts.mapInArrow(_flows(bits, sizes), "lang string, words string, edge boolean, weight long"), "flows")
     words = F.split("words", " ", -1)
     starts = F.sequence(F.lit(1), F.size(words) - (LONGEST - 1))
     edges = flows.filter("edge").select("lang", F.explode(F.transform(starts, lambda i: F.array_join(F.slice(words, i, LONGEST), " "))).alias("phrase"), F.col("weight").alias("f"))
@@ -259,7 +275,7 @@ def _long(c: Column) -> Column:
     return c.cast("decimal(38,0)")
 
 
-def collocations(docs: DataFrame, least: int = 30, inside: int = 80, k: int = 2000) -> DataFrame:
+def collocations(docs: DataFrame, least: int = 30, inside: int = 80, k: int = 2000, sizes: Sizes = Sizes()) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: each language's ``k`` best phrases of two to four words.
 
     a is the phrase's count, l and r those of its parts at the cut that scores lowest (the
@@ -272,7 +288,7 @@ def collocations(docs: DataFrame, least: int = 30, inside: int = 80, k: int = 20
     split the rows of a very frequent word; the best are ranked in parts before a language
     meets in one task.
     """
-    counts, totals = phrase_counts(docs, least)
+    counts, totals = phrase_counts(docs, least, sizes)
     counts = written(counts, "counts")
     candidates = counts.filter("size > 1")
     parts = [

@@ -53,7 +53,7 @@ def _ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.arange(int(counts.sum())) + np.repeat(starts - before, counts)
 
 
-def build_tree(points: np.ndarray) -> CoverTree:
+def build_tree(points: np.ndarray, leaf: int = LEAF) -> CoverTree:
     """Level by level: a node's points are dealt to centres that lie more than half its radius apart.
 
     The first centre is the node's own. All nodes of a level are split side by side.
@@ -67,7 +67,7 @@ def build_tree(points: np.ndarray) -> CoverTree:
         here = real[order[_ranges(start, end - start)]]
         far = np.sqrt(((here - real[order[start]][own]) ** 2).sum(axis=1))
         radius = np.maximum.reduceat(far, np.cumsum(end - start) - (end - start)) if len(own) else np.zeros(len(start))
-        split = (end - start > LEAF) & (radius > 0)
+        split = (end - start > leaf) & (radius > 0)
         children = np.zeros(len(start), dtype=np.int64)
         at = np.flatnonzero(split)
         at_places = _ranges(start[at], (end - start)[at])
@@ -168,8 +168,8 @@ def _cuts(dim: int, parts: int) -> list[int]:
     return [dim * i // parts for i in range(parts + 1)]
 
 
-def _chunks(dim: int, parts: int):
-    """Rows (ids, labels, trees) of up to ``CHUNK`` consecutive vectors."""
+def _chunks(dim: int, parts: int, chunk: int, leaf: int):
+    """Rows (ids, labels, trees) of up to ``chunk`` consecutive vectors."""
     cuts = _cuts(dim, parts)
 
     def build(batches):
@@ -179,17 +179,17 @@ def _chunks(dim: int, parts: int):
             rows = pa.Table.from_batches(held).combine_chunks()
             ids, labels, lists = (c.chunk(0) if c.num_chunks else pa.array([], c.type) for c in rows.columns)
             whole = np.floor(lists.flatten().to_numpy(zero_copy_only=False).reshape(len(ids), dim) * SCALE)
-            trees = [build_tree(_narrow(whole[:, a:b])) for a, b in zip(cuts, cuts[1:], strict=False)]
+            trees = [build_tree(_narrow(whole[:, a:b]), leaf) for a, b in zip(cuts, cuts[1:], strict=False)]
             one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
             return pa.RecordBatch.from_arrays([one(ids), one(labels), pa.array([pickle.dumps(trees, protocol=5)], pa.binary())], ["ids", "labels", "trees"])
 
         for batch in batches:
             at = 0
             while at < batch.num_rows:
-                room = CHUNK - sum(x.num_rows for x in held)
+                room = chunk - sum(x.num_rows for x in held)
                 held.append(batch.slice(at, room))
                 at += held[-1].num_rows
-                if sum(x.num_rows for x in held) == CHUNK:
+                if sum(x.num_rows for x in held) == chunk:
                     yield flush()
                     held.clear()
         if held:
@@ -258,7 +258,7 @@ def _digest(books: list[np.ndarray]) -> str:
     return hashlib.sha256(",".join(str(int(x)) for book in books for row in book for x in row).encode()).hexdigest()
 
 
-def compress_vectors(vectors: DataFrame, parts: int = 8, entries: int = 16, rounds: int = 6) -> DataFrame:
+def compress_vectors(vectors: DataFrame, parts: int = 8, entries: int = 16, rounds: int = 6, chunk: int = CHUNK, leaf: int = LEAF) -> DataFrame:
     """vec_id, code, error, label, codebooks_sha256 of every vector; at most 256 entries.
 
     ``vectors`` has vec_id, embedding and label (any type that can be a key; other columns
@@ -290,7 +290,7 @@ def compress_vectors(vectors: DataFrame, parts: int = 8, entries: int = 16, roun
     cuts = _cuts(dim, parts)
     books = [_book(start[:, a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
     rows = kept.filter(F.size("embedding") == dim).select("vec_id", "label", "embedding")
-    trees = written(rows.mapInArrow(_chunks(dim, parts), f"ids array<long>, labels array<{label_type}>, trees binary"), "trees")
+    trees = written(rows.mapInArrow(_chunks(dim, parts, chunk, leaf), f"ids array<long>, labels array<{label_type}>, trees binary"), "trees")
     for _ in range(rounds):
         sums = trees.select("trees").mapInArrow(_sums(books), "sums binary").repartition(ADDERS).mapInArrow(_add, "sums binary")
         totals = None
