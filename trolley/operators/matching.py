@@ -1,16 +1,24 @@
 """Same product, different store: blocking, gates, name score and the best candidate.
 
 Gates that ask for equal sets (flavour, variant, polarity) are signatures and part of
-the join key, so candidates are made by equi-joins only; what remains is a residual
-on the pair. The best candidate is an aggregate with a map-side part, not a window.
+the join key. So is the quantity gate: quantities lie in logarithmic bins as wide as the
+tolerance, and a row asks for its own and the neighbouring bins of every kind it can be
+compared with. So is, for the best match, the least name score: rows meet over one of
+their rarest tokens, of which a pair that scores enough shares one. What remains is a
+residual on the pair. Ids, tokens and what gates need go through the join; the rest of
+a row is fetched for the winners. The best candidate is an aggregate with a map-side part,
+not a window.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trolley.functions.quantity import (
+    TOLERANCE,
     UNIT_PRICE_TOLERANCE,
     jaccard,
     pack_count,
@@ -21,6 +29,7 @@ from trolley.functions.quantity import (
 )
 from trolley.functions.text import brand_norm, is_own_brand, name_tokens, normalized_text, plural_forms
 from trolley.operators.history import history_increment
+from trolley.operators.set_join import frequencies, least_overlap, rare_first
 from trolley.sources.shared import written
 
 THRESHOLD = 0.45
@@ -48,6 +57,12 @@ POLARITY = "gluten acucar lactose sal gordura cafeina conservantes corantes alco
 PACK_SENSITIVE = ("refrigerantes_sumos", "agua")
 #: What a side of a match carries.
 SIDE = ("id", "name", "brand", "price", "price_per_unit", "qty", "url", "image_url", "category", "subcategory")
+#: What gates and scores need of a side of a candidate pair.
+GATED = ("row", "id", "tokens", "qty", "category", "subcategory", "price_per_unit", "packs", "block", "own_brand")
+#: The width of a bin of quantities; a little more than the tolerance, against rounding.
+BIN = -math.log(1 - TOLERANCE) * (1 + 1e-9)
+#: The bin of negative quantities, which the tolerance cannot tell apart.
+NEGATIVE = -1_000_000
 
 
 def word_signature(tokens: Column, words) -> Column:
@@ -66,7 +81,7 @@ def polarity_signature(text: Column) -> Column:
 
 
 def prepare(catalogue: DataFrame, version: str = "v2") -> DataFrame:
-    """Adds own_brand, qty, tokens, brand_norm, block and the signatures."""
+    """Adds own_brand, qty, packs, tokens, brand_norm, block and the signatures."""
     name, brand = F.col("name"), F.trim(F.coalesce("brand", F.lit("")))
     own = is_own_brand(F.col("store"), brand)
     named = F.when(own, "").otherwise(brand)
@@ -74,6 +89,7 @@ def prepare(catalogue: DataFrame, version: str = "v2") -> DataFrame:
         "*",
         own.alias("own_brand"),
         quantity_or_proxy(name, F.col("price"), F.col("price_per_unit")).alias("qty"),
+        F.coalesce(pack_count(name), F.lit(1)).alias("packs"),
         name_tokens(name, named, version).alias("tokens"),
         polarity_signature(normalized_text(name, named)).alias("polarity"),
         brand_norm(brand).alias("brand_norm"),
@@ -86,28 +102,59 @@ def prepare(catalogue: DataFrame, version: str = "v2") -> DataFrame:
     )
 
 
-def candidate_pairs(prepared: DataFrame, pairs: DataFrame) -> DataFrame:
-    """All pairs (a, b) of the ordered store pairs that share a block and all signatures.
+def quantity_bin(q: Column) -> Column:
+    """Quantities within the tolerance of each other have the same bin or neighbouring ones; zero has none."""
+    return F.when(q < 0, NEGATIVE).when(q > 0, F.floor(F.ln(q) / BIN)).cast("long")
+
+
+def wanted_bins(qty: Column, scale: bool) -> Column:
+    """array<struct<kind, bin>>: where the rows lie that ``qty`` may match, as ``qty_matches`` scales them."""
+    q, times = qty["qty"], 1000.0 if scale else 1.0
+
+    def around(kind, x):
+        kind = F.lit(kind) if isinstance(kind, str) else kind
+        return F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda d: F.struct(kind.alias("kind"), (quantity_bin(x) + d).alias("bin")))
+
+    proxy = F.concat(around("proxy", q), around("weight", q * times), around("volume", q * times))
+    none = F.array(F.struct(F.lit("none").alias("kind"), F.lit(0).cast("long").alias("bin")))
+    return F.when(qty.isNull(), none).when(qty["kind"] == "proxy", proxy).otherwise(F.concat(around(qty["kind"], q), around("proxy", q / times)))
+
+
+def candidate_pairs(prepared: DataFrame, pairs: DataFrame, scale: bool = True, least: float = 0.0) -> DataFrame:
+    """All pairs (a, b) of the ordered store pairs that share a block and all signatures and may pass the quantity gate.
 
     A side in the relaxed category meets its own real brand in any category and, besides,
-    every brand of its category.
+    every brand of its category. ``prepared`` has a unique number ``row``. With ``least``
+    above 0 pairs that cannot score so much may be missing, and pairs may repeat.
     """
-    keep = [*prepared.columns]
-    a = prepared.join(F.broadcast(pairs), F.col("store") == F.col("store_a")).select(
-        "store_a", "store_b", "pair_no", F.struct(*keep).alias("a"), "block", "brand_norm", "own_brand", "category",
-        "flavour", "variant", "polarity",
+    keys = ["flavour", "variant", "polarity", "kind", "bin"]
+    rows = prepared.filter(F.size("tokens") > 0) if least else prepared
+    if least:
+        sets = rows.select(F.col("row").alias("id"), "tokens")
+        sorted_ = rare_first(sets, frequencies(sets))
+        kept = (F.col("size") - F.ceil(F.col("size") * least - 1e-9) + 1).cast("int")
+        first = sorted_.select(F.col("id").alias("row"), "size", F.posexplode(F.slice("tokens", F.lit(1), kept)).alias("place", "token"))
+        rows = rows.join(first, "row")
+        keys.append("token")
+    else:
+        rows = rows.withColumns({"size": F.lit(0), "place": F.lit(0)})
+    asked = rows.withColumn("_w", F.explode(F.array_distinct(wanted_bins(F.col("qty"), scale))))
+    asked = asked.withColumns({"kind": F.col("_w.kind"), "bin": F.col("_w.bin")}).filter("bin is not null")
+    a = asked.join(F.broadcast(pairs), F.col("store") == F.col("store_a")).select(
+        "store_a", "store_b", "pair_no", F.struct(*GATED).alias("a"), "block", "brand_norm", "own_brand", "category",
+        F.col("size").alias("size_a"), F.col("place").alias("place_a"), *keys,
     )
-    b = prepared.select(
-        F.struct(*keep).alias("b"), F.col("store").alias("b_store"), F.col("block").alias("b_block"),
-        F.col("category").alias("b_category"), F.col("flavour").alias("b_flavour"),
-        F.col("variant").alias("b_variant"), F.col("polarity").alias("b_polarity"),
+    lies = rows.withColumns({"kind": F.coalesce("qty.kind", F.lit("none")), "bin": F.when(F.col("qty").isNull(), F.lit(0)).otherwise(quantity_bin(F.col("qty.qty")))})
+    b = lies.filter("bin is not null").select(
+        F.struct(*GATED).alias("b"), F.col("store").alias("b_store"), F.col("block").alias("b_block"), F.col("category").alias("b_category"),
+        F.col("size").alias("size_b"), F.col("place").alias("place_b"), *[F.col(k).alias(f"b_{k}") for k in keys],
     )
-    same = (
-        (F.col("store_b") == F.col("b_store"))
-        & (F.col("flavour") == F.col("b_flavour"))
-        & (F.col("variant") == F.col("b_variant"))
-        & (F.col("polarity") == F.col("b_polarity"))
-    )
+    same = F.col("store_b") == F.col("b_store")
+    for k in keys:
+        same = same & (F.col(k) == F.col(f"b_{k}"))
+    if least:
+        rest = F.least(F.col("size_a") - F.col("place_a"), F.col("size_b") - F.col("place_b"))
+        same = same & (rest >= least_overlap(least, F.col("size_a"), F.col("size_b")))
     relaxed = F.coalesce(F.col("category") == RELAXED, F.lit(False))
     real = ~F.col("own_brand") & (F.col("brand_norm") != "")
     by_brand = F.col("brand_norm") == F.col("b_block")
@@ -122,6 +169,11 @@ def candidate_pairs(prepared: DataFrame, pairs: DataFrame) -> DataFrame:
     )
 
 
+def numbered(prepared: DataFrame) -> DataFrame:
+    """The prepared rows, written once with a number each."""
+    return written(prepared.withColumn("row", F.monotonically_increasing_id()), "prepared")
+
+
 def same_real_brand() -> Column:
     a, b = F.col("a.block"), F.col("b.block")
     return (a != "OWN") & (a != "") & (a == b)
@@ -136,31 +188,27 @@ def passes_gates(version: str = "v2") -> Column:
     gated = F.coalesce((a["category"] == RELAXED) | (b["category"] == RELAXED), F.lit(False)) & ~same_real_brand()
     far = F.coalesce(unit_price_ratio(a["price_per_unit"], b["price_per_unit"]) > UNIT_PRICE_TOLERANCE, F.lit(False))
     sub = F.coalesce(F.nullif(a["subcategory"], F.lit("")), b["subcategory"])
-    one = lambda x: F.coalesce(pack_count(x["name"]), F.lit(1))
-    packs_differ = F.coalesce(sub.isin(*PACK_SENSITIVE), F.lit(False)) & (one(a) != one(b))
+    packs_differ = F.coalesce(sub.isin(*PACK_SENSITIVE), F.lit(False)) & (a["packs"] != b["packs"])
     return quantity & ~(gated & far) & ~packs_differ
 
 
 def match_all(catalogue: DataFrame, pairs: DataFrame, version: str = "v2") -> DataFrame:
     """The best candidate in store_b of each row of store_a, for all store pairs in one job.
 
-    The prepared catalogue is written once: six branches read it, none repeats the text
+    The prepared catalogue is written once: all branches read it, none repeats the text
     work. Score ties go to the brand bucket, then to the smaller id; several rows may pick the
     same candidate. Columns: store_a, store_b, pair_no, score, own_brand, a, b.
     """
-    prepared = written(prepare(catalogue, version), "prepared")
-    pairs_of = candidate_pairs(prepared, pairs).filter(passes_gates(version))
-    scored = pairs_of.withColumn("score", jaccard(F.col("a.tokens"), F.col("b.tokens"))).filter(F.col("score") > 0)
-    side = lambda c: F.struct(*[F.col(f"{c}.{x}") for x in SIDE]).alias(c)
+    prepared = numbered(prepare(catalogue, version))
+    pairs_of = candidate_pairs(prepared, pairs, scale=version != "v1", least=THRESHOLD).filter(passes_gates(version))
+    scored = pairs_of.withColumn("score", jaccard(F.col("a.tokens"), F.col("b.tokens"))).filter(F.col("score") >= THRESHOLD)
     order = F.struct((-F.col("score")).alias("s"), "source", F.col("b.id").alias("i"))
-    best = scored.groupBy("store_a", "store_b", "pair_no", F.col("a.id").alias("id_a")).agg(
-        F.min_by(F.struct("score", F.col("a.own_brand").alias("own_brand"), side("a"), side("b")), order).alias("m")
-    )
-    return (
-        best.filter(F.col("m.score") >= THRESHOLD)
-        .select("store_a", "store_b", "pair_no", "m.*")
-        .withColumn("score", F.round("score", 3))
+    best = scored.groupBy("store_a", "store_b", "pair_no", F.col("a.row").alias("row_a")).agg(
+        F.min_by(F.struct("score", F.col("a.own_brand").alias("own_brand"), F.col("b.row").alias("row_b")), order).alias("m")
     )
+    side = lambda c: prepared.select(F.col("row").alias(f"row_{c}"), F.struct(*SIDE).alias(c))
+    best = best.select("store_a", "store_b", "pair_no", "row_a", "m.*").join(side("a"), "row_a").join(side("b"), "row_b")
+    return best.select("store_a", "store_b", "pair_no", F.round("score", 3).alias("score"), "own_brand", "a", "b")
 
 
 def with_confidence(matches: DataFrame) -> DataFrame:

@@ -1,18 +1,25 @@
 """Tiered product search over a table of queries, suggestions and synonyms.
 
-Products and queries meet through postings (lexemes and trigrams) by equality, so no
-query is compared with every product; tiers are verified on the candidates. Rank is
-the highest of the share of the document's lexemes that the query covers and the two
-trigram similarities; it stands in for a text engine's rank and is not equal to it.
+An index is written once: postings with positions, the products' normal forms and their
+lexemes and trigrams, rare ones first. Lexeme tiers reach products through the two rarest
+lexemes of a query and are decided by positions. The fuzzy tier is a set-similarity join
+by prefix filtering; it begins with a high similarity and goes down only for queries
+that have too few products, so that no query meets all products. Rank is the highest of the
+share of the document's lexemes that the query covers and the two trigram similarities; it
+stands in for a text engine's rank and is not equal to it.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trolley.functions.quantity import similarity, trigrams
+from trolley.functions.quantity import jaccard, trigrams
 from trolley.functions.text import plain_ascii, singular, strip_accents
+from trolley.operators.set_join import containing_candidates, frequencies, rare_first, similar_candidates, top_k
+from trolley.sources.shared import written
 
 #: Portuguese function words, without accents.
 STOP_WORDS = (
@@ -60,59 +67,126 @@ def search_documents(products: DataFrame) -> DataFrame:
     )
 
 
-def has_phrase(document: Column, query: Column) -> Column:
-    n = F.size(query)
-    starts = F.sequence(F.lit(1), F.size(document) - n + 1)
-    found = F.exists(starts, lambda i: F.slice(document, i, n) == query)
-    return F.when((n > 0) & (F.size(document) >= n), found).otherwise(F.lit(False))
+@dataclass
+class SearchIndex:
+    """Written tables: the products (id, name, class_id); their classes, which search in one way; postings; sorted sets."""
+
+    members: DataFrame
+    classes: DataFrame
+    postings: DataFrame
+    lexeme_counts: DataFrame
+    lexeme_sets: DataFrame
+    gram_counts: DataFrame
+    gram_sets: DataFrame
+
+
+def build_index(documents: DataFrame) -> SearchIndex:
+    """The index of ``search_documents`` rows.
+
+    A class is the products with the same name, brand and lexemes. Postings are (lexeme,
+    class_id, positions, in_brand). Sets are distinct: lexemes by class, trigrams by text.
+    """
+    text = F.concat_ws("\n", "name_norm", "brand_norm", F.array_join("lexemes", " "))
+    rows = written(documents.withColumn("class_id", F.unhex(F.sha2(text, 256))), "documents")
+    forms = ["name_norm", "brand_norm", "lexemes", "brand_lexemes"]
+    classes = rows.groupBy("class_id").agg(*[F.any_value(c).alias(c) for c in forms], F.count("*").alias("n"))
+    classes = written(classes.withColumns({"name_grams": trigrams(F.col("name_norm")), "brand_grams": trigrams(F.col("brand_norm"))}), "classes")
+    places = F.transform(
+        F.array_distinct("lexemes"),
+        lambda x: F.struct(
+            x.alias("lexeme"),
+            F.filter(F.transform("lexemes", lambda y, i: F.when(y == x, i)), lambda i: i.isNotNull()).alias("positions"),
+            F.array_contains("brand_lexemes", x).alias("in_brand"),
+        ),
+    )
+    postings = written(classes.select("class_id", F.explode(places).alias("p")).select("p.lexeme", "class_id", "p.positions", "p.in_brand"), "postings")
+    counts = written(postings.groupBy(F.col("lexeme").alias("token")).agg(F.count("*").alias("n")), "lexemes")
+    sets = rare_first(classes.select(F.col("class_id").alias("id"), F.col("lexemes").alias("tokens")), counts)
+    full = classes.select(F.col("class_id").alias("id"), F.size("lexemes").alias("full"))
+    names = classes.select(F.col("name_norm").alias("id"), F.col("name_grams").alias("tokens"))
+    texts = names.unionByName(classes.select(F.col("brand_norm").alias("id"), F.col("brand_grams").alias("tokens"))).dropDuplicates(["id"])
+    texts = written(texts, "texts")
+    gram_counts = written(frequencies(texts), "grams")
+    return SearchIndex(
+        written(rows.select("id", "name", "class_id"), "members"), classes, postings, counts,
+        written(sets.join(full, "id"), "lexeme_sets"), gram_counts, written(rare_first(texts, gram_counts), "gram_sets"),
+    )
 
 
-def covers(document: Column, query: Column) -> Column:
-    return (F.size(query) > 0) & (F.size(F.array_except(query, document)) == 0)
+def _lexeme_tiers(index: SearchIndex, asked: DataFrame) -> DataFrame:
+    """(q, class_id, tier) of the classes whose name is the query (1) or that hold all its lexemes (2, 3, 4)."""
+    exact = asked.join(index.classes.select(F.col("name_norm").alias("q"), "class_id"), "q").select("q", "class_id", F.lit(1).alias("tier"))
+    words = asked.select("q", F.size("q_lexemes").alias("n"), F.posexplode("q_lexemes").alias("j", "lexeme"))
+    # A query with a lexeme that no product has is out here: its rarest lexeme has no count.
+    known = words.join(index.lexeme_counts.withColumnsRenamed({"token": "lexeme", "n": "df"}), "lexeme", "left")
+    rarest = known.groupBy("q").agg(F.array_sort(F.collect_set(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "lexeme"))).alias("x"))
+    anchors = rarest.filter(F.col("x")[0]["df"] > 0).select("q", F.explode(F.slice("x.lexeme", 1, 2)).alias("lexeme"), F.least(F.size("x"), F.lit(2)).alias("anchors"))
+    reached = anchors.join(index.postings.select("lexeme", "class_id"), "lexeme").groupBy("q", "class_id", "anchors").agg(F.count("*").alias("n"))
+    reached = reached.filter("n = anchors").select("q", "class_id")
+    hits = reached.join(words, "q").join(index.postings, ["lexeme", "class_id"])
+    starts = F.transform("positions", lambda p: p - F.col("j"))
+    held = hits.groupBy("q", "class_id").agg(
+        F.any_value("n").alias("n"), F.count_distinct("j").alias("found"), F.bool_and("in_brand").alias("brand"),
+        F.flatten(F.collect_list(starts)).alias("starts"),
+    )
+    # A start that every lexeme of the query has at its distance begins the phrase.
+    phrase = F.exists(F.array_distinct("starts"), lambda s: F.size(F.filter("starts", lambda x: x == s)) == F.col("n"))
+    tier = F.when(F.col("brand"), 2).when(phrase, 3).otherwise(4)
+    both = exact.unionByName(held.filter("found = n").select("q", "class_id", tier.alias("tier")))
+    return both.groupBy("q", "class_id").agg(F.min("tier").alias("tier"))
 
 
-def search(documents: DataFrame, queries: DataFrame, k: int = 60, fuzzy: float = 0.25) -> DataFrame:
+def search(documents: DataFrame | SearchIndex, queries: DataFrame, k: int = 60, fuzzy: float = 0.25, descent=(0.6, 0.4)) -> DataFrame:
     """query_id, id, tier, rank, place: for each query (query_id, q) its k best products.
 
     Tiers: 1 the name itself, 2 the brand has all lexemes, 3 phrase, 4 all lexemes,
-    5 similar name or brand. Order: tier, rank, name, id.
+    5 similar name or brand (above ``fuzzy``). Order: tier, rank, name, id. Null and empty
+    queries, and those that nothing is like, have no rows; equal queries are answered once.
+
+    Queries that have k products in tiers 1 to 4 or of a rank from ``descent``'s first
+    value on are done: whatever is missing ranks lower. The others go on with the next
+    value, and at last with ``fuzzy``. Products of one class tie but for name and id, so
+    classes are ranked and the best of each follow.
     """
-    q = queries.select(
-        "query_id", F.trim(folded(F.col("q"))).alias("q"), lexemes(F.col("q")).alias("q_lexemes"),
-    )
-    forms = F.array_distinct(
-        F.concat(
-            F.transform("lexemes", lambda x: F.concat(F.lit("w:"), x)),
-            F.transform(F.array_union(trigrams(F.col("name_norm")), trigrams(F.col("brand_norm"))), lambda x: F.concat(F.lit("t:"), x)),
-        )
-    )
-    postings = documents.select("id", F.explode(forms).alias("form"))
-    wanted = q.select(
-        "query_id",
-        F.explode(
-            F.array_distinct(
-                F.concat(
-                    F.transform("q_lexemes", lambda x: F.concat(F.lit("w:"), x)),
-                    F.transform(trigrams(F.col("q")), lambda x: F.concat(F.lit("t:"), x)),
-                )
-            )
-        ).alias("form"),
-    )
-    candidates = postings.join(wanted, "form").select("query_id", "id").distinct()
-    rows = candidates.join(q, "query_id").join(documents, "id")
-    near = F.greatest(similarity(F.col("name_norm"), F.col("q")), similarity(F.col("brand_norm"), F.col("q")))
-    share = F.size(F.array_intersect("q_lexemes", "lexemes")) / F.greatest(F.size("lexemes"), F.lit(1))
-    tier = (
-        F.when(F.col("name_norm") == F.col("q"), 1)
-        .when(covers(F.col("brand_lexemes"), F.col("q_lexemes")), 2)
-        .when(has_phrase(F.col("lexemes"), F.col("q_lexemes")), 3)
-        .when(covers(F.col("lexemes"), F.col("q_lexemes")), 4)
-        .when(F.col("near") > fuzzy, 5)
-    )
-    scored = rows.withColumn("near", near).withColumn("tier", tier).filter("tier is not null")
-    scored = scored.withColumn("rank", F.greatest(F.col("near"), share))
-    w = Window.partitionBy("query_id").orderBy("tier", F.desc("rank"), "name", "id")
-    return scored.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= k).select("query_id", "id", "tier", "rank", "place")
+    index = documents if isinstance(documents, SearchIndex) else build_index(documents)
+    q = queries.select("query_id", F.trim(folded(F.col("q"))).alias("q"), lexemes(F.col("q")).alias("q_lexemes")).filter("q <> ''")
+    asked = written(q.groupBy("q").agg(F.any_value("q_lexemes").alias("q_lexemes")).withColumn("q_grams", trigrams(F.col("q"))), "asked")
+    sure = written(_lexeme_tiers(index, asked), "sure")
+    grams = written(rare_first(asked.select(F.col("q").alias("id"), F.col("q_grams").alias("tokens")), index.gram_counts), "asked_grams")
+    words = rare_first(asked.select(F.col("q").alias("id"), F.col("q_lexemes").alias("tokens")), index.lexeme_counts)
+    left, found = asked, None
+    for t in (*[x for x in descent if x > fuzzy], fuzzy):
+        open_ = left.select(F.col("q").alias("id"))
+        texts = similar_candidates(grams.join(open_, "id", "left_semi"), index.gram_sets, t)
+        texts = texts.select(F.col("id_a").alias("q"), F.col("id_b").alias("text"))
+        of = lambda c: texts.join(index.classes.select(F.col(c).alias("text"), "class_id"), "text").select("q", "class_id")  # noqa: E731, B023
+        pairs = of("name_norm").unionByName(of("brand_norm"))
+        if t > fuzzy:
+            more = containing_candidates(words.join(open_, "id", "left_semi"), index.lexeme_sets, t)
+            pairs = pairs.unionByName(more.select(F.col("id_a").alias("q"), F.col("id_b").alias("class_id")))
+        pairs = pairs.unionByName(sure.join(left, "q", "left_semi").select("q", "class_id")).distinct().join(sure, ["q", "class_id"], "left")
+        rows = pairs.join(left, "q").join(index.classes.select("class_id", "lexemes", "name_grams", "brand_grams", "n"), "class_id")
+        near = F.greatest(jaccard(F.col("name_grams"), F.col("q_grams")), jaccard(F.col("brand_grams"), F.col("q_grams")))
+        share = F.size(F.array_intersect("q_lexemes", "lexemes")) / F.greatest(F.size("lexemes"), F.lit(1))
+        rows = rows.select("q", "class_id", "n", "tier", near.alias("near"), share.alias("share"))
+        rows = rows.filter(F.col("tier").isNotNull() | (F.col("near") > fuzzy))
+        rows = rows.select("q", "class_id", "n", F.coalesce("tier", F.lit(5)).alias("tier"), F.greatest("near", "share").alias("rank"))
+        rows = written(rows.filter((F.col("tier") < 5) | (F.col("rank") >= t)), "scored")
+        enough = rows.groupBy("q").agg(F.sum("n").alias("n")).filter(F.col("n") >= k).select("q")
+        done = rows if t == fuzzy else rows.join(enough, "q", "left_semi")
+        found = done if found is None else found.unionByName(done)
+        if t > fuzzy:
+            left = written(left.join(enough, "q", "left_anti"), "left")
+    order = [F.asc("tier"), F.desc("rank"), F.asc("name"), F.asc("id")]
+    # k classes by tier and rank are enough unless more of them tie with the last: all that tie stay.
+    w = Window.partitionBy("q").orderBy("tier", F.desc("rank"))
+    levels = found.groupBy("q", "tier", "rank").agg(F.sum("n").alias("n"))
+    levels = levels.withColumn("before", F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)))
+    kept = levels.filter(F.coalesce("before", F.lit(0)) < k).select("q", "tier", "rank")
+    classes = found.join(kept, ["q", "tier", "rank"]).select("q", "class_id", "tier", "rank")
+    listed = top_k(index.members, ["class_id"], [F.asc("name"), F.asc("id")], k).drop("place")
+    best = top_k(classes.join(listed, "class_id"), ["q"], order, k)
+    return q.select("query_id", "q").join(best, "q").select("query_id", "id", "tier", "rank", "place")
 
 
 def suggestions(products: DataFrame, queries: DataFrame, each: int = 20, k: int = 6) -> DataFrame:
@@ -129,10 +203,9 @@ def suggestions(products: DataFrame, queries: DataFrame, each: int = 20, k: int
     labels = label("brand", "marca", 1).unionByName(label("name", "produto", 2)).filter("label <> ''").distinct()
     tried = labels.withColumn("_l", F.trim(folded(F.col("label")))).join(lengths, F.length("_l") >= F.col("n"))
     hits = tried.withColumn("q", F.expr("substring(_l, 1, n)")).join(q.select("q").distinct(), "q")
-    w = Window.partitionBy("q", "kind").orderBy(F.length("label"), "label")
-    top = hits.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= each)
-    w = Window.partitionBy("q").orderBy("priority", F.length("label"), "label")
-    top = top.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= k)
+    short = [F.length("label"), F.asc("label")]
+    top = top_k(hits.drop("_l", "n"), ["q", "kind"], short, each).drop("place")
+    top = top_k(top, ["q"], [F.asc("priority"), *short], k)
     return q.join(top, "q").select("query_id", "label", "kind", "place")
 
 
