@@ -18,15 +18,16 @@ from functools import lru_cache
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Code points whose classes are scanned together; longer texts are scanned whole, their slices merged in parts.
-GROUP = 1 << 20
+#: Bytes of text whose classes are scanned together; longer texts are scanned whole, their slices merged in parts.
+GROUP = 1 << 19
 #: Functions composed one after the other within a block.
 BLOCK = 64
 #: Distinct slices kept with their ids, besides those of a group.
-KEPT = 200_000
+KEPT = 100_000
 #: From so many bytes on a slice is merged alone, by a heap, and not kept.
 LONG_SLICE = 64
 
@@ -324,16 +325,16 @@ def default_ranks() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
-def _in_groups(texts: list[str]):
-    """(from, to) of consecutive texts of about ``GROUP`` code points together."""
-    a = size = 0
-    for b, text in enumerate(texts):
-        if b > a and size + len(text) > GROUP:
+def _in_groups(sizes: list[int]):
+    """(from, to) of consecutive texts of about ``GROUP`` bytes together."""
+    a = total = 0
+    for b, size in enumerate(sizes):
+        if b > a and total + size > GROUP:
             yield a, b
-            a, size = b, 0
-        size += len(text)
-    if a < len(texts):
-        yield a, len(texts)
+            a, total = b, 0
+        total += size
+    if a < len(sizes):
+        yield a, len(sizes)
 
 
 def encode_documents(docs: DataFrame, ranks: str | None = None) -> DataFrame:
@@ -342,16 +343,16 @@ def encode_documents(docs: DataFrame, ranks: str | None = None) -> DataFrame:
     ``docs`` has doc_id and text; other columns take no part. ``ranks`` is the path of a
     rank file, at the same place on every machine. Null text counts as empty and has no
     ids; repeated rows are encoded each; null ids stay null. No row is shuffled. Memory of a
-    task: about 30 bytes for each code point of its longest text or of a group of about a million.
+    task: about 30 bytes for each code point of its longest text or of a group of half a million.
     """
     path = ranks or default_ranks()
 
     def encode(batches):
         cache = SliceCache(path)
         for batch in batches:
-            doc_ids, texts = batch.column(0), [x or "" for x in batch.column(1).to_pylist()]
-            for a, b in _in_groups(texts):
-                found = encode_texts(texts[a:b], cache)
+            doc_ids, texts = batch.column(0), batch.column(1)
+            for a, b in _in_groups(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
+                found = encode_texts([x or "" for x in texts.slice(a, b - a).to_pylist()], cache)
                 sizes = np.concatenate(([0], np.cumsum([len(x) for x in found]))).astype(np.int32)
                 ends = [token_ends(x, path) for x in found]
                 lists = [
