@@ -383,6 +383,10 @@ def calibrate(net: Network, best: np.ndarray, y: np.ndarray, rounds: int = 200)
     net.scale, net.shift = max(a, 0.1), c
 
 
+#: Training documents of each label without which nothing is dropped.
+LEAST_EXAMPLES = 8
+
+
 def training_rows(docs: DataFrame, labels: DataFrame, most: int = 1500, longest: int = 20_000) -> DataFrame:
     """doc_id, text, toxic: at most ``most`` documents of each label outside the held-out fold, of at most ``longest`` characters.
 
@@ -408,7 +412,9 @@ def fitted(docs: DataFrame, labels: DataFrame) -> Network:
 
     def fit(rows):
         rows.sort(key=lambda r: r["doc_id"])
-        return train([r["text"] for r in rows], [r["toxic"] for r in rows])
+        net = train([r["text"] for r in rows], [r["toxic"] for r in rows])
+        net.examples = min(sum(r["toxic"] == label for r in rows) for label in (0, 1))
+        return net
 
     return fit_in_task(training_rows(docs, labels), fit)
 
@@ -444,8 +450,16 @@ def score_toxicity(docs: DataFrame, labels: DataFrame | None = None, net: Networ
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, least: float = 0.5) -> DataFrame:
-    """``docs`` without the rows that score ``least`` or more; scored inside the scan."""
-    shared = docs.sparkSession.sparkContext.broadcast(fitted(docs, labels))
+    """``docs`` without the rows that score ``least`` or more; scored inside the scan.
+
+    With fewer than ``LEAST_EXAMPLES`` training documents of either label nothing is known
+    about what is toxic, and all rows stay. Null and empty texts score as the network's
+    base does.
+    """
+    net = fitted(docs, labels)
+    if net.examples < LEAST_EXAMPLES:
+        return docs
+    shared = docs.sparkSession.sparkContext.broadcast(net)
     at = docs.columns.index("text")
 
     def clean(batches):
