@@ -14,6 +14,7 @@ full bucket costs work, never rows.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -89,16 +90,35 @@ class _Group:
         self.words = list(self.numbers)
         self.lang_names = list(self.langs)
 
+    def _mixed(self, lang: np.ndarray, first: np.ndarray, second: np.ndarray | int) -> np.ndarray:
+        """The bucket of two hashes in a language."""
+        if not hasattr(self, "hashed"):
+            self.hashed = np.array([xxhash.xxh3_64_intdigest(w) for w in self.words], dtype=np.uint64)
+            self.seeds = np.array([xxhash.xxh3_64_intdigest(x, 1) for x in self.lang_names], dtype=np.uint64)
+        own, other = self.hashed[first], self.hashed[second] if isinstance(second, np.ndarray) else np.uint64(second)
+        mixed = (own * np.uint64(0x9E3779B97F4A7C15) + self.seeds[lang]) ^ (other >> np.uint64(7))
+        mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + other
+        mixed *= np.uint64(0x94D049BB133111EB)
+        return (mixed >> np.uint64(64 - self.sizes.bucket_bits)).astype(np.int64)
+
     def buckets(self) -> np.ndarray:
         """The bucket of each word with the next, or -1 at the end of a piece."""
-        hashed = np.array([xxhash.xxh3_64_intdigest(w) for w in self.words], dtype=np.uint64)
-        seeds = np.array([xxhash.xxh3_64_intdigest(x, 1) for x in self.lang_names], dtype=np.uint64)
-        own = hashed[self.word]
-        mixed = (own[:-1] * np.uint64(0x9E3779B97F4A7C15) + seeds[self.lang[:-1]]) ^ (own[1:] >> np.uint64(7))
-        mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + own[1:]
-        mixed *= np.uint64(0x94D049BB133111EB)
         both = (self.word[:-1] > 0) & (self.word[1:] > 0)
-        return np.append(np.where(both, (mixed >> np.uint64(64 - self.sizes.bucket_bits)).astype(np.int64), -1), -1)
+        return np.append(np.where(both, self._mixed(self.lang[:-1], self.word[:-1], self.word[1:]), -1), -1)
+
+    def word_buckets(self, lang: np.ndarray, word: np.ndarray) -> np.ndarray:
+        return self._mixed(lang, word, 1)
+
+    def bucket_counts(self) -> tuple[np.ndarray, np.ndarray]:
+        """(bucket, occurrences) of pairs and words."""
+        pairs, n_pairs = np.unique((b := self.buckets())[b >= 0], return_counts=True)
+        key = (self.lang * len(self.words) + self.word)[self.word > 0]
+        words, n_words = np.unique(key, return_counts=True)
+        bucket = np.concatenate((pairs, self.word_buckets(words // len(self.words), words % len(self.words))))
+        order = np.argsort(bucket, kind="stable")
+        bucket, n = bucket[order], np.concatenate((n_pairs, n_words))[order]
+        starts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else bucket
+        return bucket[starts], np.add.reduceat(n, starts) if len(starts) else n
 
     def phrases(self, at: np.ndarray, n: int | np.ndarray) -> list[str]:
         """The ``n`` words from each place on, joined by blanks."""
@@ -123,15 +143,26 @@ def _groups(batches, sizes: Sizes) -> Iterator[_Group]:
         yield group
 
 
+def _packed(rising: np.ndarray) -> bytes:
+    """Rising numbers by their differences, first all lowest bytes, then the next ones."""
+    apart = np.diff(rising, prepend=0).astype("<u4")
+    return zlib.compress(np.ascontiguousarray(apart.view(np.uint8).reshape(-1, 4).T).tobytes(), 1)
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(data), dtype=np.uint8).reshape(4, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<u4").reshape(-1).astype(np.int64))
+
+
 def _count_pairs(least: int, sizes: Sizes):
     within = sizes.bucket_bits - sizes.range_bits
 
     def count(batches):
         for group in _groups(batches, sizes):
-            bucket, n = np.unique((b := group.buckets())[b >= 0], return_counts=True)
+            bucket, n = group.bucket_counts()
             cuts = np.searchsorted(bucket, np.arange((1 << sizes.range_bits) + 1) << within)
-            low, n = (bucket & ((1 << within) - 1)).astype("<u4"), np.minimum(n, least).astype("<u2")
-            rows = [(r, low[a:b].tobytes(), n[a:b].tobytes()) for r, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if a < b]
+            low, n = bucket & ((1 << within) - 1), np.minimum(n, least).astype("<u2")
+            rows = [(r, _packed(low[a:b]), zlib.compress(n[a:b].tobytes(), 1)) for r, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if a < b]
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.binary(), pa.binary()), strict=True)], ["range", "low", "n"])
 
@@ -153,8 +184,8 @@ def _add_pairs(least: int, sizes: Sizes):
                     if of >= 0:
                         yield packed(of, counts)
                     of, counts = r.as_py(), np.zeros(size, dtype=np.uint16)
-                at = np.frombuffer(low.as_buffer(), dtype="<u4")
-                counts[at] = np.minimum(counts[at].astype(np.uint32) + np.frombuffer(n.as_buffer(), dtype="<u2"), least)
+                at = _unpacked(low.as_py())
+                counts[at] = np.minimum(counts[at].astype(np.uint32) + np.frombuffer(zlib.decompress(n.as_py()), dtype="<u2"), least)
         if of >= 0:
             yield packed(of, counts)
 
@@ -162,7 +193,7 @@ def _add_pairs(least: int, sizes: Sizes):
 
 
 def _frequent_buckets(texts: DataFrame, least: int, sizes: Sizes) -> np.ndarray:
-    """A bit for each bucket that may hold a pair of ``least`` occurrences; 32 MB whatever the input."""
+    """A bit for each bucket that may hold a pair or word of ``least`` occurrences; 32 MB whatever the input."""
     counted = texts.mapInArrow(_count_pairs(least, sizes), "range int, low binary, n binary")
     rows = counted.repartition("range").sortWithinPartitions("range").mapInArrow(_add_pairs(least, sizes), "range int, bits binary")
     size = 1 << (sizes.bucket_bits - sizes.range_bits - 3)
@@ -222,16 +253,22 @@ def _ends(group: _Group, joined: np.ndarray) -> Iterator[tuple[np.ndarray, int,
 
 
 def _flows(bits, sizes: Sizes):
-    """Rows (lang, words, edge, weight): paths of the graph, and the ends of runs."""
+    """Rows (lang, words, edge, weight): paths of the graph, and the ends of runs; all rare words together are ''."""
 
     def flows(batches):
         frequent = bits.value
+        hit = lambda bucket: (frequent[bucket >> 3] >> (7 - (bucket & 7)).astype(np.uint8)) & 1 > 0
         for group in _groups(batches, sizes):
             bucket = group.buckets()
             joined = bucket >= 0
-            own = bucket[joined]
-            joined[joined] = (frequent[own >> 3] >> (7 - (own & 7)).astype(np.uint8)) & 1 > 0
+            joined[joined] = hit(bucket[joined])
             for at, n, weight, edge in [(*_paths(group, joined), True), *[(*e, False) for e in _ends(group, joined)]]:
+                if not edge and n == 1:
+                    often = hit(group.word_buckets(group.lang[at], group.word[at]))
+                    rest = np.bincount(group.lang[at[~often]], weight[~often], minlength=len(group.lang_names)).astype(np.int64)
+                    rows = [group.lang_names, [""] * len(rest), [False] * len(rest), rest]
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in rows], ["lang", "words", "edge", "weight"])
+                    at, weight = at[often], weight[often]
                 for a in range(0, len(at), 1 << 16):
                     own, size = at[a : a + (1 << 16)], n[a : a + (1 << 16)] if edge else n
                     langs = [group.lang_names[i] for i in group.lang[own].tolist()]
@@ -242,7 +279,8 @@ def _flows(bits, sizes: Sizes):
 
 
 def phrase_counts(docs: DataFrame, least: int = 30, sizes: Sizes = Sizes()) -> tuple[DataFrame, DataFrame]:
-    """((lang, phrase, size, f) of all phrases of one to four words with f >= least, (lang, n) of all words).
+    """((lang, phrase, size, f) of all phrases of one to four words with f >= least, (lang, n) of all words;
+    no row for a language without words).
 
     ``docs`` has text and lang; texts are lower-cased in A to Z, null text counts as empty and
     null lang as ``und``. Counts are exact and take in overlaps. Text is read twice and not
@@ -262,9 +300,9 @@ def phrase_counts(docs: DataFrame, least: int = 30, sizes: Sizes = Sizes()) -> t
         flow = counts[-1].select("lang", F.substring_index("phrase", " ", size).alias("phrase"), "f")
         last = F.array_join(F.slice("w", -size, size), " ")
         counts.append(written(total(flow.unionByName(ends.filter(F.size("w") >= size).select("lang", last.alias("phrase"), "f"))), f"counts{size}"))
-    found = [c.filter(F.col("f") >= least).select("lang", "phrase", F.lit(LONGEST - i).alias("size"), "f") for i, c in enumerate(counts)]
+    found = [c.filter((F.col("f") >= least) & (F.col("phrase") != "")).select("lang", "phrase", F.lit(LONGEST - i).alias("size"), "f") for i, c in enumerate(counts)]
     every = found[0].unionByName(found[1]).unionByName(found[2]).unionByName(found[3])
-    return every, counts[-1].groupBy("lang").agg(F.sum("f").alias("n"))
+    return every, counts[-1].groupBy("lang").agg(F.sum("f").alias("n")).filter("n > 0")
 
 
 def _sub(phrase: Column, start: int, n: int) -> Column:
