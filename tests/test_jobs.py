@@ -195,9 +195,8 @@ def test_streamed_history_equals_batch(spark):
     df.coalesce(1).write.parquet(path)
     stream = spark.readStream.schema(jobs.HISTORY).parquet(path)
     base = tempfile.mkdtemp(prefix="spark-")
-    whole = stream.writeStream.foreachBatch(jobs.history_batches(base)).option("checkpointLocation", f"{base}/checkpoint")
-    whole.trigger(availableNow=True).start().awaitTermination()
-    got = jobs.history_rows(spark, base)
+    jobs.run_to_end(jobs.price_changes(stream), f"{base}/rows", f"{base}/checkpoint")
+    got = jobs.history_rows(spark, f"{base}/rows")
     want = history.change_only_history(df, ["store", "id"], ["ts"])
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
     assert got.filter("id = '3'").count() == 4
@@ -209,26 +208,6 @@ def test_streamed_history_equals_batch(spark):
     assert spend.filter("user_id = 1").count() == 7
 
 
-def test_history_of_batches_equals_the_whole(spark):
-    rng = random.Random(5)
-    at = dt.datetime(2024, 1, 1)
-    rows = []
-    for n in range(300):
-        price = rng.choice([None, 1.0, 1.004, 1.01, 2.0])
-        rows.append((rng.choice(["s", "t"]), rng.choice(["1", "2", None]), at + dt.timedelta(hours=5 * n), price))
-    base = tempfile.mkdtemp(prefix="spark-")
-    step = jobs.history_batches(base)
-    for k in range(3):
-        step(spark.createDataFrame(rows[100 * k : 100 * k + 100], jobs.HISTORY), k)
-    late = [("s", "1", at, 9.0), ("s", "1", None, 9.0)]
-    step(spark.createDataFrame(late, jobs.HISTORY), 3)
-    step(spark.createDataFrame(late, jobs.HISTORY), 3)
-    want = history.change_only_history(spark.createDataFrame(rows, jobs.HISTORY), ["store", "id"], ["ts"])
-    got = jobs.history_rows(spark, base)
-    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
-    assert [r["n"] for r in spark.read.parquet(f"{base}/late").orderBy("batch").collect()] == [0, 0, 0, 2]
-
-
 def test_merged_and_failed_rows_move(spark):
     products = spark.createDataFrame(
         [(1, "/storage/a.png"), (2, "http://x/b.png"), (3, "/storage/c.png"), (4, "/storage/d.png"), (5, None)], "product_id long, image_url string"
@@ -257,17 +236,6 @@ def df_stream(spark, path):
     )
 
 
-def test_streamed_alerts_use_the_log(spark):
-    base = tempfile.mkdtemp(prefix="spark-")
-    wanted = spark.createDataFrame([(7, 1, 10.0, True)], "user_id long, product_id long, target_price double, active boolean")
-    batch = jobs.alert_batches(wanted, f"{base}/log", f"{base}/out")
-    shape = "product_id long, store string, day date, price double"
-    for n, price in enumerate((9.0, 9.0, 8.0)):
-        batch(spark.createDataFrame([(1, "s", dt.date(2024, 1, 1), price)], shape), n)
-    rows = spark.read.parquet(f"{base}/out")
-    assert sorted(r["batch"] for r in rows.select("batch").collect()) == [0, 2]
-
-
 def test_reclassify_details_and_unit_price_audit(spark):
     from trolley.functions.classify import classify_breadcrumb
 

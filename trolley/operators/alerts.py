@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from trolley.functions.quantity import drop_share, target_threshold, whole_percent
 from trolley.functions.text import format_euro, plural_suffix
-from trolley.operators.relational import rolling_sums, time_bounded_join
+from trolley.operators.relational import highest_since, rolling_sums
 
 
 def eligible_users(profiles: DataFrame, preference: str) -> DataFrame:
@@ -33,10 +33,13 @@ def target_alerts(alerts: DataFrame, now: DataFrame) -> DataFrame:
 
 
 def favourite_drops(favourites: DataFrame, prices: DataFrame, now: DataFrame, least: float = 0.10) -> DataFrame:
-    """Favourites whose current price is at least 10 % below the highest since they were marked."""
-    since = time_bounded_join(favourites, prices, "product_id", "created_at", "day")
-    base = since.groupBy("user_id", "product_id").agg(F.max("price").alias("base"))
-    rows = base.join(now, "product_id")
+    """Favourites whose current price is at least 10 % below the highest since they were marked.
+
+    Of a product that a user has marked several times the first mark counts.
+    """
+    marks = favourites.groupBy("user_id", "product_id").agg(F.min("created_at").cast("date").alias("created_at"))
+    base = highest_since(marks, prices, "product_id", "created_at", "day", "price").withColumnRenamed("price", "base")
+    rows = marks.join(base.join(now, "product_id"), ["product_id", "created_at"])
     share = drop_share(F.col("base").cast("double"), F.col("current").cast("double"))
     return rows.filter(share >= least).select(
         "user_id", "product_id", F.lit("descida_favorito").alias("kind"), "current", "base"

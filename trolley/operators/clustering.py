@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trolley.operators.components import connected_components
-from trolley.functions.text import node_id
+from trolley.functions.text import business_key, node_id
 
 #: Stores by priority when a field is chosen.
 PRIORITY = ("continente", "pingo-doce", "auchan", "lidl", "aldi")
@@ -147,22 +147,22 @@ def canonical_records(clusters: DataFrame, listings: DataFrame) -> DataFrame:
 
 
 def claim_identities(clusters: DataFrame, records: DataFrame, sources: DataFrame, products: DataFrame) -> DataFrame:
-    """(cluster, product_id): known ids by (store, url), else by name and brand unless another cluster has the id."""
-    by_source = clusters.join(
-        sources.withColumn("node", node_id(F.col("store"), F.col("url"))).select("node", "product_id"), "node"
-    ).select("cluster", "product_id").distinct()
-    key = lambda: (F.lower(F.trim("name")), F.lower(F.trim(F.coalesce("brand", F.lit("")))))
-    named = products.select("product_id", F.concat_ws("|", *key()).alias("_key"))
-    by_name = (
-        records.select("cluster", F.concat_ws("|", *key()).alias("_key"))
-        .join(by_source, "cluster", "left_anti")
-        .join(named, "_key")
-        .join(by_source.select("product_id").distinct(), "product_id", "left_anti")
-        .groupBy("product_id")
-        .agg(F.min("cluster").alias("cluster"))
-        .select("cluster", "product_id")
-    )
-    return by_source.unionByName(by_name)
+    """(cluster, product_id): the known ids of each cluster, every id claimed by one cluster at most.
+
+    A cluster asks for the ids that its listings (store, url) had, and besides for the oldest
+    product with its record's name and brand. An id goes to a cluster that has it by a
+    listing before one that has it by name, then to the smallest cluster id; a cluster that
+    gets several is fused (``fuse_identities``), one that gets none is new. ``records`` has
+    cluster, name and brand, ``products`` product_id, name, brand and created_at; null names
+    have no key, null brands count as empty.
+    """
+    listed = sources.select(node_id(F.col("store"), F.col("url")).alias("node"), "product_id").filter("product_id is not null")
+    by_source = clusters.select("cluster", "node").join(listed, "node").select("cluster", "product_id", F.lit(0).alias("_rank"))
+    key = business_key(F.col("name"), F.col("brand")).alias("_key")
+    oldest = products.filter("name is not null").groupBy(key).agg(F.min_by("product_id", F.struct("created_at", "product_id")).alias("product_id"))
+    by_name = records.filter("name is not null").select("cluster", key).join(oldest, "_key").select("cluster", "product_id", F.lit(1).alias("_rank"))
+    asked = by_source.unionByName(by_name)
+    return asked.groupBy("product_id").agg(F.min_by("cluster", F.struct("_rank", "cluster")).alias("cluster")).select("cluster", "product_id")
 
 
 def fuse_identities(claims: DataFrame, products: DataFrame) -> DataFrame:

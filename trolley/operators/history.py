@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from trolley.functions.quantity import extract_quantity, price_changed, unit_price_ratio
 from trolley.functions.text import business_key, normalize_brand, strip_accents
+from trolley.operators.relational import best_scored
 
 
 #: Fixed value: what the address of a stored image holds.
@@ -230,6 +231,22 @@ def image_work_list(matches: DataFrame, stored: DataFrame, priority: tuple[str,
     return best.select("key", "i.*").join(stored.select("key").distinct(), "key", "left_anti")
 
 
+def image_hotlinks(products: DataFrame, migrated: DataFrame, store_of) -> DataFrame:
+    """(key, store, image_url, outcome): the second phase, images that still point elsewhere.
+
+    Products with an image that is not stored and whose business key is not in
+    ``migrated`` (key): migrate where ``store_of`` the image's address knows the store, else
+    unknown_host. Of several products of a key the one with the highest match_score counts,
+    ties to the smallest address.
+    """
+    link = F.col("image_url").isNotNull() & ~F.col("image_url").contains(STORED)
+    rows = products.filter(link).select(business_key(F.col("name"), F.col("brand")).alias("key"), "image_url", "match_score")
+    rows = best_scored(rows.filter("key is not null"), ["key"], "match_score", ["image_url"])
+    store = store_of(F.col("image_url"))
+    left = rows.join(migrated.select("key").distinct(), "key", "left_anti")
+    return left.select("key", store.alias("store"), "image_url", F.when(store == "outro", "unknown_host").otherwise("migrate").alias("outcome"))
+
+
 def reclassify_suspects(products: DataFrame, suspect: str, classify) -> DataFrame:
     """Rows whose folded name matches ``suspect`` get the class of their breadcrumb, if there is one.
 

@@ -84,13 +84,25 @@ def cluster_coverage(sources: DataFrame) -> DataFrame:
     return stores.groupBy("n_stores").agg(F.count("*").alias("products"))
 
 
-def price_outliers(pairs: DataFrame, least: float = 2.0) -> DataFrame:
-    """Pairs of one category whose prices are more than ``least`` apart, by direction and category."""
+def price_outliers(pairs: DataFrame, listings: DataFrame, now: Column, least: float = 2.0, fresh_days: int = 14) -> DataFrame:
+    """Pairs of one category whose prices are more than ``least`` apart, counted.
+
+    By direction, category, where the dearer side's subcategory comes from
+    (``subcategory_source``, ``(nenhuma)`` if null) and the age of its price: recent,
+    old (more than ``fresh_days``) or unknown. ``listings`` has store, id,
+    subcategory_source and updated_at, one row for each store and id.
+    """
     a, b = F.col("a.price"), F.col("b.price")
     far = pairs.filter((F.col("a.category") == F.col("b.category")) & (unit_price_ratio(a, b) + 1 > least))
-    return far.groupBy(F.when(a > b, "a_dearer").otherwise("b_dearer").alias("direction"), F.col("a.category").alias("category")).agg(
-        F.count("*").alias("n")
-    )
+    dear = lambda x, y: F.when(a > b, x).otherwise(y)
+    told = far.select(
+        dear(F.lit("a_dearer"), F.lit("b_dearer")).alias("direction"), F.col("a.category").alias("category"),
+        dear(F.col("store_a"), F.col("store_b")).alias("store"), dear(F.col("a.id"), F.col("b.id")).alias("id"),
+    ).join(listings.select("store", "id", "subcategory_source", "updated_at"), ["store", "id"], "left")
+    old = F.col("updated_at") < now - F.expr(f"INTERVAL {int(fresh_days)} DAYS")
+    age = F.when(F.col("updated_at").isNull(), "unknown").when(old, "old").otherwise("recent")
+    source = F.coalesce("subcategory_source", F.lit("(nenhuma)"))
+    return told.groupBy("direction", "category", source.alias("subcategory_source"), age.alias("price_age")).agg(F.count("*").alias("n"))
 
 
 def score_bands(pairs: DataFrame, width: int = 20) -> DataFrame:

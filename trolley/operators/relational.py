@@ -133,10 +133,32 @@ def unambiguous(df: DataFrame, key: str, target: str) -> DataFrame:
     )
 
 
-def time_bounded_join(events: DataFrame, facts: DataFrame, key: str, since: str, day: str) -> DataFrame:
-    """Facts of the same key from the event's day on."""
-    f = facts.withColumnRenamed(key, "_key")
-    return events.join(f, (F.col(key) == F.col("_key")) & (F.col(day) >= F.col(since))).drop("_key")
+def highest_since(
+    marks: DataFrame, facts: DataFrame, key: str, since: str, day: str, value: str, span_days: int = 366
+) -> DataFrame:
+    """(key, since, value): for each distinct mark the highest ``value`` of its key from that day on.
+
+    Marks without a day, and those that no fact follows, have no row. Facts become daily
+    maxima before anything else, then marks and maxima of a key are put in one order and the
+    maximum runs from the newest day backwards. A key's days are cut into spans of
+    ``span_days``; the maxima of later spans are carried over, so a task sorts one span
+    of a key, and what is computed is linear in marks and facts.
+    """
+    span = F.floor(F.datediff("_day", F.lit("1970-01-01").cast("date")) / span_days).alias("_span")
+    daily = facts.select(F.col(key).alias("_key"), F.col(day).cast("date").alias("_day"), F.col(value).alias("_value"))
+    daily = daily.filter("_day is not null and _value is not null").groupBy("_key", "_day").agg(F.max("_value").alias("_value"))
+    asked = marks.select(F.col(key).alias("_key"), F.col(since).cast("date").alias("_day")).filter("_day is not null").distinct()
+    points = daily.select("_key", "_day", span, "_value", F.lit(0).alias("_mark")).unionByName(
+        asked.select("_key", "_day", span, F.lit(None).cast(daily.schema["_value"].dataType).alias("_value"), F.lit(1).alias("_mark"))
+    )
+    # Facts of a day come before its marks, which they count for.
+    inside = Window.partitionBy("_key", "_span").orderBy(F.desc("_day"), "_mark").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = points.withColumn("_own", F.max("_value").over(inside)).filter("_mark = 1")
+    later = Window.partitionBy("_key").orderBy(F.desc("_span")).rowsBetween(Window.unboundedPreceding, -1)
+    spans = points.groupBy("_key", "_span").agg(F.max("_value").alias("_most")).withColumn("_later", F.max("_most").over(later))
+    found = running.join(spans.filter("_later is not null").select("_key", "_span", "_later"), ["_key", "_span"], "left")
+    best = F.greatest("_own", "_later").alias(value)
+    return found.select(F.col("_key").alias(key), F.col("_day").alias(since), best).filter(F.col(value).isNotNull())
 
 
 def fill_from(df: DataFrame, sources: list[DataFrame], key: str, column: str) -> DataFrame:
@@ -154,10 +176,12 @@ def rolling_sums(df: DataFrame, key: str, when: str, amount: str, now: Column, d
     return recent.groupBy(key).agg(F.sum(amount).alias("spent"), F.count("*").alias("n"))
 
 
-def best_scored(df: DataFrame, key: list[str], score: str, order: list) -> DataFrame:
-    """The highest-scored row of each key, ties by ``order``."""
-    w = Window.partitionBy(*key).orderBy(F.desc(score), *order)
-    return df.withColumn("_r", F.row_number().over(w)).filter("_r = 1").drop("_r")
+def best_scored(df: DataFrame, key: list[str], score: str, order: list[str]) -> DataFrame:
+    """The highest-scored row of each key, ties to the smallest ``order``, null scores last."""
+    columns = [c for c in df.columns if c not in key]
+    rising = F.struct(F.col(score).isNull(), -F.col(score), *order)
+    best = df.groupBy(*key).agg(F.min_by(F.struct(*columns), rising).alias("_r"))
+    return best.select(*key, "_r.*").select(*df.columns)
 
 
 def missing_by(df: DataFrame, column: str, by: str) -> DataFrame:

@@ -118,14 +118,33 @@ def score_band_histogram(spark, sf_dir):
     return quality.score_bands(matches(spark, sf_dir))
 
 
+PROVENANCE = """CASE WHEN subcategory IS NULL THEN NULL WHEN p_partkey % 4 = 0 THEN 'breadcrumb' WHEN store = 'aldi' THEN 'nome'
+    ELSE 'breadcrumb' END"""
+
+
+def _provenance(products: DataFrame) -> DataFrame:
+    """Every fourth product has its provenance; the others get it by the store that lists them."""
+    own = F.when((F.col("id").cast("long") % 4 == 0) & F.col("subcategory").isNotNull(), "breadcrumb")
+    rows = products.select("id", "store", "subcategory", own.alias("subcategory_source"))
+    return history.backfill_provenance(rows.drop("store"), rows.select("id", "store"), "id", "aldi")
+
+
 @query(
-    """SELECT CASE WHEN price_a > price_b THEN 'a_dearer' ELSE 'b_dearer' END AS direction, category_a AS category,
-        count(*) AS n
-    FROM m WHERE category_a = category_b AND greatest(price_a, price_b) / least(price_a, price_b) > 2 GROUP BY ALL""",
-    MATCHES,
+    f"""SELECT direction, category, coalesce(subcategory_source, '(nenhuma)') AS subcategory_source,
+        CASE WHEN day IS NULL THEN 'unknown' WHEN day < DATE '2001-11-05' - 14 THEN 'old' ELSE 'recent' END AS price_age, count(*) AS n
+    FROM (SELECT CASE WHEN price_a > price_b THEN 'a_dearer' ELSE 'b_dearer' END AS direction, category_a AS category,
+            CASE WHEN price_a > price_b THEN id_a ELSE id_b END AS id
+        FROM m WHERE category_a = category_b AND greatest(price_a, price_b) / least(price_a, price_b) > 2)
+    JOIN (SELECT id, store, {PROVENANCE} AS subcategory_source FROM cat) USING (id)
+    LEFT JOIN (SELECT CAST(product_id AS VARCHAR) AS id, store, max(day) AS day FROM prices GROUP BY ALL) USING (id, store)
+    GROUP BY ALL""",
+    MATCHES + "," + PRICES,
 )
 def price_outlier_pairs(spark, sf_dir):
-    return quality.price_outliers(matches(spark, sf_dir))
+    products = part_catalogue(spark, sf_dir)
+    seen = price_observations(spark, sf_dir).groupBy(F.col("product_id").cast("string").alias("id"), "store").agg(F.max("day").cast("timestamp").alias("updated_at"))
+    listings = products.select("store", "id").join(_provenance(products).select("id", "subcategory_source"), "id").join(seen, ["id", "store"], "left")
+    return quality.price_outliers(matches(spark, sf_dir), listings, now())
 
 
 @query("SELECT 'weight' AS kind_a, 'weight' AS kind_b, count(*) AS n FROM cand WHERE score >= 0.3 HAVING count(*) > 0", MATCHES)
@@ -135,9 +154,25 @@ def quantity_kind_matrix(spark, sf_dir):
     return quality.kind_matrix(near.filter(Q.jaccard(F.col("a.tokens"), F.col("b.tokens")) >= 0.3))
 
 
-@query()
+@query(
+    """SELECT store_a, store_b, id_a, id_b, 'lost' AS change FROM (SELECT store_a, store_b, id_a, id_b FROM m1 EXCEPT SELECT store_a, store_b, id_a, id_b FROM m)
+    UNION ALL
+    SELECT store_a, store_b, id_a, id_b, 'gained' FROM (SELECT store_a, store_b, id_a, id_b FROM m EXCEPT SELECT store_a, store_b, id_a, id_b FROM m1)""",
+    MATCHES
+    + """,
+    cand1 AS (
+        SELECT store_a, store_b, a.id AS id_a, b.id AS id_b,
+            CASE WHEN a.category <> 'frutas_legumes' OR (NOT a.own AND a.block = b.block) THEN 0 ELSE 1 END AS source,
+            len(list_intersect(a.toks, b.toks)) / CAST(len(list_distinct(list_concat(a.toks, b.toks))) AS DOUBLE) AS score
+        FROM pairs JOIN prep a ON a.store = store_a JOIN prep b ON b.store = store_b
+        WHERE a.grams = b.grams AND CASE WHEN a.category = 'frutas_legumes'
+            THEN (NOT a.own AND a.block = b.block) OR a.category = b.category ELSE a.block = b.block END),
+    m1 AS (
+        SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY store_a, store_b, id_a ORDER BY score DESC, source, id_b) AS r FROM cand1)
+        WHERE r = 1 AND score >= 0.45)""",
+)
 def rule_impact(spark, sf_dir):
-    """Pairs lost and gained between the older and the current rule set; tested against both results."""
+    """Pairs lost and gained between the older rule set (no unit-price and pack gates, unscaled proxies) and the current one."""
     key = ["store_a", "store_b", "id_a", "id_b"]
     return relational.set_changes(flat(matches(spark, sf_dir, "v1")), flat(matches(spark, sf_dir)), key)
 
@@ -575,6 +610,108 @@ def image_work_list(spark, sf_dir):
     return history.image_work_list(matches(spark, sf_dir), none, PRIORITY)
 
 
+@query(
+    """SELECT key, store, image_url, CASE WHEN store = 'outro' THEN 'unknown_host' ELSE 'migrate' END AS outcome
+    FROM (
+        SELECT key, image_url, regexp_extract(image_url, '^https://cdn\\.([a-z]+)\\.', 1) AS label,
+            CASE WHEN label IN ('continente', 'pingodoce', 'auchan', 'lidl', 'aldi') THEN label ELSE 'outro' END AS store
+        FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY match_score DESC, image_url) AS r FROM (
+            SELECT lower(trim(p_name)) || '|' || lower(trim(brand)) AS key, p_partkey % 97 / 97.0::DOUBLE AS match_score,
+                CASE WHEN p_partkey % 7 = 0 THEN NULL WHEN p_partkey % 11 = 0 THEN 'https://own.example/storage/' || p_partkey
+                    ELSE 'https://cdn.' || CASE WHEN p_partkey % 13 = 0 THEN 'other' ELSE replace(store, '-', '') END || '.pt/' || p_partkey END AS image_url
+            FROM cat) WHERE image_url NOT LIKE '%/storage/%') WHERE r = 1)
+    WHERE key NOT IN (SELECT lower(trim(p_name)) || '|' || lower(trim(brand)) FROM cat WHERE p_partkey % 17 = 0)""",
+    CATALOGUE,
+)
+def image_hotlinks(spark, sf_dir):
+    """The second phase over products whose first-phase images, those of every seventeenth product's key, are done."""
+    number = F.col("id").cast("long")
+    host = F.when(number % 13 == 0, "other").otherwise(F.replace("store", F.lit("-"), F.lit("")))
+    address = F.when(number % 11 == 0, F.concat(F.lit("https://own.example/storage/"), "id")).otherwise(F.concat(F.lit("https://cdn."), host, F.lit(".pt/"), "id"))
+    parts = table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("id"), F.col("p_name"))
+    products = part_catalogue(spark, sf_dir).drop("name").join(parts, "id").select(
+        F.col("p_name").alias("name"), "brand", F.when(number % 7 != 0, address).alias("image_url"), (number % 97 / 97).alias("match_score"), number.alias("n")
+    )
+    migrated = products.filter("n % 17 = 0").select(T.business_key(F.col("name"), F.col("brand")).alias("key"))
+    return history.image_hotlinks(products, migrated, T.store_of_url)
+
+
+IDENTITY_SQL = (
+    CATALOGUE
+    + """,
+    clusters AS (SELECT p_name || '/' || grams AS cluster, p_partkey, store, p_name, p_brand FROM cat JOIN part USING (p_partkey, p_name)),
+    records AS (SELECT cluster, min(p_name) AS name, min(p_brand) AS brand FROM clusters GROUP BY cluster),
+    products AS (SELECT p_partkey AS product_id, lower(trim(p_name)) || '|' || lower(trim(p_brand)) AS k, p_size AS created_at FROM part WHERE p_partkey % 4 = 0),
+    oldest AS (SELECT k, arg_min(product_id, created_at * 1000000000::BIGINT + product_id) AS product_id FROM products GROUP BY k),
+    asked AS (
+        SELECT cluster, p_partkey - 1 AS product_id, 0 AS rank FROM clusters WHERE p_partkey % 4 = 1
+        UNION ALL
+        SELECT cluster, product_id, 1 FROM records JOIN oldest ON k = lower(trim(name)) || '|' || lower(trim(brand))),
+    claims AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY rank, cluster) AS r FROM asked) WHERE r = 1),
+    fused AS (
+        SELECT cluster, product_id, first_value(product_id) OVER (PARTITION BY cluster ORDER BY created_at, product_id) AS survivor
+        FROM claims JOIN products USING (product_id))"""
+)
+
+
+def _identities(spark, sf_dir):
+    """Two runs: every fourth product of the first one is known, by a listing of the next part's; clusters of the second are by name and size."""
+    from trolley.operators import clustering
+
+    rows = part_catalogue(spark, sf_dir).join(table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("id"), "p_name", "p_brand", "p_size", "p_partkey"), "id")
+    size = F.regexp_extract("name", "([0-9]+)g$", 1).cast("int") * F.when(F.col("name").contains("4x125g"), 4).otherwise(1)
+    rows = rows.withColumn("cluster", F.concat_ws("/", "p_name", size.cast("string")))
+    clusters = rows.select("cluster", T.node_id(F.col("store"), F.col("url")).alias("node"))
+    records = rows.groupBy("cluster").agg(F.min("p_name").alias("name"), F.min("p_brand").alias("brand"))
+    known = rows.filter("p_partkey % 4 = 0").select(F.col("p_partkey").alias("product_id"), F.col("p_name").alias("name"), F.col("p_brand").alias("brand"), F.col("p_size").alias("created_at"))
+    sources = rows.filter("p_partkey % 4 = 1").select("store", "url", (F.col("p_partkey") - 1).alias("product_id"))
+    claims = clustering.claim_identities(clusters, records, sources, known)
+    return claims, known, sources, rows
+
+
+@query("SELECT cluster, product_id, survivor FROM fused", IDENTITY_SQL)
+def cluster_identities(spark, sf_dir):
+    """Ids claimed by the clusters of a second run, and which of a cluster's ids stays."""
+    from trolley.operators import clustering
+
+    claims, known, _, _ = _identities(spark, sf_dir)
+    return claims.join(clustering.fuse_identities(claims, known), "product_id").select("cluster", "product_id", "survivor")
+
+
+@query(
+    """SELECT coalesce(survivor, p.product_id) AS product_id, store, count(*) AS n, min(price) AS least
+    FROM prices p LEFT JOIN fused f ON f.product_id = p.product_id GROUP BY ALL""",
+    IDENTITY_SQL + "," + PRICES,
+)
+def repointed_prices(spark, sf_dir):
+    """Price rows of fused products under the id that stays."""
+    from trolley.operators import clustering
+
+    claims, known, _, _ = _identities(spark, sf_dir)
+    moved = clustering.repoint(price_observations(spark, sf_dir), clustering.fuse_identities(claims, known))
+    return moved.groupBy("product_id", "store").agg(F.count("*").alias("n"), F.min("price").alias("least"))
+
+
+@query(
+    """SELECT product_id, store, url FROM (
+        SELECT p_partkey - 1 AS product_id, store, url FROM cat WHERE p_partkey % 4 = 1
+            AND p_partkey - 1 NOT IN (SELECT survivor FROM fused) AND url NOT IN (SELECT url FROM now)
+        UNION ALL SELECT DISTINCT product_id, store, url FROM now)""",
+    IDENTITY_SQL
+    + """,
+    now AS (SELECT DISTINCT survivor AS product_id, c.store, 'https://' || c.store || '.example/p/' || c.p_partkey || '.html' AS url
+        FROM fused JOIN clusters c USING (cluster))""",
+)
+def rebuilt_sources(spark, sf_dir):
+    """Source rows after the second run: clusters with an id bring their own, other products keep theirs."""
+    from trolley.operators import clustering
+
+    claims, known, sources, rows = _identities(spark, sf_dir)
+    named = claims.join(clustering.fuse_identities(claims, known), "product_id").select("cluster", F.col("survivor").alias("product_id")).distinct()
+    current = rows.join(named, "cluster").select("product_id", "store", "url")
+    return clustering.rebuild_sources(sources, current)
+
+
 # --- alerts -----------------------------------------------------------------------------
 
 
@@ -823,18 +960,9 @@ def beverage_classifier(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", classify_beverage(F.col("text")).alias("subcategory"))
 
 
-@query(
-    """SELECT id, CASE WHEN subcategory IS NULL THEN NULL WHEN p_partkey % 4 = 0 THEN 'breadcrumb'
-        WHEN store = 'aldi' THEN 'nome' ELSE 'breadcrumb' END AS subcategory_source FROM cat""",
-    CATALOGUE,
-)
+@query(f"SELECT id, {PROVENANCE} AS subcategory_source FROM cat", CATALOGUE)
 def provenance_backfill(spark, sf_dir):
-    """Every fourth product has its provenance; the others get it by the store that lists them."""
-    own = F.when((F.col("id").cast("long") % 4 == 0) & F.col("subcategory").isNotNull(), "breadcrumb")
-    products = part_catalogue(spark, sf_dir).select("id", "store", "subcategory", own.alias("subcategory_source"))
-    return history.backfill_provenance(products.drop("store"), products.select("id", "store"), "id", "aldi").select(
-        "id", "subcategory_source"
-    )
+    return _provenance(part_catalogue(spark, sf_dir)).select("id", "subcategory_source")
 
 
 @query(
@@ -865,29 +993,65 @@ def report_counts(spark, sf_dir):
 
 def _event_prices(events: DataFrame) -> DataFrame:
     return events.select(
-        F.col("event_type").alias("store"), F.col("user_id").cast("string").alias("id"), "ts", F.col("value").alias("price")
+        F.col("event_type").alias("store"), F.col("user_id").cast("string").alias("id"), F.col("ts").cast("timestamp").alias("ts"), F.col("value").alias("price")
     )
 
 
+def _event_stream(spark, sf_dir):
+    events = table(spark, sf_dir, "events")
+    return spark.readStream.schema(events.schema).parquet(f"{sf_dir}/events.parquet*")
+
+
 @query(
     """SELECT event_type AS store, CAST(user_id AS VARCHAR) AS id, ts, value AS price FROM (
-        SELECT *, lag(value) OVER (PARTITION BY event_type, user_id ORDER BY ts, value) AS prev FROM events)
-    WHERE prev IS NULL OR round(prev * 100) <> round(value * 100)"""
+        SELECT *, lag(value) OVER w AS prev, lag(ts) OVER w AS prev_ts FROM events WINDOW w AS (PARTITION BY event_type, user_id ORDER BY ts, value))
+    WHERE prev IS NULL OR round(prev * 100) <> round(value * 100) OR ts - prev_ts > INTERVAL 7 DAYS"""
 )
 def streamed_price_history(spark, sf_dir):
-    """The events table as a stream through the change-only history, run to its end."""
+    """The events table as a stream through the change-only history, run to its end; seven silent days delist a key."""
     from trolley.sources.shared import shared_dir
-    from trolley.streaming.jobs import history_batches, history_rows
+    from trolley.streaming import jobs
 
-    events = table(spark, sf_dir, "events")
     base = shared_dir(spark)
-    stream = spark.readStream.schema(events.schema).parquet(f"{sf_dir}/events.parque[t]")
-    run = (
-        _event_prices(stream)
-        .writeStream.foreachBatch(history_batches(base))
-        .option("checkpointLocation", f"{base}/checkpoint")
-        .trigger(availableNow=True)
-        .start()
-    )
-    run.awaitTermination()
-    return history_rows(spark, base)
+    stream = jobs.price_changes(_event_prices(_event_stream(spark, sf_dir)), expiry_days=7)
+    jobs.run_to_end(stream, f"{base}/rows", f"{base}/checkpoint")
+    return jobs.history_rows(spark, f"{base}/rows").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+@query(
+    """SELECT event_type AS store, CAST(user_id AS VARCHAR) AS id, max(ts) AS ts, arg_max(value, ts) AS price FROM events GROUP BY ALL
+    HAVING max(ts) + INTERVAL 7 DAYS >= (SELECT max(ts) FROM events) - INTERVAL 1 DAYS"""
+)
+def streamed_last_prices(spark, sf_dir):
+    """The stream's state after it has run to its end and the watermark has passed: keys silent for seven days are gone."""
+    from trolley.sources.shared import shared_dir
+    from trolley.streaming import jobs
+
+    base = shared_dir(spark)
+    stream = jobs.price_changes(_event_prices(_event_stream(spark, sf_dir)), delay="1 day", expiry_days=7)
+    jobs.run_to_end(stream, f"{base}/rows", f"{base}/checkpoint")
+    return jobs.last_prices(spark, f"{base}/checkpoint").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+@query(
+    """SELECT user_id, product_id, min(CAST(current AS DOUBLE)) AS current FROM (
+        SELECT w.*, price AS current FROM w JOIN prices USING (product_id)
+        WHERE active AND target_price > price AND (CAST(target_price AS DOUBLE) - CAST(price AS DOUBLE))
+            / CAST(target_price AS DOUBLE) >= CASE WHEN target_price > 40 THEN 0.03 ELSE 0.05 END)
+    WHERE NOT (user_id % 5 = 0) GROUP BY ALL""",
+    ALERT_SQL,
+)
+def streamed_target_alerts(spark, sf_dir):
+    """All prices as a stream against the customers' targets; those of every fifth customer have been told for good."""
+    from trolley.sources.shared import shared_dir
+    from trolley.streaming import jobs
+
+    base = shared_dir(spark)
+    wanted = _alert_tables(spark, sf_dir)
+    log = wanted.filter("user_id % 5 = 0").select("user_id", "product_id", F.lit("preco_alvo").alias("kind"), F.lit(None).cast("double").alias("price_at_notification")).distinct()
+    lines = table(spark, sf_dir, "lineitem")
+    arriving = spark.readStream.schema(lines.schema).parquet(f"{sf_dir}/lineitem.parquet*")
+    price = (F.floor(F.col("l_extendedprice") / F.col("l_quantity") * 100 + 0.5) / 100).cast("decimal(12,2)")
+    stream = jobs.streamed_alerts(wanted, arriving.select(F.col("l_partkey").alias("product_id"), price.alias("price")), log)
+    jobs.run_to_end(stream.select("user_id", "product_id", "current"), f"{base}/rows", f"{base}/checkpoint")
+    return spark.read.schema("user_id long, product_id long, current double").parquet(f"{base}/rows")

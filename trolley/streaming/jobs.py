@@ -1,17 +1,46 @@
-"""The catalogue jobs over streams; each has a batch twin that gives the same rows."""
+"""The catalogue jobs over streams; each has a batch twin that gives the same rows.
+
+What a job remembers of a key is Spark's own keyed state (RocksDB, changelogs in the
+checkpoint folder), so a batch writes what it changes and nothing else; files are
+written once by the sink's log, also when a batch is repeated. The state can be read as a
+table (``last_prices``). ``keyed_state`` sets the provider that this needs.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from trolley.functions.quantity import price_changed
-from trolley.operators.alerts import current_prices, not_logged, target_alerts, updated_log, with_message
-from trolley.sources.shared import written
+from trolley.operators.alerts import target_alerts, with_message
 
 HISTORY = "store string, id string, ts timestamp, price double"
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+DAY_US = 86_400_000_000
+
+
+@contextmanager
+def keyed_state(spark: SparkSession) -> Iterator[None]:
+    """Streams started inside keep their state in RocksDB; the session's setting is put back."""
+    before = spark.conf.get(PROVIDER, None)
+    spark.conf.set(PROVIDER, ROCKS)
+    try:
+        yield
+    finally:
+        spark.conf.set(PROVIDER, before) if before else spark.conf.unset(PROVIDER)
+
+
+def run_to_end(stream: DataFrame, path: str, checkpoint: str) -> None:
+    """Write what has arrived to Parquet files at ``path``; a later call with the same checkpoint goes on from there."""
+    with keyed_state(stream.sparkSession):
+        run = stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
+        run.trigger(availableNow=True).start().awaitTermination()
 
 
 def landing_offers(spark: SparkSession, path: str, schema, extract: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -24,72 +53,140 @@ def first_in_run(stream: DataFrame, delay: str = "90 minutes") -> DataFrame:
     return stream.withWatermark("ts", delay).dropDuplicatesWithinWatermark(["store", "id"])
 
 
-def history_batches(base: str) -> Callable[[DataFrame, int], None]:
-    """A foreachBatch function: rows that change the price of their (store, id) in cents, as in the batch twin.
-
-    Within a key rows are ordered by time, then price. Rows without a time and rows older
-    than the last one of their key in the batches before are dropped and counted. A key's
-    rows are compared day by day, each day with the last row of the day before, so a key
-    that holds much of the batch is dealt over many tasks. The last row of each key is the
-    state. Rows, state and counts are written below ``base`` under the batch's number, so
-    a repeated batch replaces its own output.
+class ChangeOnly(StatefulProcessor):
+    """Rows of one (store, id) that change its price; the state is the last row, by time, then price."""
+
+    def __init__(self, expiry_us: int):
+        self.expiry = expiry_us
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last", "at long, price double, cents long")
+
+    def _timer(self, at: int) -> int:
+        return (at + self.expiry) // 1000 + 1
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        parts = [(p["at"].to_numpy("float64", na_value=np.nan), p["at"], p["price"], p["cents"]) for p in rows]
+        at = pd.concat([p[1] for p in parts], ignore_index=True).astype("Int64")
+        price = pd.concat([p[2] for p in parts], ignore_index=True).astype("Float64")
+        cents = pd.concat([p[3] for p in parts], ignore_index=True).astype("Int64")
+        own = pd.DataFrame({"at": at, "price": price.mask(price.isna()), "cents": cents})
+        before = self.last.get() if self.last.exists() else None
+        fresh = own["at"].notna() if before is None else (own["at"] >= before[0]).fillna(False)
+        late = int((~fresh.astype(bool)).sum())
+        own = own[fresh.astype(bool)].sort_values(["at", "price"], na_position="first", kind="stable")
+        out = pd.DataFrame({"at": [None], "price": [None], "late": [late]}) if late else None
+        if len(own):
+            times, values = own["at"].to_numpy("int64"), own["cents"]
+            missing = values.isna().to_numpy()
+            number = values.fillna(0).to_numpy("int64")
+            has = before is not None and before[2] is not None
+            old_time = np.concatenate(([before[0] if before is not None else 0], times[:-1]))
+            old_missing = np.concatenate(([not has], missing[:-1]))
+            old = np.concatenate(([before[2] if has else 0], number[:-1]))
+            gone = times - old_time > self.expiry
+            gone[0] &= before is not None
+            changed = old_missing | gone | (~missing & (number != old))
+            kept = own[changed]
+            if before is not None:
+                self.handle.deleteTimer(self._timer(before[0]))
+            end = own.iloc[-1]
+            none = lambda x, kind: None if pd.isna(x) else kind(x)
+            self.last.update((int(end["at"]), none(end["price"], float), none(end["cents"], int)))
+            self.handle.registerTimer(self._timer(int(end["at"])))
+            rows_out = pd.DataFrame({"at": kept["at"], "price": kept["price"], "late": None})
+            out = rows_out if out is None else pd.concat([rows_out, out], ignore_index=True)
+        if out is not None and len(out):
+            yield pd.DataFrame(
+                {
+                    "store": [key[0]] * len(out), "id": [key[1]] * len(out), "at": out["at"].astype("Int64").to_numpy(),
+                    "price": out["price"].astype("Float64").to_numpy(), "late": out["late"].astype("Int64").to_numpy(),
+                }
+            )
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        """The key has been silent for so long that it is delisted: nothing is remembered of it."""
+        self.last.clear()
+        yield pd.DataFrame()
+
+    def close(self) -> None:
+        pass
+
+
+def price_changes(stream: DataFrame, delay: str = "30 days", expiry_days: int = 400) -> DataFrame:
+    """store, id, ts, price, late: rows of a stream that change the price of their (store, id) in cents, as in the batch twin.
+
+    Within a key rows are ordered by time, then price (null first). A key silent for more than
+    ``expiry_days`` counts as new when it comes back, and its state goes when the watermark
+    (``delay`` behind the newest row) has passed that time. Rows older than
+    the key's last one of earlier batches are dropped and counted: a row with ``late`` and no
+    time or price says how many. Spark itself drops rows without a time and rows older
+    than the watermark of the batch before. A task holds 24 bytes for each row that a key has in one
+    micro-batch, which the source's trigger options bound.
     """
+    cents = (F.col("price").cast("decimal(12,2)") * 100).cast("long")
+    rows = stream.withWatermark("ts", delay).select("store", "id", "ts", F.unix_micros("ts").alias("at"), "price", cents.alias("cents"))
+    out = rows.groupBy("store", "id").transformWithStateInPandas(
+        ChangeOnly(expiry_days * DAY_US), "store string, id string, at long, price double, late long", "Append", "EventTime"
+    )
+    return out.select("store", "id", F.timestamp_micros("at").alias("ts"), "price", "late")
+
+
+def history_rows(spark: SparkSession, path: str) -> DataFrame:
+    """The changes that a ``price_changes`` stream has written."""
+    return spark.read.schema(f"{HISTORY}, late long").parquet(path).filter("late is null").drop("late")
+
+
+def late_rows(spark: SparkSession, path: str) -> DataFrame:
+    """(store, id, n): rows dropped as late."""
+    return spark.read.schema(f"{HISTORY}, late long").parquet(path).filter("late is not null").groupBy("store", "id").agg(F.sum("late").alias("n"))
 
-    def run(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        shape = "k_store string, k_id string, last struct<ts:timestamp,price:double>"
-        last = spark.createDataFrame([], shape) if number == 0 else spark.read.schema(shape).parquet(f"{base}/state/{number - 1}")
-        rows = written(batch.select("store", "id", "ts", "price", F.date_trunc("day", "ts").alias("day")), "batch")
-        own = F.col("store").eqNullSafe(F.col("k_store")) & F.col("id").eqNullSafe(F.col("k_id"))
-        told = rows.join(last, own, "left")
-        fresh = F.col("ts").isNotNull() & F.coalesce(F.col("ts") >= F.col("last.ts"), F.lit(True))
-        kept = told.filter(fresh)
-        key = ["store", "id"]
-        ends = kept.groupBy(*key, "day").agg(F.max(F.struct("ts", "price")).alias("end"), F.first("last.price").alias("known"))
-        before = F.lag("end").over(Window.partitionBy(*key).orderBy("day"))
-        ends = ends.select(
-            F.col("store").alias("e_store"), F.col("id").alias("e_id"), F.col("day").alias("e_day"),
-            F.when(before.isNotNull(), before["price"]).otherwise(F.col("known")).alias("before"),
-        )
-        w = Window.partitionBy(*key, "day").orderBy("ts", "price")
-        first = F.row_number().over(w) == 1
-        inside = kept.select(*key, "ts", "price", "day", F.lag("price").over(w).alias("prev"), first.alias("first"))
-        on = F.col("store").eqNullSafe(F.col("e_store")) & F.col("id").eqNullSafe(F.col("e_id")) & (F.col("day") == F.col("e_day"))
-        prev = F.when(F.col("first"), F.col("before")).otherwise(F.col("prev"))
-        changes = inside.join(ends, on).filter(price_changed(prev, F.col("price"))).select(*key, "ts", "price")
-        changes.write.mode("overwrite").parquet(f"{base}/rows/batch={number}")
-        newest = kept.groupBy(F.col("store").alias("k_store"), F.col("id").alias("k_id")).agg(F.max(F.struct("ts", "price")).alias("last"))
-        both = last.withColumn("no", F.lit(0)).unionByName(newest.withColumn("no", F.lit(1)))
-        state = both.groupBy("k_store", "k_id").agg(F.max_by("last", "no").alias("last"))
-        state.write.mode("overwrite").parquet(f"{base}/state/{number}")
-        told.filter(~fresh).agg(F.count("*").alias("n")).write.mode("overwrite").parquet(f"{base}/late/batch={number}")
-
-    return run
-
-
-def history_rows(spark: SparkSession, base: str) -> DataFrame:
-    """The rows that ``history_batches`` has written."""
-    return spark.read.schema(f"{HISTORY}, batch long").parquet(f"{base}/rows").drop("batch")
-
-
-def alert_batches(alerts: DataFrame, log_path: str, out_path: str) -> Callable[[DataFrame, int], None]:
-    """A foreachBatch function: target alerts of the batch's prices against the versioned log.
-
-    Each batch writes its log and alerts under its own number, so a repeated batch
-    replaces its own output and is judged against the log of the batch before it.
-    """
 
-    def run(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        shape = "user_id long, product_id long, kind string, price_at_notification double"
-        log = spark.createDataFrame([], shape) if number == 0 else spark.read.schema(shape).parquet(f"{log_path}/{number - 1}")
-        due = not_logged(target_alerts(alerts, current_prices(batch)), log)
-        with_message(due).write.mode("overwrite").parquet(f"{out_path}/batch={number}")
-        updated_log(log, due).select(
-            "user_id", "product_id", "kind", F.col("price_at_notification").cast("double")
-        ).write.mode("overwrite").parquet(f"{log_path}/{number}")
-
-    return run
+def last_prices(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """(store, id, ts, price): what the stream remembers, read from its state."""
+    state = spark.read.format("statestore").option("stateVarName", "last").load(checkpoint)
+    return state.select("key.store", "key.id", F.timestamp_micros("value.at").alias("ts"), "value.price")
+
+
+class TellOnce(StatefulProcessor):
+    """Alerts of one (user, product, kind) below the price last told; the state is that price."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.told = handle.getValueState("told", "price double")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        best = min(((float(c), float(b)) for p in rows for c, b in zip(p["current"], p["base"], strict=True)), default=None)
+        known = self.told.get() if self.told.exists() else None
+        if best is not None and (known is None or (known[0] is not None and known[0] > best[0])):
+            self.told.update((best[0],))
+            yield pd.DataFrame({"user_id": [key[0]], "product_id": [key[1]], "kind": [key[2]], "current": [best[0]], "base": [best[1]]})
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        price = initialState["price_at_notification"].iloc[0]
+        self.told.update((None if pd.isna(price) else float(price),))
+
+    def close(self) -> None:
+        pass
+
+
+def streamed_alerts(alerts: DataFrame, prices: DataFrame, log: DataFrame | None = None) -> DataFrame:
+    """Target alerts of a stream of prices (product_id, price), each told again only below the price last told.
+
+    ``log`` (user_id, product_id, kind, price_at_notification; one row each) is what has
+    been told before the stream began; a null price there suppresses for good. In a
+    micro-batch the least price of an alert counts.
+    """
+    due = target_alerts(alerts, prices.select("product_id", F.col("price").alias("current")))
+    key = ["user_id", "product_id", "kind"]
+    rows = due.select(F.col("user_id").cast("long"), F.col("product_id").cast("long"), "kind", F.col("current").cast("double"), F.col("base").cast("double"))
+    start = None
+    if log is not None:
+        start = log.select(F.col("user_id").cast("long"), F.col("product_id").cast("long"), "kind", F.col("price_at_notification").cast("double")).groupBy(*key)
+    told = rows.groupBy(*key).transformWithStateInPandas(
+        TellOnce(), "user_id long, product_id long, kind string, current double, base double", "Append", "None", start
+    )
+    return with_message(told)
 
 
 def weekly_spend(stream: DataFrame, delay: str = "1 day") -> DataFrame:
