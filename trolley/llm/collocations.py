@@ -2,14 +2,15 @@
 
 Nodes are phrases of three words, edges phrases of four. Tasks count the edges of their
 texts, join edges over nodes that have one way in and one way out of equal weight to
-paths, and send paths; their edges are added up by Spark. Where a piece of text ends, the
-last words of it are sent as corrections: a node's count is the flow out of it plus the
-pieces that end in it, and in the same way the counts of two words and of one follow.
-
-Most neighbouring words are rare together. A first pass counts pairs in buckets of a fixed
-number; a pair whose bucket stays below the least count cannot be part of any phrase that
-is asked for, so text is cut there too. Corrections keep all shorter counts exact, and a
-full bucket costs work, never rows.
+paths, and send paths; their edges are added up by Spark. Where a phrase is not followed by
+a longer one, as at the end of a piece, a correction is sent: a node's count is the flow
+out of it plus its corrections, and in the same way the counts of two words and of one follow.
+
+Most neighbouring words are rare together. A first pass counts words and pairs in buckets of
+a fixed number, a second one three words whose pairs may be frequent; what lies in a bucket
+below the least count cannot be part of any phrase that is asked for, so text is cut
+there too. Rare words are sent as one sum. Corrections keep all counts that are asked for
+exact, and a full bucket costs work, never rows.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ _BYTES = bytes(46 if b in PIECE_ENDS else 32 if b == 9 else b + 32 if 65 <= b <=
 @dataclass(frozen=True)
 class Sizes:
     """Words counted together in a task; bytes of text cut into words at once; buckets of pairs (as a power of
-    two: their bits, 32 MB, are broadcast) and ranges they are added up in. None of them changes a result."""
+    two: their bits, 32 MB for each of two passes, are broadcast) and ranges they are added up in. None of them changes a result."""
 
     group: int = 1 << 21
     slice: int = 1 << 22
@@ -67,6 +68,10 @@ def _word_numbers(text: str, numbers: _Numbers, size: int) -> list[np.ndarray]:
     return [*out, np.zeros(1, dtype=np.int64)]
 
 
+def _hit(bits: np.ndarray, bucket: np.ndarray) -> np.ndarray:
+    return (bits[bucket >> 3] >> (7 - (bucket & 7)).astype(np.uint8)) & 1 > 0
+
+
 class _Group:
     """Words of consecutive documents: numbers, the language's number of each, and what they stand for."""
 
@@ -89,13 +94,12 @@ class _Group:
         self.lang = np.repeat(*(np.array(x) for x in zip(*self.of, strict=True)))
         self.words = list(self.numbers)
         self.lang_names = list(self.langs)
+        self.hashed = np.array([xxhash.xxh3_64_intdigest(w) for w in self.words], dtype=np.uint64)
+        self.seeds = np.array([xxhash.xxh3_64_intdigest(x, 1) for x in self.lang_names], dtype=np.uint64)
 
     def _mixed(self, lang: np.ndarray, first: np.ndarray, second: np.ndarray | int) -> np.ndarray:
         """The bucket of two hashes in a language."""
-        if not hasattr(self, "hashed"):
-            self.hashed = np.array([xxhash.xxh3_64_intdigest(w) for w in self.words], dtype=np.uint64)
-            self.seeds = np.array([xxhash.xxh3_64_intdigest(x, 1) for x in self.lang_names], dtype=np.uint64)
-        own, other = self.hashed[first], self.hashed[second] if isinstance(second, np.ndarray) else np.uint64(second)
+        own, other = self.hashed[first], second if isinstance(second, np.ndarray) else np.uint64(second)
         mixed = (own * np.uint64(0x9E3779B97F4A7C15) + self.seeds[lang]) ^ (other >> np.uint64(7))
         mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + other
         mixed *= np.uint64(0x94D049BB133111EB)
@@ -104,13 +108,27 @@ class _Group:
     def buckets(self) -> np.ndarray:
         """The bucket of each word with the next, or -1 at the end of a piece."""
         both = (self.word[:-1] > 0) & (self.word[1:] > 0)
-        return np.append(np.where(both, self._mixed(self.lang[:-1], self.word[:-1], self.word[1:]), -1), -1)
+        return np.append(np.where(both, self._mixed(self.lang[:-1], self.word[:-1], self.hashed[self.word[1:]]), -1), -1)
 
     def word_buckets(self, lang: np.ndarray, word: np.ndarray) -> np.ndarray:
         return self._mixed(lang, word, 1)
 
-    def bucket_counts(self) -> tuple[np.ndarray, np.ndarray]:
-        """(bucket, occurrences) of pairs and words."""
+    def triple_buckets(self, at: np.ndarray) -> np.ndarray:
+        second = self.hashed[self.word[at + 1]] * np.uint64(0xFF51AFD7ED558CCD) + (self.hashed[self.word[at + 2]] >> np.uint64(3))
+        return self._mixed(self.lang[at], self.word[at], second)
+
+    def joined(self, pairs: np.ndarray) -> np.ndarray:
+        """Whether each word and the next may be a frequent pair."""
+        bucket = self.buckets()
+        out = bucket >= 0
+        out[out] = _hit(pairs, bucket[out])
+        return out
+
+    def bucket_counts(self, pairs: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+        """(bucket, occurrences) of pairs and words, or of three words whose pairs may be frequent."""
+        if pairs is not None:
+            joined = self.joined(pairs)
+            return np.unique(self.triple_buckets(np.flatnonzero(joined[:-1] & joined[1:])), return_counts=True)
         pairs, n_pairs = np.unique((b := self.buckets())[b >= 0], return_counts=True)
         key = (self.lang * len(self.words) + self.word)[self.word > 0]
         words, n_words = np.unique(key, return_counts=True)
@@ -154,12 +172,12 @@ def _unpacked(data: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).view("<u4").reshape(-1).astype(np.int64))
 
 
-def _count_pairs(least: int, sizes: Sizes):
+def _count_buckets(least: int, sizes: Sizes, pairs):
     within = sizes.bucket_bits - sizes.range_bits
 
     def count(batches):
         for group in _groups(batches, sizes):
-            bucket, n = group.bucket_counts()
+            bucket, n = group.bucket_counts(None if pairs is None else pairs.value)
             cuts = np.searchsorted(bucket, np.arange((1 << sizes.range_bits) + 1) << within)
             low, n = bucket & ((1 << within) - 1), np.minimum(n, least).astype("<u2")
             rows = [(r, _packed(low[a:b]), zlib.compress(n[a:b].tobytes(), 1)) for r, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if a < b]
@@ -169,7 +187,7 @@ def _count_pairs(least: int, sizes: Sizes):
     return count
 
 
-def _add_pairs(least: int, sizes: Sizes):
+def _add_buckets(least: int, sizes: Sizes):
     """Bits of the buckets of each range that reach ``least``; counts stop there. Rows come range by range."""
     size = 1 << (sizes.bucket_bits - sizes.range_bits)
 
@@ -192,10 +210,10 @@ def _add_pairs(least: int, sizes: Sizes):
     return add
 
 
-def _frequent_buckets(texts: DataFrame, least: int, sizes: Sizes) -> np.ndarray:
-    """A bit for each bucket that may hold a pair or word of ``least`` occurrences; 32 MB whatever the input."""
-    counted = texts.mapInArrow(_count_pairs(least, sizes), "range int, low binary, n binary")
-    rows = counted.repartition("range").sortWithinPartitions("range").mapInArrow(_add_pairs(least, sizes), "range int, bits binary")
+def _frequent_buckets(texts: DataFrame, least: int, sizes: Sizes, pairs=None) -> np.ndarray:
+    """A bit for each bucket that may hold something of ``least`` occurrences; 32 MB whatever the input."""
+    counted = texts.mapInArrow(_count_buckets(least, sizes, pairs), "range int, low binary, n binary")
+    rows = counted.repartition("range").sortWithinPartitions("range").mapInArrow(_add_buckets(least, sizes), "range int, bits binary")
     size = 1 << (sizes.bucket_bits - sizes.range_bits - 3)
     bits = np.zeros((1 << sizes.range_bits, size), dtype=np.uint8)
     for row in rows.toLocalIterator():
@@ -203,25 +221,24 @@ def _frequent_buckets(texts: DataFrame, least: int, sizes: Sizes) -> np.ndarray:
     return bits.reshape(-1)
 
 
-def _paths(group: _Group, joined: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _paths(group: _Group, tripled: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(place, words, weight) of the compacted paths of the group's graph.
 
-    ``joined``: whether a word belongs with the next one. Edges that follow each other over
-    a node with one way in and one out, with equal weights and side by side at the first
-    place where they occur, make one path: its words stand in the text from that place on.
+    ``tripled``: whether a node, three words that may be frequent, begins at a word. Edges
+    that follow each other over a node with one way in and one out, with equal weights and
+    side by side at the first place where they occur, make one path: its words stand in
+    the text from that place on.
     """
     word, none = group.word, np.zeros(0, dtype=np.int64)
-    pair_at = np.flatnonzero(joined)
-    if not len(pair_at):
+    at = np.flatnonzero(tripled[:-1] & tripled[1:])
+    if not len(at):
         return none, none, none
+    pair_at = np.unique(np.concatenate((at, at + 1, at + 2)))
     vocabulary = len(group.words)
     pair_key = (group.lang[pair_at] * vocabulary + word[pair_at]) * vocabulary + word[pair_at + 1]
     pairs, inverse = np.unique(pair_key, return_inverse=True)
     pair = np.full(len(word) + 2, -1)
     pair[pair_at] = inverse
-    at = pair_at[joined[np.minimum(pair_at + 1, len(word) - 1)] & joined[np.minimum(pair_at + 2, len(word) - 1)]]
-    if not len(at):
-        return none, none, none
     _, first, weight = np.unique(pair[at] * len(pairs) + pair[at + 2], return_index=True, return_counts=True)
     place = at[first]
     order = np.argsort(place)
@@ -236,13 +253,12 @@ def _paths(group: _Group, joined: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return place[begins], edges + LONGEST - 1, weight[begins]
 
 
-def _ends(group: _Group, joined: np.ndarray) -> Iterator[tuple[np.ndarray, int, np.ndarray]]:
-    """(places, words, weights) of the last words, up to three, of the runs of joined words."""
+def _ends(group: _Group, joined: np.ndarray, tripled: np.ndarray) -> Iterator[tuple[np.ndarray, int, np.ndarray]]:
+    """(places, words, weights) of phrases of one to three words that no longer one follows from the same place."""
     word, vocabulary = group.word, len(group.words)
-    end = np.flatnonzero((word > 0) & ~joined)
-    two = np.append(False, joined[:-1])[end]
-    three = two & np.append([False, False], joined[:-2])[end]
-    for n, at in ((1, end[~two]), (2, end[two & ~three] - 1), (3, end[three] - 2)):
+    follows = np.append(tripled[1:], False)
+    for n, here in ((1, (word > 0) & ~joined), (2, joined & ~tripled), (3, tripled & ~follows)):
+        at = np.flatnonzero(here)
         key = group.lang[at]
         for i in range(n):
             if i == 2:
@@ -252,19 +268,18 @@ def _ends(group: _Group, joined: np.ndarray) -> Iterator[tuple[np.ndarray, int,
         yield at[first], n, weight
 
 
-def _flows(bits, sizes: Sizes):
-    """Rows (lang, words, edge, weight): paths of the graph, and the ends of runs; all rare words together are ''."""
+def _flows(pair_bits, triple_bits, sizes: Sizes):
+    """Rows (lang, words, edge, weight): paths of the graph, and corrections; all rare words together are ''."""
 
     def flows(batches):
-        frequent = bits.value
-        hit = lambda bucket: (frequent[bucket >> 3] >> (7 - (bucket & 7)).astype(np.uint8)) & 1 > 0
         for group in _groups(batches, sizes):
-            bucket = group.buckets()
-            joined = bucket >= 0
-            joined[joined] = hit(bucket[joined])
-            for at, n, weight, edge in [(*_paths(group, joined), True), *[(*e, False) for e in _ends(group, joined)]]:
+            joined = group.joined(pair_bits.value)
+            tripled = np.append(joined[:-1] & joined[1:], False)
+            at = np.flatnonzero(tripled)
+            tripled[at] = _hit(triple_bits.value, group.triple_buckets(at))
+            for at, n, weight, edge in [(*_paths(group, tripled), True), *[(*e, False) for e in _ends(group, joined, tripled)]]:
                 if not edge and n == 1:
-                    often = hit(group.word_buckets(group.lang[at], group.word[at]))
+                    often = _hit(pair_bits.value, group.word_buckets(group.lang[at], group.word[at]))
                     rest = np.bincount(group.lang[at[~often]], weight[~often], minlength=len(group.lang_names)).astype(np.int64)
                     rows = [group.lang_names, [""] * len(rest), [False] * len(rest), rest]
                     yield pa.RecordBatch.from_arrays([pa.array(x) for x in rows], ["lang", "words", "edge", "weight"])
@@ -283,23 +298,23 @@ def phrase_counts(docs: DataFrame, least: int = 30, sizes: Sizes = Sizes()) -> t
     no row for a language without words).
 
     ``docs`` has text and lang; texts are lower-cased in A to Z, null text counts as empty and
-    null lang as ``und``. Counts are exact and take in overlaps. Text is read twice and not
-    shuffled.
+    null lang as ``und``. Counts are exact and take in overlaps. Text is read three times
+    and not shuffled.
     """
     spark = docs.sparkSession
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), "text")
-    bits = spark.sparkContext.broadcast(_frequent_buckets(texts, least, sizes))
-    flows = written(texts.mapInArrow(_flows(bits, sizes), "lang string, words string, edge boolean, weight long"), "flows")
+    pairs = spark.sparkContext.broadcast(_frequent_buckets(texts, least, sizes))
+    triples = spark.sparkContext.broadcast(_frequent_buckets(texts, least, sizes, pairs))
+    flows = written(texts.mapInArrow(_flows(pairs, triples, sizes), "lang string, words string, edge boolean, weight long"), "flows")
     words = F.split("words", " ", -1)
     starts = F.sequence(F.lit(1), F.size(words) - (LONGEST - 1))
     edges = flows.filter("edge").select("lang", F.explode(F.transform(starts, lambda i: F.array_join(F.slice(words, i, LONGEST), " "))).alias("phrase"), F.col("weight").alias("f"))
     total = lambda df: df.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
     counts = [written(total(edges), "edges")]
-    ends = flows.filter(~F.col("edge")).select("lang", words.alias("w"), F.col("weight").alias("f"))
+    ends = flows.filter(~F.col("edge")).select("lang", F.col("words").alias("phrase"), F.size(words).alias("size"), F.col("weight").alias("f"))
     for size in range(LONGEST - 1, 0, -1):
         flow = counts[-1].select("lang", F.substring_index("phrase", " ", size).alias("phrase"), "f")
-        last = F.array_join(F.slice("w", -size, size), " ")
-        counts.append(written(total(flow.unionByName(ends.filter(F.size("w") >= size).select("lang", last.alias("phrase"), "f"))), f"counts{size}"))
+        counts.append(written(total(flow.unionByName(ends.filter(F.col("size") == size).drop("size"))), f"counts{size}"))
     found = [c.filter((F.col("f") >= least) & (F.col("phrase") != "")).select("lang", "phrase", F.lit(LONGEST - i).alias("size"), "f") for i, c in enumerate(counts)]
     every = found[0].unionByName(found[1]).unionByName(found[2]).unionByName(found[3])
     return every, counts[-1].groupBy("lang").agg(F.sum("f").alias("n")).filter("n > 0")
