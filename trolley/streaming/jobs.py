@@ -119,10 +119,10 @@ def price_changes(stream: DataFrame, delay: str = "30 days", expiry_days: int =
 
     Within a key rows are ordered by time, then price (null first). A key silent for more than
     ``expiry_days`` counts as new when it comes back, and its state goes when the watermark
-    (``delay`` behind the newest row) has passed that time. Rows older than
-    the key's last one of earlier batches are dropped and counted: a row with ``late`` and no
-    time or price says how many. Spark itself drops rows without a time and rows older
-    than the watermark of the batch before. A task holds 24 bytes for each row that a key has in one
+    (``delay`` behind the newest row) has passed that time. Rows without a time, and rows
+    older than the key's last one of earlier batches, are dropped and counted: a row with
+    ``late`` and no time or price says how many. Spark itself drops rows older than the
+    watermark of the batch before. A task holds 24 bytes for each row that a key has in one
     micro-batch, which the source's trigger options bound.
     """
     cents = (F.col("price").cast("decimal(12,2)") * 100).cast("long")
