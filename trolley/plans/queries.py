@@ -483,6 +483,63 @@ def snapshot_upsert(spark, sf_dir):
     return history.upsert_snapshot(old, new)
 
 
+@query(
+    """SELECT store, external_id, coalesce(o.name, n.name) AS name, coalesce(n.price, o.price) AS price,
+        coalesce(n.image_url, o.image_url) AS image_url
+    FROM (SELECT store, id AS external_id, name, price, image_url FROM cat WHERE p_partkey % 1000 <> 7) o
+    FULL JOIN (SELECT store, id AS external_id, upper(name) AS name, price + 1 AS price,
+        CASE WHEN p_partkey % 2 = 0 THEN image_url END AS image_url FROM cat WHERE p_partkey % 100 = 7) n
+    USING (store, external_id)""",
+    CATALOGUE,
+)
+def snapshot_increment(spark, sf_dir):
+    """A bucketed snapshot of all listings but a thousandth, then an update with every hundredth."""
+    from trolley.sources.shared import shared_dir
+    from trolley.sources.snapshots import create_snapshot, read_snapshot, update_snapshot
+
+    rows = part_catalogue(spark, sf_dir).withColumn("k", F.col("id").cast("long"))
+    key = F.col("id").alias("external_id")
+    path = shared_dir(spark)
+    create_snapshot(rows.filter("k % 1000 <> 7").select("store", key, "name", "price", "image_url"), path, ["store", "external_id"], 32)
+    new = rows.filter("k % 100 = 7").select(
+        "store", key, F.upper("name").alias("name"), (F.col("price") + 1).alias("price"), F.when(F.col("k") % 2 == 0, F.col("image_url")).alias("image_url")
+    )
+    update_snapshot(new, path, history.upsert_snapshot)
+    return read_snapshot(spark, path)
+
+
+@query(
+    """SELECT user_id, product_id, kind, min(told) AS price_at_notification FROM (
+        SELECT user_id, product_id, 'preco_alvo' AS kind, CAST(current AS DOUBLE) AS told FROM w JOIN cur USING (product_id)
+        WHERE active AND target_price > current AND (CAST(target_price AS DOUBLE) - CAST(current AS DOUBLE))
+            / CAST(target_price AS DOUBLE) >= CASE WHEN target_price > 40 THEN 0.03 ELSE 0.05 END
+        UNION ALL
+        SELECT user_id, product_id, 'preco_alvo', 99999.0 FROM w WHERE user_id % 3 = 0 AND (user_id, product_id) NOT IN (
+            SELECT (user_id, product_id) FROM w JOIN cur USING (product_id) WHERE active AND target_price > current
+                AND (CAST(target_price AS DOUBLE) - CAST(current AS DOUBLE)) / CAST(target_price AS DOUBLE)
+                    >= CASE WHEN target_price > 40 THEN 0.03 ELSE 0.05 END)) GROUP BY ALL""",
+    PRICES
+    + """,
+    w AS (SELECT o_custkey AS user_id, o_orderkey % (SELECT count(*) FROM part) AS product_id,
+            CAST(floor(o_totalprice) / 100 AS DECIMAL(12, 2)) AS target_price, o_orderstatus <> 'F' AS active FROM orders),
+    cur AS (SELECT product_id, min(price) AS current FROM prices GROUP BY ALL)""",
+)
+def alert_log_update(spark, sf_dir):
+    """The alert log as a snapshot: every third customer's products were told at a high price, then today's alerts come."""
+    from trolley.sources.shared import shared_dir
+    from trolley.sources.snapshots import create_snapshot, read_snapshot, update_snapshot
+
+    wanted = _alert_tables(spark, sf_dir)
+    kind = F.lit("preco_alvo").alias("kind")
+    told = wanted.filter("user_id % 3 = 0").select("user_id", "product_id", kind, F.lit(99999.0).alias("price_at_notification")).distinct()
+    path = shared_dir(spark)
+    create_snapshot(told, path, ["user_id", "product_id", "kind"], 32)
+    due = alerts.not_logged(alerts.target_alerts(wanted, alerts.current_prices(price_observations(spark, sf_dir))), read_snapshot(spark, path))
+    due = written(due.withColumn("current", F.col("current").cast("double")), "due")
+    update_snapshot(due, path, alerts.updated_log)
+    return read_snapshot(spark, path)
+
+
 STALE_SQL = (
     PRICES
     + f""",
