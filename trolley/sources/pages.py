@@ -1,11 +1,17 @@
-"""Stored pages -> sitemap locations, ids, breadcrumbs and typed offers; no network."""
+"""Stored pages -> sitemap locations, ids, breadcrumbs and typed offers; no network.
+
+JSON is parsed once a page into a VARIANT, and fields are taken from that by path; what does
+not parse, or has another type, is null and shows as a reason or is left out, never an
+error. The same functions serve tables and streams. Classifier rules run once for each
+distinct breadcrumb of a table; in a stream they run on the row.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trolley.functions.classify import classify_breadcrumb, classify_url_path
+from trolley.functions.classify import classify_breadcrumb, classify_distinct, classify_url_path
 from trolley.functions.text import html_text, html_unescape, parse_euro
 
 #: Product number in a page's address, by store.
@@ -16,11 +22,6 @@ ID_PATTERNS = {
     "lidl": r"/p/[^/]+/p([0-9]+)",
 }
 LD_JSON = r'(?s)<script[^>]*type="application/ld\+json"[^>]*>(.*?)</script>'
-PRODUCT = (
-    "`@type` string, name string, sku string, gtin string, gtin13 string, gtin12 string, gtin8 string, gtin14 string,"
-    " image string, brand struct<name:string>, offers struct<price:string, availability:string>"
-)
-CRUMBS = "`@type` string, itemListElement array<struct<position:int, name:string, item:struct<name:string>>>"
 
 
 def sitemap_locations(pages: DataFrame, column: str = "xml") -> DataFrame:
@@ -52,19 +53,13 @@ def listing_offers(pages: DataFrame) -> DataFrame:
     )
     attribute = "data-product-tile-impression="
     quoted = [F.regexp_extract("tile", f"{attribute}{q}([^{q}]*){q}", 1) for q in ("'", '"')]
-    data = F.from_json(
-        html_unescape(F.coalesce(F.nullif(quoted[0], F.lit("")), quoted[1])),
-        "id string, name string, brand string, price double, category string",
-    )
-    return (
-        tiles.withColumn("p", data)
-        .filter("p.id is not null and p.name is not null")
-        .select(
-            "page_id", F.col("p.id").alias("id"), "p.name", "p.brand", "p.price", "p.category",
-            F.nullif(F.regexp_extract("tile", r'href="([^"]+\.html)"', 1), F.lit("")).alias("url"),
-            F.nullif(F.regexp_extract("tile", r'<img[^>]*src="([^"]+)"', 1), F.lit("")).alias("image_url"),
-            parse_euro(html_text(F.regexp_extract("tile", r'(?s)class="pwc-tile--price-secondary[^>]*>(.*?)</div>', 1))).alias("price_per_unit"),
-        )
+    rows = tiles.withColumn("v", F.try_parse_json(html_unescape(F.coalesce(F.nullif(quoted[0], F.lit("")), quoted[1]))))
+    rows = rows.select("page_id", "tile", *[_field(c, kind=kind).alias(c) for c, kind in (("id", "string"), ("name", "string"), ("brand", "string"), ("price", "double"), ("category", "string"))])
+    return rows.filter("id is not null and name is not null").select(
+        "page_id", "id", "name", "brand", "price", "category",
+        F.nullif(F.regexp_extract("tile", r'href="([^"]+\.html)"', 1), F.lit("")).alias("url"),
+        F.nullif(F.regexp_extract("tile", r'<img[^>]*src="([^"]+)"', 1), F.lit("")).alias("image_url"),
+        parse_euro(html_text(F.regexp_extract("tile", r'(?s)class="pwc-tile--price-secondary[^>]*>(.*?)</div>', 1))).alias("price_per_unit"),
     )
 
 
@@ -79,16 +74,26 @@ def _ld_blocks(html: Column) -> Column:
     return F.regexp_extract_all(html, F.lit(LD_JSON), 1)
 
 
-def barcode(p: Column) -> Column:
-    return F.coalesce(p["gtin13"], p["gtin"], p["gtin12"], p["gtin8"], p["gtin14"])
+def _field(path: str, v: str = "v", kind: str = "string") -> Column:
+    return F.try_variant_get(v, f"$.{path}", kind)
+
+
+def _barcode(v: str = "v") -> Column:
+    return F.coalesce(*[_field(c, v) for c in ("gtin13", "gtin", "gtin12", "gtin8", "gtin14")])
 
 
-def image_of(p: Column, html: Column) -> Column:
+def image_of(html: Column, v: str = "v") -> Column:
     """The image of the JSON (a string or the first of a list), else the page's marked image."""
-    listed = F.get(F.from_json(p["image"], "array<string>"), 0)
+    plain = _field("image", v)
     page = F.regexp_extract(html, r'<img[^>]*itemprop="?image"?[^>]*src="([^"]+)"', 1)
-    plain = F.when(~p["image"].startswith("["), p["image"])
-    return F.coalesce(listed, plain, F.nullif(page, F.lit("")))
+    return F.coalesce(_field("image[0]", v), F.when(~plain.startswith("["), plain), F.nullif(page, F.lit("")))
+
+
+def _classified(rows: DataFrame, column: str, classify) -> DataFrame:
+    """``rows`` with category and subcategory of ``column``, which goes."""
+    if rows.isStreaming:
+        return rows.withColumn("_c", classify(F.col(column))).select("*", "_c.*").drop("_c", column)
+    return classify_distinct(rows, column, classify).drop(column)
 
 
 def product_offers(pages: DataFrame, store: int = 1, marker: str = "breadcrumb") -> DataFrame:
@@ -97,114 +102,84 @@ def product_offers(pages: DataFrame, store: int = 1, marker: str = "breadcrumb")
     Reasons, in order: sem_ld_json, erro_parse_json, sem_dados_essenciais, fora_de_stock,
     preco_zero_ou_invalido, sem_classificacao.
     """
-    first = F.get(_ld_blocks(F.col("html")), 0)
-    p = F.from_json(first, PRODUCT)
-    broken = F.try_parse_json(first).isNull()
-    price = F.replace(F.col("p.offers.price"), F.lit(","), F.lit(".")).try_cast("double")
-    found = pages.select("page_id", "url", "html", first.alias("raw"), p.alias("p"), broken.alias("broken")).select(
-        "*",
-        price.alias("price"),
-        classify_breadcrumb(F.array_join(breadcrumb(F.col("html"), marker), " / "), store).alias("c"),
-        image_of(F.col("p"), F.col("html")).alias("image_url"),
-    )
+    rows = pages.select("page_id", "url", "html", F.get(_ld_blocks(F.col("html")), 0).alias("raw"))
+    rows = rows.select("*", F.try_parse_json("raw").alias("v"))
+    rows = rows.select(
+        "page_id", "url", F.col("raw").isNull().alias("_none"), F.col("v").isNull().alias("_broken"),
+        _field("sku").alias("id"), _field("name").alias("name"), _field("brand.name").alias("brand"),
+        F.replace(_field("offers.price"), F.lit(","), F.lit(".")).try_cast("double").alias("price"),
+        _field("offers.availability").alias("_availability"), _barcode().alias("barcode"), image_of(F.col("html")).alias("image_url"),
+        F.array_join(breadcrumb(F.col("html"), marker), " / ").alias("_crumbs"),
+    )
+    rows = _classified(rows, "_crumbs", lambda c: classify_breadcrumb(c, store))
     reason = (
-        F.when(F.col("raw").isNull(), "sem_ld_json")
-        .when(F.col("broken"), "erro_parse_json")
-        .when(F.col("p.sku").isNull() | F.col("p.name").isNull(), "sem_dados_essenciais")
-        .when(~in_stock(F.col("p.offers.availability")), "fora_de_stock")
+        F.when(F.col("_none"), "sem_ld_json")
+        .when(F.col("_broken"), "erro_parse_json")
+        .when(F.col("id").isNull() | F.col("name").isNull(), "sem_dados_essenciais")
+        .when(~in_stock(F.col("_availability")), "fora_de_stock")
         .when(F.col("price").isNull() | F.isnan("price") | (F.col("price") <= 0), "preco_zero_ou_invalido")
-        .when(F.col("c.subcategory").isNull(), "sem_classificacao")
+        .when(F.col("subcategory").isNull(), "sem_classificacao")
     )
-    return found.select(
-        "page_id", "url", F.col("p.sku").alias("id"), "p.name", F.col("p.brand.name").alias("brand"), "price",
-        barcode(F.col("p")).alias("barcode"), "image_url", "c.category", "c.subcategory", reason.alias("reason"),
-    )
+    return rows.select("page_id", "url", "id", "name", "brand", "price", "barcode", "image_url", "category", "subcategory", reason.alias("reason"))
 
 
 def multi_block_offers(pages: DataFrame, store: int = 2) -> DataFrame:
     """Pages with several JSON blocks: the Product block and the BreadcrumbList sorted by position."""
-    blocks = _ld_blocks(F.col("html"))
-    products = F.filter(F.transform(blocks, lambda b: F.from_json(b, PRODUCT)), lambda p: p["@type"] == "Product")
-    lists = F.filter(F.transform(blocks, lambda b: F.from_json(b, CRUMBS)), lambda p: p["@type"] == "BreadcrumbList")
-    rows = pages.select("page_id", "url", "html", F.get(products, 0).alias("p"), F.get(lists, 0).alias("l"))
-    sorted_names = F.transform(
-        F.array_sort(F.transform("l.itemListElement", lambda x: F.struct(x["position"], F.coalesce(x["name"], x["item"]["name"]).alias("name")))),
-        lambda x: x["name"],
-    )
-    rows = rows.withColumn("price", F.col("p.offers.price").try_cast("double"))
-    crumbs = F.array_join(F.filter(sorted_names, lambda n: n.isNotNull()), " / ")
-    return (
-        rows.filter(F.col("p.sku").isNotNull() & in_stock(F.col("p.offers.availability")))
-        .filter(F.col("price").isNotNull() & ~F.isnan("price"))
-        .select(
-            "page_id", "url", F.col("p.sku").alias("id"), "p.name", F.col("p.brand.name").alias("brand"), "price",
-            barcode(F.col("p")).alias("barcode"), classify_breadcrumb(crumbs, store).alias("c"),
-        )
-        .select("*", "c.*")
-        .drop("c")
+    blocks = F.transform(_ld_blocks(F.col("html")), F.try_parse_json)
+    of = lambda name: F.get(F.filter("blocks", lambda b: F.try_variant_get(b, "$['@type']", "string") == name), 0)
+    rows = pages.select("page_id", "url", blocks.alias("blocks")).select("page_id", "url", of("Product").alias("v"), of("BreadcrumbList").alias("l"))
+    items = F.try_variant_get("l", "$.itemListElement", "array<struct<position:int, name:string, item:struct<name:string>>>")
+    named = F.array_sort(F.transform(items, lambda x: F.struct(x["position"], F.coalesce(x["name"], x["item"]["name"]).alias("name"))))
+    rows = rows.select(
+        "page_id", "url", _field("sku").alias("id"), _field("name").alias("name"), _field("brand.name").alias("brand"),
+        _field("offers.price").try_cast("double").alias("price"), _barcode().alias("barcode"),
+        F.array_join(F.filter(F.transform(named, lambda x: x["name"]), lambda n: n.isNotNull()), " / ").alias("_crumbs"),
+        _field("offers.availability").alias("_availability"),
     )
+    rows = rows.filter(F.col("id").isNotNull() & in_stock(F.col("_availability")) & F.col("price").isNotNull() & ~F.isnan("price")).drop("_availability")
+    return _classified(rows, "_crumbs", lambda c: classify_breadcrumb(c, store))
 
 
 def attribute_offers(pages: DataFrame) -> DataFrame:
     """The first ``data-gtm-info`` whose first item has an id; price from the page, else from the item."""
-    shape = "items array<struct<item_id:string, item_name:string, item_brand:string, price:double>>"
-    infos = F.transform(
-        F.regexp_extract_all("html", F.lit(r'data-gtm-info="([^"]*)"'), 1), lambda x: F.from_json(html_unescape(x), shape)
-    )
-    item = F.get(F.filter(infos, lambda x: x["items"][0]["item_id"].isNotNull()), 0)["items"][0]
+    infos = F.transform(F.regexp_extract_all("html", F.lit(r'data-gtm-info="([^"]*)"'), 1), lambda x: F.try_parse_json(html_unescape(x)))
+    first = F.get(F.filter("infos", lambda x: F.try_variant_get(x, "$.items[0].item_id", "string").isNotNull()), 0)
     page_price = F.regexp_extract("html", r'itemprop="price"[^>]*content="([0-9.]+)"', 1).try_cast("double")
-    return (
-        pages.withColumn("i", item)
-        .withColumn("price", F.coalesce(page_price, "i.price"))
-        .filter("i.item_id is not null and price is not null and price <> 0")
-        .select(
-            "page_id", "url", F.col("i.item_id").alias("id"), F.col("i.item_name").alias("name"),
-            F.col("i.item_brand").alias("brand"), "price", classify_url_path(F.col("url")).alias("c"),
-        )
-        .select("*", "c.*")
-        .drop("c")
+    rows = pages.select("page_id", "url", "html", infos.alias("infos")).select("page_id", "url", "html", first.alias("v"))
+    rows = rows.select(
+        "page_id", "url", _field("items[0].item_id").alias("id"), _field("items[0].item_name").alias("name"),
+        _field("items[0].item_brand").alias("brand"), F.coalesce(page_price, _field("items[0].price", kind="double")).alias("price"),
+        F.col("url").alias("_url"),
     )
+    return _classified(rows.filter("id is not null and price is not null and price <> 0"), "_url", classify_url_path)
 
 
 def nested_offers(documents: DataFrame) -> DataFrame:
     """JSON documents (column ``json``): a price, the brand only where it is shown, the first EAN, image by id."""
-    shape = (
-        "id string, fullTitle string, category string, havingPrice boolean, price struct<price:double>,"
-        " brand struct<name:string, showBrand:boolean>, ians array<string>, eans array<string>, mainImageId string,"
-        " images map<string, string>"
-    )
-    d = F.from_json("json", shape)
-    return (
-        documents.withColumn("d", d)
-        .filter("d.havingPrice and d.price.price is not null")
-        .select(
-            F.col("d.id").alias("id"), F.col("d.fullTitle").alias("name"),
-            F.when(F.col("d.brand.showBrand"), F.col("d.brand.name")).alias("brand"),
-            F.col("d.price.price").alias("price"), F.get("d.eans", 0).alias("barcode"),
-            F.try_element_at("d.images", F.col("d.mainImageId")).alias("image_url"),
-            classify_breadcrumb(F.col("d.category"), 3).alias("c"),
-        )
-        .select("*", "c.*")
-        .drop("c")
+    rows = documents.select(F.try_parse_json("json").alias("v"))
+    images = F.try_variant_get("v", "$.images", "map<string, string>")
+    rows = rows.select(
+        _field("id").alias("id"), _field("fullTitle").alias("name"),
+        F.when(_field("brand.showBrand", kind="boolean"), _field("brand.name")).alias("brand"),
+        _field("price.price", kind="double").alias("price"), _field("eans[0]").alias("barcode"),
+        F.try_element_at(images, _field("mainImageId")).alias("image_url"), _field("category").alias("_crumbs"),
+        _field("havingPrice", kind="boolean").alias("_priced"),
     )
+    return _classified(rows.filter("_priced and price is not null").drop("_priced"), "_crumbs", lambda c: classify_breadcrumb(c, 3))
 
 
 def double_encoded_offers(pages: DataFrame) -> DataFrame:
     """__NEXT_DATA__ -> apiData (JSON in a string) -> the PRODUCT_DETAIL_GET entry; unavailable ones dropped."""
-    outer = F.regexp_extract("html", r'(?s)<script id="__NEXT_DATA__"[^>]*>(.*?)</script>', 1)
-    inner = F.get_json_object(outer, "$.props.pageProps.apiData")
-    entries = F.from_json(
-        inner,
-        "array<struct<key:string, res:struct<id:string, name:string, brandName:string, available:boolean,"
-        " price:struct<value:double>, assets:array<struct<url:string, primary:boolean>>>>>",
-    )
-    p = F.get(F.filter(entries, lambda e: e["key"] == "PRODUCT_DETAIL_GET"), 0)["res"]
-    primary = F.get(F.filter("p.assets", lambda a: a["primary"]), 0)["url"]
-    return (
-        pages.withColumn("p", p)
-        .filter("p.id is not null and coalesce(p.available, true) and p.price.value is not null")
-        .select(
-            "page_id", F.col("p.id").alias("id"), "p.name", F.col("p.brandName").alias("brand"),
-            F.col("p.price.value").alias("price"), F.coalesce(primary, F.get("p.assets", 0)["url"]).alias("image_url"),
-        )
+    outer = F.try_parse_json(F.regexp_extract("html", r'(?s)<script id="__NEXT_DATA__"[^>]*>(.*?)</script>', 1))
+    rows = pages.select("page_id", outer.alias("o")).select("page_id", F.try_parse_json(_field("props.pageProps.apiData", "o")).alias("w"))
+    entries = F.try_variant_get("w", "$", "array<variant>")
+    rows = rows.select("page_id", F.get(F.filter(entries, lambda e: F.try_variant_get(e, "$.key", "string") == "PRODUCT_DETAIL_GET"), 0).alias("v"))
+    assets = F.try_variant_get("v", "$.res.assets", "array<struct<url:string, primary:boolean>>")
+    rows = rows.select(
+        "page_id", _field("res.id").alias("id"), _field("res.name").alias("name"), _field("res.brandName").alias("brand"),
+        _field("res.price.value", kind="double").alias("price"), _field("res.available", kind="boolean").alias("_available"), assets.alias("_assets"),
     )
+    primary = F.get(F.filter("_assets", lambda a: a["primary"]), 0)["url"]
+    return rows.filter("id is not null and coalesce(_available, true) and price is not null").select(
+        "page_id", "id", "name", "brand", "price", F.coalesce(primary, F.get("_assets", 0)["url"]).alias("image_url")
+    )
