@@ -1,7 +1,7 @@
 """Personal data: exact base patterns, and a semi-Markov conditional random field for the rest.
 
-The base kinds are found by fixed patterns. Around digits, @ and a bracketed "at" the
-text is cut into tokens; every run of up to six
+The base kinds are found by fixed patterns. Around digits, @, a bracketed or spoken "at"
+and long keys of letters the text is cut into tokens; every run of up to seven
 tokens is a candidate segment, scored as a whole by its features, and a dynamic
 program over bounded segments picks boundaries and kinds together. The field learns
 from generated sentences and from the base spans of a bounded sample of documents;
@@ -25,13 +25,13 @@ from trolley.llm.fitting import fit_in_task
 KINDS = ("email", "ip", "card", "phone", "secret")
 BASE = KINDS[:4]
 LABELS = ("", *KINDS)
-LONGEST = 6
+LONGEST = 7
 DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-TRIGGER = re.compile(r"[0-9@]|[(\[]at[)\]]", re.I)
+TRIGGER = re.compile(r"[0-9@]|(?i:[(\[]at[)\]]|(?<= )at (?=[a-z_-]+ dot ))|(?<![A-Za-z_-])[A-Za-z]?[a-z]*[A-Z_-][A-Za-z_-]{15}")
 #: Longest segment of several tokens, and longest span that is tried as an address, in characters.
 WIDEST = 80
 TOKEN = re.compile(r"\S+")
@@ -119,20 +119,29 @@ def windows(text: str, context: int = 3):
         yield tokens + [m.span() for _, m in zip(range(context), TOKEN.finditer(text, last), strict=False)]
 
 
-LEAD, TRAIL = "\"'([{<=:", "\"'.,;:!?)]}>"
+LEAD, TRAIL = "\"'([{<=:#$%&*|~", "\"'.,;:!?)]}>#$%&*|~"
 RELAXED = {
     "address": re.compile(r"[\w.%+-]+ ?[\[(]?(?:@|at)[\])]? ?[\w-]+(?:(?:\.| ?[\[(]dot[\])] ?)[\w-]+)+", re.A),
+    "spoken": re.compile(r"[\w%+-]+(?: dot [\w%+-]+)* at [\w-]+(?: dot [\w-]+)+", re.A | re.I),
     "quad": re.compile(r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?::[0-9]+)?"),
     "groups": re.compile(r"[0-9]{4}(?:[ -]?[0-9]{4}){3}"),
     "dial": re.compile(r"\+?[(0-9][ ().0-9-]{6,}[0-9]"),
     "hex": re.compile(r"[0-9a-f]{16,}", re.I),
     "mixed": re.compile(r"(?=\S*[0-9])(?=\S*[A-Za-z])[A-Za-z0-9_\-]{16,}"),
+    "cased": re.compile(r"(?=\S*[a-z]\S*[A-Z])(?=\S*[A-Z]\S*[a-z])[A-Za-z0-9_\-]{16,}"),
+    "capitals": re.compile(r"[A-Z0-9]{16,}"),
+    "letters": re.compile(r"[a-z]{12,}"),
+    "marked": re.compile(r"[A-Za-z]{2,6}[_-][A-Za-z0-9_\-]{12,}"),
+    "date": re.compile(r"[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}[./][0-9]{1,2}[./][0-9]{2,4}"),
+    "small": re.compile(r"[0-9]{1,3}(?: [0-9]{1,3})+"),
+    "grouped": re.compile(r"\(?[0-9]{3,5}\)?[ -][0-9]{3,4}(?:[ -][0-9]{3,6})?"),
 }
 CUES = re.compile(r"token|secret|passw|key|card|visa|phone|tel|call|mobile|mail|contact|ip|host|server|addr", re.I)
 
 
 def trimmed(text: str, start: int, end: int) -> tuple[int, int]:
-    while start < end and text[start] in LEAD:
+    """Without quotes and punctuation around; a bracket that closes within the span stays."""
+    while start < end and text[start] in LEAD and not (text[start] == "(" and ")" in text[start + 1 : end - 1]):
         start += 1
     while end > start and text[end - 1] in TRAIL:
         end -= 1
@@ -168,6 +177,10 @@ def features(text: str, start: int, end: int, before: str, tokens: int) -> list[
         out.append("assigned")
     if not digits and "@" not in span:
         out.append("no_trigger")
+    if text[max(0, end) : end + 2].lstrip(" ")[:1].isdigit():
+        out.append("goes_on")
+    if start > 1 and text[start - 2 : start].rstrip(" ")[-1:].isdigit():
+        out.append("went_on")
     return out
 
 
@@ -271,7 +284,7 @@ class SegmentField:
 # --- training ---------------------------------------------------------------------------
 
 
-def generated(number: int = 500, seed: int = 7):
+def generated(number: int = 1300, seed: int = 7):
     """(text, spans): sentences with one item each, in forms that the base patterns cover and others."""
     rng = random.Random(seed)
     word = lambda: "".join(rng.choice("abcdeilmnorstu") for _ in range(rng.randint(2, 8)))
@@ -282,21 +295,37 @@ def generated(number: int = 500, seed: int = 7):
         stem += next(str(d) for d in range(10) if luhn(stem + str(d)))
         return rng.choice([stem, " ".join(stem[i : i + 4] for i in range(0, 16, 4)), "-".join(stem[i : i + 4] for i in range(0, 16, 4))])
 
+    mixed = lambda n, letters: "".join(rng.choice(letters) for _ in range(n))
+    small, capital, number_ = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
     make = [
         ("email", lambda: f"{word()}.{word()}{rng.randint(1, 99)}@{word()}.{rng.choice(['com', 'org', 'net'])}"),
         ("email", lambda: f"{word()}{rng.choice(['', '.' + word(), str(rng.randint(1, 9))])} (at) {word()} (dot) com"),
+        ("email", lambda: f"{word()}{rng.choice(['', ' dot ' + word()])} at {word()} dot {rng.choice(['com', 'org', 'net'])}"),
         ("ip", lambda: ".".join(str(rng.randint(0, 255)) for _ in range(4))),
         ("card", card),
         ("phone", lambda: f"+{rng.randint(1, 99)} {digits(3)} {digits(3)} {digits(4)}"),
         ("phone", lambda: f"({digits(3)}) {digits(3)}-{digits(4)}"),
-        ("secret", lambda: "".join(rng.choice("0123456789abcdef") for _ in range(rng.choice([32, 40, 64])))),
+        ("phone", lambda: f"0{digits(2)} {digits(4)} {digits(4)}"),
+        ("phone", lambda: f"{digits(3)}-{digits(3)}-{digits(4)}"),
+        ("secret", lambda: mixed(rng.choice([32, 40, 64]), "0123456789abcdef")),
+        ("secret", lambda: f"{rng.choice(['sk', 'pk', 'key'])}-{mixed(rng.randint(20, 40), small + capital)}"),
+        ("secret", lambda: f"{rng.choice(['ghp', 'xoxb', 'tok'])}_{mixed(rng.randint(24, 36), small + capital + number_)}"),
+        ("secret", lambda: f"A{mixed(3, capital)}{mixed(16, capital + number_)}"),
         ("", lambda: digits(rng.choice([1, 2, 3, 4, 5, 6, 8, 16]))),
         ("", lambda: f"{rng.randint(1, 31)}.{rng.randint(1, 12)}.{rng.randint(1990, 2030)}"),
+        ("", lambda: f"{rng.randint(1990, 2030)}-{rng.randint(10, 12)}-{rng.randint(10, 31)}"),
         ("", lambda: f"{digits(1)}.{digits(2)}"),
         ("", lambda: f"{digits(3)},{digits(3)}"),
         ("", lambda: f"{word()}{digits(2)}"),
+        ("", lambda: " ".join(digits(rng.randint(1, 2)) for _ in range(rng.randint(2, 9)))),
+        ("", lambda: f"{rng.randint(1, 9)} {digits(3)} {digits(3)}"),
+        ("", lambda: f"{rng.randint(10, 23)}:{rng.randint(10, 59)}"),
+        ("", lambda: f"{rng.randint(1, 9)}.{rng.randint(0, 9)}.{rng.randint(0, 20)}"),
+        ("", lambda: mixed(rng.randint(20, 30), small)),
+        ("", lambda: f"{word()}-{word()}-{word()}-{word()}-{word()}"),
+        ("", lambda: f"{word()} at {word()} {digits(1)}"),
     ]
-    cues = {"secret": ['token = "', "secret: ", 'api_key = "'], "phone": ["call ", "tel: "], "card": ["card "]}
+    cues = {"secret": ['token = "', "secret: ", 'api_key = "', "key "], "phone": ["call ", "tel: ", "call "], "card": ["card "]}
     for i in range(number):
         kind, item = make[i % len(make)]
         lead = " ".join(word() for _ in range(rng.randint(1, 6)))
@@ -364,7 +393,7 @@ def all_spans(text: str, field: SegmentField) -> tuple[list, list]:
 def find_personal_data(docs: DataFrame, field: SegmentField | None = None) -> DataFrame:
     """Counts, digest and spans of personal data in every whole text.
 
-    Null text counts as empty; a text without digits, @ and a bracketed "at" has no spans. Spans of
+    Null text counts as empty; a text without digits, @, an "at" as above and long keys has no spans. Spans of
     different base kinds may overlap; added spans overlap no base span. Repeated rows
     give the same spans, and the field depends on the rows only, not on their layout.
     """
