@@ -21,14 +21,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trolley.llm.decontamination import FOLD
-from trolley.llm.fitting import fit_in_task
+from trolley.llm.fitting import apart, fit_in_task
 
 WINDOW, STRIDE = 48, 24
 NGRAMS = 1 << 15
 CHAR_DIM = WORD_DIM = 8
 HIDDEN = 12
 #: Windows that run through the network at once.
-BATCH = 1024
+BATCH = 512
 SCORED = "doc_id long, held_out boolean, score double, predicted int, n_windows long"
 
 
@@ -202,7 +202,7 @@ class Table(dict):
 class Scorer:
     """Scores texts in groups; gate inputs of distinct words are kept up to ``most`` words."""
 
-    def __init__(self, net: Network, most: int = 60_000, group: int = 150_000):
+    def __init__(self, net: Network, most: int = 60_000, group: int = 50_000):
         self.net, self.most, self.group = net, most, group
         self.table, self.rows = Table(), np.zeros((0, 6 * HIDDEN), np.float32)
 
@@ -412,7 +412,8 @@ def fitted(docs: DataFrame, labels: DataFrame) -> Network:
 
     def fit(rows):
         rows.sort(key=lambda r: r["doc_id"])
-        net = train([r["text"] for r in rows], [r["toxic"] for r in rows])
+        learn = lambda: train([r["text"] for r in rows], [r["toxic"] for r in rows])
+        net = apart(learn) if rows else learn()
         net.examples = min(sum(r["toxic"] == label for r in rows) for label in (0, 1))
         return net
 
