@@ -21,62 +21,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trolley.llm.decontamination import FOLD
+from trolley.llm.license_texts import TEMPLATES
 from trolley.llm.near_dup import mix, word_hashes
 
 WORDS = 5
 LEAST = 0.8
 BANDS = 32
 FOUND = "doc_id long, n_matches long, licenses string, spans string"
-#: Notices and clauses of public licenses, by a short name.
-TEMPLATES = {
-    "apache-2.0-line": "Licensed under the Apache License, Version 2.0.",
-    "apache-2.0-header": (
-        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in"
-        " compliance with the License. You may obtain a copy of the License at"
-        " http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing,"
-        " software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR"
-        " CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing"
-        " permissions and limitations under the License."
-    ),
-    "bsd-clauses": (
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided"
-        " that the following conditions are met: Redistributions of source code must retain the above copyright"
-        " notice, this list of conditions and the following disclaimer. Redistributions in binary form must"
-        " reproduce the above copyright notice, this list of conditions and the following disclaimer in the"
-        " documentation and/or other materials provided with the distribution."
-    ),
-    "cc-by-4.0-line": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
-    "cc-by-nc-4.0-line": "Licensed under CC BY-NC 4.0.",
-    "cc-by-sa-4.0-line": (
-        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."
-    ),
-    "gpl-3.0-header": (
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General"
-        " Public License as published by the Free Software Foundation, either version 3 of the License, or (at your"
-        " option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY"
-        " WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the"
-        " GNU General Public License for more details."
-    ),
-    "gpl-3.0-line": "This work is licensed under the GNU General Public License, version 3.",
-    "isc": (
-        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is"
-        " hereby granted, provided that the above copyright notice and this permission notice appear in all copies."
-    ),
-    "mit-line": "Released under the MIT License.",
-    "mit": (
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated"
-        " documentation files (the \"Software\"), to deal in the Software without restriction, including without"
-        " limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of"
-        " the Software, and to permit persons to whom the Software is furnished to do so, subject to the following"
-        " conditions: The above copyright notice and this permission notice shall be included in all copies or"
-        " substantial portions of the Software."
-    ),
-    "mpl-2.0-header": (
-        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was"
-        " not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."
-    ),
-    "unlicense": "This is free and unencumbered software released into the public domain.",
-}
 _SEEDS = mix(np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
