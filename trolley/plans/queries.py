@@ -1035,6 +1035,25 @@ def run_summaries(spark, sf_dir):
     return quality.run_summary(rows, "reason", ["too_high", "too_low"], ["not_a_number"], ["store"])
 
 
+@query(
+    """SELECT store, count(*) AS found, count(*) FILTER (reason IS NULL) AS saved,
+        count(*) FILTER (reason = 'too_high') AS ignored_too_high, count(*) FILTER (reason = 'too_low') AS ignored_too_low,
+        count(*) FILTER (reason = 'not_a_number') AS errors
+    FROM (SELECT store, CASE WHEN price IS NULL THEN 'not_a_number' WHEN price >= 100 THEN 'too_high'
+        WHEN store = 'pingo-doce' AND price < 0.05 THEN 'too_low' END AS reason FROM cat) GROUP BY store""",
+    CATALOGUE,
+)
+def observed_summaries(spark, sf_dir):
+    """The figures of a run as the write of its valid offers counts them."""
+    from trolley.operators.observed import Counters, write_observed
+    from trolley.sources.catalogue import STORES
+    from trolley.sources.shared import shared_dir
+
+    counters = Counters(("too_high", "too_low"), ("not_a_number",), STORES)
+    counts = write_observed(relational.valid_price(part_catalogue(spark, sf_dir)), shared_dir(spark), counters)
+    return counters.summary(spark, counts)
+
+
 @query(
     """SELECT l_partkey AS product_id, CASE l_returnflag WHEN 'A' THEN 'reviewed' WHEN 'R' THEN 'dismissed' ELSE 'pending' END
         AS status, count(*) AS n FROM lineitem GROUP BY ALL"""
