@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,9 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder name under ``spark.checkpoint.dir``; set to a local one only where unset (tests)."""
+    """A new folder name under ``spark.checkpoint.dir``; where that is unset a local one is set in local mode only.
+
+    Raises ValueError on a cluster without the setting: a machine's own folder is not shared.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         root = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/trolley-{uuid.uuid4().hex}"
