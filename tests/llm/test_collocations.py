@@ -53,7 +53,7 @@ def found(spark, rows, **more):
     return sorted(tuple(r) for r in C.collocations(table, **more).collect())
 
 
-@pytest.mark.parametrize("sizes", [C.Sizes(), C.Sizes(90, 40), C.Sizes(300, 64, 6, 3)])
+@pytest.mark.parametrize("sizes", [C.Sizes(), C.Sizes(90, 40), C.Sizes(300, 64, 6, 3, 50)])
 def test_phrases_equal_plain_counting(spark, sizes):
     """Also with small groups, texts cut in slices, and so few buckets that all of them are full."""
     rows = [*texts(sizes.group, 250), *texts(sizes.group, 20)]

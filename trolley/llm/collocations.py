@@ -39,12 +39,14 @@ _BYTES = bytes(46 if b in PIECE_ENDS else 32 if b == 9 else b + 32 if 65 <= b <=
 @dataclass(frozen=True)
 class Sizes:
     """Words counted together in a task; bytes of text cut into words at once; buckets of pairs (as a power of
-    two: their bits, 32 MB for each of two passes, are broadcast) and ranges they are added up in. None of them changes a result."""
+    two: their bits, 32 MB for each of two passes, are broadcast) and ranges they are added up in; corrections
+    held from group to group. None of them changes a result."""
 
-    group: int = 1 << 21
+    group: int = 1 << 20
     slice: int = 1 << 22
     bucket_bits: int = 28
     range_bits: int = 8
+    held: int = 400_000
 
 
 class _Numbers(dict):
@@ -271,24 +273,37 @@ def _ends(group: _Group, joined: np.ndarray, tripled: np.ndarray) -> Iterator[tu
 def _flows(pair_bits, triple_bits, sizes: Sizes):
     """Rows (lang, words, edge, weight): paths of the graph, and corrections; all rare words together are ''."""
 
+    def batches_of(langs, words, edge: bool, weights):
+        for a in range(0, len(words), 1 << 16):
+            own = slice(a, a + (1 << 16))
+            columns = [pa.array(langs[own], pa.string()), pa.array(words[own], pa.string()), pa.array([edge] * len(words[own])), pa.array(weights[own], pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["lang", "words", "edge", "weight"])
+
+    def given(held: dict[str, int]):
+        parts = [key.partition("\t") for key in held]
+        yield from batches_of([x[2] for x in parts], [x[0] for x in parts], False, list(held.values()))
+        held.clear()
+
     def flows(batches):
+        held: dict[str, int] = {}  # corrections of several groups, by words and language (words hold no tab)
         for group in _groups(batches, sizes):
             joined = group.joined(pair_bits.value)
             tripled = np.append(joined[:-1] & joined[1:], False)
             at = np.flatnonzero(tripled)
             tripled[at] = _hit(triple_bits.value, group.triple_buckets(at))
-            for at, n, weight, edge in [(*_paths(group, tripled), True), *[(*e, False) for e in _ends(group, joined, tripled)]]:
-                if not edge and n == 1:
+            at, n, weight = _paths(group, tripled)
+            yield from batches_of([group.lang_names[i] for i in group.lang[at].tolist()], group.phrases(at, n), True, weight.tolist())
+            for at, n, weight in _ends(group, joined, tripled):
+                words = group.phrases(at, n)
+                if n == 1:
                     often = _hit(pair_bits.value, group.word_buckets(group.lang[at], group.word[at]))
-                    rest = np.bincount(group.lang[at[~often]], weight[~often], minlength=len(group.lang_names)).astype(np.int64)
-                    rows = [group.lang_names, [""] * len(rest), [False] * len(rest), rest]
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in rows], ["lang", "words", "edge", "weight"])
-                    at, weight = at[often], weight[often]
-                for a in range(0, len(at), 1 << 16):
-                    own, size = at[a : a + (1 << 16)], n[a : a + (1 << 16)] if edge else n
-                    langs = [group.lang_names[i] for i in group.lang[own].tolist()]
-                    columns = [pa.array(langs, pa.string()), pa.array(group.phrases(own, size)), pa.array([edge] * len(own)), pa.array(weight[a : a + (1 << 16)])]
-                    yield pa.RecordBatch.from_arrays(columns, ["lang", "words", "edge", "weight"])
+                    words = [w if x else "" for w, x in zip(words, often.tolist(), strict=True)]
+                for w, i, x in zip(words, group.lang[at].tolist(), weight.tolist(), strict=True):
+                    key = f"{w}\t{group.lang_names[i]}"
+                    held[key] = held.get(key, 0) + x
+            if len(held) > sizes.held:
+                yield from given(held)
+        yield from given(held)
 
     return flows
 
