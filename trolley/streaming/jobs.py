@@ -67,11 +67,7 @@ class ChangeOnly(StatefulProcessor):
         return (at + self.expiry) // 1000 + 1
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        parts = [(p["at"].to_numpy("float64", na_value=np.nan), p["at"], p["price"], p["cents"]) for p in rows]
-        at = pd.concat([p[1] for p in parts], ignore_index=True).astype("Int64")
-        price = pd.concat([p[2] for p in parts], ignore_index=True).astype("Float64")
-        cents = pd.concat([p[3] for p in parts], ignore_index=True).astype("Int64")
-        own = pd.DataFrame({"at": at, "price": price.mask(price.isna()), "cents": cents})
+        own = pd.concat(list(rows), ignore_index=True)[["at", "price", "cents"]].astype({"at": "Int64", "price": "Float64", "cents": "Int64"})
         before = self.last.get() if self.last.exists() else None
         fresh = own["at"].notna() if before is None else (own["at"] >= before[0]).fillna(False)
         late = int((~fresh.astype(bool)).sum())
