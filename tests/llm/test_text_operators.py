@@ -215,6 +215,41 @@ def test_cuts_keep_short_texts_that_are_alike(spark):
     assert met.count() >= 2998
 
 
+def _joined_rows(df):
+    """Rows of the join in which members meet leaders, as Spark's metrics count them."""
+    plan, found = df._jdf.queryExecution().executedPlan(), []
+
+    def walk(node):
+        if "m_key" in node.simpleString(99) and "Join" in node.nodeName():
+            found.append(node.metrics().apply("numOutputRows").value())
+        for i in range(node.children().size()):
+            walk(node.children().apply(i))
+
+    walk(plan)
+    assert len(found) == 1
+    return found[0]
+
+
+def test_copies_that_share_many_buckets_meet_once(spark):
+    """Five leaders and sixty members in twenty buckets, of which some lack a leader or a member: no pair twice, none lost."""
+    fine = near_dup.sketch(near_dup.prob_min_hash(near_dup.mix(np.arange(300, dtype=np.uint64)), np.ones(300)))
+    sketches = spark.createDataFrame([(i, 300, *fine.tolist()) for i in range(65)], "node long, size int, " + ", ".join(f"{c} long" for c in near_dup.SKETCH))
+    members = [(key, node, node, 65) for key in range(20) for node in range(65) if (node + key) % 7]
+    led = [(key, leader, leader, 65) for key in range(20) for leader in range(60, 65) if (leader + key) % 7 and (leader + key) % 3]
+    share = {(b, a) for k, a, *_ in members for x, b, *_ in led if k == x and a != b}
+    members = spark.createDataFrame(members, "key long, node long, component long, n long")
+    led = spark.createDataFrame(led, "key long, leader long, own long, n long")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        met = near_dup._candidates(members, led, sketches, near_dup.MOST_APART)
+        pairs = {(r["a"], r["b"]) for r in met.collect()}
+        joined = _joined_rows(met)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert pairs == {(max(x), min(x)) for x in share}
+    assert joined == len(share)
+
+
 def test_unlike_texts_of_one_bucket_are_all_compared(spark):
     """A passage that many unlike texts share: the few near copies among them are found, the others left alone."""
     passage = " ".join(f"p{k}" for k in range(120))

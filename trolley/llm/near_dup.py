@@ -324,7 +324,13 @@ def _leaders(members: DataFrame, most: int) -> DataFrame:
 
 
 def _candidates(members: DataFrame, leaders: DataFrame, sketches: DataFrame, most_apart: int) -> DataFrame:
-    """(a, b, of_a, of_b), a above b, with their components: members and leaders of one bucket not of one class that may be alike."""
+    """(a, b, of_a, of_b), a above b, with their components: members and leaders of one bucket not of one class that may be alike.
+
+    Copies share most of their buckets. A member and a leader make a row in one only, that
+    with the smallest of the keys that the leader leads and the member has.
+    """
+    own_keys = members.groupBy("node").agg(F.collect_set("key").alias("keys"))
+    led = leaders.groupBy("leader").agg(F.collect_set("key").alias("led"))
     planes = [c for c in sketches.columns if c not in ("node", "size")]
     told = [F.col("node").alias("leader"), F.col("size").alias("l_size"), *[F.col(c).alias(f"l_{c}") for c in planes]]
     apart = [F.col(c).bitwiseXOR(F.col(f"l_{c}")) for c in planes]
@@ -332,7 +338,7 @@ def _candidates(members: DataFrame, leaders: DataFrame, sketches: DataFrame, mos
     far = reduce(Column.__add__, [F.bit_count(x.bitwiseOR(y)) for x, y in zip(apart[:half], apart[half:], strict=True)])
     near = F.least("size", "l_size") >= LEAST * F.greatest("size", "l_size") - 1e-9
     m = _own_part(members).select(F.col("key").alias("m_key"), F.col("salt").alias("m_salt"), "node", "component")
-    m = m.join(sketches, "node")
+    m = m.join(sketches.join(own_keys, "node"), "node")
     on = (
         (F.col("m_key") == F.col("key"))
         & (F.col("m_salt") == F.col("salt"))
@@ -340,8 +346,9 @@ def _candidates(members: DataFrame, leaders: DataFrame, sketches: DataFrame, mos
         & (F.col("component") != F.col("own"))
         & near
         & (far <= most_apart)
+        & (F.col("key") == F.array_min(F.array_intersect("keys", "led")))
     )
-    met = m.join(_all_parts(leaders.join(sketches.select(*told), "leader")), on)
+    met = m.join(_all_parts(leaders.join(sketches.select(*told).join(led, "leader"), "leader")), on)
     pair = [(F.col("node"), F.col("component")), (F.col("leader"), F.col("own"))]
     ends = [F.struct(node.alias("node"), part.alias("of")) for node, part in pair]
     met = met.select(F.greatest(*ends).alias("a"), F.least(*ends).alias("b"))
