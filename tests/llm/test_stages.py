@@ -1,5 +1,6 @@
 """Every stage of the pipeline on odd rows and empty tables: the rows it returns, not only its columns."""
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -63,3 +64,26 @@ def test_packing_holds_every_row(spark, odd):
     assert len({(r["doc_id"], r["piece"]) for r in rows if r["doc_id"] == 3}) == -(-max(r["start"] + r["length"] for r in rows if r["doc_id"] == 3) // 2048)
     assert sum(r["doc_id"] == 5 for r in rows) == 2 and sum(r["doc_id"] is None for r in rows) == 1
     assert all(0 < r["length"] <= 2048 and r["offset"] + r["length"] <= 2048 for r in rows)
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
+def test_stage_sends_texts_in_small_batches(spark, name):
+    setting = corpus_pipeline.BATCH_SETTING
+    before = spark.conf.get(setting, None)
+    texts = spark.range(0, 9000, 1, 1).selectExpr("id AS doc_id", "repeat('word ', 400) AS text", "'xx' AS lang", "'s' AS source", "2000L AS n_chars")
+
+    def largest():
+        def sizes(batches):
+            yield from (pa.RecordBatch.from_arrays([pa.array([b.nbytes], pa.int64())], ["size"]) for b in batches)
+
+        return max(r["size"] for r in texts.mapInArrow(sizes, "size long").collect())
+
+    try:
+        spark.conf.unset(setting)
+        stage(spark, name, spark.createDataFrame([], SHAPE))
+        assert largest() < 5 << 20
+        spark.conf.set(setting, "1m")
+        stage(spark, name, spark.createDataFrame([], SHAPE))
+        assert spark.conf.get(setting) in ("1m", str(1 << 20))
+    finally:
+        spark.conf.unset(setting) if before is None else spark.conf.set(setting, before)
