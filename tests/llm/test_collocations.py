@@ -86,3 +86,37 @@ def test_odd_rows_and_empty_tables(spark):
     assert found(spark, [(None, None, None), (1, "", "x"), (2, " \t.,", "x"), (3, "one", None)]) == []
     long = [(1, "the same words again " * 50_000, "x")]
     assert found(spark, long) == plain(long, 30)
+
+
+@pytest.mark.parametrize("sizes,k,floors", [
+    (C.Sizes(90, 40, 16, 3), 3, (400_000,)), (C.Sizes(300, 64, 6, 3), 12, (900_000, 150_000)), (C.Sizes(90, 40, 16, 3), 2000, (1,)),
+])
+def test_floors_change_no_result(spark, sizes, k, floors):
+    """Floors that all, some or no languages reach, with phrases inside longer ones on both sides of them."""
+    rows = [*texts(k, 250), *texts(k, 20), *[(i, "one of the most. of the most " * (i % 5), "b") for i in range(60)]]
+    want = plain(rows, 6, k=k)
+    assert len(want) > 8
+    assert found(spark, rows, least=6, k=k, sizes=sizes, floors=floors) == want
+
+
+def test_phrases_below_the_floor_are_not_sent(spark, monkeypatch):
+    """Frequent pairs of frequent words score low; their counts do not leave the tasks where better ones are enough."""
+    random.seed(7)
+    common = [f"c{i}" for i in range(40)]
+    rows = [(i, " ".join(random.choices(common, k=400)) + f". far{i % 20} off{i % 20}", "x") for i in range(400)]
+    sent, write = [], C.written
+
+    def recorded(df, name):
+        out = write(df, name)
+        if name == "flows":
+            sent.append(out.count())
+        return out
+
+    monkeypatch.setattr(C, "written", recorded)
+    sizes = C.Sizes(group=4_000, bucket_bits=16, range_bits=3)
+    want = plain(rows, 20, k=20)
+    assert found(spark, rows, least=20, k=20, sizes=sizes, floors=(500_000,)) == want
+    few = sum(sent)
+    sent.clear()
+    assert found(spark, rows, least=20, k=20, sizes=sizes, floors=()) == want
+    assert 20 * few < sum(sent)

@@ -11,6 +11,12 @@ a fixed number, a second one three words whose pairs may be frequent; what lies
 below the least count cannot be part of any phrase that is asked for, so text is cut
 there too. Rare words are sent as one sum. Corrections keep all counts that are asked for
 exact, and a full bucket costs work, never rows.
+
+Only a language's best phrases are asked for, and most frequent phrases score far too low. A
+score is a count over a sum of counts, and all are sums over groups: a phrase that reaches a
+score over all texts reaches it in one group at least. So groups mark what reaches a floor there,
+with its parts, and only what is marked, or is around it, is counted. Where ``k`` phrases of a
+language reach the floor, they are its best; other languages are counted without a floor.
 """
 
 from __future__ import annotations
@@ -29,6 +35,8 @@ from trolley.llm._common import written
 
 #: Words of the longest phrase.
 LONGEST = 4
+#: A score of 1.
+WHOLE = 2_000_000
 #: Parts of a group that are ranked before the group is.
 RANKED_PARTS = 64
 #: Where pieces end.
@@ -68,10 +76,28 @@ def _word_numbers(text: str, numbers: _Numbers, size: int) -> list[np.ndarray]:
     return [*out, np.zeros(1, dtype=np.int64)]
 
 
+class _Bits:
+    """Bits that are sent, and lie on disks, compressed."""
+
+    def __init__(self, bits: np.ndarray):
+        self.bits = bits
+
+    def __reduce__(self):
+        return _unzipped, (zlib.compress(self.bits.tobytes(), 1),)
+
+
+def _unzipped(data: bytes) -> _Bits:
+    return _Bits(np.frombuffer(zlib.decompress(data), dtype=np.uint8))
+
+
 def _hit(bits: np.ndarray, bucket: np.ndarray) -> np.ndarray:
     return (bits[bucket >> 3] >> (7 - (bucket & 7)).astype(np.uint8)) & 1 > 0
 
 
+def _next(mask: np.ndarray) -> np.ndarray:
+    return np.append(mask[1:], False)
+
+
 class _Group:
     """Words of consecutive documents: numbers, the language's number of each, and what they stand for."""
 
@@ -117,6 +143,66 @@ class _Group:
         second = self.hashed[self.word[at + 1]] * np.uint64(0xFF51AFD7ED558CCD) + (self.hashed[self.word[at + 2]] >> np.uint64(3))
         return self._mixed(self.lang[at], self.word[at], second)
 
+    def phrase_buckets(self, at: np.ndarray, n: int) -> np.ndarray:
+        """The bucket of the ``n`` words from each place on."""
+        if n == 1:
+            return self.word_buckets(self.lang[at], self.word[at])
+        if n == 2:
+            return self._mixed(self.lang[at], self.word[at], self.hashed[self.word[at + 1]])
+        if n == 3:
+            return self.triple_buckets(at)
+        second = self.hashed[self.word[at + 1]] * np.uint64(0xC4CEB9FE1A85EC53) + (self.hashed[self.word[at + 2]] >> np.uint64(3))
+        second = (second ^ (second >> np.uint64(31))) * np.uint64(0xFF51AFD7ED558CCD) + (self.hashed[self.word[at + 3]] >> np.uint64(5))
+        return self._mixed(self.lang[at], self.word[at], second)
+
+    def frequent(self, pairs: np.ndarray, triples: np.ndarray) -> list[np.ndarray]:
+        """Whether a word, two, three and four words that may be frequent begin at each place; words all count."""
+        joined = self.joined(pairs)
+        tripled = joined & _next(joined)
+        at = np.flatnonzero(tripled)
+        tripled[at] = _hit(triples, self.triple_buckets(at))
+        return [self.word > 0, joined, tripled, tripled & _next(tripled)]
+
+    def counted(self, pairs: np.ndarray, triples: np.ndarray, marked: np.ndarray | None) -> list[np.ndarray]:
+        """Whether a phrase of one to four words that is to be counted begins at each place: a frequent one or,
+        with marks, a marked one and what lies around marked ones of two words and more."""
+        out = self.frequent(pairs, triples)
+        at = np.flatnonzero(out[0])
+        out[0][at] = _hit(pairs if marked is None else marked, self.phrase_buckets(at, 1))
+        around = np.zeros(len(self.word), dtype=bool)
+        for n in range(2, LONGEST + 1) if marked is not None else ():
+            around |= _next(around)
+            at = np.flatnonzero(out[n - 1])
+            own = around.copy()
+            own[at] |= _hit(marked, self.phrase_buckets(at, n))
+            out[n - 1] &= own
+            around |= out[n - 1]
+        return out
+
+    def marks(self, pairs: np.ndarray, triples: np.ndarray, floor: int) -> tuple[np.ndarray, np.ndarray]:
+        """Buckets of the phrases of two to four words whose cuts' inequalities for ``floor``, added up, hold in
+        this group, and of their parts."""
+        here = self.frequent(pairs, triples)
+        f, number, reach = [], None, []
+        for n, own in enumerate(here, 1):
+            at = np.flatnonzero(own)
+            if n == 1:
+                key = self.lang[at] * len(self.words) + self.word[at]
+            else:
+                key = number[at] * (number.max(initial=0) + 1) + number[at + 1]
+            _, inverse, times = np.unique(key, return_inverse=True, return_counts=True)
+            number, count = np.zeros(len(own), dtype=np.int64), np.zeros(len(own), dtype=np.int64)
+            number[at], count[at] = inverse, times[inverse]
+            f.append(count)
+            parts = sum((f[i - 1][at] + f[n - i - 1][at + i] for i in range(1, n)), np.zeros(len(at), dtype=np.int64))
+            won = np.zeros(len(own), dtype=bool)
+            won[at] = (WHOLE * (n - 1) * count[at] >= floor * parts) if n > 1 else False
+            reach.append(won)
+        for n in range(LONGEST - 1, 0, -1):
+            reach[n - 1] |= reach[n] | np.append(False, reach[n][:-1])
+        bucket = np.unique(np.concatenate([self.phrase_buckets(np.flatnonzero(own), n) for n, own in enumerate(reach, 1)]))
+        return bucket, np.ones(len(bucket), dtype=np.int64)
+
     def joined(self, pairs: np.ndarray) -> np.ndarray:
         """Whether each word and the next may be a frequent pair."""
         bucket = self.buckets()
@@ -172,12 +258,12 @@ def _unpacked(data: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).view("<u4").reshape(-1).astype(np.int64))
 
 
-def _count_buckets(least: int, sizes: Sizes, pairs):
+def _count_buckets(least: int, sizes: Sizes, of_group):
     within = sizes.bucket_bits - sizes.range_bits
 
     def count(batches):
         for group in _groups(batches, sizes):
-            bucket, n = group.bucket_counts(None if pairs is None else pairs.value)
+            bucket, n = of_group(group)
             cuts = np.searchsorted(bucket, np.arange((1 << sizes.range_bits) + 1) << within)
             low, n = bucket & ((1 << within) - 1), np.minimum(n, least).astype("<u2")
             rows = [(r, _packed(low[a:b]), zlib.compress(n[a:b].tobytes(), 1)) for r, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if a < b]
@@ -210,27 +296,27 @@ def _add_buckets(least: int, sizes: Sizes):
     return add
 
 
-def _frequent_buckets(texts: DataFrame, least: int, sizes: Sizes, pairs=None) -> np.ndarray:
-    """A bit for each bucket that may hold something of ``least`` occurrences; 32 MB whatever the input."""
-    counted = texts.mapInArrow(_count_buckets(least, sizes, pairs), "range int, low binary, n binary")
+def _frequent_buckets(texts: DataFrame, least: int, sizes: Sizes, of_group) -> _Bits:
+    """A bit for each bucket of ``least`` occurrences by what ``of_group`` finds in groups; 32 MB whatever the input."""
+    counted = texts.mapInArrow(_count_buckets(least, sizes, of_group), "range int, low binary, n binary")
     rows = counted.repartition("range").sortWithinPartitions("range").mapInArrow(_add_buckets(least, sizes), "range int, bits binary")
     size = 1 << (sizes.bucket_bits - sizes.range_bits - 3)
     bits = np.zeros((1 << sizes.range_bits, size), dtype=np.uint8)
     for row in rows.toLocalIterator():
         bits[row["range"]] = np.frombuffer(row["bits"], dtype=np.uint8)
-    return bits.reshape(-1)
+    return _Bits(bits.reshape(-1))
 
 
-def _paths(group: _Group, tripled: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _paths(group: _Group, tripled: np.ndarray, edges: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(place, words, weight) of the compacted paths of the group's graph.
 
-    ``tripled``: whether a node, three words that may be frequent, begins at a word. Edges
-    that follow each other over a node with one way in and one out, with equal weights and
+    ``tripled``: whether a node, three words that may be frequent, begins at a word; ``edges``:
+    whether an edge to be counted does, all between two nodes if not given. Edges that follow each other over a node with one way in and one out, with equal weights and
     side by side at the first place where they occur, make one path: its words stand in
     the text from that place on.
     """
     word, none = group.word, np.zeros(0, dtype=np.int64)
-    at = np.flatnonzero(tripled[:-1] & tripled[1:])
+    at = np.flatnonzero(tripled & _next(tripled) if edges is None else edges)
     if not len(at):
         return none, none, none
     pair_at = np.unique(np.concatenate((at, at + 1, at + 2)))
@@ -253,11 +339,11 @@ def _paths(group: _Group, tripled: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return place[begins], edges + LONGEST - 1, weight[begins]
 
 
-def _ends(group: _Group, joined: np.ndarray, tripled: np.ndarray) -> Iterator[tuple[np.ndarray, int, np.ndarray]]:
+def _ends(group: _Group, counted: list[np.ndarray]) -> Iterator[tuple[np.ndarray, int, np.ndarray]]:
     """(places, words, weights) of phrases of one to three words that no longer one follows from the same place."""
     word, vocabulary = group.word, len(group.words)
-    follows = np.append(tripled[1:], False)
-    for n, here in ((1, (word > 0) & ~joined), (2, joined & ~tripled), (3, tripled & ~follows)):
+    one, two, three, four = counted
+    for n, here in ((1, (word > 0) & ~two & ~three & ~four), (2, two & ~three & ~four), (3, three & ~four)):
         at = np.flatnonzero(here)
         key = group.lang[at]
         for i in range(n):
@@ -268,18 +354,15 @@ def _ends(group: _Group, joined: np.ndarray, tripled: np.ndarray) -> Iterator[tu
         yield at[first], n, weight
 
 
-def _flows(pair_bits, triple_bits, sizes: Sizes):
-    """Rows (lang, words, edge, weight): paths of the graph, and corrections; all rare words together are ''."""
+def _flows(pair_bits, triple_bits, marked_bits, sizes: Sizes):
+    """Rows (lang, words, edge, weight): paths of the graph, and corrections; all words not counted together are ''."""
 
     def flows(batches):
         for group in _groups(batches, sizes):
-            joined = group.joined(pair_bits.value)
-            tripled = np.append(joined[:-1] & joined[1:], False)
-            at = np.flatnonzero(tripled)
-            tripled[at] = _hit(triple_bits.value, group.triple_buckets(at))
-            for at, n, weight, edge in [(*_paths(group, tripled), True), *[(*e, False) for e in _ends(group, joined, tripled)]]:
+            counted = group.counted(pair_bits.value.bits, triple_bits.value.bits, marked_bits and marked_bits.value.bits)
+            for at, n, weight, edge in [(*_paths(group, counted[2], counted[3]), True), *[(*e, False) for e in _ends(group, counted)]]:
                 if not edge and n == 1:
-                    often = _hit(pair_bits.value, group.word_buckets(group.lang[at], group.word[at]))
+                    often = counted[0][at]
                     rest = np.bincount(group.lang[at[~often]], weight[~often], minlength=len(group.lang_names)).astype(np.int64)
                     rows = [group.lang_names, [""] * len(rest), [False] * len(rest), rest]
                     yield pa.RecordBatch.from_arrays([pa.array(x) for x in rows], ["lang", "words", "edge", "weight"])
@@ -293,19 +376,38 @@ def _flows(pair_bits, triple_bits, sizes: Sizes):
     return flows
 
 
-def phrase_counts(docs: DataFrame, least: int = 30, sizes: Sizes = Sizes()) -> tuple[DataFrame, DataFrame]:
-    """((lang, phrase, size, f) of all phrases of one to four words with f >= least, (lang, n) of all words;
-    no row for a language without words).
+def _only_counted(pair_bits, triple_bits, marked_bits, sizes: Sizes):
+    """Keeps rows (lang, phrase, size, f) of phrases counted for themselves, not only where a longer one begins with them."""
 
-    ``docs`` has text and lang; texts are lower-cased in A to Z, null text counts as empty and
-    null lang as ``und``. Counts are exact and take in overlaps. Text is read three times
-    and not shuffled.
-    """
-    spark = docs.sparkSession
-    texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), "text")
-    pairs = spark.sparkContext.broadcast(_frequent_buckets(texts, least, sizes))
-    triples = spark.sparkContext.broadcast(_frequent_buckets(texts, least, sizes, pairs))
-    flows = written(texts.mapInArrow(_flows(pairs, triples, sizes), "lang string, words string, edge boolean, weight long"), "flows")
+    def only(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            group = _Group(sizes)
+            for lang, phrase in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                group.add(lang, phrase)
+            group.close()
+            begins = np.cumsum([0, *[n for _, n in group.of[:-1]]])
+            counted = np.stack(group.counted(pair_bits.value.bits, triple_bits.value.bits, marked_bits.value.bits))
+            yield batch.filter(pa.array(counted[batch.column(2).to_numpy() - 1, begins]))
+
+    return only
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), "text")
+
+
+def _frequent(texts: DataFrame, least: int, sizes: Sizes) -> tuple:
+    """Broadcast bits of pairs and words, and of three words, that may be frequent."""
+    sc = texts.sparkSession.sparkContext
+    pairs = sc.broadcast(_frequent_buckets(texts, least, sizes, lambda group: group.bucket_counts(None)))
+    return pairs, sc.broadcast(_frequent_buckets(texts, least, sizes, lambda group: group.bucket_counts(pairs.value.bits)))
+
+
+def _counts(texts: DataFrame, bits: tuple, marked, least: int, sizes: Sizes) -> tuple[DataFrame, DataFrame]:
+    """As ``phrase_counts``; with marks only of phrases that are marked or around marked ones."""
+    flows = written(texts.mapInArrow(_flows(*bits, marked, sizes), "lang string, words string, edge boolean, weight long"), "flows")
     words = F.split("words", " ", -1)
     starts = F.sequence(F.lit(1), F.size(words) - (LONGEST - 1))
     edges = flows.filter("edge").select("lang", F.explode(F.transform(starts, lambda i: F.array_join(F.slice(words, i, LONGEST), " "))).alias("phrase"), F.col("weight").alias("f"))
@@ -317,9 +419,23 @@ def phrase_counts(docs: DataFrame, least: int = 30, sizes: Sizes = Sizes()) -> t
         counts.append(written(total(flow.unionByName(ends.filter(F.col("size") == size).drop("size"))), f"counts{size}"))
     found = [c.filter((F.col("f") >= least) & (F.col("phrase") != "")).select("lang", "phrase", F.lit(LONGEST - i).alias("size"), "f") for i, c in enumerate(counts)]
     every = found[0].unionByName(found[1]).unionByName(found[2]).unionByName(found[3])
+    if marked is not None:
+        every = every.mapInArrow(_only_counted(*bits, marked, sizes), every.schema)
     return every, counts[-1].groupBy("lang").agg(F.sum("f").alias("n")).filter("n > 0")
 
 
+def phrase_counts(docs: DataFrame, least: int = 30, sizes: Sizes = Sizes()) -> tuple[DataFrame, DataFrame]:
+    """((lang, phrase, size, f) of all phrases of one to four words with f >= least, (lang, n) of all words;
+    no row for a language without words).
+
+    ``docs`` has text and lang; texts are lower-cased in A to Z, null text counts as empty and
+    null lang as ``und``. Counts are exact and take in overlaps. Text is read three times
+    and not shuffled.
+    """
+    texts = _texts(docs)
+    return _counts(texts, _frequent(texts, least, sizes), None, least, sizes)
+
+
 def _sub(phrase: Column, start: int, n: int) -> Column:
     return F.array_join(F.slice(F.split(phrase, " ", -1), start, n), " ")
 
@@ -328,7 +444,9 @@ def _long(c: Column) -> Column:
     return c.cast("decimal(38,0)")
 
 
-def collocations(docs: DataFrame, least: int = 30, inside: int = 80, k: int = 2000, sizes: Sizes = Sizes()) -> DataFrame:
+def collocations(
+    docs: DataFrame, least: int = 30, inside: int = 80, k: int = 2000, sizes: Sizes = Sizes(), floors: tuple[int, ...] = (62_500,)
+) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: each language's ``k`` best phrases of two to four words.
 
     a is the phrase's count, l and r those of its parts at the cut that scores lowest (the
@@ -337,11 +455,40 @@ def collocations(docs: DataFrame, least: int = 30, inside: int = 80, k: int = 20
     count. Order: score, a, phrase. Numbers are exact beyond 64 bits where they are products.
     Empty tables, and languages without such a phrase, have no rows; repeated rows count each.
 
+    Falling scores in ``floors`` are tried first: a language with ``k`` phrases that reach one
+    is done, any other is counted again, in the end whole. They change the work, not the result.
+    """
+    texts = left = _texts(docs)
+    sc = docs.sparkSession.sparkContext
+    bits = _frequent(texts, least, sizes)
+    found = []
+    for floor in (*floors, None):
+        marked = None
+        if floor is not None:
+            marked = sc.broadcast(_frequent_buckets(left, 1, sizes, lambda group, floor=floor: group.marks(bits[0].value.bits, bits[1].value.bits, floor)))
+        best = _best(*_counts(left, bits, marked, least, sizes), inside, k)
+        if floor is None:
+            found.append(best)
+            break
+        best = written(best, "best")
+        done = best.filter((F.col("rank") == k) & (F.col("score") >= floor)).select("lang")
+        found.append(best.join(F.broadcast(done), "lang", "left_semi"))
+        left = left.join(F.broadcast(done), "lang", "left_anti")
+        if left.select("lang").isEmpty():
+            break
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+def _best(counts: DataFrame, totals: DataFrame, inside: int, k: int) -> DataFrame:
+    """Each language's ``k`` best phrases of those whose parts are all counted.
+
     Joins are by (lang, phrase) and one side has each key once, so adaptive execution can
     split the rows of a very frequent word; the best are ranked in parts before a language
     meets in one task.
     """
-    counts, totals = phrase_counts(docs, least, sizes)
     counts = written(counts, "counts")
     candidates = counts.filter("size > 1")
     parts = [
@@ -363,9 +510,9 @@ def collocations(docs: DataFrame, least: int = 30, inside: int = 80, k: int = 20
     cut = kept.select("lang", "phrase", F.col("f").alias("a"), F.explode(cuts).alias("c")).select("lang", "phrase", "a", "c.*")
     part = lambda name, f: counts.select("lang", F.col("phrase").alias(name), F.col("f").alias(f))
     cut = cut.join(part("first", "l"), ["lang", "first"]).join(part("rest", "r"), ["lang", "rest"])
-    score = F.expr("cast(2000000 as decimal(38,0)) * cast(a as decimal(20,0)) div (cast(l as decimal(20,0)) + r)")
-    scored = cut.withColumn("score", score).groupBy("lang", "phrase").agg(F.min_by(F.struct("a", "l", "r", "score"), F.struct("score", "at")).alias("m"))
-    scored = scored.select("lang", "phrase", "m.*")
+    score = F.expr(f"cast({WHOLE} as decimal(38,0)) * cast(a as decimal(20,0)) div (cast(l as decimal(20,0)) + r)")
+    scored = cut.withColumn("score", score).groupBy("lang", "phrase").agg(F.min_by(F.struct("a", "l", "r", "score"), F.struct("score", "at")).alias("m"), F.count("*").alias("cuts"))
+    scored = scored.filter(F.col("cuts") == F.size(F.split("phrase", " ", -1)) - 1).select("lang", "phrase", "m.*")
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
     salted = scored.withColumn("_part", F.pmod(F.xxhash64("phrase"), F.lit(RANKED_PARTS)))
     best = salted.withColumn("_r", F.row_number().over(Window.partitionBy("lang", "_part").orderBy(*order))).filter(F.col("_r") <= k)
