@@ -158,3 +158,29 @@ def test_a_sourced_row_is_fused_with_its_older_twin(spark):
     # p0, the oldest of the name, goes to the first cluster that asks; p9, listed in two clusters, to one.
     assert sorted(map(tuple, claims.collect())) == [("k1", "p0"), ("k1", "p1"), ("k1", "p9")]
     assert dict(map(tuple, clustering.fuse_identities(claims, products).collect())) == {"p0": "p0", "p1": "p0", "p9": "p0"}
+
+
+def test_alerts_of_many_users_take_few_calls(spark, monkeypatch):
+    """5,000 users watch one product with repeated prices, a null user and a null log entry among them: one state call a bucket."""
+    calls = f"{tempfile.mkdtemp(prefix='spark-')}/calls"
+    handle = jobs.TellOnce.handleInputRows
+
+    class Counted(jobs.TellOnce):
+        def handleInputRows(self, key, rows, timerValues):
+            with open(calls, "a") as f:
+                f.write("x")
+            yield from handle(self, key, rows, timerValues)
+
+    monkeypatch.setattr(jobs, "TellOnce", Counted)
+    path, out, checkpoint = landing()
+    user = F.when(F.col("id") > 0, F.col("id"))
+    wanted = spark.range(5000).select(user.alias("user_id"), F.lit(1).alias("product_id"), F.lit(10.0).alias("target_price"), F.lit(True).alias("active"))
+    log = spark.createDataFrame([(1, 1, None), (2, 1, 8.0), (None, 2, None), (3, None, 1.0)], "user_id long, product_id long, price_at_notification double").withColumn("kind", F.lit("preco_alvo"))
+    for prices in ([9.0, 8.5, None, float("nan")], [8.0, 7.0]):
+        land(spark, [(1, p) for p in prices] + [(None, 1.0)], path, "product_id long, price double")
+        stream = jobs.streamed_alerts(wanted, spark.readStream.schema("product_id long, price double").parquet(path), log, buckets=8)
+        jobs.run_to_end(stream, out, checkpoint)
+    rows = spark.read.parquet(out).groupBy("user_id").agg(F.array_sort(F.collect_list("current")).alias("told"), F.max("base").alias("base")).collect()
+    got = {r["user_id"]: r["told"] for r in rows}
+    assert got == {u: [7.0] if u == 2 else [7.0, 8.5] for u in [None, *range(2, 5000)]} and {r["base"] for r in rows} == {10.0}
+    assert len(open(calls).read()) <= 2 * 9
