@@ -173,3 +173,75 @@ def test_identities_survive_runs(spark):
     assert sorted(map(tuple, K.rebuild_sources(sources, current).collect())) == [("p2", "continente", "u1"), ("p3", "aldi", "u9")]
     images = spark.sql("select '/storage/x' a, 'n' b union all select 'o', 'n' union all select 'o', null")
     assert sorted(r[0] for r in images.select(K.kept_image(F.col("a"), F.col("b"))).collect()) == ["/storage/x", "n", "o"]
+
+
+def odd_catalogue(spark, n=600):
+    rng = random.Random(11)
+    words = "leite gordo magro sem gluten com bio queijo fresco azul".split()
+    rows = []
+    for i in range(n):
+        size = rng.choice(["500g", "4x125g", "0,5kg", "480 g", "1l", "", "", "pack 6"])
+        name = " ".join(rng.choices(words, k=rng.randint(0, 4)) + [size])
+        rows.append((
+            f"{rng.randrange(n)}-{i}", rng.choice(["continente", "pingo-doce", "auchan"]), rng.choice([name, name, name, None]) if i % 40 == 0 else name,
+            rng.choice(["Mimosa", "mimosa", "Agros", "", None, "Continente", "Pingo Doce", "Auchan"]),
+            rng.choice(["frutas_legumes", "frutas_legumes", "bebidas", None]), rng.choice(["agua", "refrigerantes_sumos", "fruta", "", None]),
+            rng.choice([1.0, 1.1, 1.2, 1.5, 0.0, None]), rng.choice([1.0, 1.15, 1.2, 1.3225, 2.0, 0.0, None, float("nan")]), f"u{i}", None,
+        ))
+    return spark.createDataFrame(rows + rows[:20], CATALOGUE)
+
+
+def all_pairs(prepared, pairs, version):
+    """The candidates of every row by the rules, from all pairs."""
+    from trolley.functions.quantity import UNIT_PRICE_TOLERANCE, jaccard, qty_matches, unit_price_ratio
+
+    a, b = F.col("a"), F.col("b")
+    side = lambda c: prepared.select(F.struct("*").alias(c))
+    met = side("a").crossJoin(side("b")).join(pairs, (a["store"] == F.col("store_a")) & (b["store"] == F.col("store_b")))
+    fruit = lambda x: F.coalesce(x["category"] == matching.RELAXED, F.lit(False))
+    branded = (a["block"] != "OWN") & (a["block"] != "") & (a["block"] == b["block"])
+    source = F.when(~fruit(a) & (a["block"] == b["block"]), 0).when(fruit(a) & branded, 0).when(fruit(a) & fruit(b), 1)
+    far = F.coalesce(unit_price_ratio(a["price_per_unit"], b["price_per_unit"]) > UNIT_PRICE_TOLERANCE, F.lit(False))
+    sub = F.coalesce(F.nullif(a["subcategory"], F.lit("")), b["subcategory"])
+    packs = F.coalesce(sub.isin(*matching.PACK_SENSITIVE), F.lit(False)) & (a["packs"] != b["packs"])
+    gates = qty_matches(a["qty"], b["qty"], version != "v1")
+    if version != "v1":
+        gates = gates & ~((fruit(a) | fruit(b)) & ~branded & far) & ~packs
+    same = (a["flavour"] == b["flavour"]) & (a["variant"] == b["variant"]) & (a["polarity"] == b["polarity"])
+    met = met.withColumn("source", source).filter(F.col("source").isNotNull() & gates & same)
+    return met.withColumn("score", jaccard(a["tokens"], b["tokens"]))
+
+
+@pytest.mark.parametrize("version", ["v2", "v1"])
+def test_classes_find_what_all_pairs_find(spark, version):
+    catalogue, pairs = odd_catalogue(spark), store_pairs(spark)
+    prepared = written(matching.prepare(catalogue, version).withColumn("no", F.monotonically_increasing_id()), "odd")
+    met = written(all_pairs(prepared, pairs, version).select("store_a", "store_b", "a", "b", "source", "score"), "odd_pairs")
+    best = met.filter(F.col("score") >= matching.THRESHOLD).groupBy("store_a", "store_b", "a.no", F.col("a.id").alias("id_a")).agg(
+        F.min(F.struct((-F.col("score")).alias("s"), "source", F.col("b.id").alias("i"))).alias("m")
+    )
+    want = sorted((r["store_a"], r["store_b"], r["id_a"], r["m"]["i"], round(-r["m"]["s"], 3)) for r in best.collect())
+    found = matching.match_all(catalogue, pairs, version).collect()
+    assert sorted((r["store_a"], r["store_b"], r["a"]["id"], r["b"]["id"], r["score"]) for r in found) == want and len(want) > 100
+    if version == "v2":
+        counts = met.groupBy("store_a", "store_b").agg(F.count("*").alias("n"), F.count_distinct("a.id").alias("ids"))
+        rows = matching.numbered(prepared.drop("no"), named=False)
+        assert sorted(map(tuple, matching.candidate_counts(rows, pairs).collect())) == sorted(map(tuple, counts.collect()))
+        near = met.filter("score >= 0.3").groupBy(F.coalesce("a.qty.kind", F.lit("none")), F.coalesce("b.qty.kind", F.lit("none"))).count()
+        kinds = matching.candidate_kinds(matching.numbered(prepared.drop("no")), pairs, 0.3)
+        assert sorted(map(tuple, kinds.collect())) == sorted(map(tuple, near.collect()))
+
+
+def test_equal_rows_meet_as_one_class(spark):
+    """20,000 equal listings in each of two stores are 400,000,000 pairs and one pair of classes."""
+    shape = spark.range(40_000).select(
+        F.col("id").cast("string"), F.when(F.col("id") % 2 == 0, "continente").otherwise("lidl").alias("store"), F.lit("Leite Gordo 1l").alias("name"),
+        F.lit("Mimosa").alias("brand"), F.lit("laticinios_ovos").alias("category"), F.lit(None).cast("string").alias("subcategory"), F.lit(1.0).alias("price"),
+        F.lit(1.0).alias("price_per_unit"), F.col("id").cast("string").alias("url"), F.lit(None).cast("string").alias("image_url"),
+    )
+    rows, pairs = matching.numbered(matching.prepare(shape)), store_pairs(spark)
+    assert sum(x.count() for x in matching.linked_classes(matching.classes_of(rows), pairs, least=0.3).values()) == 1
+    assert [tuple(r) for r in matching.candidate_counts(rows, pairs).collect()] == [("continente", "lidl", 400_000_000, 20_000)]
+    assert [tuple(r) for r in matching.candidate_kinds(rows, pairs, 0.3).collect()] == [("volume", "volume", 400_000_000)]
+    found = matching.match_all(shape, pairs)
+    assert [tuple(r) for r in found.groupBy("b.id", "score").count().collect()] == [("1", 1.0, 20_000)]

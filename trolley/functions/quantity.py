@@ -60,14 +60,19 @@ def extract_quantity(name: Column) -> Column:
     return F.when(q.isNotNull(), F.struct(q["qty"].alias("value"), unit.alias("unit")))
 
 
-def quantity_or_proxy(name: Column, price: Column, unit_price: Column) -> Column:
-    """The quantity in the name, else price / unit price (kind ``proxy``) where both are not zero."""
+def proxy_quantity(price: Column, unit_price: Column) -> Column:
+    """price / unit price (kind ``proxy``) where both are not zero."""
     proxy = F.struct(
         F.round(F.try_divide(price.cast("double"), unit_price.cast("double")), 4).alias("qty"),
         F.lit("proxy").alias("kind"),
         F.lit(1).alias("multiplier"),
     )
-    return F.coalesce(parse_quantity(name), F.when((price != 0) & (unit_price != 0), proxy))
+    return F.when((price != 0) & (unit_price != 0), proxy)
+
+
+def quantity_or_proxy(name: Column, price: Column, unit_price: Column) -> Column:
+    """The quantity in the name, else the proxy."""
+    return F.coalesce(parse_quantity(name), proxy_quantity(price, unit_price))
 
 
 def qty_matches(a: Column, b: Column, scale: bool = True) -> Column:

@@ -1,13 +1,18 @@
 """Same product, different store: blocking, gates, name score and the best candidate.
 
-Gates that ask for equal sets (flavour, variant, polarity) are signatures and part of
-the join key. So is the quantity gate: quantities lie in logarithmic bins as wide as the
-tolerance, and a row asks for its own and the neighbouring bins of every kind it can be
-compared with. So is, for the best match, the least name score: rows meet over one of
-their rarest tokens, of which a pair that scores enough shares one. What remains is a
-residual on the pair. Ids, tokens and what gates need go through the join; the rest of
-a row is fetched for the winners. The best candidate is an aggregate with a map-side part,
-not a window.
+Rows that no gate and no score can tell apart are one class, and classes meet instead of
+rows: what a class finds holds for all its rows, and a class offers its smallest id or its
+number of rows. Gates that ask for equal sets (flavour, variant, polarity) are signatures
+and part of the join key. So is the quantity gate: quantities lie in logarithmic bins as
+wide as the tolerance, and a class asks for its own and the neighbouring bins of every kind
+it can be compared with; unit prices are met in the same way, where they count. So is, with
+a least name score: classes meet over one of their rarest tokens, of which a pair that
+scores enough shares one. What remains is a residual on the pair.
+
+Pairs come by links: rows of one block (brand or own brand), whose unit prices count only
+where a fruit or vegetable meets another own-brand or unbranded row, and fruit and
+vegetables of any brand. The best candidate is an aggregate with a map-side part, not a
+window; the fields of a row are fetched for the winners.
 """
 
 from __future__ import annotations
@@ -22,8 +27,9 @@ from trolley.functions.quantity import (
     UNIT_PRICE_TOLERANCE,
     jaccard,
     pack_count,
+    parse_quantity,
+    proxy_quantity,
     qty_matches,
-    quantity_or_proxy,
     safe_unit_price,
     unit_price_ratio,
 )
@@ -57,12 +63,15 @@ POLARITY = "gluten acucar lactose sal gordura cafeina conservantes corantes alco
 PACK_SENSITIVE = ("refrigerantes_sumos", "agua")
 #: What a side of a match carries.
 SIDE = ("id", "name", "brand", "price", "price_per_unit", "qty", "url", "image_url", "category", "subcategory")
-#: What gates and scores need of a side of a candidate pair.
-GATED = ("row", "id", "tokens", "qty", "category", "subcategory", "price_per_unit", "packs", "block", "own_brand")
 #: The width of a bin of quantities; a little more than the tolerance, against rounding.
 BIN = -math.log(1 - TOLERANCE) * (1 + 1e-9)
 #: The bin of negative quantities, which the tolerance cannot tell apart.
 NEGATIVE = -1_000_000
+#: The width of a bin of unit prices, and the codes of rows without one and of all rows with one.
+UNIT_BIN = math.log(1 + UNIT_PRICE_TOLERANCE) * (1 + 1e-9)
+NO_UNIT, ANY_UNIT = -1_000_000, -2_000_000
+#: What rows of a class have in common, besides the store, the block and the tokens.
+COMMON = ("flavour", "variant", "polarity", "amount", "kind", "packs", "sensitive")
 
 
 def word_signature(tokens: Column, words) -> Column:
@@ -81,25 +90,34 @@ def polarity_signature(text: Column) -> Column:
 
 
 def prepare(catalogue: DataFrame, version: str = "v2") -> DataFrame:
-    """Adds own_brand, qty, packs, tokens, brand_norm, block and the signatures."""
+    """Adds own_brand, qty, packs, tokens, brand_norm, block and the signatures.
+
+    The text work is done once for each distinct store, name and brand. It and the rows are
+    dealt over as many tasks as a shuffle has, however few files the catalogue lies in.
+    """
     name, brand = F.col("name"), F.trim(F.coalesce("brand", F.lit("")))
+    tasks = int(catalogue.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    key = ["store", "name", "brand"]
     own = is_own_brand(F.col("store"), brand)
-    named = F.when(own, "").otherwise(brand)
-    rows = catalogue.select(
-        "*",
-        own.alias("own_brand"),
-        quantity_or_proxy(name, F.col("price"), F.col("price_per_unit")).alias("qty"),
-        F.coalesce(pack_count(name), F.lit(1)).alias("packs"),
-        name_tokens(name, named, version).alias("tokens"),
-        polarity_signature(normalized_text(name, named)).alias("polarity"),
-        brand_norm(brand).alias("brand_norm"),
+    texts = catalogue.select(*key).distinct().repartition(tasks, *key).select(
+        *key, own.alias("own_brand"), F.when(own, "").otherwise(brand).alias("_named"), brand_norm(brand).alias("brand_norm")
     )
+    named = F.col("_named")
+    texts = texts.select(
+        "*", parse_quantity(name).alias("_parsed"), F.coalesce(pack_count(name), F.lit(1)).alias("packs"),
+        name_tokens(name, named, version).alias("tokens"), polarity_signature(normalized_text(name, named)).alias("polarity"),
+    )
+    texts = texts.select(
+        "*", F.when(F.col("own_brand"), "OWN").otherwise(F.col("brand_norm")).alias("block"),
+        word_signature(F.col("tokens"), FLAVOURS).alias("flavour"), word_signature(F.col("tokens"), variant_words()).alias("variant"),
+    )
+    same = [F.col(f"c.{k}").eqNullSafe(F.col(f"t.{k}")) for k in key]
+    rows = catalogue.repartition(tasks).alias("c").join(texts.alias("t"), same)
+    qty = F.coalesce("_parsed", proxy_quantity(F.col("price"), F.col("price_per_unit")))
     return rows.select(
-        "*",
-        F.when(F.col("own_brand"), "OWN").otherwise(F.col("brand_norm")).alias("block"),
-        word_signature(F.col("tokens"), FLAVOURS).alias("flavour"),
-        word_signature(F.col("tokens"), variant_words()).alias("variant"),
-    )
+        *[f"c.{c}" for c in catalogue.columns], "own_brand", qty.alias("qty"), "packs", "tokens", "polarity", "brand_norm",
+        "block", "flavour", "variant",
+    )
 
 
 def quantity_bin(q: Column) -> Column:
@@ -120,76 +138,169 @@ def wanted_bins(qty: Column, scale: bool) -> Column:
     return F.when(qty.isNull(), none).when(qty["kind"] == "proxy", proxy).otherwise(F.concat(around(qty["kind"], q), around("proxy", q / times)))
 
 
-def candidate_pairs(prepared: DataFrame, pairs: DataFrame, scale: bool = True, least: float = 0.0) -> DataFrame:
-    """All pairs (a, b) of the ordered store pairs that share a block and all signatures and may pass the quantity gate.
+def numbered(prepared: DataFrame, version: str = "v2", named: bool = True) -> DataFrame:
+    """The prepared rows, written once with a number each and the keys of their classes.
 
-    A side in the relaxed category meets its own real brand in any category and, besides,
-    every brand of its category. ``prepared`` has a unique number ``row``. With ``least``
-    above 0 pairs that cannot score so much may be missing, and pairs may repeat.
+    ``block_key`` is of rows of one store and block, ``any_key`` of one store; without
+    ``named`` neither depends on the tokens. Besides them only ``unit`` counts, the unit
+    price, null where it is not positive. The older rules know neither packs nor unit prices.
     """
-    keys = ["flavour", "variant", "polarity", "kind", "bin"]
-    rows = prepared.filter(F.size("tokens") > 0) if least else prepared
-    if least:
-        sets = rows.select(F.col("row").alias("id"), "tokens")
-        sorted_ = rare_first(sets, frequencies(sets))
-        kept = (F.col("size") - F.ceil(F.col("size") * least - 1e-9) + 1).cast("int")
-        first = sorted_.select(F.col("id").alias("row"), "size", F.posexplode(F.slice("tokens", F.lit(1), kept)).alias("place", "token"))
-        rows = rows.join(first, "row")
-        keys.append("token")
-    else:
-        rows = rows.withColumns({"size": F.lit(0), "place": F.lit(0)})
-    asked = rows.withColumn("_w", F.explode(F.array_distinct(wanted_bins(F.col("qty"), scale))))
-    asked = asked.withColumns({"kind": F.col("_w.kind"), "bin": F.col("_w.bin")}).filter("bin is not null")
-    a = asked.join(F.broadcast(pairs), F.col("store") == F.col("store_a")).select(
-        "store_a", "store_b", "pair_no", F.struct(*GATED).alias("a"), "block", "brand_norm", "own_brand", "category",
-        F.col("size").alias("size_a"), F.col("place").alias("place_a"), *keys,
-    )
-    lies = rows.withColumns({"kind": F.coalesce("qty.kind", F.lit("none")), "bin": F.when(F.col("qty").isNull(), F.lit(0)).otherwise(quantity_bin(F.col("qty.qty")))})
-    b = lies.filter("bin is not null").select(
-        F.struct(*GATED).alias("b"), F.col("store").alias("b_store"), F.col("block").alias("b_block"), F.col("category").alias("b_category"),
-        F.col("size").alias("size_b"), F.col("place").alias("place_b"), *[F.col(k).alias(f"b_{k}") for k in keys],
-    )
-    same = F.col("store_b") == F.col("b_store")
-    for k in keys:
-        same = same & (F.col(k) == F.col(f"b_{k}"))
-    if least:
-        rest = F.least(F.col("size_a") - F.col("place_a"), F.col("size_b") - F.col("place_b"))
-        same = same & (rest >= least_overlap(least, F.col("size_a"), F.col("size_b")))
-    relaxed = F.coalesce(F.col("category") == RELAXED, F.lit(False))
+    old = F.lit(version == "v1")
     real = ~F.col("own_brand") & (F.col("brand_norm") != "")
-    by_brand = F.col("brand_norm") == F.col("b_block")
-    strict = a.filter(~relaxed).join(b, same & (F.col("block") == F.col("b_block")))
-    brand = a.filter(relaxed & real).join(b, same & by_brand)
-    category = a.filter(relaxed).join(b, same & (F.col("category") == F.col("b_category")) & ~(real & by_brand))
-    columns = ["store_a", "store_b", "pair_no", "a", "b"]
-    return (
-        strict.select(*columns, F.lit(0).alias("source"))
-        .unionByName(brand.select(*columns, F.lit(0).alias("source")))
-        .unionByName(category.select(*columns, F.lit(1).alias("source")))
-    )
+    sub = F.nullif("subcategory", F.lit(""))
+    rows = prepared.select(
+        *[c for c in prepared.columns if c != "packs"],
+        F.coalesce(F.col("category") == RELAXED, F.lit(False)).alias("relaxed"), real.alias("real"),
+        F.col("qty.qty").alias("amount"), F.col("qty.kind").alias("kind"),
+        F.when(old, 0).otherwise(F.col("packs")).alias("packs"), F.when(~old, sub.isin(*PACK_SENSITIVE)).alias("sensitive"),
+        F.when(~old & (F.col("price_per_unit") > 0), F.col("price_per_unit")).alias("unit"),
+        F.array_sort(F.array_distinct("tokens")).alias("words"),
+    )
+    common = ["store", *COMMON, *([F.array_join("words", " ")] if named else [])]
+    told = lambda c: F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit("\u0002"))
+    digest = lambda *c: F.unhex(F.sha2(F.concat_ws("\u0001", *[told(x) for x in c]), 256))
+    rows = rows.select("*", digest(*common, "block").alias("block_key"), digest(*common).alias("any_key"))
+    return written(rows.withColumn("row", F.monotonically_increasing_id()), "prepared")
+
+
+#: What tells classes apart.
+CLASS = ("block_key", "any_key", "unit", "relaxed", "real")
 
 
-def numbered(prepared: DataFrame) -> DataFrame:
-    """The prepared rows, written once with a number each."""
-    return written(prepared.withColumn("row", F.monotonically_increasing_id()), "prepared")
+def classes_of(rows: DataFrame) -> DataFrame:
+    """The classes of ``numbered`` rows, written: ``n`` rows, of which ``first`` is the smallest (id, row)."""
+    key = [*CLASS, "store", "block", "words", *COMMON]
+    return written(rows.groupBy(*key).agg(F.count("*").alias("n"), F.min(F.struct("id", "row")).alias("first")), "classes")
 
 
-def same_real_brand() -> Column:
-    a, b = F.col("a.block"), F.col("b.block")
-    return (a != "OWN") & (a != "") & (a == b)
+def _groups(classes: DataFrame, key: str) -> DataFrame:
+    """One row for each ``key``, with what its classes have in common."""
+    block = F.col("block") if key == "block_key" else F.lit(None).cast("string").alias("block")
+    return classes.select(F.col(key).alias("key"), "store", block, "words", *COMMON).dropDuplicates(["key"])
 
 
-def passes_gates(version: str = "v2") -> Column:
-    """Quantity, unit price and pack count of a candidate pair."""
-    a, b = F.col("a"), F.col("b")
-    quantity = qty_matches(a["qty"], b["qty"], scale=version != "v1")
-    if version == "v1":
-        return quantity
-    gated = F.coalesce((a["category"] == RELAXED) | (b["category"] == RELAXED), F.lit(False)) & ~same_real_brand()
-    far = F.coalesce(unit_price_ratio(a["price_per_unit"], b["price_per_unit"]) > UNIT_PRICE_TOLERANCE, F.lit(False))
-    sub = F.coalesce(F.nullif(a["subcategory"], F.lit("")), b["subcategory"])
-    packs_differ = F.coalesce(sub.isin(*PACK_SENSITIVE), F.lit(False)) & (a["packs"] != b["packs"])
-    return quantity & ~(gated & far) & ~packs_differ
+def _met(a: DataFrame, b: DataFrame, pairs: DataFrame, by_block: bool, scale: bool, least: float, ranked: DataFrame | None) -> DataFrame:
+    """(pair_no, key_a, key_b, kind_a, kind_b, score) of groups of ordered store pairs, each pair once.
+
+    They share all signatures and, ``by_block``, the block, and pass the quantity and pack
+    gates; with ``least`` above 0 they have that score, without it the score is null.
+    ``ranked`` has all token sets (words) with their rarest first (sorted) and their size.
+    """
+    keys = ["flavour", "variant", "polarity", "lies", "bin"] + (["block"] if by_block else [])
+    if least:
+        kept = (F.col("size") - F.ceil(F.col("size") * least - 1e-9) + 1).cast("int")
+        first = ranked.select("*", F.posexplode(F.slice("sorted", F.lit(1), kept)).alias("place", "token"))
+        a, b = a.join(first, "words"), b.join(first, "words")
+        keys.append("token")
+    else:
+        none = {"sorted": F.lit(None).cast("array<string>"), "size": F.lit(0), "place": F.lit(0)}
+        a, b = a.withColumns(none), b.withColumns(none)
+    qty = F.when(F.col("kind").isNotNull(), F.struct(F.col("amount").alias("qty"), "kind"))
+    side = F.struct("key", "sorted", "size", "place", qty.alias("qty"), "packs", "sensitive")
+    asked = a.withColumn("_w", F.explode(F.array_distinct(wanted_bins(qty, scale))))
+    asked = asked.withColumns({"lies": F.col("_w.kind"), "bin": F.col("_w.bin")}).filter("bin is not null")
+    asked = asked.join(F.broadcast(pairs), F.col("store") == F.col("store_a")).select("pair_no", F.col("store_b").alias("store"), side.alias("a"), *keys)
+    lies = b.withColumns({"lies": F.coalesce("kind", F.lit("none")), "bin": F.when(F.col("kind").isNull(), F.lit(0)).otherwise(quantity_bin(F.col("amount")))})
+    met = asked.join(lies.filter("bin is not null").select("store", side.alias("b"), *keys), ["store", *keys])
+    x, y = F.col("a"), F.col("b")
+    sensitive = F.coalesce(x["sensitive"], y["sensitive"], F.lit(False))
+    met = met.filter(qty_matches(x["qty"], y["qty"], scale) & ~(sensitive & (x["packs"] != y["packs"])))
+    score = F.lit(None).cast("double")
+    if least:
+        rest = F.least(x["size"] - x["place"], y["size"] - y["place"])
+        before = lambda z: F.slice(z["sorted"], F.lit(1), z["place"])
+        met = met.filter((rest >= least_overlap(least, x["size"], y["size"])) & ~F.arrays_overlap(before(x), before(y)))
+        score = jaccard(x["sorted"], y["sorted"])
+    met = met.select("pair_no", x["key"].alias("key_a"), y["key"].alias("key_b"), x["qty"]["kind"].alias("kind_a"), y["qty"]["kind"].alias("kind_b"), score.alias("score"))
+    return met.filter(F.col("score") >= least) if least else met
+
+
+def _near_units(met: DataFrame, a: DataFrame, b: DataFrame) -> DataFrame:
+    """``met`` with the classes (key, unit) of both groups whose unit prices are not too far apart; a missing one is near."""
+    place = F.floor(F.ln("unit") / UNIT_BIN).cast("long")
+    none, every = F.lit(NO_UNIT).cast("long"), F.lit(ANY_UNIT).cast("long")
+    asked = F.when(F.col("unit").isNull(), F.array(none, every)).otherwise(F.array(none, place - 1, place, place + 1))
+    lies = F.when(F.col("unit").isNull(), F.array(none)).otherwise(F.array(every, place))
+    own = a.select(F.col("key").alias("key_a"), F.col("unit").alias("unit_a"), F.explode(asked).alias("place"))
+    other = b.select(F.col("key").alias("key_b"), F.col("unit").alias("unit_b"), "n_b", "first_b", F.explode(lies).alias("place"))
+    near = met.join(own, "key_a").join(other, ["key_b", "place"])
+    return near.filter(~F.coalesce(unit_price_ratio(F.col("unit_a"), F.col("unit_b")) > UNIT_PRICE_TOLERANCE, F.lit(False)))
+
+
+def linked_classes(classes: DataFrame, pairs: DataFrame, scale: bool = True, least: float = 0.0, counted: bool = True) -> dict[str, DataFrame]:
+    """By link, the classes (``classes_of``) that are candidates of each other.
+
+    pair_no, key_a, unit_a, kind_a, kind_b, score, and of the class of store_b its number
+    of rows ``n_b`` and its smallest ``first_b`` (id, row). ``block``: rows of one block,
+    fruit and vegetables only of a real brand. ``gated``: of them, another row that is own
+    brand or unbranded with fruit or vegetables. ``any``: fruit and vegetables of any brand.
+    Pairs of the last that have one real brand are in the first as well: ``double`` lists
+    them again where rows are ``counted``; the first comes before the last for the best.
+    """
+    ranked = None
+    if least:
+        classes = classes.filter(F.size("words") > 0)
+        sets = classes.select(F.col("words").alias("id"), F.col("words").alias("tokens")).distinct()
+        ranked = written(rare_first(sets, frequencies(sets)).select(F.col("id").alias("words"), F.col("tokens").alias("sorted"), "size"), "token_sets")
+    fruit, branded = F.col("relaxed"), F.col("real")
+    links = {
+        "block": ("block_key", ~fruit | branded, ~fruit | branded, False),
+        "gated": ("block_key", ~fruit & ~branded, fruit & ~branded, True),
+        "any": ("any_key", fruit, fruit, True),
+    }
+    if counted:
+        links["double"] = ("block_key", fruit & branded, fruit & branded, True)
+    out = {}
+    for name, (key, of_a, of_b, by_unit) in links.items():
+        a, b = classes.filter(of_a), classes.filter(of_b)
+        met = _met(_groups(a, key), _groups(b, key), pairs, key == "block_key", scale, least, ranked)
+        unit = F.col("unit") if by_unit else F.lit(None).cast("double")
+        by = lambda d: d.groupBy(F.col(key).alias("key"), unit.alias("unit")).agg(F.sum("n").alias("n_b"), F.min("first").alias("first_b"))  # noqa: B023, E731
+        if by_unit:
+            found = _near_units(met, by(a).select("key", "unit"), by(b))
+        else:
+            found = met.join(by(b).select(F.col("key").alias("key_b"), "n_b", "first_b"), "key_b").withColumn("unit_a", unit)
+        out[name] = found.select("pair_no", "key_a", "unit_a", "kind_a", "kind_b", "score", "n_b", "first_b")
+    return out
+
+
+def _rows_of(name: str, rows: DataFrame, found: DataFrame) -> DataFrame:
+    """``found``, one row for each pair_no, key_a and unit_a of a link, with the rows of store_a (or their classes) that it holds for."""
+    fruit, branded = F.col("relaxed"), F.col("real")
+    own = {"block": ~fruit | branded, "gated": ~fruit & ~branded, "any": fruit, "double": fruit & branded}[name]
+    key = "any_key" if name == "any" else "block_key"
+    on = F.col(key) == F.col("key_a")
+    if name != "block":
+        on = on & F.col("unit").eqNullSafe(F.col("unit_a"))
+    return rows.filter(own).join(found, on).drop("key_a", "unit_a")
+
+
+def candidate_counts(rows: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(store_a, store_b, candidates, rows_a): the pairs of ``numbered`` rows that pass all gates, and the ids of store_a in them."""
+    key, classes = list(CLASS), classes_of(rows)
+    counts = None
+    for name, linked in linked_classes(classes, pairs).items():
+        n = linked.groupBy("pair_no", "key_a", "unit_a").agg(F.sum("n_b").alias("n"))
+        own = _rows_of(name, classes.select(*key, F.col("n").alias("n_a")), n)
+        own = own.withColumn("n", -F.col("n") if name == "double" else F.col("n"))
+        counts = own if counts is None else counts.unionByName(own)
+    counts = written(counts.groupBy("pair_no", *key, "n_a").agg(F.sum("n").alias("n")).filter("n > 0"), "counts")
+    same = [F.col(f"c.{k}").eqNullSafe(F.col(f"r.{k}")) for k in key]
+    ids = rows.alias("r").join(counts.alias("c"), same).groupBy("c.pair_no").agg(F.count_distinct("r.id").alias("rows_a"))
+    total = counts.groupBy("pair_no").agg(F.sum(F.col("n_a") * F.col("n")).alias("candidates"))
+    return total.join(ids, "pair_no").join(F.broadcast(pairs), "pair_no").select("store_a", "store_b", "candidates", "rows_a")
+
+
+def candidate_kinds(rows: DataFrame, pairs: DataFrame, least: float) -> DataFrame:
+    """(kind_a, kind_b, n): the pairs of ``numbered`` rows with that score that pass all gates, by the kinds of their quantities."""
+    parts, classes = None, classes_of(rows)
+    for name, linked in linked_classes(classes, pairs, least=least).items():
+        n = linked.groupBy("pair_no", "key_a", "unit_a", "kind_a", "kind_b").agg(F.sum("n_b").alias("n"))
+        sign = -1 if name == "double" else 1
+        own = _rows_of(name, classes.select(*CLASS, F.col("n").alias("n_a")), n).select("kind_a", "kind_b", (F.col("n") * F.col("n_a") * sign).alias("n"))
+        parts = own if parts is None else parts.unionByName(own)
+    kind = lambda c: F.coalesce(c, F.lit("none")).alias(c)
+    return parts.groupBy(kind("kind_a"), kind("kind_b")).agg(F.sum("n").alias("n")).filter("n > 0")
 
 
 def match_all(catalogue: DataFrame, pairs: DataFrame, version: str = "v2") -> DataFrame:
@@ -199,15 +310,18 @@ def match_all(catalogue: DataFrame, pairs: DataFrame, version: str = "v2") -> Da
     work. Score ties go to the brand bucket, then to the smaller id; several rows may pick the
     same candidate. Columns: store_a, store_b, pair_no, score, own_brand, a, b.
     """
-    prepared = numbered(prepare(catalogue, version))
-    pairs_of = candidate_pairs(prepared, pairs, scale=version != "v1", least=THRESHOLD).filter(passes_gates(version))
-    scored = pairs_of.withColumn("score", jaccard(F.col("a.tokens"), F.col("b.tokens"))).filter(F.col("score") >= THRESHOLD)
-    order = F.struct((-F.col("score")).alias("s"), "source", F.col("b.id").alias("i"))
-    best = scored.groupBy("store_a", "store_b", "pair_no", F.col("a.row").alias("row_a")).agg(
-        F.min_by(F.struct("score", F.col("a.own_brand").alias("own_brand"), F.col("b.row").alias("row_b")), order).alias("m")
-    )
-    side = lambda c: prepared.select(F.col("row").alias(f"row_{c}"), F.struct(*SIDE).alias(c))
-    best = best.select("store_a", "store_b", "pair_no", "row_a", "m.*").join(side("a"), "row_a").join(side("b"), "row_b")
+    rows = numbered(prepare(catalogue, version), version)
+    best = None
+    for name, linked in linked_classes(classes_of(rows), pairs, version != "v1", THRESHOLD, counted=False).items():
+        order = F.struct((-F.col("score")).alias("falling"), F.lit(int(name == "any")).alias("source"), "first_b.id", "first_b.row")
+        found = linked.groupBy("pair_no", "key_a", "unit_a").agg(F.min(order).alias("m"))
+        own = _rows_of(name, rows.select(F.col("row").alias("row_a"), *CLASS), found).select("pair_no", "row_a", "m")
+        best = own if best is None else best.unionByName(own)
+    best = best.groupBy("pair_no", "row_a").agg(F.min("m").alias("m"))
+    best = best.select("pair_no", "row_a", (-F.col("m.falling")).alias("score"), F.col("m.row").alias("row_b"))
+    a = rows.select(F.col("row").alias("row_a"), "own_brand", F.struct(*SIDE).alias("a"))
+    best = best.join(a, "row_a").join(rows.select(F.col("row").alias("row_b"), F.struct(*SIDE).alias("b")), "row_b")
+    best = best.join(F.broadcast(pairs), "pair_no")
     return best.select("store_a", "store_b", "pair_no", F.round("score", 3).alias("score"), "own_brand", "a", "b")
 
 
